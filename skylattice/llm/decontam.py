@@ -17,6 +17,7 @@ documents and each gets the result; null doc_ids are kept.
 from __future__ import annotations
 
 import functools
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "d
     if not lengths:
         return ids.where(F.lit(False)).select("_id", F.xxhash64("_text").alias("_hash"), F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<string>").alias("items"))
     split = ids.select("_id", F.xxhash64("_text").alias("_hash"), words(F.col("_text")).alias("_w"))
-    bits = F.lit(_bit_table(windows))
+    bits = F.from_json(F.lit(json.dumps(_bit_table(windows))), "array<bigint>")  # folded to one literal
     held = functools.reduce(lambda a, b: a | b, [_may_hold(F.col("_w"), m, bits) for m in lengths])
     grams = [
         F.when(F.size("_w") >= m, F.transform(F.sequence(F.lit(1), F.size("_w") - m + 1), lambda i, m=m: F.struct((i - 1).cast("int").alias("p"), F.slice("_w", i, F.lit(m)).alias("grams")))).otherwise(F.array().cast("array<struct<p:int,grams:array<string>>>"))
