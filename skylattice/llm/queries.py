@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam
+from . import bpe, decontam, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: token count and hashes of its ids and of the text decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", bpe.digests(F.col("text")).alias("d"))
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: fingerprint and the smallest doc_id of its group of near-duplicates."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, budget=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
