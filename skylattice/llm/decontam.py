@@ -76,6 +76,10 @@ def _may_hold(w: Column, m: int, bits: Column) -> Column:
     return F.when(F.size(w) >= m, F.exists(F.sequence(F.lit(0), blocks - 1), block_known)).otherwise(False)
 
 
+def _windows(w: Column, m: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.size(w) - m + 1), lambda i: F.struct((i - 1).cast("int").alias("p"), F.slice(w, i, F.lit(m)).alias("grams")))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per (id, text hash) that holds a window: at array<int> of the hit word positions (from 0), items array of item ids.
 
@@ -90,10 +94,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "d
     split = ids.select("_id", F.xxhash64("_text").alias("_hash"), words(F.col("_text")).alias("_w"))
     bits = F.from_json(F.lit(json.dumps(_bit_table(windows))), "array<bigint>")  # folded to one literal
     held = functools.reduce(lambda a, b: a | b, [_may_hold(F.col("_w"), m, bits) for m in lengths])
-    grams = [
-        F.when(F.size("_w") >= m, F.transform(F.sequence(F.lit(1), F.size("_w") - m + 1), lambda i, m=m: F.struct((i - 1).cast("int").alias("p"), F.slice("_w", i, F.lit(m)).alias("grams")))).otherwise(F.array().cast("array<struct<p:int,grams:array<string>>>"))
-        for m in lengths
-    ]
+    grams = [F.when(F.size("_w") >= m, _windows(F.col("_w"), m)).otherwise(F.array().cast("array<struct<p:int,grams:array<string>>>")) for m in lengths]
     spots = split.where(held).select("_id", "_hash", F.explode(F.concat(*grams)).alias("s")).select("_id", "_hash", F.col("s.p").alias("p"), F.col("s.grams").alias("grams"))
     spots = spots.withColumn("h", F.xxhash64("grams"))
     known = windows.groupBy("grams").agg(F.max("m").alias("m"), F.collect_set(F.col("item_id").cast("string")).alias("ids")).select(F.xxhash64("grams").alias("h"), F.col("grams").alias("known"), "m", "ids")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, simhash
+from . import bpe, decontam, langid, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,18 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: fingerprint and the smallest doc_id of its group of near-duplicates."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, budget=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its language from text, markup and host, with the evidence."""
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = langid.identify(pages, model, langid.visible_text(F.col("html")), langid.declared_language(F.col("html")), langid.host_of(F.col("url")))
+    return found.select("page_id", "language.*")
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: personal data by pattern and by the skip-chain field."""
+    return pii.report(table(spark, sf_dir, "documents"))
