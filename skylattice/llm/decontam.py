@@ -16,7 +16,6 @@ documents and each gets the result; null doc_ids are kept.
 
 from __future__ import annotations
 
-import functools
 import json
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +36,9 @@ TABLE_BITS = 20
 
 def words(text: Column) -> Column:
     """The normalised words of a text: array<string>, empty for null."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    text = F.coalesce(text, F.lit(""))
+    # lower() also maps letters beyond ASCII, so it serves where there are none; translate() is slower.
+    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
     return F.filter(F.split(lowered, NOT_WORD), lambda w: w != "")
 
 
@@ -64,7 +65,8 @@ def _probe(h: Column, p: int) -> Column:
     return F.shiftrightunsigned(h, TABLE_BITS * p).bitwiseAND(F.lit((1 << TABLE_BITS) - 1)).cast("int")
 
 
-def _may_hold(w: Column, m: int, bits: Column) -> Column:
+def _known_blocks(w: Column, m: int, bits: Column) -> Column:
+    """The numbers of the aligned blocks of ``w`` that the bit table knows."""
     k = (m + 1) // 2
 
     def block_known(i: Column) -> Column:
@@ -72,12 +74,15 @@ def _may_hold(w: Column, m: int, bits: Column) -> Column:
         tests = [F.getbit(F.element_at(bits, (_probe(h, p) / 64).cast("int") + 1), _probe(h, p) % 64) == 1 for p in range(3)]
         return tests[0] & tests[1] & tests[2]
 
-    blocks = (F.size(w) / k).cast("int")
-    return F.when(F.size(w) >= m, F.exists(F.sequence(F.lit(0), blocks - 1), block_known)).otherwise(False)
+    return F.filter(F.sequence(F.lit(0), (F.size(w) / k).cast("int") - 1), block_known)
 
 
-def _windows(w: Column, m: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(w) - m + 1), lambda i: F.struct((i - 1).cast("int").alias("p"), F.slice(w, i, F.lit(m)).alias("grams")))
+def _windows(w: Column, m: int, bits: Column) -> Column:
+    """Position and words of each window of m words round a known block."""
+    k = (m + 1) // 2
+    starts = F.transform(_known_blocks(w, m, bits), lambda i: F.sequence(F.greatest(F.lit(0), i * k - (m - k)), F.least(i * k, F.size(w) - m)))
+    found = F.transform(F.array_distinct(F.flatten(starts)), lambda p: F.struct(p.alias("p"), F.slice(w, p + 1, F.lit(m)).alias("grams")))
+    return F.when(F.size(w) >= m, found).otherwise(F.array().cast("array<struct<p:int,grams:array<string>>>"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,11 +96,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "d
     ids = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     if not lengths:
         return ids.where(F.lit(False)).select("_id", F.xxhash64("_text").alias("_hash"), F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<string>").alias("items"))
-    split = ids.select("_id", F.xxhash64("_text").alias("_hash"), words(F.col("_text")).alias("_w"))
+    # Exploding a one-element array keeps Spark from splitting the text anew wherever its words are used.
+    split = ids.select("_id", F.xxhash64("_text").alias("_hash"), F.explode(F.array(words(F.col("_text")))).alias("_w"))
     bits = F.from_json(F.lit(json.dumps(_bit_table(windows))), "array<bigint>")  # folded to one literal
-    held = functools.reduce(lambda a, b: a | b, [_may_hold(F.col("_w"), m, bits) for m in lengths])
-    grams = [F.when(F.size("_w") >= m, _windows(F.col("_w"), m)).otherwise(F.array().cast("array<struct<p:int,grams:array<string>>>")) for m in lengths]
-    spots = split.where(held).select("_id", "_hash", F.explode(F.concat(*grams)).alias("s")).select("_id", "_hash", F.col("s.p").alias("p"), F.col("s.grams").alias("grams"))
+    spots = split.select("_id", "_hash", F.explode(F.concat(*(_windows(F.col("_w"), m, bits) for m in lengths))).alias("s")).select("_id", "_hash", F.col("s.p").alias("p"), F.col("s.grams").alias("grams"))
     spots = spots.withColumn("h", F.xxhash64("grams"))
     known = windows.groupBy("grams").agg(F.max("m").alias("m"), F.collect_set(F.col("item_id").cast("string")).alias("ids")).select(F.xxhash64("grams").alias("h"), F.col("grams").alias("known"), "m", "ids")
     if sum(per_length.values()) <= BROADCAST_WINDOWS:
@@ -111,7 +115,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "d
 def report(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: its id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = hits(docs, benchmark, size, id_col, text_col)
-    base = docs.select(F.col(id_col), F.xxhash64(F.col(text_col)).alias("_h"), F.size(words(F.col(text_col))).cast("bigint").alias("n_words"))
+    base = docs.select(F.col(id_col), F.xxhash64(F.col(text_col)).alias("_h"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("bigint").alias("n_words"))
     joined = base.join(found, base[id_col].eqNullSafe(found["_id"]) & (base["_h"] == found["_hash"]), "left")
     n_hit = F.when(F.col("at").isNull(), F.lit(0)).otherwise(F.size("at")).cast("bigint")
     return joined.select(
