@@ -168,44 +168,54 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
     wide = base.join(F.broadcast(levels) if levels.count() <= BROADCAST_HOSTS else levels, "_h", "left")
 
     # How a declared language goes with the text's: smoothed counts, at most one row a declared name.
-    with_text = wide.withColumn("_own", F.array(*share))
     pairs = {r._said: [r[f"s{i}"] or 0.0 for i in range(k)] for r in counted.where("_said is not null").groupBy("_said").agg(*again).collect()}
-    matrix = np.full((k + 1, k), 0.5)
+    said = np.full((k + 1, k), 0.5)
     for d, s in pairs.items():
-        matrix[known.get(d, k)] += s
-    matrix = np.log(matrix / matrix.sum(axis=0))
-    evidence = F.create_map(*(x for d in [*names, "other"] for x in (F.lit(d), F.array(*map(F.lit, matrix[known.get(d, k)].tolist())))))
-
-    def prior(i: int) -> Column:
-        own = F.col("_own")[i]
-        mass = F.aggregate("_own", F.lit(0.0), lambda a, x: a + x)
-        p = (F.lit(total[i] + 1.0 / k) - own) / (F.lit(sum(total) + 1.0) - mass)
-        for level in ("n2", "n1", "n0"):
-            n = F.aggregate(level, F.lit(0.0), lambda a, x: a + x)
-            p = F.when(F.col(level).isNull(), p).otherwise((F.greatest(F.col(level)[i] - own, F.lit(0.0)) + STRENGTH * p) / (F.greatest(n - mass, F.lit(0.0)) + STRENGTH))
-        return p
-
-    with_prior = with_text.withColumn("_prior", F.array(*(prior(i) for i in range(k))))
-    said = F.element_at(evidence, truth)
-    score = [F.col("_t.ll")[i] + F.log(F.greatest(F.col("_prior")[i], F.lit(1e-12))) + F.coalesce(said[i], F.lit(0.0)) for i in range(k)]
-    scored = with_prior.withColumn("_score", F.array(*score)).withColumn("_top", F.array_max("_score"))
-    name = F.array(*map(F.lit, names))
-    pick = F.array_position("_score", F.col("_top")).cast("int")
-    pick_text = F.array_position("_t.p", F.array_max("_t.p")).cast("int")
-    blind = ~informed & F.col("_d").isNull() & F.col("_h").isNull()
-    language = F.struct(
-        F.when(blind, UNKNOWN).otherwise(F.element_at(name, pick)).alias("lang"),
-        F.when(blind, 0.0).otherwise(1.0 / F.aggregate("_score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_top")))).alias("posterior"),
-        F.when(informed, F.element_at(name, pick_text)).alias("text_lang"),
-        F.when(informed, F.array_max("_t.p")).alias("text_posterior"),
-        F.col("_d").alias("declared"), F.col("_h").alias("host"), F.element_at("_prior", pick).alias("prior"),
-    )
-    return scored.select(*(F.col("_row")[c].alias(c) for c in rows.columns if c != "language"), language.alias("language"))
+        said[known.get(d, k)] += s
+    said = np.log(said / said.sum(axis=0))
+    all_rows = np.array(list(total))
+
+    @F.arrow_udf("struct<lang:string,posterior:double,text_lang:string,text_posterior:double,declared:string,host:string,prior:double>")
+    def fuse(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for t, declared, host, *levels in batches:
+            n = len(t)
+            if n == 0:
+                yield pa.StructArray.from_arrays([pa.array([], x) for x in (pa.string(), pa.float64(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.float64())], ["lang", "posterior", "text_lang", "text_posterior", "declared", "host", "prior"])
+                continue
+            p, ll = (np.array(t.field(i).flatten()).reshape(n, k) for i in range(2))
+            informed = ll.max(axis=1) != ll.min(axis=1)
+            own = np.where(informed[:, None], p, 0.0)
+            prior = np.maximum(all_rows + 1 / k - own, 1e-9)
+            prior /= prior.sum(axis=1, keepdims=True)
+            for level in levels[::-1]:
+                have = np.array(level.is_valid())
+                counts = np.zeros((n, k))
+                counts[have] = np.array(level.flatten()).reshape(-1, k)
+                counts = np.maximum(counts - own, 0.0)
+                smoothed = (counts + STRENGTH * prior) / (counts.sum(axis=1, keepdims=True) + STRENGTH)
+                prior = np.where(have[:, None], smoothed, prior)
+            names_said = declared.to_pylist()
+            score = ll + np.log(np.maximum(prior, 1e-12)) + np.stack([np.zeros(k) if d is None else said[known.get(d, k)] for d in names_said])
+            best = score.argmax(axis=1)
+            posterior = 1 / np.exp(score - score.max(axis=1, keepdims=True)).sum(axis=1)
+            blind = ~informed & np.array(declared.is_null()) & np.array(host.is_null())
+            text_best = p.argmax(axis=1)
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array([UNKNOWN if x else names[i] for i, x in zip(best, blind)], pa.string()), pa.array(np.where(blind, 0.0, posterior)),
+                    pa.array([names[i] if x else None for i, x in zip(text_best, informed)], pa.string()), pa.array(p.max(axis=1), mask=~informed),
+                    declared, host, pa.array(prior[np.arange(n), best]),
+                ],
+                ["lang", "posterior", "text_lang", "text_posterior", "declared", "host", "prior"],
+            )
+
+    return wide.select(*(F.col("_row")[c].alias(c) for c in rows.columns if c != "language"), fuse("_t", "_d", "_h", "n0", "n1", "n2").alias("language"))
 
 
 def accept(rows: DataFrame, model: TextModel, text: Column, declared: Column | None = None, host: Column | None = None, least: float = 0.5, languages: list[str] | None = None) -> DataFrame:
     """``rows`` whose text is in a known language (of ``languages``, if given) with posterior ``least`` or more; texts without letters go."""
-    found = identify(rows, model, text, declared, host)
+    found = identify(rows.withColumnRenamed("language", "_language"), model, text, declared, host)
     lang = F.col("language.lang")
     ok = (lang != UNKNOWN) & (F.col("language.posterior") >= least) & F.col("language.text_lang").isNotNull()
-    return found.where(ok if languages is None else ok & lang.isin(*languages)).select(*rows.columns)
+    kept = found.where(ok if languages is None else ok & lang.isin(*languages)).drop("language")
+    return kept.withColumnRenamed("_language", "language").select(*rows.columns)
