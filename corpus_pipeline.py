@@ -1,7 +1,49 @@
 """The corpus pipeline: each stage works on what its predecessor kept, written and read again between them."""
-STAGES = []
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from skylattice.llm import bpe, decontam, langid, pii, simhash
+from skylattice.llm._batch import shared_dir
+
+
+def language(spark, docs, sf_dir):
+    """Keeps texts in a known language; the source counts as the host."""
+    return langid.accept(docs, langid.fit(docs), F.col("text"), host=F.col("source"))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Keeps the document of the smallest id of each group."""
+    return simhash.deduplicate(docs)
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Keeps documents that hold no benchmark window of 10 words."""
+    return decontam.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10)
+
+
+def redact(spark, docs, sf_dir):
+    """Replaces personal data by its kind."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def tokenize(spark, docs, sf_dir):
+    """Adds token count and digests to each document's id."""
+    return docs.select("doc_id", "lang", "source", "n_chars", bpe.digests(F.col("text")).alias("d")).select("doc_id", "lang", "source", "n_chars", "d.*")
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("redact", redact), ("tokenize", tokenize)]
+#: No SQL: language posteriors, fingerprints' components and the field's marginals aren't SQL-expressible; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
