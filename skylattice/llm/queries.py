@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, pii, simhash
+from . import bpe, decontam, langid, pii, quality, simhash, toxicity
+from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +73,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: personal data by pattern and by the skip-chain field."""
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: probability of the label toxic, with the nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), toxicity.score(F.col("text"), index).alias("s"))
+    return scored.select("doc_id", "held_out", "s.score", F.when(F.col("s.score") >= 0.5, 1).otherwise(0).alias("predicted"), "s.evidence")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: probability of the label quality."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), quality.score(F.col("text"), machine).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
