@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, pii, quality, simhash, toxicity
+from . import bpe, decontam, langid, pii, quality, repeats, simhash, toxicity
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), quality.score(F.col("text"), machine).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+@query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes covered by 100-byte strings that also start earlier, and the hash of the rest."""
+    return repeats.report(table(spark, sf_dir, "documents"), length=100)
