@@ -103,6 +103,14 @@ class PrefixHash:
             return (self._sums[end] - self._sums[start]) * self._down[start]
 
 
+    def all(self, size: int) -> np.ndarray:
+        """The hashes of all ranges of ``size`` bytes, in order."""
+        with np.errstate(over="ignore"):
+            out = self._sums[size:] - self._sums[: len(self._sums) - size]
+            out *= self._down[: len(out)]
+        return out
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) of each maximal run of non-separator bytes; runs never cross texts."""
     n = len(data)

@@ -20,8 +20,8 @@ array or not.  All but the first occurrence of a group are covered.
 
 A gram with over ``ENTRIES`` distinct contexts is no single task: its windows are grouped by their hashes.
 
-Null text is empty.  Rows of equal id and text are one document, each with the same result; rows of equal id
-and different texts are different documents, in the order of their hash; null ids come last.
+Null text is empty.  Rows of equal id and text are one document, each with the same result; of rows of equal id
+and different texts none is earlier than another; null ids come last.
 """
 
 from __future__ import annotations
@@ -40,6 +40,10 @@ from ._store import saved
 GRAM = 16
 #: Distinct contexts of one gram that a task takes (at most 200 bytes each).
 ENTRIES = 50_000
+#: Entries that a task works on together, unless one gram has more.
+SOLVED_AT_ONCE = 20_000
+#: A place packs the text's hash above the byte position.
+MASK = (1 << 40) - 1
 _U = np.uint64
 _PLACE_BITS = 22
 
@@ -68,9 +72,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
                 continue
             bounds = np.concatenate([[0], offsets[i + 1 : j] - a, [m]]) if whole else np.array([0, m])
             hashed = PrefixHash(part)
-            start = np.arange(m - gram + 1)
-            h = mix64(hashed(start, start + gram))
-            key = (h & ~_U((1 << _PLACE_BITS) - 1)) | start.astype(np.uint64)
+            h = hashed.all(gram)
+            with np.errstate(over="ignore"):
+                key = h * _U(0xFF51AFD7ED558CCD)
+            key &= ~_U((1 << _PLACE_BITS) - 1)
+            key |= np.arange(len(key), dtype=np.uint64)
             pad = -len(key) % span
             blocks = np.concatenate([key, np.full(pad, ~_U(0))]).reshape(-1, span)
             ahead = np.minimum.accumulate(blocks, axis=1).ravel()
@@ -107,30 +113,19 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, place, h, c = anchors(*text_bytes(b["text"]), length, gram)
+            order = np.lexsort((place, c, row))
+            own = np.zeros(len(row), dtype=bool)
+            own[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (c[order[1:]] == c[order[:-1]]) & (h[order[1:]] == h[order[:-1]])
             d, t = b["d"].to_numpy()[row], b["t"].to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(t << 40 | place), pa.array(h.view(np.int64)), pa.array(c.view(np.int64))], ["d", "at", "h", "c"])
-
-    return docs.select("d", "t", "text").mapInArrow(scan, "d bigint, at bigint, h bigint, c bigint")
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(t << 40 | place), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own)], ["d", "at", "h", "c", "own"])
 
-
-def _common(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    lo, hi = 0, n  # a[:lo] agrees, a[:hi] doesn't
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        if a[lo:mid] == b[lo:mid]:
-            lo = mid
-        else:
-            hi = mid
-    return lo
+    return docs.select("d", "t", "text").mapInArrow(scan, "d bigint, at bigint, h bigint, c bigint, own boolean")
 
 
-def intervals(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
     """(depth, first, end) of each interval of two or more suffixes that share ``depth`` >= least bytes; lcp[i] is that of suffixes i and i + 1."""
     stack: list[tuple[int, int]] = []  # (depth, first)
-    for i, depth in enumerate([*lcp.tolist(), -1]):
+    for i, depth in enumerate([*lcp, -1]):
         first = i
         while stack and stack[-1][0] > depth:
             top, first = stack.pop()
@@ -140,52 +135,61 @@ def intervals(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
-def maximal_repeats(left: list[bytes], right: list[bytes], length: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(left bytes, right bytes, entries) of each maximal set of entries that share them, left + right >= length.  ``left`` reads away from the anchor."""
-    n = len(right)
-    if n == 2:
-        a, b = _common(left[0], left[1]), _common(right[0], right[1])
-        if a + b >= length:
-            yield a, b, np.array([0, 1])
+def _matrix(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    return np.frombuffer(b"".join([x.ljust(width, b"\0") for x in texts]), dtype=np.uint8).reshape(len(texts), width), size
+
+
+def _sorted_with_lcp(group: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the texts within their groups, and the bytes that each shares with the one before; -1 for a group's first."""
+    width = max(1, max(map(len, texts)))
+    rows, size = _matrix(texts, width)
+    keys = np.concatenate([group.astype(">u8").view(np.uint8).reshape(-1, 8), rows], axis=1)
+    order = np.argsort(np.ascontiguousarray(keys).view(f"S{width + 8}").ravel(), kind="stable")
+    lcp = np.full(len(texts), -1, dtype=np.int64)
+    for i in range(0, len(texts) - 1, 1 << 14):
+        a, b = order[i : i + (1 << 14)], order[i + 1 : i + 1 + (1 << 14)]
+        a = a[: len(b)]
+        differ = rows[a] != rows[b]
+        n = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        lcp[i + 1 : i + 1 + len(b)] = np.where(group[a] == group[b], np.minimum(n, np.minimum(size[a], size[b])), -1)
+    return order, lcp
+
+
+def maximal_repeats(group: np.ndarray, left: list[bytes], right: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left bytes, right bytes, entries) of each maximal set of entries of one group that share them, left + right >= length.
+
+    ``left`` reads away from the anchor; ``group`` ascends.  All groups are one array, whose intervals never cross them.
+    """
+    if len(group) < 2:
         return
-    suffixes = np.array(sorted(range(n), key=right.__getitem__))
-    lcp = np.array([_common(right[x], right[y]) for x, y in zip(suffixes[:-1].tolist(), suffixes[1:].tolist())])
-    leftwards = sorted(range(n), key=left.__getitem__)
-    rank = np.empty(n, dtype=np.int64)
-    rank[leftwards] = np.arange(n)
-    common = np.array([0] + [_common(left[x], left[y]) for x, y in zip(leftwards[:-1], leftwards[1:])])  # with the one before
-    leftwards = np.array(leftwards)
-    place = np.empty(n, dtype=np.int64)
-    place[suffixes] = np.arange(n)
+    suffixes, lcp = _sorted_with_lcp(group, right)
+    leftwards, common = _sorted_with_lcp(group, left)
+    rank = np.empty(len(group), dtype=np.int64)
+    rank[leftwards] = np.arange(len(group))
+    place = np.empty(len(group), dtype=np.int64)
+    place[suffixes] = np.arange(len(group))
+    rank_of_suffix = rank[suffixes]
+    few_ranks, few_common, few_left, few_lcp, few_place = rank_of_suffix.tolist(), common.tolist(), leftwards.tolist(), lcp.tolist(), place.tolist()
     most_left = max(map(len, left))
-    for depth, first, end in intervals(lcp, max(0, length - most_left)):
-        r = np.sort(rank[suffixes[first:end]])
-        shared = np.minimum.reduceat(common, (r + 1)[r + 1 < n])[: len(r) - 1]
+    for depth, first, end in intervals(few_lcp[1:], max(0, length - most_left)):
+        if end - first <= 64:
+            r = sorted(few_ranks[first:end])
+            shared = [few_common[y] if y == x + 1 else min(few_common[x + 1 : y + 1]) for x, y in zip(r, r[1:])]
+        else:
+            r = np.sort(rank_of_suffix[first:end])
+            shared = np.minimum.reduceat(common, (r + 1)[r + 1 < len(common)])[: len(r) - 1].tolist()
+        if max(shared) + depth < length:
+            continue
         for back, i, j in intervals(shared, length - depth):
-            members = leftwards[r[i:j]]
-            at = np.sort(place[members])
+            members = [few_left[x] for x in r[i:j]]
+            at = [few_place[x] for x in members]
             # Extended alike to the right: a deeper interval has this set.
-            if lcp[at[0] : at[-1]].min() > depth:
+            if min(few_lcp[min(at) + 1 : max(at) + 1]) > depth:
                 continue
             yield back, depth, members
 
 
-def _covered(group: pa.Table, length: int) -> list[tuple[int, int, int, int]]:
-    """(d, t, start, end) that the maximal repeats of one gram's entries cover."""
-    right = group["right"].to_pylist()
-    left = [x[::-1] for x in group["left"].to_pylist()]
-    d, at = group["d"].to_numpy(), group["at"].to_numpy()
-    t, place = at >> 40, at & ((1 << 40) - 1)
-    order = np.lexsort((at, d))
-    turn = np.empty(len(d), np.int64)
-    turn[order] = np.cumsum((np.diff(d[order], prepend=d[order[0]]) != 0) | (np.diff(at[order], prepend=at[order[0]]) != 0))  # repeated rows are one
-    out: set[tuple[int, int, int, int]] = set()
-    for a, b, members in maximal_repeats(left, right, length):
-        later = members[turn[members] != turn[members].min()]
-        out.update(zip(d[later].tolist(), t[later].tolist(), (place[later] - a).tolist(), (place[later] + b).tolist()))
-    return list(out)
-
-
 def _spans_schema() -> str:
     return "d bigint, t bigint, s bigint, e bigint"
 
@@ -197,28 +201,41 @@ def _as_spans(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 
 def _tree_spans(entries: DataFrame, length: int) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        parts: list[pa.RecordBatch] = []
 
         def solve(t: pa.Table) -> pa.RecordBatch:
             h = t["h"].to_numpy()
-            cut = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
-            rows = []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                if b - a > 1:
-                    rows += _covered(t.slice(a, b - a), length)
+            group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+            d, at = t["d"].to_numpy(), t["at"].to_numpy()
+            d, at = d.tolist(), at.tolist()
+            # All strings hold their anchor, so an entry's covered bytes are one run round it.
+            back, ahead = [0] * len(d), [0] * len(d)
+            for a, b, members in maximal_repeats(group, [x[::-1] for x in t["left"].to_pylist()], t["right"].to_pylist(), length):
+                least = min(d[i] for i in members)
+                own: dict[int, int] = {}
+                for i in members:
+                    if d[i] == least:
+                        own[at[i] >> 40] = min(at[i], own.get(at[i] >> 40, at[i]))
+                for i in members:
+                    if d[i] > least or at[i] > own[at[i] >> 40]:
+                        back[i], ahead[i] = max(back[i], a), max(ahead[i], b)
+            rows = [(d[i], at[i] >> 40, (at[i] & MASK) - back[i], (at[i] & MASK) + ahead[i]) for i in range(len(d)) if ahead[i]]
             return _as_spans(rows)
 
         for b in batches:
             if b.num_rows == 0:
                 continue
-            held = pa.Table.from_batches([*(held.to_batches() if held is not None else []), b])
+            parts.append(b)
+            if sum(x.num_rows for x in parts) < SOLVED_AT_ONCE and b.num_rows:
+                continue
+            held = pa.Table.from_batches(parts)
             h = held["h"].to_numpy()
             change = np.flatnonzero(h[1:] != h[:-1])
             if len(change):
                 yield solve(held.slice(0, int(change[-1]) + 1))
-                held = held.slice(int(change[-1]) + 1)
-        if held is not None:
-            yield solve(held)
+                parts = held.slice(int(change[-1]) + 1).combine_chunks().to_batches()
+        if parts:
+            yield solve(pa.Table.from_batches(parts))
 
     return entries.repartition("h").sortWithinPartitions("h").mapInArrow(walk, _spans_schema())
 
@@ -229,10 +246,12 @@ def _window_spans(entries: DataFrame, length: int) -> DataFrame:
     windows = entries.select("d", "at", "left", "right", F.explode(F.sequence(F.lit(0), F.length("left"))).alias("o"))
     window = F.concat(F.substring(F.col("left"), F.length("left") - o + 1, o), F.substring(F.col("right"), F.lit(1), length - o))
     windows = windows.where(F.length("right") + o >= length).select("d", "at", "o", F.xxhash64(window).alias("w"), F.xxhash64(F.lit(1), window).alias("w2"))
-    first = windows.groupBy("w", "w2").agg(F.min(F.struct("d", (F.col("at") - o).alias("from"))).alias("first"))
-    later = windows.join(first, ["w", "w2"]).where(F.struct("d", (F.col("at") - o).alias("from")) != F.col("first"))
-    start = F.col("at").bitwiseAND(F.lit((1 << 40) - 1)) - o
-    return later.select("d", F.shiftright("at", 40).alias("t"), start.alias("s"), (start + length).alias("e"))
+    windows = windows.withColumn("t", F.shiftright("at", 40))
+    least = windows.groupBy("w", "w2").agg(F.min("d").alias("least"))
+    own = windows.groupBy("w", "w2", "d", "t").agg(F.min(F.col("at") - o).alias("own"))
+    later = windows.join(least, ["w", "w2"]).join(own, ["w", "w2", "d", "t"]).where((F.col("d") > F.col("least")) | (F.col("at") - o > F.col("own")))
+    start = F.col("at").bitwiseAND(F.lit(MASK)) - o
+    return later.select("d", "t", start.alias("s"), (start + length).alias("e"))
 
 
 def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = ENTRIES) -> DataFrame:
@@ -240,12 +259,13 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
     found = _anchor_rows(docs, length, gram)
     again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     repeated = saved(found.join(again, "h", "left_semi"))
-    first = saved(repeated.groupBy("h", "c").agg(F.min(F.struct("d", "at")).alias("first"), F.count("*").alias("n")))
-    copies = repeated.join(first.where("n > 1").select("h", "c", "first"), ["h", "c"]).where(F.struct("d", "at") != F.col("first"))
-    place = F.col("at").bitwiseAND(F.lit((1 << 40) - 1))
-    whole = copies.select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e"))
+    # The first document of each context, in numbers that hash aggregation can update in place; ``own`` marks a context's returns within a document.
+    first = saved(repeated.where(~F.col("own")).groupBy("h", "c").agg(F.min("d").alias("least")))
+    met = repeated.join(first, ["h", "c"])
+    place = F.col("at").bitwiseAND(F.lit(MASK))
+    whole = met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e"))
     several = first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    wanted = first.join(several, "h").select("h", "contexts", "first.*")
+    wanted = met.where(~F.col("own") & (F.col("d") == F.col("least"))).select("h", "d", "at").join(several, "h")
     per_doc = wanted.groupBy("d", F.shiftright("at", 40).alias("t")).agg(F.collect_list(F.struct("h", "contexts", "at")).alias("w"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +277,7 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
                 of = np.repeat(np.arange(len(part)), np.diff(np.array(lists.offsets)))
                 at = items.field("at").to_numpy()
                 texts = [x.as_py().encode() for x in part["text"]]
-                pos = (at & ((1 << 40) - 1)).tolist()
+                pos = (at & MASK).tolist()
                 left = [texts[r][max(0, p - (length - gram)) : p] for r, p in zip(of.tolist(), pos)]
                 right = [texts[r][p : p + length] for r, p in zip(of.tolist(), pos)]
                 yield pa.RecordBatch.from_arrays([items.field("h"), items.field("contexts"), pa.array(part["d"].to_numpy()[of]), items.field("at"), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["h", "contexts", "d", "at", "left", "right"])

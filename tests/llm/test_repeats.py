@@ -48,22 +48,25 @@ def test_matches_brute_force(spark, seed, entries, monkeypatch):
     assert got == brute(rows, 100)
 
 
+def common(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 def test_maximal_repeats_have_all_pairs():
     r = random.Random(5)
-    for _ in range(30):
-        n = r.randint(2, 12)
-        make = lambda: bytes(r.choice(b"ab") for _ in range(r.randint(0, 6)))
-        left, right = [make() for _ in range(n)], [make() for _ in range(n)]
-        got = {(i, j): set() for i in range(n) for j in range(i)}
-        for a, b, members in repeats.maximal_repeats(left, right, 5):
-            assert len({left[m][:a] for m in members}) == 1 == len({right[m][:b] for m in members})
-            for i in members:
-                for j in members:
-                    if j < i:
-                        got[i, j].add((a, b))
-        for (i, j), sets in got.items():
-            a, b = repeats._common(left[i], left[j]), repeats._common(right[i], right[j])
-            assert ((a, b) in sets) == (a + b >= 5), (left[i], left[j], right[i], right[j])
+    make = lambda: bytes(r.choice(b"ab") for _ in range(r.randint(0, 6)))
+    group = np.sort(np.array([r.randint(0, 40) for _ in range(300)]))
+    left, right = [make() for _ in group], [make() for _ in group]
+    got = {(i, j): set() for i in range(300) for j in range(i) if group[i] == group[j]}
+    for a, b, members in repeats.maximal_repeats(group, left, right, 5):
+        assert len({left[m][:a] for m in members}) == 1 == len({right[m][:b] for m in members})
+        for i in members:
+            for j in members:
+                if j < i:
+                    got[i, j].add((a, b))
+    for (i, j), sets in got.items():
+        a, b = common(left[i], left[j]), common(right[i], right[j])
+        assert ((a, b) in sets) == (a + b >= 5), (left[i], left[j], right[i], right[j])
 
 
 def test_a_long_text_is_cut_into_slices_alike(monkeypatch):
