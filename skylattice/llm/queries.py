@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, pii, quality, repeats, simhash, toxicity
+from . import bpe, decontam, langid, lm, pii, quality, repeats, simhash, toxicity
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: bytes covered by 100-byte strings that also start earlier, and the hash of the rest."""
     return repeats.report(table(spark, sf_dir, "documents"), length=100)
+
+
+@query
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: log10 probabilities by word counts and by the attention model."""
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
