@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, lm, pii, quality, repeats, simhash, toxicity
+from . import bpe, decontam, langid, lm, media, pii, quality, repeats, simhash, toxicity
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,10 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: log10 probabilities by word counts and by the attention model."""
     return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector, drawn as a raster: its corners, verified links and group of copies.  The tables hold no images."""
+    images = media.rendered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return media.copies(images).withColumnRenamed("image_id", "vec_id")
