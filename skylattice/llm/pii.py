@@ -244,7 +244,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fiel
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * 5), pa.array(n.features.ravel()))
             yield pa.RecordBatch.from_arrays([lists, pa.array(y), pa.array(beside), pa.array(skip)], ["f", "y", "beside", "skip"])
 
-    picked = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.lit(7), F.col(id_col)).alias("h")).where(F.col("text").rlike("[0-9@]")).orderBy("h", F.length("text")).limit(SAMPLE_DOCUMENTS).select("text")
+    # Hashes alone are ordered; the texts up to the last one chosen are then read where they lie.
+    marked = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.lit(7), F.col(id_col), F.length(text_col)).alias("h")).where(F.col("text").rlike("[0-9@]"))
+    last = marked.select("h").orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
+    picked = marked.where(F.col("h") <= last).select("text") if last is not None else marked.select("text").limit(0)
     t = picked.mapInArrow(featurise, "f array<bigint>, y bigint, beside bigint, skip bigint").limit(SAMPLE_WORDS).toArrow()
     if len(t) == 0:
         return NOTHING
