@@ -132,8 +132,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, size: int = 10, unit: str = "d
         return docs.join(found, same, "left_anti")
     if unit != "spans":
         raise ValueError(f"unit must be documents or spans, not {unit}")
-    joined = docs.join(found.select("_id", "_hash", "at"), same, "left")
+    joined = docs.join(found.withColumn("_hit_at", F.col("at")).select("_id", "_hash", "_hit_at"), same, "left")
     text = F.col(text_col)
     gaps, own = F.split(text, ANY_CASE_WORD), F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
-    kept = F.concat_ws("", F.transform(gaps, lambda g, i: F.concat(g, F.when((i < F.size(own)) & ~F.array_contains("at", i), F.get(own, i)).otherwise(""))))
-    return joined.withColumn(text_col, F.when(F.col("at").isNull(), text).otherwise(kept)).select(*docs.columns)
+    kept = F.concat_ws("", F.transform(gaps, lambda g, i: F.concat(g, F.when((i < F.size(own)) & ~F.array_contains("_hit_at", i), F.get(own, i)).otherwise(""))))
+    return joined.withColumn(text_col, F.when(F.col("_hit_at").isNull(), text).otherwise(kept)).select(*docs.columns)
