@@ -257,14 +257,15 @@ def _window_spans(entries: DataFrame, length: int) -> DataFrame:
 def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = ENTRIES) -> DataFrame:
     """(d, t, s, e): byte ranges of documents (d, t, text) that repeat earlier ones; ranges may overlap or reach beyond an end."""
     found = _anchor_rows(docs, length, gram)
-    again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written, so that the join below has plain sides whose hot grams Spark may split.
+    again = saved(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     repeated = saved(found.join(again, "h", "left_semi"))
     # The first document of each context, in numbers that hash aggregation can update in place; ``own`` marks a context's returns within a document.
     first = saved(repeated.where(~F.col("own")).groupBy("h", "c").agg(F.min("d").alias("least")))
     met = repeated.join(first, ["h", "c"])
     place = F.col("at").bitwiseAND(F.lit(MASK))
     whole = met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e"))
-    several = first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    several = saved(first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1"))
     wanted = met.where(~F.col("own") & (F.col("d") == F.col("least"))).select("h", "d", "at").join(several, "h")
     per_doc = wanted.groupBy("d", F.shiftright("at", 40).alias("t")).agg(F.collect_list(F.struct("h", "contexts", "at")).alias("w"))
 
@@ -283,7 +284,10 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
                 yield pa.RecordBatch.from_arrays([items.field("h"), items.field("contexts"), pa.array(part["d"].to_numpy()[of]), items.field("at"), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["h", "contexts", "d", "at", "left", "right"])
 
     texts = docs.join(per_doc, ["d", "t"])
-    contexts = saved(texts.select("d", "t", "text", "w").mapInArrow(fetch, "h bigint, contexts bigint, d bigint, at bigint, left binary, right binary"))
+    contexts = texts.select("d", "t", "text", "w").mapInArrow(fetch, "h bigint, contexts bigint, d bigint, at bigint, left binary, right binary")
+    if several.where(F.col("contexts") > entries).isEmpty():
+        return whole.unionByName(_tree_spans(contexts, length))
+    contexts = saved(contexts)
     trees = _tree_spans(contexts.where(F.col("contexts") <= entries), length)
     large = _window_spans(contexts.where(F.col("contexts") > entries), length)
     return whole.unionByName(trees).unionByName(large)
@@ -303,7 +307,7 @@ def _merge(ranges: np.ndarray, size: int) -> np.ndarray:
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
     d, t = _document(id_col, text_col)
     plain = docs.select(d, t, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = saved(spans(plain, length))
+    found = spans(plain, length)
     return docs.withColumns({"_d": d, "_t": t}), found.groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s", "e")).alias("_ranges"))
 
 
