@@ -284,10 +284,7 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
                 yield pa.RecordBatch.from_arrays([items.field("h"), items.field("contexts"), pa.array(part["d"].to_numpy()[of]), items.field("at"), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["h", "contexts", "d", "at", "left", "right"])
 
     texts = docs.join(per_doc, ["d", "t"])
-    contexts = texts.select("d", "t", "text", "w").mapInArrow(fetch, "h bigint, contexts bigint, d bigint, at bigint, left binary, right binary")
-    if several.where(F.col("contexts") > entries).isEmpty():
-        return whole.unionByName(_tree_spans(contexts, length))
-    contexts = saved(contexts)
+    contexts = saved(texts.select("d", "t", "text", "w").mapInArrow(fetch, "h bigint, contexts bigint, d bigint, at bigint, left binary, right binary"))
     trees = _tree_spans(contexts.where(F.col("contexts") <= entries), length)
     large = _window_spans(contexts.where(F.col("contexts") > entries), length)
     return whole.unionByName(trees).unionByName(large)
@@ -307,8 +304,8 @@ def _merge(ranges: np.ndarray, size: int) -> np.ndarray:
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
     d, t = _document(id_col, text_col)
     plain = docs.select(d, t, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = spans(plain, length)
-    return docs.withColumns({"_d": d, "_t": t}), found.groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s", "e")).alias("_ranges"))
+    ranges = saved(spans(plain, length).groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s", "e")).alias("_ranges")))
+    return docs.withColumns({"_d": d, "_t": t}), ranges
 
 
 def _kept(text: pa.Array, ranges: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
