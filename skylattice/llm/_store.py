@@ -15,8 +15,6 @@ def saved(df: DataFrame) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # Spark frees the shuffle files of a finished write when the driver collects its garbage.
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
