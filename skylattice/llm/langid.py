@@ -35,6 +35,8 @@ STRENGTH = 5.0
 TEXT_WEIGHT = 0.3
 #: Languages the text model keeps: the most frequent ones.
 MAX_LANGUAGES = 64
+#: Bytes of texts scored at once; each takes about 60 bytes of a task's memory.
+PIECE = 1 << 18
 #: Hosts up to which their counts are broadcast (about 200 bytes each); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 50_000
 
@@ -72,15 +74,22 @@ class TextModel:
     def log_likelihoods(self, column: pa.Array) -> np.ndarray:
         """(rows, languages + 1); zeros for a text without trigrams."""
         parts = [np.zeros((0, len(self.languages) + 1))]
-        for i, j, data, offsets in pieces(column):
+        for i, j, data, offsets in pieces(column, PIECE):
             row, bucket = _trigrams(data, offsets)
-            counts = self.scores[bucket]
-            sums = np.zeros((j - i, counts.shape[1]))
-            for k in range(counts.shape[1]):
-                sums[:, k] = np.bincount(row, weights=counts[:, k], minlength=j - i)
+            sums = np.zeros((j - i, self.scores.shape[1]))
+            for k in range(sums.shape[1]):
+                sums[:, k] = np.bincount(row, weights=self.scores[bucket, k], minlength=j - i)
             parts.append(TEXT_WEIGHT * sums)
         return np.concatenate(parts)
 
+    def posteriors(self, ll: np.ndarray) -> np.ndarray:
+        """The share of each language in ``log_likelihoods``, and zeros for a text without trigrams."""
+        if len(ll) == 0:
+            return ll
+        p = np.exp(ll - ll.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        return np.where((ll.max(axis=1) != ll.min(axis=1))[:, None], p, 0.0)
+
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
     """Trigram counts over all labelled rows; at most ``BUCKETS`` numbers a language and task leave the executors."""
@@ -91,7 +100,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         total = np.zeros(len(names) * BUCKETS, dtype=np.int64)
         for batch in batches:
             lang = np.array([at.get(x, -1) for x in batch["lang"].to_pylist()], dtype=np.int64)
-            for i, j, data, offsets in pieces(batch["text"]):
+            for i, j, data, offsets in pieces(batch["text"], PIECE):
                 row, bucket = _trigrams(data, offsets)
                 of = lang[i:j][row]
                 total += np.bincount(of[of >= 0] * BUCKETS + bucket[of >= 0], minlength=len(total))
@@ -138,20 +147,15 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
     k = len(names)
     known = {n: i for i, n in enumerate(names)}
 
-    @F.arrow_udf("struct<p:array<double>,ll:array<double>>")
+    @F.arrow_udf("array<double>")
     def posterior(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            ll = model.log_likelihoods(column)
-            p = np.exp(ll - ll.max(axis=1, keepdims=True)) if len(ll) else ll
-            p /= p.sum(axis=1, keepdims=True)
-            ends = pa.array(np.arange(len(ll) + 1, dtype=np.int32) * k)
-            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (p, ll)], ["p", "ll"])
+            p = model.posteriors(model.log_likelihoods(column))
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel()))
 
     none = F.lit(None).cast("string")
-    base = rows.select(F.struct(*rows.columns).alias("_row"), posterior(text).alias("_t"), (none if declared is None else declared).alias("_d"), (none if host is None else host).alias("_h"))
-    informed = F.array_max("_t.ll") != F.array_min("_t.ll")
-    share = [F.when(informed, F.col("_t.p")[i]).otherwise(0.0) for i in range(k)]
-    sums = [F.sum(s).alias(f"s{i}") for i, s in enumerate(share)]
+    base = rows.select(F.struct(*rows.columns).alias("_row"), text.alias("_x"), (none if declared is None else declared).alias("_d"), (none if host is None else host).alias("_h"))
+    sums = [F.sum(F.col("_p")[i]).alias(f"s{i}") for i in range(k)]
     pack = F.array(*(F.col(f"s{i}") for i in range(k)))
     domain = F.regexp_extract("_h", r"([^.]+\.[^.]+|[^.]+)$", 1)
     suffix = F.regexp_extract("_h", r"([^.]+)$", 1)
@@ -159,7 +163,7 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
     again = [F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]
     truth = F.when(F.col("_d").isNotNull(), F.when(F.col("_d").isin(*names), F.col("_d")).otherwise("other"))
     # One small table of sums; the texts are scored once for it and once for the result, not written out.
-    counted = saved(base.groupBy("_h", truth.alias("_said")).agg(*sums))
+    counted = saved(base.withColumn("_p", posterior("_x")).groupBy("_h", truth.alias("_said")).agg(*sums))
     hosts = counted.where("_h is not null").groupBy("_h").agg(*again).withColumns({"_dom": domain, "_suf": suffix})
     domains, suffixes = hosts.groupBy("_dom").agg(*again), hosts.groupBy("_suf").agg(*again)
     levels = hosts.select("_h", "_dom", "_suf", pack.alias("n0")).join(domains.select("_dom", pack.alias("n1")), "_dom").join(suffixes.select("_suf", pack.alias("n2")), "_suf")
@@ -177,14 +181,14 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
 
     @F.arrow_udf("struct<lang:string,posterior:double,text_lang:string,text_posterior:double,declared:string,host:string,prior:double>")
     def fuse(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for t, declared, host, *levels in batches:
-            n = len(t)
+        for texts, declared, host, *levels in batches:
+            n = len(texts)
             if n == 0:
                 yield pa.StructArray.from_arrays([pa.array([], x) for x in (pa.string(), pa.float64(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.float64())], ["lang", "posterior", "text_lang", "text_posterior", "declared", "host", "prior"])
                 continue
-            p, ll = (np.array(t.field(i).flatten()).reshape(n, k) for i in range(2))
-            informed = ll.max(axis=1) != ll.min(axis=1)
-            own = np.where(informed[:, None], p, 0.0)
+            ll = model.log_likelihoods(texts)
+            own = model.posteriors(ll)
+            informed = own.any(axis=1)
             prior = np.maximum(all_rows + 1 / k - own, 1e-9)
             prior /= prior.sum(axis=1, keepdims=True)
             for level in levels[::-1]:
@@ -199,17 +203,17 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
             best = score.argmax(axis=1)
             posterior = 1 / np.exp(score - score.max(axis=1, keepdims=True)).sum(axis=1)
             blind = ~informed & np.array(declared.is_null()) & np.array(host.is_null())
-            text_best = p.argmax(axis=1)
+            text_best = own.argmax(axis=1)
             yield pa.StructArray.from_arrays(
                 [
                     pa.array([UNKNOWN if x else names[i] for i, x in zip(best, blind)], pa.string()), pa.array(np.where(blind, 0.0, posterior)),
-                    pa.array([names[i] if x else None for i, x in zip(text_best, informed)], pa.string()), pa.array(p.max(axis=1), mask=~informed),
+                    pa.array([names[i] if x else None for i, x in zip(text_best, informed)], pa.string()), pa.array(own.max(axis=1), mask=~informed),
                     declared, host, pa.array(prior[np.arange(n), best]),
                 ],
                 ["lang", "posterior", "text_lang", "text_posterior", "declared", "host", "prior"],
             )
 
-    return wide.select(*(F.col("_row")[c].alias(c) for c in rows.columns if c != "language"), fuse("_t", "_d", "_h", "n0", "n1", "n2").alias("language"))
+    return wide.select(*(F.col("_row")[c].alias(c) for c in rows.columns if c != "language"), fuse("_x", "_d", "_h", "n0", "n1", "n2").alias("language"))
 
 
 def accept(rows: DataFrame, model: TextModel, text: Column, declared: Column | None = None, host: Column | None = None, least: float = 0.5, languages: list[str] | None = None) -> DataFrame:
