@@ -4,10 +4,10 @@ Images are grey rasters (binary pixels, row by row, with width and height).  Cor
 maxima) are found on several scales; each gets an orientation from its intensity centroid and ``BITS`` binary
 tests between smoothed points of a pattern turned by it.
 
-Descriptors meet in Hamming tables: each is entered under every ``TABLES``-th part of its bits.  A table is
-sorted by part and then by all bits over the whole cluster, and each entry is compared with the ``NEXT`` entries
-after it, so a bucket of any size costs in proportion to its entries and never lists all pairs; copies stand
-beside each other and are joined in chains.  Byte-equal images are one entry from the start.
+Descriptors meet in Hamming tables: each is entered under every ``TABLES``-th part of its bits, and every two
+entries of a bucket are compared.  A bucket of over ``BLOCK`` entries is dealt into blocks, and each pair of blocks
+is compared by itself, so that no task holds a whole bucket; the comparisons grow with the square of a bucket.
+Byte-equal images are one entry from the start.
 
 Pairs of images with ``LEAST_SEEDS`` meeting corners are verified: their descriptors are matched mutually, and
 each match proposes the turn, scale and shift that it implies; a pair is a copy if ``LEAST_INLIERS`` matches
@@ -34,7 +34,8 @@ TABLES = 8
 CORNERS = 12
 #: Sizes relative to the image.
 SCALES = (1.0, 0.7, 0.5)
-NEXT = 2
+#: Entries of a bucket that are compared in one piece, about; larger buckets are dealt into pairs of blocks.
+BLOCK = 1_024
 #: Bits in which the descriptors of one corner may differ.
 DISTANCE = 18
 LEAST_SEEDS = 3
@@ -125,31 +126,67 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def seeds(described: DataFrame) -> DataFrame:
-    """(a, b): pairs of images with LEAST_SEEDS corners that stand beside each other in a Hamming table."""
+    """(a, b): pairs of images with LEAST_SEEDS corners of ``a`` that share a bucket with one of ``b`` within DISTANCE bits."""
     points = described.select("key", F.posexplode(F.arrays_zip("b0", "b1")).alias("i", "d")).select("key", "i", "d.b0", "d.b1")
     width = BITS // TABLES
     part = [F.shiftrightunsigned(F.col(f"b{t * width // 64}"), t * width % 64).bitwiseAND(F.lit((1 << width) - 1)).alias("part") for t in range(TABLES)]
     entries = points.select("key", "i", "b0", "b1", F.posexplode(F.array(*part)).alias("t", "part"))
-    # Bits rotated by table, so that what follows the part decides the order.
-    ordered = entries.repartitionByRange("t", "part", "b0", "b1", "key").sortWithinPartitions("t", "part", "b0", "b1", "key", "i")
+    # At most one row for each BLOCK entries, so the broadcast is small against the input.
+    large = entries.groupBy("t", "part").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("t", "part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = entries.join(F.broadcast(large), ["t", "part"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key", "i"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.select("t", "part", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "key", "i", "b0", "b1")
+    ordered = cells.repartition("t", "part", "p", "q").sortWithinPartitions("t", "part", "p", "q")
+
+    def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Pairs of each cell; a pair that meets in several tables is told by the first."""
+        cell = _cells(t)
+        key, i, table, block, apart = (t[c].to_numpy() for c in ("key", "i", "t", "block", "p"))
+        apart = apart != t["q"].to_numpy()
+        bits = np.stack([t["b0"].to_numpy(), t["b1"].to_numpy()], axis=1)
+        x = np.arange(len(cell))
+        for k in range(1, len(cell)):
+            # Cells are runs: an entry without a partner k places on has none further on.
+            x = x[: np.searchsorted(x, len(cell) - k)]
+            x = x[cell[x] == cell[x + k]]
+            if len(x) == 0:
+                break
+            y = x[(key[x] != key[x + k]) & (~apart[x] | (block[x] != block[x + k]))]
+            differ = bits[y] ^ bits[y + k]
+            near = np.bitwise_count(differ.view(np.uint64)).sum(axis=1) <= DISTANCE
+            y, differ = y[near], differ[near]
+            y = y[(differ.view(f"u{width // 8}") == 0).argmax(axis=1) == table[y]]
+            if len(y):
+                swap = key[y] > key[y + k]
+                at = np.where(swap, i[y + k], i[y]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, key[y + k], key[y])), pa.array(np.where(swap, key[y], key[y + k])), pa.array(at // 64), pa.array(np.int64(1) << at % 64)], ["a", "b", "word", "mask"])
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail: pa.Table | None = None
+        left: list[pa.RecordBatch] = []
         for b in batches:
             if b.num_rows == 0:
                 continue
-            t = pa.Table.from_batches([*(tail.to_batches() if tail is not None else []), b])
-            tail = t.slice(max(0, len(t) - NEXT))
-            key, i, table, p = (t[c].to_numpy() for c in ("key", "i", "t", "part"))
-            bits = np.stack([t["b0"].to_numpy(), t["b1"].to_numpy()], axis=1)
-            for k in range(1, NEXT + 1):
-                same = (table[k:] == table[:-k]) & (p[k:] == p[:-k]) & (key[k:] != key[:-k])
-                x = np.flatnonzero(same)
-                x = x[_distance(bits[x], bits[x + k]) <= DISTANCE]
-                swap = key[x] > key[x + k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, key[x + k], key[x])), pa.array(np.where(swap, key[x], key[x + k])), pa.array(np.where(swap, i[x + k], i[x]))], ["a", "b", "i"])
-
-    return ordered.mapInArrow(beside, "a bigint, b bigint, i int").distinct().groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SEEDS).select("a", "b")
+            t = pa.Table.from_batches([*left, b]).combine_chunks()
+            # The last cell may go on in the next batch.
+            cell = _cells(t)
+            cut = int(np.searchsorted(cell, cell[-1]))
+            yield from compared(t.slice(0, cut))
+            left = t.slice(cut).to_batches()
+        if left:
+            yield from compared(pa.Table.from_batches(left))
+
+    # Corners of ``a`` as bits of 64-bit words: each counts once, however many of ``b`` it meets.
+    met = ordered.mapInArrow(beside, "a bigint, b bigint, word bigint, mask bigint").groupBy("a", "b", "word").agg(F.bit_or("mask").alias("mask"))
+    return met.groupBy("a", "b").agg(F.sum(F.bit_count("mask")).alias("n")).where(F.col("n") >= LEAST_SEEDS).select("a", "b")
+
+
+def _cells(t: pa.Table) -> np.ndarray:
+    """The number of each row's run of equal t, part, p and q."""
+    new = np.zeros(len(t), dtype=bool)
+    for c in ("t", "part", "p", "q"):
+        v = t[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.cumsum(new)
 
 
 def inliers(p: dict[str, np.ndarray], q: dict[str, np.ndarray]) -> int:

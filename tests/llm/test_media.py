@@ -57,3 +57,26 @@ def test_empty_and_rendered(spark):
     v = np.random.default_rng(1).normal(size=64).astype(float).tolist()
     df = spark.createDataFrame([(1, v), (2, v), (3, None), (4, [])], "vec_id bigint, embedding array<float>")
     assert {r.image_id: r.component_id for r in media.copies(media.rendered(df, "vec_id", "embedding")).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("block", [1_024, 7])
+def test_seeds_equal_brute_force_in_full_buckets(spark, monkeypatch, block):
+    # Many descriptors of one bucket, between copies that differ in a high bit of the first word.
+    monkeypatch.setattr(media, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, (4, 2))
+    rows = []
+    for key in range(30):
+        bits = base ^ (np.int64(1) << rng.integers(0, 63, (4, 2))) ^ (np.int64(1) << rng.integers(0, 63, (4, 2)))
+        if key % 3 == 0:
+            bits = bits ^ rng.integers(0, 2**63, (4, 2)) & ~np.int64(0xFFFF)
+        rows.append((key, bits[:, 0].tolist(), bits[:, 1].tolist()))
+    want = set()
+    for a, p0, p1 in rows:
+        for b, q0, q1 in rows[a + 1 :]:
+            p, q = (np.array(x, dtype=np.int64).T.copy() for x in ((p0, p1), (q0, q1)))
+            parts = (p.view(np.uint16)[:, None] == q.view(np.uint16)[None]).any(axis=2)
+            if ((media._distance(p[:, None], q[None]) <= media.DISTANCE) & parts).any(axis=1).sum() >= media.LEAST_SEEDS:
+                want.add((a, b))
+    described = spark.createDataFrame(rows, "key bigint, b0 array<bigint>, b1 array<bigint>")
+    assert len(want) > 100 and {(r.a, r.b) for r in media.seeds(described).collect()} == want
