@@ -33,8 +33,8 @@ BUCKETS = 1 << 15
 STRENGTH = 5.0
 #: Overlapping trigrams count as this share of independent evidence.
 TEXT_WEIGHT = 0.3
-#: Languages the text model keeps: the most frequent ones.
-MAX_LANGUAGES = 64
+#: Languages whose counts a task holds at once, 256 KB each, before it hands them on.
+HELD_LANGUAGES = 64
 #: Bytes of texts scored at once; each takes about 60 bytes of a task's memory.
 PIECE = 1 << 18
 #: Hosts up to which their counts are broadcast (about 200 bytes each); beyond, they are joined by shuffle.
@@ -92,28 +92,44 @@ class TextModel:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Trigram counts over all labelled rows; at most ``BUCKETS`` numbers a language and task leave the executors."""
-    names = [r.lang for r in labelled.groupBy(F.col(lang_col).alias("lang")).count().where("lang is not null").orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    """Trigram counts of every language over all labelled rows; a task hands on at most ``BUCKETS`` numbers for each ``HELD_LANGUAGES`` or fewer that it holds.
+
+    The model is a dense table of 128 KB a language.
+    """
+    names = [r.lang for r in labelled.groupBy(F.col(lang_col).alias("lang")).count().where("lang is not null").orderBy(F.desc("count"), "lang").collect()]
     at = {name: k for k, name in enumerate(names)}
 
+    def flushed(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k, total in held.items():
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(seen + k * BUCKETS), pa.array(total[seen])], ["k", "n"])
+        held.clear()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(names) * BUCKETS, dtype=np.int64)
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
             lang = np.array([at.get(x, -1) for x in batch["lang"].to_pylist()], dtype=np.int64)
             for i, j, data, offsets in pieces(batch["text"], PIECE):
                 row, bucket = _trigrams(data, offsets)
                 of = lang[i:j][row]
-                total += np.bincount(of[of >= 0] * BUCKETS + bucket[of >= 0], minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["k", "n"])
+                for k in np.unique(of[of >= 0]).tolist():
+                    if k not in held and len(held) == HELD_LANGUAGES:
+                        yield from flushed(held)
+                    held[k] = held.get(k, 0) + np.bincount(bucket[of == k], minlength=BUCKETS)
+        yield from flushed(held)
 
-    table = np.zeros((len(names), BUCKETS))
+    scores = np.full((BUCKETS, len(names) + 1), -np.log(BUCKETS), dtype=np.float32)
     if names:
         counted = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-        table.ravel()[counted["k"].to_numpy()] = counted["n"].to_numpy()
-    smooth = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)
-    flat = np.full((1, BUCKETS), 1 / BUCKETS)
-    return TextModel(names, np.log(np.concatenate([smooth, flat])).T.astype(np.float32).copy())
+        key, n = counted["k"].to_numpy(), counted["n"].to_numpy()
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        for k in range(len(names)):
+            s, e = np.searchsorted(key, [k * BUCKETS, (k + 1) * BUCKETS])
+            row = np.full(BUCKETS, 0.5)
+            row[key[s:e] - k * BUCKETS] += n[s:e]
+            scores[:, k] = np.log(row / row.sum())
+    return TextModel(names, scores)
 
 
 def visible_text(html: Column) -> Column:

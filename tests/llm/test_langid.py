@@ -61,3 +61,18 @@ def test_html(spark):
 def test_unlabelled_knows_only_und(spark):
     m = langid.fit(spark.createDataFrame([], "text string, lang string"))
     assert [r.language.lang for r in langid.identify(spark.createDataFrame([("abc",)], "text string"), m, F.col("text")).collect()] == ["und"]
+
+
+def test_every_labelled_language_is_known(spark, monkeypatch):
+    import numpy as np
+
+    # More languages than a task holds at once and than 64; the last ones are the rarest.
+    r = np.random.default_rng(4)
+    words = [["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(8)] for _ in range(70)]
+    rows = [(k * 10 + i, " ".join(r.permutation(words[k])), f"l{k:02d}") for k in range(70) for i in range(5 if k < 60 else 3)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    monkeypatch.setattr(langid, "HELD_LANGUAGES", 7, raising=False)
+    m = langid.fit(df)
+    assert sorted(m.languages) == [f"l{k:02d}" for k in range(70)]
+    assert langid.accept(df, m, F.col("text")).count() == len(rows)
+    assert all(x.language.lang == x.lang for x in langid.identify(df, m, F.col("text")).collect())
