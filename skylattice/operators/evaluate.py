@@ -1,10 +1,11 @@
-"""Reports over verdicts, thresholds and reviews; each is one grouped aggregation."""
+"""Reports over verdicts, thresholds and reviews; each but the sweep is one grouped aggregation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._rows import checkpointed
 from .distance import exists_within
 
 #: Fixed verdict values of review files.
@@ -41,13 +42,21 @@ def thresholds(spark, least: float = 0.05, most: float = 0.9, step: float = 0.05
 def sweep(scored: DataFrame, confs: DataFrame) -> DataFrame:
     """(conf, precision, recall, tp, fp) of scored (score, is_true); a score equal to the threshold fires.
 
-    Scores are counted once per distinct value, and the few thresholds are broadcast against these.
+    Scores and thresholds stand in one falling order of distinct values; a running sum over its ranges counts what fires at each.
     """
-    per_score = scored.groupBy("score").agg(F.count_if("is_true").alias("t"), F.count_if(~F.col("is_true")).alias("f"))
-    joined = per_score.crossJoin(F.broadcast(confs.limit(10_000)))
-    fires = F.col("score") >= F.col("conf")
-    sums = joined.groupBy("conf").agg(F.sum(F.when(fires, F.col("t")).otherwise(0)).alias("tp"), F.sum(F.when(fires, F.col("f")).otherwise(0)).alias("fp"), F.sum("t").alias("all_true"))
-    full = confs.join(sums, "conf", "left").fillna(0)
+    per_score = scored.groupBy(F.col("score").cast("double").alias("_v")).agg(F.count_if("is_true").alias("t"), F.count_if(~F.col("is_true")).alias("f"))
+    asked = confs.select(F.col("conf").cast("double").alias("_v"), F.lit(0).cast("bigint").alias("t"), F.lit(0).cast("bigint").alias("f"))
+    values = per_score.union(asked).where("_v is not null").groupBy("_v").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
+    ranged = checkpointed(values.repartitionByRange(F.desc("_v")).withColumn("_range", F.spark_partition_id()))
+    before, t, f = [], 0, 0
+    for r in sorted(ranged.groupBy("_range").agg(F.sum("t").alias("t"), F.sum("f").alias("f")).collect()):  # one row a partition
+        before += [F.lit(r._range), F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(f).cast("bigint").alias("f"))]
+        t, f = t + r.t, f + r.f
+    so_far = Window.partitionBy("_range").orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    start = F.element_at(F.create_map(*before), F.col("_range")) if before else F.lit(None).cast("struct<t:bigint,f:bigint>")
+    sums = ranged.select("_v", (F.sum("t").over(so_far) + start["t"]).alias("tp"), (F.sum("f").over(so_far) + start["f"]).alias("fp"))
+    full = confs.withColumn("_v", F.col("conf").cast("double")).join(sums, "_v", "left").fillna(0, ["tp", "fp"])
+    full = full.crossJoin(scored.agg(F.count_if("is_true").alias("all_true")))  # one row
     return full.select("conf", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("all_true")).alias("recall"), "tp", "fp")
 
 

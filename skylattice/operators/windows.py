@@ -43,11 +43,10 @@ def windows_over_polygon(polygons: DataFrame, zoom: int = ZOOM, px: int = WINDOW
 
 
 def points_in_polygon(points: DataFrame, polygons: DataFrame) -> DataFrame:
-    """``points`` strictly inside the one polygon of ``polygons`` (ring, at most one row is used), by bounds first."""
-    ring = polygons.select("ring").limit(1).withColumn("_b", ring_bounds(F.col("ring")))
-    joined = points.crossJoin(F.broadcast(ring))  # one row
+    """``points`` strictly inside any polygon of ``polygons`` (ring), each once, by bounds first."""
+    rings = polygons.select(F.col("ring").alias("_ring"), ring_bounds(F.col("ring")).alias("_b"))
     inside = F.col("lon").between(F.col("_b.w"), F.col("_b.e")) & F.col("lat").between(F.col("_b.s"), F.col("_b.n"))
-    return joined.where(inside & inside_ring(F.col("lon"), F.col("lat"), F.col("ring"))).select(*points.columns)
+    return points.join(F.broadcast(rings), inside & inside_ring(F.col("lon"), F.col("lat"), F.col("_ring")), "left_semi")
 
 
 def stitched(ways: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:

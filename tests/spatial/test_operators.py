@@ -193,3 +193,19 @@ def test_records_and_review_stream(spark):
     assert all((r.label is not None) == r.name.startswith("citerne") for r in rows)
     e = spark.createDataFrame([("k", "faux", 1), ("k", "vrai", 2), ("j", "skip", 1)], "key string, verdict string, ts int")
     assert {r.key: r.verdict for r in review.last_verdicts(e).collect()} == {"k": "vrai", "j": "skip"}
+
+
+def test_sweep_of_many_thresholds(spark):
+    s = spark.range(1, 40_001, 4).select((F.col("id") / 40_000).alias("score"), (F.col("id") % 3 == 0).alias("is_true"))
+    t = spark.range(12_000).select((F.col("id") / 12_000).alias("conf"))
+    got = {r.conf: (r.tp, r.fp) for r in evaluate.sweep(s, t).collect()}
+    score, true = (np.array(x) for x in zip(*s.collect()))
+    assert len(got) == 12_000 and all(got[c] == (int(((score >= c) & true).sum()), int(((score >= c) & ~true).sum())) for c in got)
+
+
+def test_every_ring_counts(spark):
+    square = lambda x: [(x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0)]
+    rings = spark.createDataFrame([(square(x),) for x in (0.0, 0.2, 5.0)], "ring array<struct<lon:double,lat:double>>")
+    p = points(spark, [(0.5, 0.5, 0), (5.5, 0.5, 0), (3.0, 0.5, 0), (1.1, 0.5, 0)])
+    assert sorted(r.ord for r in windows.points_in_polygon(p, rings).collect()) == [0, 1, 3]
+    assert windows.points_in_polygon(p, rings.limit(0)).count() == 0
