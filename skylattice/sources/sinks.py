@@ -1,7 +1,7 @@
 """Writers of point files, tasks, labels and review pages.
 
 Texts of features are columns, so that they are made on the executors; a single document is put together by the
-driver only for files that other tools read whole, and its size is bounded by ``limit``.
+driver only for files that other tools read whole, and it fails beyond ``DOCUMENT_FEATURES``.
 """
 
 from __future__ import annotations
@@ -69,7 +69,9 @@ def mosaic_slots(records: DataFrame, most: int = 48, columns: int = 8) -> DataFr
 
 
 def page(template: str, layers_: DataFrame) -> str:
-    """``template`` with its marker replaced by the layers (layer, feature) as JSON."""
+    """``template`` with its marker replaced by the layers (layer, feature) as JSON; like a collection, of DOCUMENT_FEATURES features in all at most."""
+    if layers_.limit(DOCUMENT_FEATURES + 1).count() > DOCUMENT_FEATURES:
+        raise ValueError(f"over {DOCUMENT_FEATURES} features: use write_lines")
     rows = layers_.groupBy("layer").agg(F.concat(F.lit("["), F.concat_ws(",", F.sort_array(F.collect_list("feature"))), F.lit("]")).alias("features")).orderBy("layer").collect()
     return template.replace("/*LAYERS*/", "{" + ",".join(f"{json.dumps(r.layer)}:{r.features}" for r in rows) + "}")
 

@@ -209,3 +209,11 @@ def test_every_ring_counts(spark):
     p = points(spark, [(0.5, 0.5, 0), (5.5, 0.5, 0), (3.0, 0.5, 0), (1.1, 0.5, 0)])
     assert sorted(r.ord for r in windows.points_in_polygon(p, rings).collect()) == [0, 1, 3]
     assert windows.points_in_polygon(p, rings.limit(0)).count() == 0
+
+
+def test_page_fails_over_its_limit(spark, monkeypatch):
+    f = spark.createDataFrame([("a", '{"k":1}'), ("b", '{"k":2}'), ("a", '{"k":3}')], "layer string, feature string")
+    assert sinks.page("x/*LAYERS*/y", f) == 'x{"a":[{"k":1},{"k":3}],"b":[{"k":2}]}y'
+    monkeypatch.setattr(sinks, "DOCUMENT_FEATURES", 2)
+    with pytest.raises(ValueError, match="over 2 features"):
+        sinks.page("/*LAYERS*/", f)
