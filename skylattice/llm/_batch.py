@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,11 +149,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
 
 
 def shared_dir(spark) -> str:
-    """The shared folder that the cluster names; a temporary one only where it is unset (local tests)."""
+    """The shared folder that the cluster names; a temporary one only where it is unset on a local master (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="spark-shared-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(where)

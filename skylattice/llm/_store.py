@@ -9,13 +9,26 @@ from pyspark.sql import functions as F
 
 from ._batch import shared_dir
 
+#: The database whose tables stand in the shared folder, so that dropping one deletes its files.
+SCRATCH = "llm_scratch"
+
 
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
     spark: SparkSession = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{SCRATCH}.t{uuid.uuid4().hex}"
+    where = f"{shared_dir(spark).rstrip('/')}/{SCRATCH}".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{where}'")
+    df.write.saveAsTable(name, format="parquet")
+    table = spark.table(name)
+    table._saved_as = name
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` made, once all that reads them has been saved or collected."""
+    for t in tables:
+        t.sparkSession.sql(f"DROP TABLE IF EXISTS {t._saved_as}")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
