@@ -6,8 +6,8 @@ shrinks by ``SHRINK`` down to the size of a patch, every pixel whose Harris resp
 ``BITS`` binary tests between smoothed points of a pattern turned by it.
 
 Descriptors meet in Hamming tables: each is entered under every one of its ``TABLES`` parts.  A pair of images
-with ``LEAST_SEEDS`` corners of the first that share a bucket with one of the second within ``DISTANCE`` bits is
-a candidate.  Candidates are verified: their descriptors are matched mutually, and each match proposes the turn,
+with ``LEAST_SEEDS`` corners of the first that share a bucket with one of the second within ``SEED_DISTANCE``
+bits is a candidate.  Candidates are verified: their descriptors are matched mutually, and each match proposes the turn,
 scale and shift that it implies; a pair is a copy if ``LEAST_INLIERS`` matches agree with one proposal, whichever
 of the two images it starts from.  Components of copies are the groups.
 
@@ -44,8 +44,8 @@ APART = 3
 RESPONSE = 1.0
 #: Entries of a bucket that are compared in one piece, about; larger buckets are dealt into pairs of blocks.
 BLOCK = 4_096
-#: Bits in which the descriptors of one corner may differ.
-DISTANCE = 20
+#: Bits in which the descriptors of one corner may differ: where it makes a pair a candidate, and where a candidate is verified.
+SEED_DISTANCE, DISTANCE = 16, 20
 LEAST_SEEDS = 3
 LEAST_INLIERS = 4
 #: Pixels that a match may miss its proposal's place by.
@@ -220,7 +220,7 @@ def met_heads(described: DataFrame) -> DataFrame:
 
 
 def seeds(labelled: DataFrame) -> DataFrame:
-    """(a, b): pairs of images of different labels with LEAST_SEEDS corners of ``a`` that share a bucket with one of ``b`` within DISTANCE bits."""
+    """(a, b): pairs of images of different labels with LEAST_SEEDS corners of ``a`` that share a bucket with one of ``b`` within SEED_DISTANCE bits."""
     entries = _entries(labelled, "label")
     sizes = entries.groupBy("t", "part").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     # Buckets of several labels; saved, so that Spark may split the join where one is hot.
@@ -242,7 +242,7 @@ def seeds(labelled: DataFrame) -> DataFrame:
             other = (~apart[x] | (block[x] != block[y])) & (key[x] != key[y])
             x, y = x[other], y[other]
             differ = (bits[x] ^ bits[y]).view(np.uint64)
-            near = np.bitwise_count(differ).sum(axis=1) <= DISTANCE
+            near = np.bitwise_count(differ).sum(axis=1) <= SEED_DISTANCE
             x, y, differ = x[near], y[near], differ[near]
             parts = np.stack([differ[:, w] >> np.uint64(s) & np.uint64((1 << WIDTH) - 1) for w, s in map(_part, range(TABLES))], axis=1)
             own = (parts == 0).argmax(axis=1) == table[x]

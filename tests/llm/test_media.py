@@ -114,7 +114,7 @@ def test_seeds_equal_brute_force_in_full_buckets(spark, monkeypatch, block):
         for b, q0, q1, lb in rows[a + 1 :]:
             p, q = (np.array(x, dtype=np.int64).T.copy() for x in ((p0, p1), (q0, q1)))
             shared = (parts(p)[:, None] == parts(q)[None]).any(axis=2)
-            if la != lb and ((media._distance(p[:, None], q[None]) <= media.DISTANCE) & shared).any(axis=1).sum() >= media.LEAST_SEEDS:
+            if la != lb and ((media._distance(p[:, None], q[None]) <= media.SEED_DISTANCE) & shared).any(axis=1).sum() >= media.LEAST_SEEDS:
                 want.add((a, b))
     described = spark.createDataFrame(rows, "key bigint, b0 array<bigint>, b1 array<bigint>, label bigint")
     assert len(want) > 100 and {(r.a, r.b) for r in media.seeds(described).collect()} == want
