@@ -91,7 +91,7 @@ def _power_table(base: int, key: str, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """hash(s, e) of any byte ranges of a buffer, equal for equal bytes wherever they stand."""
+    """hash(s, e) of any byte ranges of a buffer, equal for equal bytes wherever they stand; for ranges of under 1,024 bytes."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
@@ -134,10 +134,24 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SP
     return row, start, end
 
 
+#: Bytes beyond which a word is hashed by XXH64: sums of powers are the same for some pairs of texts of 1,024 bytes or more.
+LONG_WORD = 256
+
+
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    out = mix64(PrefixHash(data)(start, end))
+    long = np.flatnonzero(end - start > LONG_WORD)
+    if len(long):
+        import xxhash
+
+        out[long] = [xxhash.xxh64_intdigest(data[s:e].tobytes(), 42) for s, e in zip(start[long].tolist(), end[long].tolist())]
+    return out
+
+
 def hash_of(word: bytes) -> int:
-    """The mixed hash that ``word_hashes`` gives a word."""
+    """The hash that ``word_hashes`` gives a word."""
     data = np.frombuffer(word, dtype=np.uint8)
-    return int(mix64(PrefixHash(data)(np.array([0]), np.array([len(data)])))[0]) if len(data) else 0
+    return int(_hashed(data, np.array([0]), np.array([len(data)]))[0]) if len(data) else 0
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +159,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
     row, start, end = word_spans(data, offsets, separator)
     if len(row) == 0:
         return row, start, end, np.zeros(0, np.uint64)
-    return row, start, end, mix64(PrefixHash(data)(start, end))
+    return row, start, end, _hashed(data, start, end)
 
 
 def shared_dir(spark) -> str:

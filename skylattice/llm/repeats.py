@@ -18,9 +18,13 @@ what precedes them, reading left, and scanned likewise: a set of entries is a ma
 such set with left + right >= length is a group, with all of its entries as occurrences, neighbours in the
 array or not.  All but the first occurrence of a group are covered.
 
-A gram with over ``ENTRIES`` distinct contexts is no single task: its windows are grouped by their hashes.
+A gram with over ``SPLIT`` distinct contexts is dealt out again, so that no task holds all of them.  A set that
+shares ``left`` and ``right`` bytes, left + right >= length, shares ``k`` bytes rightwards and the ``length -
+CUT - k`` bytes before them for the last cut k not beyond ``right``; so the entries are grouped anew, for each
+such k, by these bytes, and each group has a tree of its own.  Groups of over ``ENTRIES`` even then have their
+windows grouped by hash, which needs no list of them; either way gives the same spans.
 
-Null text is empty.  Rows of equal id and text are one document, each with the same result; of rows of equal id
+Ids are whole numbers, or texts of them.  Null text is empty.  Rows of equal id and text are one document, each with the same result; of rows of equal id
 and different texts none is earlier than another; null ids come last.
 """
 
@@ -35,10 +39,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._batch import PIECE_BYTES, PrefixHash, mix64, text_bytes
-from ._store import saved
+from ._store import discard, saved
 
 GRAM = 16
-#: Distinct contexts of one gram that a task takes (at most 200 bytes each).
+#: Distinct contexts (at most 200 bytes each) of one gram beyond which it is dealt out again, and bytes between the cuts for that.
+SPLIT, CUT = 2_000, 25
+#: Contexts of one group that a task takes.
 ENTRIES = 50_000
 #: Entries that a task works on together, unless one gram has more.
 SOLVED_AT_ONCE = 20_000
@@ -254,17 +260,34 @@ def _window_spans(entries: DataFrame, length: int) -> DataFrame:
     return later.select("d", "t", start.alias("s"), (start + length).alias("e"))
 
 
-def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = ENTRIES) -> DataFrame:
-    """(d, t, s, e): byte ranges of documents (d, t, text) that repeat earlier ones; ranges may overlap or reach beyond an end."""
+def _dealt_again(contexts: DataFrame, length: int) -> DataFrame:
+    """Entries with, as h, a hash of the gram and of the bytes round each cut that they have."""
+    cuts = sorted({*range(0, max(1, length - CUT), CUT), max(0, length - CUT)})
+    at = contexts.select("h", "d", "at", "left", "right", F.explode(F.array(*map(F.lit, cuts))).alias("k"))
+    before = F.greatest(F.lit(0), length - CUT - F.col("k"))
+    at = at.where((F.length("right") >= F.col("k")) & (F.length("left") >= before))
+    own = F.xxhash64("h", "k", F.substring(F.col("right"), F.lit(1), F.col("k")), F.substring(F.col("left"), F.length("left") - before + 1, before))
+    return at.select(own.alias("h"), "d", "at", "left", "right")
+
+
+def _with_sizes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of groups of two or more with their group's size n, and the saved table of sizes; saved, so that Spark may split the join where a group is hot."""
+    sizes = saved(entries.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    return entries.join(sizes, "h"), sizes
+
+
+def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = ENTRIES, split: int = SPLIT) -> DataFrame:
+    """(d, t, s, e), saved: byte ranges of documents (d, t, text) that repeat earlier ones; ranges may overlap or reach beyond an end."""
     found = _anchor_rows(docs, length, gram)
-    again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    again = saved(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     repeated = saved(found.join(again, "h", "left_semi"))
+    discard(again)
     # The first document of each context, in numbers that hash aggregation can update in place; ``own`` marks a context's returns within a document.
     first = saved(repeated.where(~F.col("own")).groupBy("h", "c").agg(F.min("d").alias("least")))
+    several = saved(first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1"))
     met = repeated.join(first, ["h", "c"])
     place = F.col("at").bitwiseAND(F.lit(MASK))
-    whole = met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e"))
-    several = first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    whole = saved(met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e")))
     wanted = met.where(~F.col("own") & (F.col("d") == F.col("least"))).select("h", "d", "at").join(several, "h")
     per_doc = wanted.groupBy("d", F.shiftright("at", 40).alias("t")).agg(F.collect_list(F.struct("h", "contexts", "at")).alias("w"))
 
@@ -284,8 +307,12 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
 
     texts = docs.join(per_doc, ["d", "t"])
     contexts = saved(texts.select("d", "t", "text", "w").mapInArrow(fetch, "h bigint, contexts bigint, d bigint, at bigint, left binary, right binary"))
-    trees = _tree_spans(contexts.where(F.col("contexts") <= entries), length)
-    large = _window_spans(contexts.where(F.col("contexts") > entries), length)
+    discard(repeated, first, several)
+    few = contexts.where(F.col("contexts") <= split)
+    dealt, sizes = _with_sizes(_dealt_again(contexts.where(F.col("contexts") > split), length))
+    trees = saved(_tree_spans(few.select("h", "d", "at", "left", "right").unionByName(dealt.where(F.col("n") <= entries).drop("n")), length))
+    large = saved(_window_spans(dealt.where(F.col("n") > entries), length))
+    discard(contexts, sizes)
     return whole.unionByName(trees).unionByName(large)
 
 
@@ -300,11 +327,13 @@ def _merge(ranges: np.ndarray, size: int) -> np.ndarray:
     return np.stack([r[first, 0], end[np.append(first[1:], len(r)) - 1]], axis=1)
 
 
-def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
+def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """(row, ranges): all columns of each row in a struct, and the ranges to cut out of its text."""
     d, t = _document(id_col, text_col)
     plain = docs.select(d, t, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = saved(spans(plain, length))
-    return docs.withColumns({"_d": d, "_t": t}), found.groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s", "e")).alias("_ranges"))
+    found = spans(plain, length)
+    ranges = found.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    return docs.select(F.struct(*docs.columns).alias("row"), d, t).join(ranges, ["d", "t"], "left").select("row", "ranges")
 
 
 def _kept(text: pa.Array, ranges: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -331,9 +360,8 @@ def report(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             cols = list(zip(*out)) or [[], [], [], []]
             yield pa.StructArray.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], ["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    keyed, ranges = _with_ranges(docs.select(id_col, text_col), id_col, text_col, length)
-    joined = keyed.join(ranges, ["_d", "_t"], "left")
-    return joined.select(F.col(id_col), digest(F.col(text_col), F.col("_ranges")).alias("_x")).select(id_col, "_x.*")
+    joined = _with_ranges(docs.select(id_col, text_col), id_col, text_col, length)
+    return joined.select(F.col("row")[id_col].alias(id_col), digest(F.col("row")[text_col], F.col("ranges")).alias("x")).select(id_col, "x.*")
 
 
 def remove(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -351,5 +379,5 @@ def remove(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
                 out.append(b"".join([*parts, raw[at:]]).decode("utf-8", errors="ignore") if x.is_valid else None)
             yield pa.array(out, pa.string())
 
-    keyed, ranges = _with_ranges(docs, id_col, text_col, length)
-    return keyed.join(ranges, ["_d", "_t"], "left").withColumn(text_col, cut(F.col(text_col), F.col("_ranges"))).select(*docs.columns)
+    joined = _with_ranges(docs, id_col, text_col, length)
+    return joined.select(*((cut(F.col("row")[c], F.col("ranges")) if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))

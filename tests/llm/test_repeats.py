@@ -39,13 +39,14 @@ def corpus(seed, length, n=60):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed,entries", [(1, 50_000), (2, 50_000), (3, 2)])
-def test_matches_brute_force(spark, seed, entries, monkeypatch):
-    monkeypatch.setattr(repeats.spans, "__defaults__", (100, repeats.GRAM, entries))
-    rows = corpus(seed, 100)
+@pytest.mark.parametrize("seed,entries,split,length", [(1, 50_000, 2_000, 100), (2, 50_000, 2, 100), (3, 2, 2, 100), (4, 50_000, 1, 57)])
+def test_matches_brute_force(spark, seed, entries, split, length, monkeypatch):
+    """Whole grams, grams dealt out again by cuts, and groups of windows give the same spans."""
+    monkeypatch.setattr(repeats.spans, "__defaults__", (100, repeats.GRAM, entries, split))
+    rows = corpus(seed, length)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("h", F.lit(1)).withColumn("s", F.lit("x"))
-    got = sorted((tuple(r) for r in repeats.report(docs).collect()), key=str)
-    assert got == brute(rows, 100)
+    got = sorted((tuple(r) for r in repeats.report(docs, length).collect()), key=str)
+    assert got == brute(rows, length)
 
 
 def common(a, b):
@@ -91,3 +92,10 @@ def test_repeated_rows_nulls_and_removal(spark):
     out = {r.doc_id: r.text for r in repeats.remove(docs).collect()}
     assert out[2] == b and out[None] == "é" and out[3] is None
     assert repeats.report(docs.limit(0)).count() == 0
+
+
+def test_clashing_columns_and_text_ids(spark):
+    a = "".join(chr(97 + i * i % 23) for i in range(150))
+    docs = spark.createDataFrame([("1", a, "keep", 5, 6, 7), ("2", a, "too", 8, 9, 10)], "doc_id string, text string, row string, d int, t int, ranges int")
+    out = sorted(map(tuple, repeats.remove(docs).collect()))
+    assert [r[0] for r in out] == ["1", "2"] and [r[2:] for r in out] == [("keep", 5, 6, 7), ("too", 8, 9, 10)] and out[1][1] == ""
