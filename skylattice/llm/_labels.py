@@ -12,11 +12,14 @@ def remainder(id_col: Column, parts: int = 5) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, y) of at most ``rows`` labelled documents whose remainder is not 0, by the hash of their id.
+    """(id, text, y) of at most ``rows`` distinct labelled texts whose remainder is not 0, by the hashes of their id and text.
 
-    A repeated label counts once, as its largest value; rows without id or label don't count.
+    A repeated label counts once, as its largest value, and rows of equal id and text count once; rows without id
+    or label don't count.
     """
     clean = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (remainder(F.col(id_col)) != 0))
-    few = clean.groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    # At most ``rows`` rows of two numbers, so the broadcast is bounded.
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(few), "_id").select(F.col("_id").alias("id"), "text", "y")
+    few = clean.groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    # At most ``rows`` rows of two numbers, so both broadcasts are bounded; an id may still have any number of texts.
+    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")).join(F.broadcast(few), "id")
+    picked = marked.select("id", "h").distinct().orderBy(F.xxhash64("id"), "id", "h").limit(rows)
+    return marked.join(F.broadcast(picked), ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "text", "y")

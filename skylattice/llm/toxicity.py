@@ -1,17 +1,18 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their beginnings of 4 to 6 bytes, so that inflected forms meet.  The vocabulary is the
-terms of the labelled sample that tell the labels apart best (likelihood ratio); tf-idf vectors over it are
-normalised, and examples with equal vectors are one entry with counts of both labels.
-
-Entries stand in an inverted index in blocks.  Each term keeps its largest weight in every block; a query sums
-these to bounds, visits blocks by falling bound, and stops at the first that can't reach its k-th best cosine,
-so the neighbours are exact.  Each neighbour votes with its counts weighted by distance; the vote is mapped to
-a probability by a logistic curve fitted on the sample, leaving each example itself out.
-
-Evidence is the nearest entries: id of their first example, cosine, counts.  Texts without a term of the
-vocabulary, null and empty ones included, get the smoothed share of toxic examples among such examples and no
-evidence.  Without labelled rows every score is 0.5.
+Terms are lower-case words.  Every word of the labelled sample is a term, with the weight (1 + log tf) * idf * relevance; relevance is ``LEAST`` plus the standard deviations
+by which the term's examples of label 1 exceed what chance gives, so that a few telling words aren't drowned by
+rare ones.  Vectors are normalised, and examples with equal vectors are one entry with counts of both labels.
+
+Entries stand in an inverted index in blocks of ``BLOCK``.  A query adds up its rare terms' postings, bounds each
+block by its best such sum plus the largest weights that the frequent terms reach in it, visits blocks by falling
+bound, and stops at the first that can't reach its k-th best cosine, so the neighbours are exact.  Each neighbour
+votes with its counts weighted by distance; the vote is mapped to a probability by a logistic curve fitted on the
+sample, leaving each example itself out.
+
+Evidence is the nearest entries: id of their first example, cosine, counts.  Texts without a term of the sample,
+null and empty ones included, get the smoothed share of toxic examples among such examples and no evidence.
+Without labelled rows every score is 0.5.
 """
 
 from __future__ import annotations
@@ -24,23 +25,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import LOWER, PrefixHash, mix64, pieces, word_spans
+from ._batch import LOWER, pieces, word_hashes
 from ._labels import sample
-from ._store import saved
+from ._store import discard, saved
 
-#: Labelled documents that examples come from, at most.
+#: Labelled documents that examples come from, at most; the index holds their terms and no others.
 SAMPLE_ROWS = 10_000
-#: Terms of the vocabulary, at most, and the examples that each must occur in, at least.
-TERMS = 1_024
-LEAST_EXAMPLES = 6
-#: Likelihood ratio (G) that a term needs.
-LEAST_RATIO = 15.0
+#: Relevance of a term that tells nothing.
+LEAST = 0.05
 #: Neighbours (distinct vectors) that vote.
 NEIGHBOURS = 12
 #: Entries of one block of the index.
-BLOCK = 32
+BLOCK = 512
+#: Share of the entries beyond which a term is frequent, and most frequent terms (4 bytes an entry each in a task).
+FREQUENT, MOST_FREQUENT = 0.02, 1_024
 #: Added to a distance before it divides a vote.
 NEAR = 0.05
+#: Bytes of texts whose terms are looked up at once.
+PIECE = 1 << 19
 
 #: A word ends at white space and ASCII marks.
 _SEPARATOR = np.ones(256, dtype=bool)
@@ -48,74 +50,101 @@ _SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]]
 _U = np.uint64
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of each word and of its beginnings of 4, 5 and 6 bytes."""
-    low = LOWER[data]
-    row, start, end = word_spans(low, offsets, _SEPARATOR)
-    if len(row) == 0:
-        return row, np.zeros(0, np.uint64)
-    hashed = PrefixHash(low)
-    rows, out = [row], [mix64(hashed(start, end))]
-    for k in (4, 5, 6):
-        long = end - start >= k
-        rows.append(row[long])
-        with np.errstate(over="ignore"):
-            out.append(mix64(hashed(start[long], start[long] + k) + _U(k) * _U(0x9E3779B97F4A7C15)))
-    return np.concatenate(rows), np.concatenate(out)
+def counted_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, count) of each row's distinct terms, by row and hash."""
+    row, _, _, h = word_hashes(LOWER[data], offsets, _SEPARATOR)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])])) if len(row) else row
+    return row[new], h[new], np.diff(np.append(new, len(row)))
 
 
 @dataclass
-class Index:
-    vocabulary: np.ndarray  # ascending hashes
-    idf: np.ndarray
-    slopes: tuple[float, float]  # of the logistic curve
-    blank: float  # score without terms
-    tiles: np.ndarray  # (blocks, terms, BLOCK) weights
-    tops: np.ndarray  # (terms, blocks) largest weights
-    counts: np.ndarray  # (entries, 2) of labels 0 and 1
-    first: list  # id of each entry's first example
-    _sieve: np.ndarray = field(init=False, repr=False)
-
-    def __post_init__(self):
-        self._sieve = np.zeros(1 << 16, dtype=bool)
-        self._sieve[(self.vocabulary & _U(0xFFFF)).astype(np.int64)] = True
-
-    def vectors(self, column: pa.Array) -> Iterator[tuple[int, tuple[int, ...], np.ndarray]]:
-        """(row, terms, weights) of each text with a term of the vocabulary."""
-        for i, _, data, offsets in pieces(column):
-            row, h = terms(data, offsets)
-            may = np.flatnonzero(self._sieve[(h & _U(0xFFFF)).astype(np.int64)])
-            if len(may) == 0 or len(self.vocabulary) == 0:
+class Vocabulary:
+    hashes: np.ndarray  # ascending
+    weight: np.ndarray  # idf * relevance
+
+    def vectors(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(row, terms ascending, weights) of each text with a term of the vocabulary."""
+        for i, _, data, offsets in pieces(column, PIECE):
+            row, h, count = counted_terms(data, offsets)
+            if len(h) == 0 or len(self.hashes) == 0:
                 continue
-            row, h = row[may], h[may]
-            at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-            hit = self.vocabulary[at] == h
-            key, count = np.unique(row[hit] * len(self.vocabulary) + at[hit], return_counts=True)
-            of, term = key // len(self.vocabulary), key % len(self.vocabulary)
-            weight = (1 + np.log(count)) * self.idf[term]
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = self.hashes[at] == h
+            of, term = row[hit], at[hit]
+            weight = (1 + np.log(count[hit])) * self.weight[term]
             cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else of
             for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(of)]):
                 w = weight[s:e]
                 yield i + int(of[s]), term[s:e], w / np.sqrt(w @ w)
 
+
+@dataclass
+class Index:
+    vocabulary: Vocabulary
+    start: np.ndarray  # of each term's postings, and their end
+    entry: np.ndarray  # of each posting; a term's ascend
+    weight: np.ndarray  # of each posting
+    counts: np.ndarray  # (entries, 2) of labels 0 and 1
+    first: list  # id of each entry's first example
+    blank: float  # score without terms
+    slopes: tuple[float, float] = (1.0, 0.0)  # of the logistic curve
+    _slot: np.ndarray = field(init=False, repr=False, default=None)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state | {"_slot": None}
+
+    def _prepare(self) -> None:
+        """Frequent terms' weights as one tile a block, and their largest in each block."""
+        n, df = len(self.counts), np.diff(self.start)
+        often = np.argsort(-df, kind="stable")[:MOST_FREQUENT]
+        often = often[df[often] > FREQUENT * n]
+        self._blocks = -(-n // BLOCK)
+        self._slot = np.full(len(df), -1, dtype=np.int32)
+        self._slot[often] = np.arange(len(often))
+        self._tiles = np.zeros((self._blocks, len(often), BLOCK), dtype=np.float32)
+        for i, t in enumerate(often.tolist()):
+            p = slice(self.start[t], self.start[t + 1])
+            self._tiles[self.entry[p] // BLOCK, i, self.entry[p] % BLOCK] = self.weight[p]
+        self._tops = self._tiles.max(axis=2).T.copy()
+
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k entries of highest cosine, ties by position: exact, by block bounds."""
-        bounds = weight @ self.tops[term]
-        best: list[tuple[float, int]] = []
+        """The k entries of highest cosine above 0, ties by position: exact, by block bounds."""
+        if self._slot is None:
+            self._prepare()
+        if self._blocks == 0:
+            return []
+        slot = self._slot[term]
+        rare = slot < 0
+        lo, n = self.start[term[rare]], self.start[term[rare] + 1] - self.start[term[rare]]
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        sums = np.bincount(self.entry[at], weights=np.repeat(weight[rare], n) * self.weight[at], minlength=self._blocks * BLOCK)
+        slot, often = slot[~rare], weight[~rare].astype(np.float32)
+        bounds = sums.reshape(-1, BLOCK).max(axis=1) + often @ self._tops[slot]
+        best_cosine, best = np.zeros(0), np.zeros(0, np.int64)
+        least = 0.0
         for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
+            if bounds[b] <= 1e-9 or bounds[b] < least - 1e-6:
                 break
-            cosine = weight @ self.tiles[b][term]
-            found = np.flatnonzero(cosine > (best[-1][0] - 1e-9 if len(best) == k else 1e-9))
+            cosine = sums[b * BLOCK : (b + 1) * BLOCK] + often @ self._tiles[b].take(slot, axis=0)
+            found = np.flatnonzero(cosine > max(least - 1e-6, 1e-9))
             if len(found):
-                best = sorted([*best, *((float(cosine[x]), b * BLOCK + x) for x in found.tolist())], key=lambda p: (-round(p[0], 9), p[1]))[:k]
-        return best
+                best_cosine, best = np.concatenate([best_cosine, cosine[found]]), np.concatenate([best, found + b * BLOCK])
+                order = np.lexsort((best, -np.round(best_cosine, 6)))[:k]
+                best_cosine, best = best_cosine[order], best[order]
+                if len(best) == k:
+                    least = float(best_cosine[-1])
+        return list(zip(best_cosine.tolist(), best.tolist()))
 
     def vote(self, found: list[tuple[float, int]], less: tuple[int, int] | None = None) -> float:
         """The weighted share of label 1, smoothed; less: an entry and label that don't count once."""
         yes, total = 0.05, 0.5
         for cosine, at in found:
-            n, t = self.counts[at].sum(), self.counts[at][1]
+            n, t = int(self.counts[at, 0] + self.counts[at, 1]), int(self.counts[at, 1])
             if less is not None and less[0] == at:
                 n, t = n - 1, t - less[1]
             w = 1 / (1 - min(cosine, 1.0) + NEAR)
@@ -141,85 +170,108 @@ def _curve(votes: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Index | None:
     """An index of at most ``rows`` labelled documents of the training folds; None without any."""
+    spark = docs.sparkSession
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            y_all, done = b["y"].to_numpy(), 0
-            for i, j, data, offsets in pieces(b["text"]):
-                row, h = terms(data, offsets)
-                pair = np.unique(np.stack([row.astype(np.uint64), h]), axis=1) if len(row) else np.zeros((2, 0), np.uint64)
-                h, where, n = np.unique(pair[1], return_inverse=True, return_counts=True)
-                pos = np.bincount(where, weights=y_all[i:j][pair[0].astype(np.int64)], minlength=len(h)).astype(np.int64) if len(h) else n
+            y_all = b["y"].to_numpy()
+            for i, j, data, offsets in pieces(b["text"], PIECE):
+                row, h, _ = counted_terms(data, offsets)
+                h, where, n = np.unique(h, return_inverse=True, return_counts=True)
+                pos = np.bincount(where, weights=y_all[i:j][row] > 0, minlength=len(h)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.array(pos)], ["h", "n", "pos"])
 
-    picked = saved(sample(docs, labels, label, rows, id_col, text_col))  # bounded: ``rows`` texts
+    picked = saved(sample(docs, labels, label, rows, id_col, text_col).repartition(16))  # bounded: ``rows`` texts
     size = {r.y: r["count"] for r in picked.groupBy("y").count().collect()}
-    total, toxic = sum(size.values()), size.get(1, 0)
+    total, toxic = sum(size.values()), sum(n for y, n in size.items() if y > 0)
     if total == 0:
         return None
-    rate = toxic / total
-    counted = picked.select("text", "y").mapInArrow(distinct, "h bigint, n bigint, pos bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_EXAMPLES)
-    xlogy = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
-    neg, e1, e0 = F.col("n") - F.col("pos"), F.col("n") * F.lit(max(rate, 1e-9)), F.col("n") * F.lit(max(1 - rate, 1e-9))
-    g = 2 * (xlogy(F.col("pos"), e1) + xlogy(neg, e0))
-    # Terms that speak for label 1: those that speak against it are every common word.
-    chosen = counted.where((F.col("pos") > e1)).withColumn("g", g).where(F.col("g") >= LEAST_RATIO).orderBy(F.desc("g"), "h").limit(TERMS).collect()
-    vocabulary = np.array(sorted(np.array([r.h for r in chosen], dtype=np.int64).view(np.uint64)), dtype=np.uint64)
-    df = {int(np.int64(r.h).view(np.uint64)): r.n for r in chosen}
-    idf = np.log((total + 1) / (np.array([df[int(h)] for h in vocabulary]) + 0.5)) if len(vocabulary) else np.zeros(0)
-    index = Index(vocabulary, idf, (1.0, 0.0), rate, np.zeros((0, len(vocabulary), BLOCK)), np.zeros((len(vocabulary), 0)), np.zeros((0, 2), np.int64), [])
+    counted = picked.select("text", "y").mapInArrow(distinct, "h bigint, n bigint, pos bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toArrow()
+    h, n, pos = counted["h"].to_numpy().view(np.uint64), counted["n"].to_numpy(), counted["pos"].to_numpy()
+    order = np.argsort(h)
+    h, n, pos = h[order], n[order], pos[order]
+    chance = n * (toxic / total)
+    relevance = LEAST + np.maximum(0, (pos - chance) / np.sqrt(chance + 1))
+    vocabulary = Vocabulary(h, (np.log((total + 1) / (n + 0.5)) * relevance).astype(np.float32))
+    words = spark.sparkContext.broadcast(vocabulary)
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = {r: (t.tolist(), w.tolist()) for r, t, w in index.vectors(b["text"])}
-            rows_ = [found.get(i, ([], [])) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b["id"], b["y"], pa.array([r[0] for r in rows_], pa.list_(pa.int32())), pa.array([r[1] for r in rows_], pa.list_(pa.float64()))], ["id", "y", "t", "w"])
+            found = {r: (t, w) for r, t, w in words.value.vectors(b["text"])}
+            none = (np.zeros(0, np.int32), np.zeros(0, np.float32))
+            parts = [found.get(i, none) for i in range(b.num_rows)]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(t) for t, _ in parts])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([none[k], *(p[k] for p in parts)]).astype(kind))) for k, kind in ((0, np.int32), (1, np.float32))]
+            yield pa.RecordBatch.from_arrays([b["id"], b["y"], *lists], ["id", "y", "t", "w"])
+
+    vectors = saved(picked.select("id", "text", "y").mapInArrow(vectorise, f"id {dict(picked.dtypes)['id']}, y int, t array<int>, w array<float>"))
+    index, entries = _index(vocabulary, vectors.toArrow(), toxic / total)
+    shared = spark.sparkContext.broadcast(index)
 
-    examples = picked.select("id", "text", "y").mapInArrow(vectorise, f"id {dict(picked.dtypes)['id']}, y int, t array<int>, w array<double>").toArrow().to_pylist()
-    examples.sort(key=lambda r: (r["t"], r["id"]))
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b["y"].to_numpy()
+            t, w, cuts = b["t"].flatten().to_numpy(), b["w"].flatten().to_numpy(), np.cumsum([0, *b["t"].value_lengths().to_pylist()]).tolist()
+            own = [(shared.value.nearest(t[s:e].astype(np.int64), w[s:e].astype(np.float64)), v, t[s:e], w[s:e]) for s, e, v in zip(cuts, cuts[1:], y.tolist()) if e > s]
+            out = [shared.value.vote(found, (entries[_key(ts, ws)], int(v > 0))) for found, v, ts, ws in own]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), pa.array([int(v > 0) for _, v, _, _ in own], pa.int64())], ["vote", "y"])
+
+    told = vectors.select("y", "t", "w").mapInArrow(votes, "vote double, y bigint").toArrow()
+    if told.num_rows:
+        order = np.lexsort((told["y"].to_numpy(), told["vote"].to_numpy()))
+        index.slopes = _curve(told["vote"].to_numpy()[order], told["y"].to_numpy()[order].astype(float))
+    discard(picked, vectors)
+    return index
+
+
+def _key(term: np.ndarray, weight: np.ndarray) -> tuple[bytes, bytes]:
+    return term.astype(np.int32).tobytes(), np.round(weight, 6).astype(np.float32).tobytes()
+
+
+def _index(vocabulary: Vocabulary, examples: pa.Table, rate: float) -> tuple[Index, dict[tuple, int]]:
+    """The index over examples (id, y, t, w), and the entry of each vector."""
+    ids, y = examples["id"].to_pylist(), examples["y"].to_numpy()
+    t, w = (examples[c].combine_chunks().flatten().to_numpy() for c in ("t", "w"))
+    cuts = np.concatenate([[0], np.cumsum(examples["t"].combine_chunks().value_lengths().to_numpy())]).astype(np.int64)
+    keys = [_key(t[s:e], w[s:e]) for s, e in zip(cuts, cuts[1:])]
     entries: dict[tuple, int] = {}
-    first, counts, blank = [], [], [0, 0]
-    for r in examples:
-        if not r["t"]:
-            blank[r["y"] > 0] += 1
+    first, counts, blank, owner = [], [], [0, 0], []
+    # Entries by their terms, so that alike ones share blocks.
+    for i in sorted(range(len(ids)), key=lambda i: (keys[i], ids[i])):
+        if cuts[i] == cuts[i + 1]:
+            blank[y[i] > 0] += 1
             continue
-        key = (tuple(r["t"]), tuple(round(w, 9) for w in r["w"]))
-        if key not in entries:
-            entries[key] = len(first)
-            first.append(r["id"])
+        if keys[i] not in entries:
+            entries[keys[i]] = len(first)
+            first.append(ids[i])
             counts.append([0, 0])
-        counts[entries[key]][r["y"] > 0] += 1
-    blocks = -(-len(first) // BLOCK)
-    tiles = np.zeros((blocks, len(vocabulary), BLOCK), dtype=np.float32)
-    for (t, w), at in entries.items():
-        tiles[at // BLOCK, list(t), at % BLOCK] = w
-    index = Index(vocabulary, idf, (1.0, 0.0), (blank[1] + rate) / (sum(blank) + 1), tiles, tiles.max(axis=2).T.copy() if blocks else np.zeros((len(vocabulary), 0)), np.array(counts, np.int64).reshape(-1, 2), first)
-    votes, y = [], []
-    for (t, w), at in entries.items():
-        found = index.nearest(np.array(t), np.array(w))
-        for v in (0, 1):
-            if counts[at][v]:
-                votes += [index.vote(found, (at, v))] * counts[at][v]
-                y += [v] * counts[at][v]
-    if votes:
-        index.slopes = _curve(np.array(votes), np.array(y, dtype=float))
-    return index
+            owner.append(i)
+        counts[entries[keys[i]]][int(y[i] > 0)] += 1
+    of = np.concatenate([np.zeros(0, np.int64), *(np.arange(cuts[i], cuts[i + 1]) for i in owner)])
+    entry = np.repeat(np.arange(len(owner)), [cuts[i + 1] - cuts[i] for i in owner]).astype(np.int32) if owner else np.zeros(0, np.int32)
+    order = np.lexsort((entry, t[of]))
+    start = np.searchsorted(t[of][order], np.arange(len(vocabulary.hashes) + 1))
+    return Index(vocabulary, start, entry[order], w[of][order], np.array(counts, np.int64).reshape(-1, 2), first, (blank[1] + rate) / (sum(blank) + 1)), entries
 
 
 def score(text: Column, index: Index | None) -> Column:
     """struct<score, evidence>: the probability of label 1, and the nearest entries as array<struct<example, cosine, clean, toxic>>."""
+    from pyspark.sql import SparkSession
+
+    shared = SparkSession.active().sparkContext.broadcast(index)
 
     @F.arrow_udf("struct<score:double,evidence:array<struct<example:string,cosine:double,clean:bigint,toxic:bigint>>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = shared.value
         known: dict[tuple, tuple[float, list]] = {}
         kind = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("clean", pa.int64()), ("toxic", pa.int64())]))
         for column in batches:
             scores = np.full(len(column), 0.5 if index is None else index.blank)
             evidence: list[list] = [[] for _ in range(len(column))]
-            for row, t, w in () if index is None else index.vectors(column):
-                key = (tuple(t.tolist()), tuple(np.round(w, 9).tolist()))
+            for row, t, w in () if index is None else index.vocabulary.vectors(column):
+                key = _key(t, w)
                 if key not in known:
-                    if len(known) > 20_000:
+                    if len(known) > 5_000:
                         known.clear()
                     found = index.nearest(t, w)
                     known[key] = index.probability(index.vote(found)), [(str(index.first[at]), round(c, 6), *index.counts[at].tolist()) for c, at in found[:3]]
