@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .geo import TILE_PX, WINDOW_PX
 
+#: Pixels of images worked on at once.
+_AT_ONCE = 1 << 18
+
 
 @dataclass(frozen=True)
 class BlobLimits:
-    """Colour bounds (hue 0-179, others 0-255, inclusive) and shape bounds of sought blobs."""
+    """Colour bounds (hue 0-179, others 0-255, inclusive) and shape bounds of sought blobs; the defaults are fixed values."""
 
     low: tuple[int, int, int] = (35, 80, 60)
     high: tuple[int, int, int] = (85, 255, 255)
@@ -34,60 +39,107 @@ def to_hsv(bgr: np.ndarray) -> np.ndarray:
     return np.stack([np.round(h / 2) % 180, np.round(s), v], axis=-1).astype(np.uint8)
 
 
-def _shifted(m: np.ndarray, outside: bool) -> Iterator[np.ndarray]:
-    p = np.pad(m, 1, constant_values=outside)
+def _around(m: np.ndarray, outside: bool) -> Iterator[np.ndarray]:
+    """The 3 x 3 neighbours of all pixels of masks (n, h, w)."""
+    p = np.pad(m, [(0, 0), (1, 1), (1, 1)], constant_values=outside)
     for dy in range(3):
         for dx in range(3):
-            yield p[dy : dy + m.shape[0], dx : dx + m.shape[1]]
+            yield p[:, dy : dy + m.shape[1], dx : dx + m.shape[2]]
 
 
 def eroded(m: np.ndarray) -> np.ndarray:
-    return np.logical_and.reduce(list(_shifted(m, True)))
+    return np.logical_and.reduce(list(_around(m, True)))
 
 
 def dilated(m: np.ndarray) -> np.ndarray:
-    return np.logical_or.reduce(list(_shifted(m, False)))
+    return np.logical_or.reduce(list(_around(m, False)))
+
+
+def _runs(m: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row (over all masks), start, end and component of the runs of set pixels of masks (n, h, w); reach 1 joins diagonal neighbours, 0 doesn't.
+
+    A component's number is that of its first run.
+    """
+    n, h, w = m.shape
+    edges = np.diff(np.pad(m, [(0, 0), (0, 0), (1, 1)]).astype(np.int8).reshape(n * h, w + 2), axis=1)
+    row, start = np.nonzero(edges == 1)
+    end = np.nonzero(edges == -1)[1]
+    # Runs of the next row of the same mask that touch each run.
+    span = w + 3
+    first, last = row * span + start, row * span + end
+    lo = np.searchsorted(last, (row + 1) * span + start + 1 - reach, side="left")
+    hi = np.searchsorted(first, (row + 1) * span + end - 1 + reach, side="right")
+    count = np.where(row % h == h - 1, 0, np.maximum(hi - lo, 0))
+    a = np.repeat(np.arange(len(row)), count)
+    b = np.arange(len(a)) + np.repeat(lo - (np.cumsum(count) - count), count)
+    label = np.arange(len(row))
+    while len(a):
+        x, y = label[a], label[b]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        open_ = label[a] != label[b]
+        a, b = a[open_], b[open_]
+    return row, start, end, label
+
+
+def _painted(shape: tuple[int, ...], row: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    size = end - start
+    at = np.repeat(row * shape[2] + start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    out = np.zeros(int(np.prod(shape)), dtype=value.dtype)
+    out[at] = np.repeat(value, size)
+    return out.reshape(shape)
 
 
 def labelled(m: np.ndarray) -> np.ndarray:
-    """8-connected components: 0 outside, else a number of its own for each; by passing minima along."""
-    label = np.where(m, np.arange(1, m.size + 1).reshape(m.shape), 0)
-    while True:
-        low = np.minimum.reduce([np.where(x > 0, x, m.size + 1) for x in _shifted_numbers(label)])
-        new = np.where(m, np.minimum(label, low), 0)
-        flat = np.concatenate([[0], new.ravel()])
-        jumped = np.where(m, flat[flat[new]], 0)  # a label is a position: follow it
-        if np.array_equal(jumped, label):
-            return label
-        label = jumped
-
-
-def _shifted_numbers(a: np.ndarray) -> Iterator[np.ndarray]:
-    p = np.pad(a, 1)
-    for dy in range(3):
-        for dx in range(3):
-            yield p[dy : dy + a.shape[0], dx : dx + a.shape[1]]
+    """8-connected components of masks (n, h, w): 0 outside, else a number of its own for each."""
+    row, start, end, label = _runs(m, 1)
+    return _painted(m.shape, row, start, end, label + 1)
+
+
+def filled(m: np.ndarray) -> np.ndarray:
+    """Masks (n, h, w) without holes: background that does not reach the edge is set."""
+    h, w = m.shape[1:]
+    row, start, end, label = _runs(~m, 0)
+    outside = np.zeros(len(label), dtype=bool)
+    outside[label[(row % h == 0) | (row % h == h - 1) | (start == 0) | (end == w)]] = True
+    return ~_painted(m.shape, row, start, end, outside[label])
 
 
-def blobs(bgr: np.ndarray, limits: BlobLimits = BlobLimits()) -> list[tuple[float, float, float]]:
-    """(px, py, area) of components in the colour bounds after opening and closing.
+def blobs(bgr: np.ndarray, limits: BlobLimits = BlobLimits()) -> list[list[tuple[float, float, float]]]:
+    """(px, py, area) of each image's components in the colour bounds after opening and closing, for images (n, h, w, 3).
 
-    Area is that of the outline through pixel centres (a full w x h block has (w - 1) * (h - 1)).
+    Only outer outlines count.  Area and centre are those of the outline through pixel centres (a full w x h block has
+    (w - 1) * (h - 1)): of the squares between four set pixels and the triangles between three.
     """
     hsv = to_hsv(bgr)
     m = np.all((hsv >= limits.low) & (hsv <= limits.high), axis=-1)
-    m = eroded(dilated(dilated(eroded(m))))
-    label = labelled(m)
-    out = []
-    for k in np.unique(label[label > 0]):
-        y, x = np.nonzero(label == k)
-        w, h = x.max() - x.min() + 1, y.max() - y.min() + 1
-        # Pick's theorem on the lattice of pixel centres: inner points + edge points / 2 - 1.
-        own = np.pad(label == k, 1)
-        edge = own & ~(own & np.roll(own, 1, 0) & np.roll(own, -1, 0) & np.roll(own, 1, 1) & np.roll(own, -1, 1))
-        area = len(y) - edge.sum() / 2 - 1
-        if limits.area[0] <= area <= limits.area[1] and limits.aspect[0] <= w / h <= limits.aspect[1]:
-            out.append((float(x.mean()), float(y.mean()), float(area)))
+    m = filled(eroded(dilated(dilated(eroded(m)))))
+    n, h, w = m.shape
+    row, start, end, of_run = _runs(m, 1)
+    label = _painted(m.shape, row, start, end, of_run + 1)
+    count = len(of_run) + 1
+    corner = [label[:, dy : h - 1 + dy, dx : w - 1 + dx] for dy in (0, 1) for dx in (0, 1)]
+    have = sum((c > 0).astype(np.int8) for c in corner)
+    k, y, x = np.nonzero(have >= 3)
+    of = np.maximum.reduce([c[k, y, x] for c in corner])
+    full = have[k, y, x] == 4
+    part = np.where(full, 1.0, 0.5)
+    # A triangle's centre is the mean of its three corners.
+    set_ = np.stack([c[k, y, x] > 0 for c in corner])
+    cx = x + np.where(full, 0.5, (set_ * np.array([[0], [1], [0], [1]])).sum(axis=0) / 3)
+    cy = y + np.where(full, 0.5, (set_ * np.array([[0], [0], [1], [1]])).sum(axis=0) / 3)
+    area, mx, my = (np.bincount(of, weights=v, minlength=count) for v in (part, part * cx, part * cy))
+    left, right, top, bottom = np.full(count, w), np.zeros(count, int), np.full(count, n * h), np.zeros(count, int)
+    np.minimum.at(left, of_run + 1, start)
+    np.maximum.at(right, of_run + 1, end)
+    np.minimum.at(top, of_run + 1, row)
+    np.maximum.at(bottom, of_run + 1, row + 1)
+    out: list[list[tuple[float, float, float]]] = [[] for _ in range(n)]
+    for i in np.unique(of_run + 1).tolist():
+        aspect = (right[i] - left[i]) / (bottom[i] - top[i])
+        if area[i] > 0 and limits.area[0] <= area[i] <= limits.area[1] and limits.aspect[0] <= aspect <= limits.aspect[1]:
+            out[top[i] // h].append((float(mx[i] / area[i]), float(my[i] / area[i]), float(area[i])))
     return out
 
 
@@ -117,8 +169,9 @@ def with_marker(bgr: np.ndarray, px: float, py: float, size: int = 20) -> np.nda
 
 
 def mosaic(tiles: list[tuple[int, int, np.ndarray]], ogx: float, ogy: float, px: int = WINDOW_PX) -> np.ndarray:
-    """A window cut from tiles (x, y, bgr) at its rounded origin; missing tiles are black."""
-    x0, y0 = round(ogx), round(ogy)
+    """A window cut from tiles (x, y, bgr) at its rounded origin, which stays inside the tiles that the unrounded window touches; missing tiles are black."""
+    inside = lambda o: max(math.floor(o / TILE_PX) * TILE_PX, min(round(o), (math.floor((o + px - 1) / TILE_PX) + 1) * TILE_PX - px))
+    x0, y0 = inside(ogx), inside(ogy)
     out = np.zeros((px, px, 3), dtype=np.uint8)
     for x, y, t in tiles:
         left, top = x * TILE_PX - x0, y * TILE_PX - y0
@@ -133,16 +186,79 @@ def _image(pixels: bytes | None, h: int, w: int) -> np.ndarray | None:
     return np.frombuffer(pixels, np.uint8).reshape(h, w, 3) if pixels is not None and len(pixels) == h * w * 3 else None
 
 
+def _images(b: pa.RecordBatch, pixels: str = "pixels") -> Iterator[tuple[list[int], np.ndarray]]:
+    """(rows, images (n, h, w, 3)) of a batch's readable images, by shape and about ``_AT_ONCE`` pixels at once."""
+    shapes: dict[tuple[int, int], list[int]] = {}
+    for i, (h, w, n) in enumerate(zip(b["height"].to_pylist(), b["width"].to_pylist(), pa.compute.binary_length(b[pixels]).to_pylist())):
+        if h and w and h > 0 and w > 0 and n == h * w * 3:
+            shapes.setdefault((h, w), []).append(i)
+    for (h, w), rows in shapes.items():
+        step = max(1, _AT_ONCE // (h * w))
+        for i in range(0, len(rows), step):
+            some = rows[i : i + step]
+            yield some, np.stack([np.frombuffer(b[pixels][r].as_buffer(), np.uint8).reshape(h, w, 3) for r in some])
+
+
+def _kind(df: DataFrame, column: str) -> str:
+    return dict(df.dtypes)[column]
+
+
 def detect_blobs(images: DataFrame, limits: BlobLimits = BlobLimits()) -> DataFrame:
     """(id, px, py, area, score) of images (id, height, width, pixels); unreadable images have none."""
-    kind = dict(images.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, *x, 1.0) for i, h, w, p in zip(*(b[c].to_pylist() for c in ("id", "height", "width", "pixels"))) if (a := _image(p, h, w)) is not None for x in blobs(a, limits)]
-            yield pa.RecordBatch.from_pylist([dict(zip(("id", "px", "py", "area", "score"), r)) for r in rows], schema=pa.schema([b.schema.field("id"), *((n, pa.float64()) for n in ("px", "py", "area", "score"))]))
+            for rows, stack in _images(b):
+                found = [(r, *x) for r, xs in zip(rows, blobs(stack, limits)) for x in xs]
+                of, px, py, area = (np.array([f[i] for f in found]) for i in range(4)) if found else (np.zeros(0, int), *(np.zeros(0) for _ in range(3)))
+                yield pa.RecordBatch.from_arrays([b["id"].take(pa.array(of, pa.int64())), *(pa.array(v) for v in (px, py, area, np.ones(len(of))))], ["id", "px", "py", "area", "score"])
 
-    return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {kind}, px double, py double, area double, score double")
+    return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {_kind(images, 'id')}, px double, py double, area double, score double")
+
+
+def medians(images: DataFrame, window: int = 9) -> DataFrame:
+    """(id, h, s, v): median_hsv round px, py of images (id, height, width, pixels, px, py); unreadable images and empty patches go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            px, py = b["px"].to_pylist(), b["py"].to_pylist()
+            found = [(r, *m) for rows, stack in _images(b) for r, image in zip(rows, stack) if (m := median_hsv(image, px[r], py[r], window)) is not None]
+            cols = list(zip(*found)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([b["id"].take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.float64()) for c in cols[1:])], ["id", "h", "s", "v"])
+
+    return images.select("id", "height", "width", "pixels", "px", "py").mapInArrow(run, f"id {_kind(images, 'id')}, h double, s double, v double")
+
+
+def marked(images: DataFrame, size: int = 20) -> DataFrame:
+    """(id, height, width, pixels): images (id, height, width, pixels, px, py) with a cross at each one's point; an unreadable image fails the query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[bytes | None] = [None] * b.num_rows
+            px, py = b["px"].to_pylist(), b["py"].to_pylist()
+            for rows, stack in _images(b):
+                for r, image in zip(rows, stack):
+                    out[r] = with_marker(image, px[r], py[r], size).tobytes()
+            if None in out:
+                raise ValueError(f"image {b['id'][out.index(None)].as_py()!r} can't be read")
+            yield pa.RecordBatch.from_arrays([b["id"], b["height"], b["width"], pa.array(out, pa.binary())], ["id", "height", "width", "pixels"])
+
+    return images.select("id", "height", "width", "pixels", "px", "py").mapInArrow(run, f"id {_kind(images, 'id')}, height int, width int, pixels binary")
+
+
+def composed(rgb: DataFrame, irc: DataFrame, on: str = "id") -> DataFrame:
+    """(on, height, width, pixels): each window of ``rgb`` (on, height, width, pixels) with its near infrared from the same window of ``irc``; windows without a partner, or of another size, go."""
+    both = rgb.select(on, "height", "width", "pixels").join(irc.select(on, F.col("height").alias("_h"), F.col("width").alias("_w"), F.col("pixels").alias("near")), on)
+    both = both.where((F.col("height") == F.col("_h")) & (F.col("width") == F.col("_w"))).select(on, "height", "width", "pixels", "near")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = {r: image for rows, stack in _images(b, "near") for r, image in zip(rows, stack)}
+            found = [(r, compose_rgn(image, near[r]).tobytes()) for rows, stack in _images(b) for r, image in zip(rows, stack) if r in near]
+            at = pa.array([r for r, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b[c].take(at) for c in (on, "height", "width")), pa.array([p for _, p in found], pa.binary())], [on, "height", "width", "pixels"])
+
+    return both.mapInArrow(run, f"{on} {_kind(rgb, on)}, height int, width int, pixels binary")
 
 
 def assembled(window_tiles: DataFrame, tiles: DataFrame, px: int = WINDOW_PX) -> DataFrame:
@@ -150,35 +266,50 @@ def assembled(window_tiles: DataFrame, tiles: DataFrame, px: int = WINDOW_PX) ->
     joined = window_tiles.join(tiles, ["x", "y"], "left")
     grouped = joined.groupBy("id", "ogx", "ogy").agg(F.collect_list(F.struct("x", "y", "height", "width", "pixels")).alias("tiles"))
 
-    @F.udf("binary")
-    def cut(ts, ogx, ogy):
-        parts = [(t["x"], t["y"], a) for t in ts if t["pixels"] is not None and (a := _image(bytes(t["pixels"]), t["height"], t["width"])) is not None]
-        return mosaic(parts, ogx, ogy, px).tobytes()
+    @F.arrow_udf("binary")
+    def cut(tiles: pa.Array, ogx: pa.Array, ogy: pa.Array) -> pa.Array:
+        cuts, flat = np.array(tiles.offsets).tolist(), tiles.values
+        fields = {c: flat.field(c) for c in ("x", "y", "height", "width")}
+        fields = {c: v.to_pylist() for c, v in fields.items()}
+        pixels, out = flat.field("pixels"), []
+        for s, e, gx, gy in zip(cuts, cuts[1:], ogx.to_pylist(), ogy.to_pylist()):
+            read = [(fields["x"][i], fields["y"][i], _image(pixels[i].as_py(), fields["height"][i], fields["width"][i])) for i in range(s, e) if pixels[i].is_valid]
+            out.append(mosaic([t for t in read if t[2] is not None], gx, gy, px).tobytes())
+        return pa.array(out, pa.binary())
 
     return grouped.select("id", "ogx", "ogy", cut("tiles", "ogx", "ogy").alias("pixels"))
 
 
-def predicted(windows: DataFrame, load: Callable[[], Callable[[list[np.ndarray]], list[list[tuple[float, float, float]]]]], conf: float, px: int = WINDOW_PX) -> DataFrame:
+def predicted(windows: DataFrame, load: Callable[[], Callable[[list[np.ndarray]], list[list[tuple[float, float, float]]]]], conf: float, px: int = WINDOW_PX, at_once: int = 16) -> DataFrame:
     """(id, ogx, ogy, cx, cy, score, error) of windows (id, ogx, ogy, pixels) by a predictor.
 
-    ``load`` runs once a partition and returns a function from a batch of images to lists of (cx, cy, score).  A
-    window that fails gives one row with its error and no box.
+    ``load`` runs once a partition and returns a function from a batch of images (``at_once`` at most) to lists of
+    (cx, cy, score).  A batch that fails is tried window by window, and a window that fails gives one row with its
+    error and no box; so does one that can't be read.
     """
-    kind = dict(windows.dtypes)["id"]
+    names = ("id", "ogx", "ogy", "cx", "cy", "score", "error")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = load()
+
+        def told(images: list[np.ndarray]) -> list[list[tuple[float, float, float]] | str]:
+            try:
+                return predict(images)
+            except Exception as e:  # noqa: BLE001 - one window's failure is a row
+                return [repr(e)] if len(images) == 1 else [x for image in images for x in told([image])]
+
         for b in batches:
-            rows = []
-            for i, ogx, ogy, p in zip(*(b[c].to_pylist() for c in ("id", "ogx", "ogy", "pixels"))):
-                try:
-                    rows += [(i, ogx, ogy, *map(float, x), None) for x in predict([_image(p, px, px)])[0] if x[2] >= conf]
-                except Exception as e:  # noqa: BLE001 - one window's failure is a row
-                    rows.append((i, ogx, ogy, None, None, None, repr(e)))
-            names = ("id", "ogx", "ogy", "cx", "cy", "score", "error")
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([b.schema.field("id"), *((n, pa.float64()) for n in names[1:6]), ("error", pa.string())]))
-
-    return windows.select("id", "ogx", "ogy", "pixels").mapInArrow(run, f"id {kind}, ogx double, ogy double, cx double, cy double, score double, error string")
+            for i in range(0, b.num_rows, at_once):
+                some = list(zip(*(b.slice(i, at_once)[c].to_pylist() for c in ("id", "ogx", "ogy", "pixels"))))
+                read = [_image(r[3], px, px) for r in some]
+                found = iter(told([a for a in read if a is not None]) if any(a is not None for a in read) else [])
+                rows = []
+                for r, a in zip(some, read):
+                    boxes = "unreadable window" if a is None else next(found)
+                    rows += [(*r[:3], None, None, None, boxes)] if isinstance(boxes, str) else [(*r[:3], *map(float, x), None) for x in boxes if x[2] >= conf]
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([b.schema.field("id"), *((n, pa.float64()) for n in names[1:6]), ("error", pa.string())]))
+
+    return windows.select("id", "ogx", "ogy", "pixels").mapInArrow(run, f"id {_kind(windows, 'id')}, ogx double, ogy double, cx double, cy double, score double, error string")
 
 
 def compose_arrays(rgb: Column, irc: Column) -> Column:

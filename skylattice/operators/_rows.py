@@ -1,7 +1,8 @@
-"""Numbering of rows and cutting of lineage for iterative operators."""
+"""Running sums and numbering of rows, and cutting of lineage for iterative operators."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,24 +10,35 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` in the folder that spark.checkpoint.dir names; in a temporary one only where that is unset (local tests)."""
+    """``df`` in the folder that spark.checkpoint.dir names; in a temporary one only where that is unset on a local master (tests)."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not where and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """``df`` with a bigint column of positions from 0 in a total order, without a single-task window.
+def running_sums(df: DataFrame, sums: dict[str, Column], *order: Column) -> DataFrame:
+    """``df`` with, for each name, the bigint sum of its values over the rows before in a total order, without a single-task window.
 
-    Rows are sorted by range; each range's positions start after the counts of the ranges before it.
+    Rows are sorted by range; each range's sums start after those of the ranges before it.
     """
-    ranged = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    before, total = [], 0
-    for r in sorted(ranged.groupBy("_range").count().collect()):  # one row a partition
-        before += [F.lit(r._range), F.lit(total)]
-        total += r["count"]
+    values = {f"_value_{name}": v.cast("bigint") for name, v in sums.items()}
+    ranged = checkpointed(df.withColumns(values).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(*(F.sum(v).alias(v) for v in values)).collect()  # one row a partition
+    before, so_far = [], dict.fromkeys(values, 0)
+    for r in sorted(totals):
+        before += [F.lit(r._range), F.struct(*(F.lit(n).cast("bigint").alias(v) for v, n in so_far.items()))]
+        so_far = {v: n + r[v] for v, n in so_far.items()}
     if not before:
-        return df.withColumn(name, F.lit(0).cast("bigint"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return ranged.withColumn(name, (within + F.element_at(F.create_map(*before), F.col("_range"))).cast("bigint")).drop("_range")
+        return df.withColumns({name: F.lit(0).cast("bigint") for name in sums})
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.element_at(F.create_map(*before), F.col("_range"))
+    return ranged.withColumns({name: (F.coalesce(F.sum(v).over(within), F.lit(0)) + start[v]).cast("bigint") for name, v in zip(sums, values)}).drop("_range", *values)
+
+
+def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """``df`` with a bigint column of positions from 0 in a total order."""
+    return running_sums(df, {name: F.lit(1)}, *order)

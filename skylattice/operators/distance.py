@@ -1,7 +1,9 @@
 """Distance joins by cells of latitude and longitude.
 
-Any two points within the radius differ by one cell or none on each axis, so the right side is entered into
-nine cells and joined on the cell; exact distances decide.  Poles are outside of the domain.
+Rows of cells are as high as the radius.  Each row has its own number of columns, at least as wide as the radius
+anywhere in it or in the rows beside it, and one column near the poles.  Any two points within the radius differ
+by one row or none and, in the left point's row, by one column or none, around the globe; so the right side is
+entered into nine cells at most and joined on the cell, and exact distances decide.
 """
 
 from __future__ import annotations
@@ -14,32 +16,50 @@ from pyspark.sql import functions as F
 from ..functions.geo import MEAN_RADIUS_M, haversine_m
 
 
-def _cells(lon: Column, lat: Column, radius_m: float, max_lat: float) -> tuple[Column, Column]:
-    high = math.degrees(radius_m / MEAN_RADIUS_M) * 1.000001
-    wide = math.degrees(2 * math.asin(min(1.0, math.sin(radius_m / (2 * MEAN_RADIUS_M)) / math.cos(math.radians(max_lat))))) * 1.000001
-    return F.floor(lon / max(wide, 1e-12)), F.floor(lat / max(high, 1e-12))
+def _height(radius_m: float) -> float:
+    """Degrees of latitude of a row; at least a millimetre, so that a radius of 0 joins equal points."""
+    return math.degrees(max(radius_m, 1e-3) / MEAN_RADIUS_M) * 1.000001
 
 
-def pairs_within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float = 85.0) -> DataFrame:
-    """Every pair at most ``radius_m`` apart (inclusive): structs l and r of both rows, and dist.  Both need lon and lat of at most ``max_lat`` degrees."""
-    a = left.select(F.struct("*").alias("l"), *(c.alias(n) for c, n in zip(_cells(F.col("lon"), F.col("lat"), radius_m, max_lat), ("cx", "cy"))))
-    x, y = _cells(F.col("lon"), F.col("lat"), radius_m, max_lat)
-    near = F.array(*(F.struct((x + i).alias("cx"), (y + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    b = right.select(F.struct("*").alias("r"), F.explode(near).alias("c")).select("r", "c.*")
+def _columns(row: Column, radius_m: float) -> Column:
+    """Columns of a row."""
+    high = _height(radius_m)
+    steepest = F.least(F.lit(90.0), (F.abs(row + 0.5) + 1.5) * high)
+    share = math.sin(min(math.pi / 2, max(radius_m, 1e-3) / (2 * MEAN_RADIUS_M))) / F.greatest(F.lit(1e-12), F.cos(F.radians(steepest)))
+    wide = F.degrees(2 * F.asin(F.least(F.lit(1.0), share))) * 1.000001
+    return F.greatest(F.lit(1), F.floor(360 / wide)).cast("bigint")
+
+
+def _column(lon: Column, row: Column, radius_m: float) -> Column:
+    n = _columns(row, radius_m)
+    return F.least(n - 1, F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * n))
+
+
+def pairs_within(left: DataFrame, right: DataFrame, radius_m: float) -> DataFrame:
+    """Every pair at most ``radius_m`` apart (inclusive): structs l and r of both rows, and dist.  Both need lon and lat in degrees; rows without go."""
+    row = lambda lat: F.floor(lat / _height(radius_m))
+    place = "lon is not null and lat is not null"
+    a = left.where(place).select(F.struct("*").alias("l"), row(F.col("lat")).alias("cy"), _column(F.col("lon"), row(F.col("lat")), radius_m).alias("cx"))
+    rows = right.where(place).select(F.struct("*").alias("r"), F.explode(F.array(*(row(F.col("lat")) + i for i in (-1, 0, 1)))).alias("cy"))
+    n, x = _columns(F.col("cy"), radius_m), _column(F.col("r.lon"), F.col("cy"), radius_m)
+    b = rows.select("r", "cy", F.explode(F.array_distinct(F.array(*(F.pmod(x + i, n) for i in (-1, 0, 1))))).alias("cx"))
     dist = haversine_m(F.col("l.lon"), F.col("l.lat"), F.col("r.lon"), F.col("r.lat"))
     return a.join(b, ["cx", "cy"]).select("l", "r", dist.alias("dist")).where(F.col("dist") <= radius_m)
 
 
 def exists_within(left: DataFrame, right: DataFrame, radius_m: float, id_col: str = "id") -> DataFrame:
     """Rows of ``left`` with a row of ``right`` within the radius; ``id_col`` is unique."""
-    hits = pairs_within(left, right.select("lon", "lat"), radius_m).select(F.col(f"l.{id_col}").alias(id_col)).distinct()
-    return left.join(hits, id_col, "left_semi")
+    # Points on one spot are one: a crowded spot makes no pairs of its own.
+    spots = left.select("lon", "lat").distinct()
+    hits = pairs_within(spots, right.select("lon", "lat").distinct(), radius_m).select("l.lon", "l.lat").distinct()
+    return left.join(hits, ["lon", "lat"], "left_semi").select(*left.columns)
 
 
 def max_score_within(left: DataFrame, right: DataFrame, radius_m: float, id_col: str = "id") -> DataFrame:
     """``left`` with best: the highest score of ``right`` within the radius, 0.0 if there is none."""
-    best = pairs_within(left, right.select("lon", "lat", "score"), radius_m).groupBy(F.col(f"l.{id_col}").alias(id_col)).agg(F.max("r.score").alias("best"))
-    return left.join(best, id_col, "left").withColumn("best", F.coalesce("best", F.lit(0.0)))
+    spots = right.groupBy("lon", "lat").agg(F.max("score").alias("score"))
+    best = pairs_within(left.select("lon", "lat").distinct(), spots, radius_m).groupBy("l.lon", "l.lat").agg(F.max("r.score").alias("best"))
+    return left.join(best, ["lon", "lat"], "left").withColumn("best", F.coalesce("best", F.lit(0.0))).select(*left.columns, "best")
 
 
 def fired_in_own_window(points: DataFrame, dets: DataFrame, radius_m: float, id_col: str = "id") -> DataFrame:

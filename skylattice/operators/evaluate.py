@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._rows import checkpointed
+from ._rows import running_sums
 from .distance import exists_within
 
 #: Fixed verdict values of review files.
@@ -47,14 +47,8 @@ def sweep(scored: DataFrame, confs: DataFrame) -> DataFrame:
     per_score = scored.groupBy(F.col("score").cast("double").alias("_v")).agg(F.count_if("is_true").alias("t"), F.count_if(~F.col("is_true")).alias("f"))
     asked = confs.select(F.col("conf").cast("double").alias("_v"), F.lit(0).cast("bigint").alias("t"), F.lit(0).cast("bigint").alias("f"))
     values = per_score.union(asked).where("_v is not null").groupBy("_v").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
-    ranged = checkpointed(values.repartitionByRange(F.desc("_v")).withColumn("_range", F.spark_partition_id()))
-    before, t, f = [], 0, 0
-    for r in sorted(ranged.groupBy("_range").agg(F.sum("t").alias("t"), F.sum("f").alias("f")).collect()):  # one row a partition
-        before += [F.lit(r._range), F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(f).cast("bigint").alias("f"))]
-        t, f = t + r.t, f + r.f
-    so_far = Window.partitionBy("_range").orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    start = F.element_at(F.create_map(*before), F.col("_range")) if before else F.lit(None).cast("struct<t:bigint,f:bigint>")
-    sums = ranged.select("_v", (F.sum("t").over(so_far) + start["t"]).alias("tp"), (F.sum("f").over(so_far) + start["f"]).alias("fp"))
+    before = running_sums(values, {"tp": F.col("t"), "fp": F.col("f")}, F.desc("_v"))
+    sums = before.select("_v", (F.col("tp") + F.col("t")).alias("tp"), (F.col("fp") + F.col("f")).alias("fp"))
     full = confs.withColumn("_v", F.col("conf").cast("double")).join(sums, "_v", "left").fillna(0, ["tp", "fp"])
     full = full.crossJoin(scored.agg(F.count_if("is_true").alias("all_true")))  # one row
     return full.select("conf", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("all_true")).alias("recall"), "tp", "fp")
@@ -92,9 +86,27 @@ def tag_histogram(rows: DataFrame) -> DataFrame:
 def hsv_bounds(samples: DataFrame, margin: tuple[int, int, int] = (5, 30, 30)) -> DataFrame:
     """Per channel of samples (h, s, v): min, p10, median, p90, max and calibrated bounds p10 - margin and p90 + margin, clipped and truncated."""
     tops = {"h": 179, "s": 255, "v": 255}
-    parts = []
-    for (c, top), m in zip(tops.items(), margin):
-        p = F.percentile(F.col(c), F.array(F.lit(0.0), F.lit(0.1), F.lit(0.5), F.lit(0.9), F.lit(1.0)))
-        q = samples.agg(p.alias("p")).select(F.lit(c).alias("channel"), *(F.col("p")[i].alias(n) for i, n in enumerate(("low", "p10", "median", "p90", "high"))))
-        parts.append(q.withColumns({"lower": F.greatest(F.lit(0.0), F.col("p10") - m).cast("int"), "upper": F.least(F.lit(float(top)), F.col("p90") + m).cast("int")}))
-    return parts[0].union(parts[1]).union(parts[2])
+    long = samples.select(F.explode(F.array(*(F.struct(F.lit(c).alias("channel"), F.col(c).cast("double").alias("value"), F.lit(float(top)).alias("top"), F.lit(m).alias("margin")) for (c, top), m in zip(tops.items(), margin)))).alias("x")).select("x.*")
+    # Values are counted first: a channel of 8 bits has 256 at most.
+    counted = long.where("value is not null").groupBy("channel", "top", "margin", "value").agg(F.count("*").alias("n"))
+    p = F.percentile("value", F.array(*map(F.lit, (0.0, 0.1, 0.5, 0.9, 1.0))), F.col("n"))
+    q = counted.groupBy("channel", "top", "margin").agg(p.alias("p")).select("channel", "top", "margin", *(F.col("p")[i].alias(n) for i, n in enumerate(("low", "p10", "median", "p90", "high"))))
+    return q.withColumns({"lower": F.greatest(F.lit(0.0), F.col("p10") - F.col("margin")).cast("int"), "upper": F.least(F.col("top"), F.col("p90") + F.col("margin")).cast("int")}).drop("top", "margin")
+
+
+def window_counters(boxes: DataFrame) -> DataFrame:
+    """One row: windows seen, failed (an error) and fired (a box) of predicted boxes (id, score, error)."""
+    per = boxes.groupBy("id").agg(F.bool_or(F.col("error").isNotNull()).alias("failed"), F.bool_or(F.col("score").isNotNull()).alias("fired"))
+    return per.agg(F.count("*").alias("windows"), F.count_if("failed").alias("failed"), F.count_if("fired").alias("fired"))
+
+
+def true_positives(candidates: DataFrame, state: DataFrame) -> DataFrame:
+    """``candidates`` (ord, lon, lat, ...) that were reviewed as true, with their verdict."""
+    keyed = candidates.withColumn("_key", review_key(F.col("lat"), F.col("lon")))
+    found = state.where(F.col("verdict") == TRUE).select(F.col("key").alias("_key"), "verdict")
+    return keyed.join(found, "_key").drop("_key")
+
+
+def review_size(layers: DataFrame, review: list[str]) -> DataFrame:
+    """One row: the features (layer, ...) of the layers that are up for review."""
+    return layers.agg(F.count_if(F.col("layer").isin(*review)).alias("n_review"))

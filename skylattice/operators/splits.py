@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._rows import numbered
+from ._rows import numbered, running_sums
 
 RATIOS = (0.7, 0.15, 0.15)
 
@@ -18,16 +18,14 @@ def shuffle_key(seed: int, *parts: Column) -> Column:
 def spatial_split(points: DataFrame, cell_deg: float = 0.05, seed: int = 0, ratios: tuple[float, float, float] = RATIOS) -> DataFrame:
     """``points`` (id, lon, lat) with part: whole cells, so that no two parts share one.
 
-    Cells are taken in seeded order while the points before them are fewer than the part's share.  Only cells
-    are ordered: their number is bounded by the globe's area.
+    Cells are taken in seeded order while the points before them are fewer than the part's share.
     """
     cells = points.withColumns({"cx": F.floor(F.col("lon") / cell_deg), "cy": F.floor(F.col("lat") / cell_deg)})
     per = cells.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-    order = Window.orderBy(shuffle_key(seed, F.col("cx"), F.col("cy")), "cx", "cy")
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("n").over(Window.partitionBy())
-    part = F.when(before < total * ratios[0], "train").when(before < total * (ratios[0] + ratios[1]), "val").otherwise("test")
-    return cells.join(per.select("cx", "cy", part.alias("part")), ["cx", "cy"]).drop("cx", "cy")
+    placed = running_sums(per, {"before": F.col("n")}, shuffle_key(seed, F.col("cx"), F.col("cy")), F.col("cx"), F.col("cy"))
+    total = points.count()
+    part = F.when(F.col("before") < total * ratios[0], "train").when(F.col("before") < total * (ratios[0] + ratios[1]), "val").otherwise("test")
+    return cells.join(placed.select("cx", "cy", part.alias("part")), ["cx", "cy"]).drop("cx", "cy")
 
 
 def random_split(rows: DataFrame, id_col: str = "id", seed: int = 0, ratios: tuple[float, float, float] = RATIOS) -> DataFrame:
@@ -43,6 +41,24 @@ def sample_if_more(rows: DataFrame, most: int, id_col: str = "id", seed: int = 0
     return rows.orderBy(shuffle_key(seed, F.col(id_col)), F.col(id_col)).limit(most)
 
 
+def part_lists(split: DataFrame, id_col: str = "id") -> DataFrame:
+    """(part, place, id): each part's rows in the order of their ids, places from 0 in each part."""
+    placed = numbered(split, "_place", F.col("part"), F.col(id_col))
+    first = placed.groupBy("part").agg(F.min("_place").alias("_first"))
+    return placed.join(F.broadcast(first), "part").select("part", (F.col("_place") - F.col("_first")).alias("place"), id_col)  # one row a part
+
+
+def empty_parts(split: DataFrame, parts: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """(part): those without a row."""
+    wanted = split.sparkSession.createDataFrame([(p,) for p in parts], "part string")
+    return wanted.join(split.select("part").distinct(), "part", "left_anti")
+
+
+def first_rows(rows: DataFrame, most: int, order: str = "ord") -> DataFrame:
+    """The first ``most`` rows of the original order."""
+    return rows.orderBy(order).limit(most)
+
+
 def without_positions(rows: DataFrame, positions: list[int], order: str = "ord") -> DataFrame:
     """``rows`` without those at the given positions of the original order."""
     return numbered(rows, "_place", F.col(order)).where(~F.col("_place").isin(positions)).drop("_place") if positions else rows
@@ -58,6 +74,6 @@ def named_records(sources: dict[str, DataFrame]) -> DataFrame:
     """The union of sources (ord, lon, lat, bbox) in their order, each row named by its source and its number there."""
     out = None
     for i, (name, rows) in enumerate(sources.items()):
-        n = numbered(rows, "number", F.col("ord")).select(F.lit(i).alias("source_rank"), "ord", F.concat(F.lit(f"{name}_"), F.lpad(F.col("number").cast("string"), 4, "0")).alias("name"), "lon", "lat", "bbox")
+        n = numbered(rows, "number", F.col("ord")).select(F.lit(i).alias("source_rank"), "ord", F.concat(F.lit(f"{name}_"), F.format_string("%04d", "number")).alias("name"), "lon", "lat", "bbox")
         out = n if out is None else out.unionByName(n)
     return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,43 +43,99 @@ def windows_over_polygon(polygons: DataFrame, zoom: int = ZOOM, px: int = WINDOW
     return placed.where(inside_ring(F.col("lon"), F.col("lat"), F.col("ring")))
 
 
-def points_in_polygon(points: DataFrame, polygons: DataFrame) -> DataFrame:
-    """``points`` strictly inside any polygon of ``polygons`` (ring), each once, by bounds first."""
+def points_in_polygon(points: DataFrame, polygons: DataFrame, cell_deg: float = 0.05) -> DataFrame:
+    """``points`` strictly inside any polygon of ``polygons`` (ring), each once: joined by the cells of the rings' bounds."""
+    cell = lambda v: F.floor(v / cell_deg)
     rings = polygons.select(F.col("ring").alias("_ring"), ring_bounds(F.col("ring")).alias("_b"))
-    inside = F.col("lon").between(F.col("_b.w"), F.col("_b.e")) & F.col("lat").between(F.col("_b.s"), F.col("_b.n"))
-    return points.join(F.broadcast(rings), inside & inside_ring(F.col("lon"), F.col("lat"), F.col("_ring")), "left_semi")
-
-
-def stitched(ways: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:
-    """Closed rings made of ways by their shared end points; ways of fewer than two points and open chains go."""
-    left = [list(w) for w in ways if len(w) > 1]
-    rings = []
+    spread = rings.withColumn("_cx", F.explode(F.sequence(cell(F.col("_b.w")), cell(F.col("_b.e"))))).withColumn("_cy", F.explode(F.sequence(cell(F.col("_b.s")), cell(F.col("_b.n")))))
+    placed = points.withColumns({"_px": cell(F.col("lon")), "_py": cell(F.col("lat"))})
+    inside = F.col("lon").between(F.col("_b.w"), F.col("_b.e")) & F.col("lat").between(F.col("_b.s"), F.col("_b.n")) & inside_ring(F.col("lon"), F.col("lat"), F.col("_ring"))
+    return placed.join(spread, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside, "left_semi").drop("_px", "_py")
+
+
+Point = tuple[float, float]
+
+
+def noded(ways: list[list[Point]]) -> set[tuple[Point, Point]]:
+    """The ways' segments, cut where two of them meet or cross; each once, lower end first."""
+    segments = {(min(a, b), max(a, b)) for w in ways for a, b in zip(w, w[1:]) if a != b}
+    cuts: dict[tuple[Point, Point], set[Point]] = {s: set(s) for s in segments}
+    by_x = sorted(segments)
+    for i, (a, b) in enumerate(by_x):
+        for c, d in by_x[i + 1 :]:
+            if c[0] > b[0]:
+                break
+            if max(a[1], b[1]) < min(c[1], d[1]) or max(c[1], d[1]) < min(a[1], b[1]):
+                continue
+            for p in _meeting(a, b, c, d):
+                cuts[a, b].add(p)
+                cuts[c, d].add(p)
+    return {(p, q) for (a, b), on in cuts.items() for p, q in zip(sorted(on), sorted(on)[1:])}
+
+
+def _meeting(a: Point, b: Point, c: Point, d: Point) -> list[Point]:
+    """Where two segments meet: their crossing, or the ends of one that lie on the other."""
+    cross = lambda o, p, q: (p[0] - o[0]) * (q[1] - o[1]) - (p[1] - o[1]) * (q[0] - o[0])
+    on = lambda p, s, t: cross(s, t, p) == 0 and min(s, t) <= p <= max(s, t)
+    ends = [p for p, s, t in ((a, c, d), (b, c, d), (c, a, b), (d, a, b)) if on(p, s, t)]
+    if ends:
+        return ends
+    if (cross(a, b, c) > 0) == (cross(a, b, d) > 0) or (cross(c, d, a) > 0) == (cross(c, d, b) > 0):
+        return []
+    t = cross(c, d, a) / (cross(c, d, a) - cross(c, d, b))
+    return [(a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1]))]
+
+
+def faces(ways: list[list[Point]]) -> list[list[Point]]:
+    """Outlines of the bounded faces that the ways enclose, by walking the planar graph's edges with the face on the left; dangling ends go."""
+    around: dict[Point, list[Point]] = {}
+    for p, q in noded(ways):
+        around.setdefault(p, []).append(q)
+        around.setdefault(q, []).append(p)
+    loose = [p for p, qs in around.items() if len(qs) == 1]
+    while loose:
+        p = loose.pop()
+        if p in around and len(around[p]) == 1:
+            q = around.pop(p)[0]
+            around[q].remove(p)
+            if len(around[q]) == 1:
+                loose.append(q)
+            elif not around[q]:
+                del around[q]
+    for p, qs in around.items():
+        qs.sort(key=lambda q: math.atan2(q[1] - p[1], q[0] - p[0]))
+    left = {(p, q) for p, qs in around.items() for q in qs}
+    out = []
     while left:
-        chain = left.pop(0)
-        grown = True
-        while chain[0] != chain[-1] and grown:
-            grown = False
-            for i, w in enumerate(left):
-                if w[0] == chain[-1] or w[-1] == chain[-1]:
-                    chain += (w if w[0] == chain[-1] else w[::-1])[1:]
-                    left.pop(i)
-                    grown = True
-                    break
-        if chain[0] == chain[-1] and len(chain) > 3:
-            rings.append(chain)
-    return rings
+        start = edge = min(left)
+        ring = []
+        while True:
+            left.discard(edge)
+            ring.append(edge[0])
+            p, q = edge
+            turn = around[q]
+            edge = (q, turn[turn.index(p) - 1])
+            if edge == start:
+                break
+        if sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, [*ring[1:], ring[0]])) > 0:
+            out.append([*ring, ring[0]])
+    return out
 
 
 def ways_to_polygons(ways: DataFrame) -> DataFrame:
-    """(rel_ord, ring): the largest ring by planar area of each relation's ways (rel_ord, way_ord, geometry).
+    """(rel_ord, ring): the face of largest planar area that each relation's ways (rel_ord, way_ord, geometry) enclose; a relation whose ways close nothing fails the query.
 
-    A relation is one row's worth of boundary, so its ways fit one task.
+    A relation is one boundary, so its ways fit one task.
     """
     grouped = ways.groupBy("rel_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("way_ord", "geometry"))), lambda w: w["geometry"]).alias("ways"))
+    point = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
 
-    @F.udf("array<array<struct<lon:double,lat:double>>>")
-    def rings(ws):
-        return stitched([[(p["lon"], p["lat"]) for p in w] for w in ws])
+    @F.arrow_udf("array<array<struct<lon:double,lat:double>>>")
+    def enclosed(column: pa.Array) -> pa.Array:
+        found = [faces([[(p["lon"], p["lat"]) for p in w] for w in ws]) for ws in column.to_pylist()]
+        return pa.array([[[{"lon": x, "lat": y} for x, y in ring] for ring in rings] for rings in found], pa.list_(pa.list_(point)))
 
-    faces = grouped.select("rel_ord", F.posexplode(rings("ways")).alias("at", "ring")).withColumn("area", ring_area(F.col("ring")))
-    return faces.groupBy("rel_ord").agg(F.max_by("ring", F.struct("area", -F.col("at"))).alias("ring"))
+    rings = grouped.select("rel_ord", enclosed("ways").alias("rings"))
+    checked = rings.select("rel_ord", F.when(F.size("rings") > 0, F.col("rings")).otherwise(F.raise_error(F.concat(F.lit("no closed boundary in relation "), F.col("rel_ord").cast("string")))).alias("rings"))
+    largest = checked.select("rel_ord", F.posexplode("rings").alias("at", "ring")).withColumn("area", ring_area(F.col("ring")))
+    return largest.groupBy("rel_ord").agg(F.max_by("ring", F.struct("area", -F.col("at"))).alias("ring"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +37,11 @@ def geometries(responses: DataFrame, json_col: str = "json") -> DataFrame:
     return out.where(F.when(F.col("type") == "node", F.col("lon").isNotNull() & F.col("lat").isNotNull()).otherwise(F.coalesce(F.size("geometry") > 0, F.lit(False))))
 
 
-def relation_ways(responses: DataFrame, json_col: str = "json") -> DataFrame:
-    """(rel_ord, way_ord, geometry): member ways with geometry of all relations, whatever their role."""
+def relation_ways(responses: DataFrame, json_col: str = "json", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(rel_ord, way_ord, geometry, and columns to keep): member ways with geometry of all relations, whatever their role."""
     e = elements(responses, json_col, RELATION).where(F.col("e.type") == "relation")
-    ways = e.select(F.col("ord").alias("rel_ord"), F.posexplode("e.members").alias("way_ord", "m"))
-    return ways.where((F.col("m.type") == "way") & (F.size("m.geometry") > 0)).select("rel_ord", "way_ord", "m.geometry")
+    ways = e.select(*keep, F.col("ord").alias("rel_ord"), F.posexplode("e.members").alias("way_ord", "m"))
+    return ways.where((F.col("m.type") == "way") & (F.size("m.geometry") > 0)).select(*keep, "rel_ord", "way_ord", "m.geometry")
 
 
 def tagged_in_box(rows: DataFrame, w: float, s: float, e: float, n: float, tags: tuple = TARGET_TAGS) -> DataFrame:
@@ -94,19 +95,30 @@ def geojson_points(texts: DataFrame, col: str = "value", strict: bool = False) -
 def layers(spark: SparkSession, named: dict[str, str]) -> DataFrame:
     """(layer, ord, lon, lat, score, properties) of point files by layer name; layers without a file are left out."""
     out = None
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for name, path in named.items():
-        p = hadoop(path)
-        if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        try:
+            texts = spark.read.text(path, wholetext=True)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
-        rows = geojson_points(spark.read.text(path, wholetext=True)).select(F.lit(name).alias("layer"), "*")
+        rows = geojson_points(texts).select(F.lit(name).alias("layer"), "*")
         out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], "layer string, ord int, lon double, lat double, score double, properties map<string,string>")
 
 
 def raster_files(spark: SparkSession, folder: str, pattern: str = "*.{jp2,tif}", recursive: bool = False) -> DataFrame:
-    """(path, length) of raster files, by path; recursive reads folders below."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "length").orderBy("path")
+    """(path, length) of raster files, by path; recursive reads folders below.  A folder without any is an error."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "length")
+    if found.isEmpty():
+        raise FileNotFoundError(f"no raster file in {folder}")
+    return found.orderBy("path")
+
+
+def cached(tiles: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hits, misses): ``tiles`` (key) that a cache's manifest (key) holds, and those that are to be fetched."""
+    have = manifest.select("key").distinct()
+    return tiles.join(have, "key", "left_semi"), tiles.join(have, "key", "left_anti")
 
 
 def images(spark: SparkSession, folder: str) -> DataFrame:

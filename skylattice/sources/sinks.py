@@ -7,6 +7,7 @@ driver only for files that other tools read whole, and it fails beyond ``DOCUMEN
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ DOCUMENT_FEATURES = 200_000
 
 
 def feature(lon: Column, lat: Column, properties: Column) -> Column:
-    """A point feature as JSON text; properties is a struct or map, null fields are left out."""
-    return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"), properties.alias("properties")))
+    """A point feature as JSON text; properties is a struct or map, null fields stay."""
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"), properties.alias("properties")), {"ignoreNullFields": "false"})
 
 
 def geojson_features(points: DataFrame, extra: dict[str, object] | None = None) -> DataFrame:
@@ -55,6 +56,23 @@ def write_labels(records: DataFrame, path: str) -> None:
     records.select("part", F.concat_ws("\t", "name", F.coalesce("label", F.lit(""))).alias("value")).write.mode("overwrite").partitionBy("part").text(path)
 
 
+def write_chips(chips: DataFrame, path: str) -> None:
+    """Chips (part, name, height, width, pixels, label) as one table by part, pixels and label beside each other; a null label is a negative's empty one.
+
+    Pixels stay raw: no image encoder is at hand.
+    """
+    chips.select("part", "name", "height", "width", "pixels", F.coalesce("label", F.lit("")).alias("label")).write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def test_images_folder(yaml: str) -> str:
+    """The folder of test images that a training data description names; relative ones stand below its path."""
+    fields = dict(re.findall(r"(?m)^(path|test):[ \t]*[\"']?(.*?)[\"']?[ \t]*$", yaml))
+    if "test" not in fields:
+        raise ValueError("the description names no test images")
+    return (Path(fields.get("path", "")) / fields["test"]).as_posix()
+
+
+# Fixed value: the class that is sought.
 def data_yaml(root: str, names: tuple[str, ...] = ("citerne",)) -> str:
     """A training data description with absolute paths."""
     lines = [f"path: {Path(root).resolve().as_posix()}", *(f"{p}: images/{p}" for p in ("train", "val", "test")), f"nc: {len(names)}", f"names: [{', '.join(names)}]"]
@@ -81,3 +99,14 @@ def vrt_sources(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFr
     extent = rasters.agg(F.min("left").alias("minx"), F.max("top").alias("maxy"))
     placed = rasters.crossJoin(F.broadcast(extent))  # one row
     return placed.select(F.explode(F.sequence(F.lit(1), F.lit(bands))).alias("band"), "path", F.bround((F.col("left") - F.col("minx")) / resolution).cast("bigint").alias("xoff"), F.bround((F.col("maxy") - F.col("top")) / resolution).cast("bigint").alias("yoff"), F.col("width").alias("xsize"), F.col("height").alias("ysize"))
+
+
+def vrt_xml(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFrame:
+    """(band, xml): each band's element of a virtual raster, its sources in order of their paths."""
+    placed = vrt_sources(rasters, resolution, bands)
+    rect = lambda name, x, y: F.format_string(f'<{name} xOff="%d" yOff="%d" xSize="%d" ySize="%d"/>', x, y, "xsize", "ysize")
+    escaped = F.replace(F.replace(F.replace(F.col("path").cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    source = F.concat(F.lit('<SimpleSource><SourceFilename relativeToVRT="0">'), escaped, F.format_string("</SourceFilename><SourceBand>%d</SourceBand>", "band"), rect("SrcRect", F.lit(0), F.lit(0)), rect("DstRect", F.col("xoff"), F.col("yoff")), F.lit("</SimpleSource>"))
+    # A document: as bounded as the number of files in one folder.
+    joined = placed.groupBy("band").agg(F.array_sort(F.collect_list(F.struct("path", source.alias("xml")))).alias("all"))
+    return joined.select("band", F.concat(F.format_string('<VRTRasterBand dataType="Byte" band="%d">', "band"), F.concat_ws("", F.transform("all", lambda s: s["xml"])), F.lit("</VRTRasterBand>")).alias("xml"))

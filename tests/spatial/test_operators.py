@@ -159,17 +159,103 @@ def test_raster_kernels():
     a[:] = (60, 90, 60)
     a[100:141, 110:151] = (60, 200, 60)
     limits = raster.BlobLimits((40, 120, 80), (80, 255, 255), (200, 20_000), (0.3, 3))
-    (x, y, area), = raster.blobs(a, limits)
+    ((x, y, area),), = raster.blobs(a[None], limits)
     assert (x, y, area) == (130.0, 120.0, 1600.0)
     a[:] = (60, 90, 60)
     a[10:13, 10:13] = (60, 200, 60)
-    assert raster.blobs(a, limits) == []
+    assert raster.blobs(a[None], limits) == [[]]
     rgb, irc = np.full((4, 4, 3), (10, 20, 30), np.uint8), np.full((4, 4, 3), (1, 2, 200), np.uint8)
     assert raster.compose_rgn(rgb, irc)[0, 0].tolist() == [200, 20, 30] and rgb[0, 0, 0] == 10
     assert raster.median_hsv(rgb, 100, 100) is None and (raster.with_marker(np.full((256, 256, 3), 128, np.uint8), 50.4, 60.6)[61, 50] == (0, 0, 255)).all()
     m = np.zeros((5, 9), bool)
     m[:, ::2] = True
-    assert len(np.unique(raster.labelled(m))) == 6
+    assert len(np.unique(raster.labelled(m[None]))) == 6
+
+
+def flood(m, eight):
+    """Components by a plain search, as numbers from 1."""
+    out = np.zeros(m.shape, int)
+    n = 0
+    for y, x in np.argwhere(m):
+        if out[y, x] == 0:
+            n += 1
+            stack = [(y, x)]
+            while stack:
+                i, j = stack.pop()
+                if 0 <= i < m.shape[0] and 0 <= j < m.shape[1] and m[i, j] and out[i, j] == 0:
+                    out[i, j] = n
+                    stack += [(i + a, j + b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a or b) and (eight or not (a and b))]
+    return out
+
+
+def test_labels_and_holes_equal_a_plain_search():
+    rng = np.random.default_rng(2)
+    stack = rng.random((6, 23, 31)) < np.array([0.3, 0.45, 0.5, 0.6, 0.8, 0.0])[:, None, None]
+    got = raster.labelled(stack)
+    assert len(np.unique(got[got > 0])) == sum(flood(m, True).max() for m in stack)
+    for m, label, whole in zip(stack, got, raster.filled(stack)):
+        want = flood(m, True)
+        assert len(set(zip(label[m].tolist(), want[m].tolist()))) == want.max() == len(np.unique(label[m])) and (label[~m] == 0).all()
+        outside = flood(~np.pad(m, 1), False)
+        assert (whole == (outside != outside[0, 0])[1:-1, 1:-1]).all()
+
+
+def test_blobs_with_holes_count_by_their_outer_outline():
+    a = np.empty((2, 90, 90, 3), np.uint8)
+    a[:] = (60, 90, 60)
+    a[0, 10:50, 20:60] = (60, 200, 60)
+    a[0, 20:30, 30:40] = (60, 90, 60)
+    a[1, 10:70, 10:70] = (60, 200, 60)
+    a[1, 20:60, 20:60] = (60, 90, 60)
+    a[1, 35:45, 35:45] = (60, 200, 60)
+    limits = raster.BlobLimits((40, 120, 80), (80, 255, 255), (50, 20_000), (0.3, 3))
+    assert raster.blobs(a, limits) == [[(39.5, 29.5, 1521.0)], [(39.5, 39.5, 3481.0)]]
+    t = np.full((1, 60, 60, 3), (60, 90, 60), np.uint8)
+    for y in range(30):
+        t[0, 10 + y, 10 : 11 + y] = (60, 200, 60)
+    ((x, y, area),), = raster.blobs(t, limits)
+    # A triangle's centre is that of its outline, a third of the way up, and its area half the square's.
+    assert abs(area - 29 * 29 / 2) < 30 and abs(x - (10 + 29 / 3)) < 0.7 and abs(y - (10 + 2 * 29 / 3)) < 0.7
+
+
+def test_mosaics_stay_inside_their_tiles():
+    tiles = [(x, y, np.full((256, 256, 3), 10 * x + y + 1, np.uint8)) for x in range(4) for y in range(4)]
+    got = raster.mosaic(tiles, 128.6, 0.6, 640)
+    # 0.6 + 639 ends in the third tile, so the rounded origin 1 would need a column of a fourth: it stays where three suffice.
+    assert (got > 0).all() and (raster.mosaic(tiles, 128.6, 128.6, 640) > 0).all()
+    three = [t for t in tiles if t[0] < 3 and t[1] < 3]
+    assert (raster.mosaic(three, 128.6, 128.0, 640) > 0).all()
+
+
+def test_raster_operators_on_tables(spark):
+    rows = [(1, 10, 20, bytes([9, 8, 7]) * 200, 5.0, 5.0), (2, 10, 20, bytes([50]) * 600, 0.0, 0.0), (3, 10, 20, b"short", 1.0, 1.0), (4, None, None, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "id int, height int, width int, pixels binary, px double, py double")
+    assert sorted((r.id, r.v) for r in raster.medians(df).collect()) == [(1, 9.0), (2, 50.0)]
+    got = {r.id: bytes(r.pixels) for r in raster.composed(df, df.where("id < 3").withColumn("id", 3 - F.col("id"))).collect()}
+    assert got == {1: bytes([50, 8, 7]) * 200, 2: bytes([7, 50, 50]) * 200}
+    assert raster.marked(df.where("id < 3")).where("contains(hex(pixels), '0000FF')").count() == 2
+    with pytest.raises(Exception, match="image [34] can't be read"):
+        raster.marked(df).collect()
+    assert raster.detect_blobs(df).count() == 0 and raster.medians(df.limit(0)).count() == 0
+
+
+def test_predictors_take_batches_and_fail_by_window(spark):
+    df = spark.range(40).select("id", F.lit(0.0).alias("ogx"), F.lit(0.0).alias("ogy"), F.when(F.col("id") != 7, F.unhex(F.repeat(F.format_string("%02x", F.col("id")), F.lit(4 * 4 * 3)))).alias("pixels"))
+
+    def load():
+        def predict(images):
+            if any(a[0, 0, 0] == 13 for a in images):
+                raise ValueError("bad window")
+            return [[(1.0, 1.0, 0.9 if len(images) > 1 else 0.8), (2.0, 2.0, 0.1)] for _ in images]
+
+        return predict
+
+    got = raster.predicted(df.coalesce(1), load, 0.4, 4, at_once=8).collect()
+    assert sorted(r.id for r in got) == list(range(40))
+    by = {r.id: r for r in got}
+    assert by[7].error == "unreadable window" and "bad window" in by[13].error and by[12].score == 0.8 and by[0].score == 0.9
+    n = evaluate.window_counters(raster.predicted(df, load, 0.4, 4)).first()
+    assert (n.windows, n.failed, n.fired) == (40, 2, 38)
 
 
 def test_area_plan_with_a_stub(spark):
@@ -177,7 +263,7 @@ def test_area_plan_with_a_stub(spark):
     tiles = windows.window_tiles(windows.windows_over_polygon(ring).select("lon", "lat")).select("x", "y").distinct().withColumns({"height": F.lit(256), "width": F.lit(256), "pixels": F.lit(bytes([9]) * 256 * 256 * 3)})
 
     def load():
-        return lambda images: [[(320.0, 320.0, 0.9), (10.0, 10.0, 0.1)] if (images[0] == 9).all() else []]
+        return lambda images: [[(320.0, 320.0, 0.9), (10.0, 10.0, 0.1)] if (image == 9).all() else [] for image in images]
 
     kept, matched, alone, missing = detection.infer_area(ring, tiles, points(spark, [(0.65, 47.33, 0)]), load)
     centres = windows.windows_over_polygon(ring).count()
@@ -217,3 +303,78 @@ def test_page_fails_over_its_limit(spark, monkeypatch):
     monkeypatch.setattr(sinks, "DOCUMENT_FEATURES", 2)
     with pytest.raises(ValueError, match="over 2 features"):
         sinks.page("/*LAYERS*/", f)
+
+
+def test_names_past_ten_thousand(spark):
+    rows = spark.range(10_050).select(F.col("id").alias("ord"), F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"), F.lit(None).cast("string").alias("bbox"))
+    got = splits.named_records({"pool": rows})
+    assert got.select("name").distinct().count() == 10_050 and got.where("ord = 10049").first().name == "pool_10049"
+
+
+def test_distance_joins_hold_around_the_globe(spark):
+    r = random.Random(4)
+    spots = [(180.0, 10.0), (-180.0, 10.0), (179.99999, -75.0), (0.0, 89.9999), (120.0, -89.99995), (-3.0, 0.0), (7.0, 47.0), (50.0, 84.99), (12.0, 86.5)]
+    rows = [(x + r.uniform(-1, 1) * 3e-4 / max(0.01, np.cos(np.radians(y))), max(-90, min(90, y + r.uniform(-3e-4, 3e-4))), r.random()) for x, y in spots for _ in range(14)]
+    rows = [((x + 180) % 360 - 180, y, s) for x, y, s in rows]
+    p = points(spark, rows)
+    for radius in (0.0, 15.0, 40.0):
+        want = {(i, j) for i, a in enumerate(rows) for j, b in enumerate(rows) if metres(a, b) <= radius}
+        found = [(q.l.ord, q.r.ord) for q in distance.pairs_within(p, p, radius).collect()]
+        # Equal points and pairs on the radius may differ by rounding.
+        assert len(found) == len(set(found)) and all(abs(metres(rows[i], rows[j]) - radius) < 1e-3 for i, j in want ^ set(found))
+    near = spark.createDataFrame([(1, 180.0, 0.0), (2, -179.99999, 0.0), (3, 0.0, 0.0)], "id int, lon double, lat double")
+    assert sorted(x.id for x in distance.exists_within(near, points(spark, [(-180.0, 0.0, 1)]), 2.0).collect()) == [1, 2]
+
+
+def test_crowded_spots_make_no_pairs(spark):
+    crowd = spark.range(20_000).select("id", F.lit(6.0).alias("lon"), F.lit(43.0).alias("lat"), (F.col("id") % 100 / 100).alias("score"))
+    assert distance.exists_within(crowd, crowd, 5.0).count() == 20_000
+    assert distance.max_score_within(crowd, crowd, 5.0).where("best = 0.99").count() == 20_000
+
+
+def test_null_properties_stay(spark):
+    p = points(spark, [(6.1, 43.4, None)])
+    assert json.loads(sinks.geojson_features(p, {"note": None}).first().feature)["properties"] == {"score": None, "note": None}
+
+
+def test_faces_between_crossing_ways():
+    cross = [[(-1.0, 0.0), (3.0, 0.0)], [(-1.0, 2.0), (3.0, 2.0)], [(0.0, -1.0), (0.0, 3.0)], [(2.0, -1.0), (2.0, 3.0)], [(1.0, -1.0), (1.0, 3.0)]]
+    area = lambda ring: abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))) / 2
+    assert sorted(area(f) for f in windows.faces(cross)) == [2.0, 2.0]
+    assert windows.faces([[(0.0, 0.0), (1.0, 0.0)], [(1.0, 0.0), (1.0, 1.0)]]) == [] and windows.faces([]) == []
+    # A way that ends in the middle of another, one that lies on another, and the same way twice.
+    tee = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)], [(2.0, 0.0), (2.0, 4.0)], [(1.0, 0.0), (3.0, 0.0)], [(2.0, 0.0), (2.0, 4.0)]]
+    assert sorted(area(f) for f in windows.faces(tee)) == [8.0, 8.0]
+
+
+def test_open_ways_fail(spark):
+    ways = spark.createDataFrame([(4, 0, [(0.0, 0.0), (1.0, 1.0)])], "rel_ord int, way_ord int, geometry array<struct<lon:double,lat:double>>")
+    with pytest.raises(Exception, match="no closed boundary in relation 4"):
+        windows.ways_to_polygons(ways).collect()
+
+
+def test_files_on_disk(spark, tmp_path):
+    with pytest.raises(Exception, match="no raster file"):
+        (tmp_path / "empty").mkdir()
+        readers.raster_files(spark, str(tmp_path / "empty"))
+    (tmp_path / "r" / "below").mkdir(parents=True)
+    for name in ("b.tif", "a.jp2", "c.txt", "below/d.tif"):
+        (tmp_path / "r" / name).write_bytes(b"123")
+    names = lambda df: [x.path.rsplit("/", 1)[1] for x in df.collect()]
+    assert names(readers.raster_files(spark, str(tmp_path / "r"))) == ["a.jp2", "b.tif"]
+    assert sorted(names(readers.raster_files(spark, str(tmp_path / "r"), recursive=True))) == ["a.jp2", "b.tif", "d.tif"]
+    chips = spark.createDataFrame([("train", "a", 1, 1, b"abc", "0 1"), ("val", "b", 1, 1, b"def", None)], "part string, name string, height int, width int, pixels binary, label string")
+    sinks.write_chips(chips, str(tmp_path / "chips"))
+    assert sorted((x.part, x.name, bytes(x.pixels), x.label) for x in spark.read.parquet(str(tmp_path / "chips")).collect()) == [("train", "a", b"abc", "0 1"), ("val", "b", b"def", "")]
+    sinks.write_labels(chips, str(tmp_path / "labels"))
+    assert sorted(x.value for x in spark.read.text(str(tmp_path / "labels")).collect()) == ["a\t0 1", "b\t"]
+    assert sinks.test_images_folder(sinks.data_yaml("/x/y")) == "/x/y/images/test"
+    with pytest.raises(ValueError, match="no test images"):
+        sinks.test_images_folder("path: /x\n")
+
+
+def test_cache_and_parts(spark):
+    t = spark.createDataFrame([("a",), ("b",), ("a",)], "key string")
+    hits, misses = readers.cached(t, t.where("key = 'a'").union(spark.createDataFrame([("z",)], "key string")))
+    assert [x.key for x in hits.collect()] == ["a", "a"] and [x.key for x in misses.collect()] == ["b"]
+    assert splits.part_lists(spark.createDataFrame([], "id int, part string")).count() == 0
