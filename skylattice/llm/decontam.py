@@ -126,14 +126,16 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str =
 
 def remove(docs: DataFrame, benchmark: DataFrame, size: int = 10, unit: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated documents, or (unit="spans") with the hit words cut out of their texts; other columns stay."""
+    if unit not in ("documents", "spans"):
+        raise ValueError(f"unit must be documents or spans, not {unit}")
     found = hits(docs, benchmark, size, id_col, text_col)
-    same = docs[id_col].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text_col]) == found["_hash"])
+    # Rows in a struct, so that no column of theirs clashes with the operator's.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    same = rows["id"].eqNullSafe(found["_id"]) & (rows["hash"] == found["_hash"])
     if unit == "documents":
-        return docs.join(found, same, "left_anti")
-    if unit != "spans":
-        raise ValueError(f"unit must be documents or spans, not {unit}")
-    joined = docs.join(found.withColumn("_hit_at", F.col("at")).select("_id", "_hash", "_hit_at"), same, "left")
-    text = F.col(text_col)
+        return rows.join(found, same, "left_anti").select("row.*")
+    text, at = F.col("row")[text_col], F.col("at")
     gaps, own = F.split(text, ANY_CASE_WORD), F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
-    kept = F.concat_ws("", F.transform(gaps, lambda g, i: F.concat(g, F.when((i < F.size(own)) & ~F.array_contains("_hit_at", i), F.get(own, i)).otherwise(""))))
-    return joined.withColumn(text_col, F.when(F.col("_hit_at").isNull(), text).otherwise(kept)).select(*docs.columns)
+    kept = F.concat_ws("", F.transform(gaps, lambda g, i: F.concat(g, F.when((i < F.size(own)) & ~F.array_contains(at, i), F.get(own, i)).otherwise(""))))
+    cut = F.when(at.isNull(), text).otherwise(kept)
+    return rows.join(found, same, "left").select(*((cut if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))

@@ -234,8 +234,11 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column |
 
 def accept(rows: DataFrame, model: TextModel, text: Column, declared: Column | None = None, host: Column | None = None, least: float = 0.5, languages: list[str] | None = None) -> DataFrame:
     """``rows`` whose text is in a known language (of ``languages``, if given) with posterior ``least`` or more; texts without letters go."""
-    found = identify(rows.withColumnRenamed("language", "_language"), model, text, declared, host)
+    spare = "_language"
+    while spare in rows.columns:
+        spare = f"_{spare}"
+    found = identify(rows.withColumnRenamed("language", spare), model, text, declared, host)
     lang = F.col("language.lang")
     ok = (lang != UNKNOWN) & (F.col("language.posterior") >= least) & F.col("language.text_lang").isNotNull()
     kept = found.where(ok if languages is None else ok & lang.isin(*languages)).drop("language")
-    return kept.withColumnRenamed("_language", "language").select(*rows.columns)
+    return kept.withColumnRenamed(spare, "language").select(*rows.columns)

@@ -231,24 +231,25 @@ NOTHING = Field(np.concatenate([np.ones((FEATURES, 1)), np.zeros((FEATURES, STAT
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """Weights from a bounded sample; the driver gets at most SAMPLE_WORDS small rows, no texts."""
+    """Weights from a bounded sample: the SAMPLE_WORDS first words of the SAMPLE_DOCUMENTS distinct texts of least hash; the driver gets these small rows, no texts."""
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].to_pylist()
             n = nodes(texts)
+            h = batch["h"].to_numpy()[n.doc]
             y = _labels(n, [base_spans(t) for t in texts])
             skip = np.full(len(y), -1)
             skip[n.skip[:, 1]] = y[n.skip[:, 0]]
             beside = np.concatenate([[-1], np.where(n.next[:-1], y[:-1], -1)]) if len(y) else y
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * 5), pa.array(n.features.ravel()))
-            yield pa.RecordBatch.from_arrays([lists, pa.array(y), pa.array(beside), pa.array(skip)], ["f", "y", "beside", "skip"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.start), lists, pa.array(y), pa.array(beside), pa.array(skip)], ["h", "at", "f", "y", "beside", "skip"])
 
     # Hashes alone are ordered; the texts up to the last one chosen are then read where they lie.
-    marked = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.lit(7), F.col(id_col), F.length(text_col)).alias("h")).where(F.col("text").rlike("[0-9@]"))
-    last = marked.select("h").orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
-    picked = marked.where(F.col("h") <= last).select("text") if last is not None else marked.select("text").limit(0)
-    t = picked.mapInArrow(featurise, "f array<bigint>, y bigint, beside bigint, skip bigint").limit(SAMPLE_WORDS).toArrow()
+    marked = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.lit(7), F.col(text_col)).alias("h")).where(F.col("text").rlike("[0-9@]"))
+    last = marked.select("h").distinct().orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
+    picked = marked.where(F.col("h") <= last).dropDuplicates(["h"]) if last is not None else marked.limit(0)
+    t = picked.select("text", "h").mapInArrow(featurise, "h bigint, at bigint, f array<bigint>, y bigint, beside bigint, skip bigint").orderBy("h", "at").limit(SAMPLE_WORDS).toArrow()
     if len(t) == 0:
         return NOTHING
     x = np.array(t["f"].combine_chunks().flatten()).reshape(-1, 5)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._batch import LOWER, pieces, word_spans
-from ._store import components, saved
+from ._store import components, discard, saved
 
 #: Fingerprints in one unit of work of the trie join.
 SUBTREE = 100_000
@@ -220,21 +220,33 @@ def links(fingerprints: DataFrame, budget: int = 4, subtree: int = SUBTREE) -> D
     return dealt.mapInArrow(join, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``; component_id is the smallest id reachable over links."""
-    prints = saved(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), width).alias("fp")))
+def _classes(prints: DataFrame, budget: int) -> DataFrame:
+    """``prints`` (doc_id, fp, ...) with root, one fingerprint of the row's group, and component_id, its smallest id."""
     least = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(least.select("fp"), budget))
     grouped = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = saved(grouped.join(ids, "root").select("fp", "root", "component_id"))
+    discard(least)
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``; component_id is the smallest id reachable over links."""
+    prints = saved(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), width).alias("fp")))
+    return _classes(prints, budget).select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: that of the smallest id.  Rows that repeat its id stay; null ids go unless alone."""
-    if docs.isEmpty():
-        return docs
-    classes = near_duplicates(docs, id_col, text_col, width, budget)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_id"]), "left_semi")
+    """``docs`` with one row of each group of near-duplicates: that of the smallest id, a null one only if the group has no other.
+
+    Of rows with that id the one of least hash stays, and of rows with equal id and text any one.
+    """
+    own = [F.xxhash64(F.lit(salt), id_col, text_col) for salt in (1, 2)]
+    prints = saved(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), width).alias("fp"), own[0].alias("k1"), own[1].alias("k2")))
+    first = _classes(prints, budget).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = saved(first.groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2"))
+    discard(prints)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own[0].alias("k1"), own[1].alias("k2"))
+    # The join deals rows out by both keys, so the second step needs no shuffle.
+    return rows.join(keep, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")

@@ -92,3 +92,64 @@ def test_pipeline_stages(spark, tmp_path):
     current = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, current, str(tmp_path)).columns == current.columns
+
+
+def test_spans_keep_clashing_columns(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = spark.createDataFrame([(1, f"Before, {item} after.", 1, 2, 3, "r"), (2, "clean", 4, 5, 6, "q")], "doc_id bigint, text string, _hash int, _id int, at int, row string")
+    bench = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    out = sorted(map(tuple, decontam.remove(docs, bench, unit="spans").collect()))
+    assert out[1] == (2, "clean", 4, 5, 6, "q") and out[0][2:] == (1, 2, 3, "r") and "gamma" not in out[0][1] and out[0][1].startswith("Before,")
+    assert [tuple(r) for r in decontam.remove(docs, bench).collect()] == [out[1]]
+
+
+def test_every_stage_by_brute_force_with_nulls_repeats_ties_and_clashes(spark, tmp_path):
+    """Each stage's rows against what its docstring says, on rows with nulls, empty and very long texts, repeated rows and columns of the operators' names."""
+    import corpus_pipeline
+    from skylattice.llm import langid, pii, simhash
+
+    rng = np.random.default_rng(3)
+    en = ["the", "river", "house", "thing", "there", "with", "mill", "stone"]
+    item = " ".join(rng.choice(en, 12))
+    text = lambda n: " ".join(rng.choice(en, n))
+    rows = [(i, text(50), "en", f"s{i % 2}") for i in range(12)]
+    rows += [rows[0], rows[0], (0, text(40), "en", "s0"), (None, text(45), "en", None), (None, None, None, None), (20, "", "en", "s1"), (21, text(12_000), "en", "s1"), (22, text(5) + " " + item + " end", "en", "s0"), (23, "write x@y.example " + text(40), None, "s1"), (24, rows[3][1], "en", "s0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("bigint"))
+    docs = docs.withColumns({c: F.lit(i) for i, c in enumerate(("row", "k1", "k2", "fp", "root", "_id", "_hash", "at", "language", "_language", "h"))})
+    bench = spark.createDataFrame([(0, item), (None, text(12)), (1, None)], "item_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    stages = dict(corpus_pipeline.STAGES)
+    current = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    kept = stages["language"](spark, current, str(tmp_path))
+    assert kept.columns == current.columns and key(kept) == sorted(((r[0], r[1]) for r in rows if r[1]), key=str)
+    once = stages["near_duplicates"](spark, kept, str(tmp_path))
+    prints = {r.text: r.fp for r in kept.select("text", simhash.fingerprint(F.col("text")).alias("fp")).collect()}
+    all_rows = [(r.doc_id, r.text) for r in kept.collect()]
+    group = list(range(len(all_rows)))
+    for i, (_, a) in enumerate(all_rows):
+        for j, (_, b) in enumerate(all_rows[:i]):
+            if bin((prints[a] ^ prints[b]) & (1 << 64) - 1).count("1") <= 4:
+                x, y = sorted((group[i], group[j]))
+                group = [x if z == y else z for z in group]
+    got = key(once)
+    assert once.columns == current.columns and len(got) == len(set(group))
+    for g in set(group):
+        members = [r for r, z in zip(all_rows, group) if z == g]
+        ids = [m[0] for m in members if m[0] is not None]
+        own = [r for r in got if r in members]
+        assert len(own) == 1 and own[0][0] == (min(ids) if ids else None)
+    clean = stages["decontaminate"](spark, once, str(tmp_path))
+    assert clean.columns == current.columns and key(clean) == [r for r in got if item not in r[1]]
+    red = stages["redact"](spark, clean, str(tmp_path))
+    assert red.columns == current.columns and dict(key(red))[23] == dict(key(clean))[23].replace("x@y.example", "<EMAIL>")
+    assert all(r.n_chars == len(r.text) for r in red.collect()) and [r for r in key(red) if r[0] != 23] == [r for r in key(clean) if r[0] != 23]
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(((r.doc_id, r.n_tokens) for r in out.collect()), key=str) == sorted(((i, len(t.encode(x, add_special_tokens=False).ids)) for i, x in key(red)), key=str)
+    none = current.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0
+    assert langid and pii

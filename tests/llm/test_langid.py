@@ -76,3 +76,48 @@ def test_every_labelled_language_is_known(spark, monkeypatch):
     assert sorted(m.languages) == [f"l{k:02d}" for k in range(70)]
     assert langid.accept(df, m, F.col("text")).count() == len(rows)
     assert all(x.language.lang == x.lang for x in langid.identify(df, m, F.col("text")).collect())
+
+
+def test_fusion_equals_brute_force(spark, model):
+    """Text, declared language and the hierarchy of host priors, each row's own share left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    hosts = ["a.news.fr", "b.news.fr", "x.site.com", "y.site.com", "solo", None]
+    texts = [*EN, *FR, "the", "le", "", None, "123", "la the"]
+    rows = [(i, texts[i * 7 % len(texts)], ["fr", "en", None, "xx"][i * 3 % 4], hosts[i * 5 % 6]) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id int, text string, said string, host string")
+    got = {r.page_id: r.language for r in langid.identify(df, model, F.col("text"), F.col("said"), F.col("host")).collect()}
+    names = [*model.languages, langid.UNKNOWN]
+    k = len(names)
+    ll = model.log_likelihoods(pa.array([r[1] for r in rows], pa.string()))
+    own = np.zeros((60, k))
+    for i, x in enumerate(ll):
+        if x.max() != x.min():
+            own[i] = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    levels = [lambda h: h.split(".")[-1], lambda h: ".".join(h.split(".")[-2:]), lambda h: h]
+    said = np.full((k + 1, k), 0.5)
+    for (_, _, d, _), p in zip(rows, own):
+        if d is not None:
+            said[names.index(d) if d in names else k] += p
+    said = np.log(said / said.sum(axis=0))
+    for i, (page, _, d, h) in enumerate(rows):
+        prior = np.maximum(own.sum(axis=0) + 1 / k - own[i], 1e-9)
+        prior /= prior.sum()
+        for level in levels if h is not None else []:
+            counts = sum((own[j] for j, r in enumerate(rows) if r[3] is not None and level(r[3]) == level(h)), np.zeros(k)) - own[i]
+            counts = np.maximum(counts, 0)
+            prior = (counts + langid.STRENGTH * prior) / (counts.sum() + langid.STRENGTH)
+        score = ll[i] + np.log(np.maximum(prior, 1e-12)) + (0 if d is None else said[names.index(d) if d in names else k])
+        best = int(score.argmax())
+        if not own[i].any() and d is None and h is None:
+            assert got[page].lang == langid.UNKNOWN and got[page].posterior == 0
+            continue
+        assert got[page].lang == names[best]
+        assert got[page].posterior == pytest.approx(1 / np.exp(score - score[best]).sum(), abs=1e-5) and got[page].prior == pytest.approx(prior[best], abs=1e-6)
+        assert (got[page].text_lang is None) == (not own[i].any())
+
+
+def test_accept_keeps_clashing_columns(spark, model):
+    df = spark.createDataFrame([(1, EN[0], "a", "b", "c")], "doc_id int, text string, language string, _language string, _row string")
+    assert [tuple(r) for r in langid.accept(df, model, F.col("text")).collect()] == [(1, EN[0], "a", "b", "c")]

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import hashlib
 import itertools
 import re
@@ -79,3 +80,13 @@ def test_redact(spark, docs):
 def test_nothing_to_learn_from(spark):
     assert pii.report(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     assert pii.report(spark.createDataFrame([(1, "words")], "doc_id bigint, text string")).first().spans == ""
+
+
+def test_weights_hold_their_bound_however_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_DOCUMENTS", 20)
+    monkeypatch.setattr(pii, "SAMPLE_WORDS", 150)
+    rows = [(1, "mail a@b.example now 10.0.0.1")] * 3_000 + [(i, f"call +33 6 12 34 56 {i:02d} or user{i}@host.example at 192.168.0.{i % 250}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"h": F.lit("x"), "at": F.lit(1), "f": F.lit(2)})
+    a, b = pii.fit(docs), pii.fit(docs.repartition(7))
+    assert np.allclose(a.unary, b.unary) and np.allclose(a.skip, b.skip) and (a.unary != pii.NOTHING.unary).any()
+    assert pii.redact(docs).columns == docs.columns

@@ -78,3 +78,15 @@ def test_empty_and_dedup(spark):
     assert simhash.deduplicate(empty).count() == 0
     docs = spark.createDataFrame([(2, "a b c d e"), (1, "A b c d e"), (3, "quite different words here today"), (None, "a b c d e")], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in simhash.deduplicate(docs).collect()) == [1, 3]
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = "one two three four five six", "quite different words stand in this other text here"
+    rows = [(1, a, "x"), (1, a, "x"), (1, a + " " + a, "y"), (2, a, "z"), (None, a, "n"), (None, b, "m"), (None, b, "m"), (3, None, "e"), (4, "", "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string").withColumns({"k1": F.lit(1), "k2": F.lit(2), "fp": F.lit("f"), "root": F.lit(0), "component_id": F.lit(9)})
+    out = simhash.deduplicate(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.row, r.fp) for r in out.collect()), key=str)
+    # Four groups: the text, it twice over, nothing, and the other text.
+    assert len(got) == 4 and (3, None, "e", "f") in got and (None, b, "m", "f") in got and sum(g[0] == 1 for g in got) == 2
+    assert sum(g[1] == a for g in got) <= 1 and sorted(map(tuple, simhash.deduplicate(docs.repartition(5)).select("doc_id", "text").collect()), key=str) == sorted(((g[0], g[1]) for g in got), key=str)
