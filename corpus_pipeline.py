@@ -1,4 +1,8 @@
-"""The corpus pipeline: each stage works on what its predecessor kept, written and read again between them."""
+"""The corpus pipeline: each stage works on what its predecessor kept, written and read again between them.
+
+Columns of any name beside doc_id, text and source go through the first four stages unchanged (n_chars is counted anew
+where texts change); an empty table stays empty.
+"""
 
 import uuid
 
@@ -9,27 +13,27 @@ from skylattice.llm._batch import shared_dir
 
 
 def language(spark, docs, sf_dir):
-    """Keeps texts in a known language; the source counts as the host."""
+    """Keeps texts in a known language; the source counts as the host, a null one as none.  Null texts, and those without letters, go; repeated rows stay."""
     return langid.accept(docs, langid.fit(docs), F.col("text"), host=F.col("source"))
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Keeps the document of the smallest id of each group."""
+    """Keeps one row of each group, that of the smallest id; a null id only if the group has no other."""
     return simhash.deduplicate(docs)
 
 
 def decontaminate(spark, docs, sf_dir):
-    """Keeps documents that hold no benchmark window of 10 words."""
+    """Keeps documents that hold no benchmark window of 10 words; items that are null or without words have none."""
     return decontam.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10)
 
 
 def redact(spark, docs, sf_dir):
-    """Replaces personal data by its kind."""
+    """Replaces personal data by its kind; null texts stay null."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def tokenize(spark, docs, sf_dir):
-    """Adds token count and digests to each document's id."""
+    """Adds token count and digests to each document's id; a null text is empty."""
     return docs.select("doc_id", "lang", "source", "n_chars", bpe.digests(F.col("text")).alias("d")).select("doc_id", "lang", "source", "n_chars", "d.*")
 
 
