@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Pretokens kept with their ids in a Python worker before its cache is emptied.
-CACHE_PRETOKENS = 400_000
+#: Pretokens kept with their ids in a Python worker before its cache is emptied, and the letters of the longest kept.
+CACHE_PRETOKENS, CACHE_LETTERS = 400_000, 64
 
 #: The pretokeniser's pattern, as the vocabulary's public documentation states it.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -166,7 +166,9 @@ class _Cache(dict):
         self._make = make
 
     def __missing__(self, pretoken: str) -> bytes:
-        self[pretoken] = ids = self._make(pretoken)
+        ids = self._make(pretoken)
+        if len(pretoken) <= CACHE_LETTERS:
+            self[pretoken] = ids
         return ids
 
 
