@@ -16,9 +16,15 @@ from .distance import pairs_within
 
 
 def dedup(points: DataFrame, radius_m: float) -> DataFrame:
-    """The kept rows of ``points`` (ord unique, lon, lat, score)."""
-    slim = points.select("ord", "lon", "lat", (-F.coalesce("score", F.lit(0.0))).alias("turn"))
-    both = pairs_within(slim, slim, radius_m).where(F.struct("l.turn", "l.ord") < F.struct("r.turn", "r.ord"))
+    """The kept rows of ``points`` (ord unique, lon, lat, score); those without a place are kept.
+
+    Of points on one spot only the first can be kept, as whatever drops it drops the others, so a crowded spot makes
+    no pairs of its own.
+    """
+    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.isnan("lon") & ~F.isnan("lat")
+    turn = (-F.coalesce("score", F.lit(0.0))).alias("turn")
+    spots = checkpointed(points.where(placed).groupBy("lon", "lat").agg(F.min(F.struct(turn, "ord")).alias("first")).select("first.ord", "lon", "lat", "first.turn"))
+    both = pairs_within(spots, spots, radius_m).where(F.struct("l.turn", "l.ord") < F.struct("r.turn", "r.ord"))
     edges = checkpointed(both.select(F.col("l.ord").alias("first"), F.col("r.ord").alias("then")))
     dropped = None
     while not edges.isEmpty():
@@ -28,7 +34,8 @@ def dedup(points: DataFrame, radius_m: float) -> DataFrame:
         dropped = out if dropped is None else dropped.union(out)
         edges = edges.join(kept, "first", "left_anti").join(out.select(F.col("ord").alias("first")), "first", "left_anti")
         edges = checkpointed(edges.join(out.select(F.col("ord").alias("then")), "then", "left_anti"))
-    return points if dropped is None else points.join(dropped, "ord", "left_anti")
+    heads = spots.select("ord") if dropped is None else spots.select("ord").join(dropped, "ord", "left_anti")
+    return points.join(heads, "ord", "left_semi").select(*points.columns).union(points.where(~placed))
 
 
 def matches(dets: DataFrame, refs: DataFrame, radius_m: float) -> DataFrame:

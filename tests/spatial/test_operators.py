@@ -330,6 +330,10 @@ def test_crowded_spots_make_no_pairs(spark):
     crowd = spark.range(20_000).select("id", F.lit(6.0).alias("lon"), F.lit(43.0).alias("lat"), (F.col("id") % 100 / 100).alias("score"))
     assert distance.exists_within(crowd, crowd, 5.0).count() == 20_000
     assert distance.max_score_within(crowd, crowd, 5.0).where("best = 0.99").count() == 20_000
+    rows = crowd.withColumnRenamed("id", "ord").union(points(spark, [(6.00001, 43.0, 0.98), (6.1, 43.0, None)]).select(F.col("ord") + 20_000, "lon", "lat", "score"))
+    nowhere = spark.createDataFrame([(30_000, None, 43.0, 0.5), (30_001, None, None, None)], rows.schema)
+    kept = greedy.dedup(rows.union(nowhere), 5.0)
+    assert sorted(r.ord for r in kept.collect()) == [99, 20_001, 30_000, 30_001] and kept.columns == rows.columns
 
 
 def test_null_properties_stay(spark):
