@@ -1,15 +1,13 @@
-"""The corpus pipeline: each stage works on what its predecessor kept, written and read again between them.
+"""The corpus pipeline: each stage works on what its predecessor kept, written as Parquet and read again between them; a stage's table goes once the next stage's is written.
 
 Columns of any name beside doc_id, text and source go through the first four stages unchanged (n_chars is counted anew
 where texts change); an empty table stays empty.
 """
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from skylattice.llm import bpe, decontam, langid, pii, simhash
-from skylattice.llm._batch import shared_dir
+from skylattice.llm._store import discard, saved
 
 
 def language(spark, docs, sf_dir):
@@ -43,11 +41,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            docs = saved(docs)
+            if before is not None:
+                discard(before)
+            before = docs
     return docs
