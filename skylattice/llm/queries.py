@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, lm, media, pii, quality, repeats, simhash, toxicity
+from . import bpe, decontam, divergence, langid, lm, media, pii, quality, repeats, simhash, toxicity
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,30 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vector, drawn as a raster: its corners, verified links and group of copies.  The tables hold no images."""
     images = media.rendered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return media.copies(images).withColumnRenamed("image_id", "vec_id")
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language and source: differences of word use from every other source, and the words that mark it."""
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+ORACLES["op12_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+per AS (SELECT k, lang, source, term, count(*) AS n FROM (SELECT k, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM per GROUP BY lang, term HAVING count(*) >= 30),
+size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+cnt AS (SELECT lang, source, term, sum(n) AS n FROM per GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n FROM g JOIN kept k USING (lang) LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+tot AS (SELECT lang, source, sum(n) AS total FROM dense GROUP BY ALL),
+p AS (SELECT lang, source, term, d.n, CAST(1 + (1000000000::HUGEINT * (d.n + 5)) // (t.total + 5 * s.v) AS BIGINT) AS p, CAST(1 + (1000000000::HUGEINT * (d.lang_n + 5)) // (s.total + 5 * s.v) AS BIGINT) AS q
+      FROM dense d JOIN tot t USING (lang, source) JOIN size s USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
