@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, divergence, langid, lm, media, pii, quality, repeats, simhash, toxicity
+from . import bpe, decontam, divergence, langid, lm, media, pii, quality, repeats, sequences, simhash, toxicity
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,9 @@ term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
 SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
 """
+
+
+@query
+def op13_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its place among all tokens and a digest of its ids, read back from the written Arrow files."""
+    return sequences.report(table(spark, sf_dir, "documents"))
