@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, divergence, langid, lm, media, pii, quality, repeats, sequences, simhash, toxicity
+from . import bpe, decontam, divergence, langid, lm, media, pii, quality, repeats, sequences, simhash, toxicity, whitening
 from ._labels import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,9 @@ SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank
 def op13_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its place among all tokens and a digest of its ids, read back from the written Arrow files."""
     return sequences.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and component: whitened coordinates from the exact scatter of the distinct integer vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
