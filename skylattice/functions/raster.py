@@ -315,3 +315,15 @@ def predicted(windows: DataFrame, load: Callable[[], Callable[[list[np.ndarray]]
 def compose_arrays(rgb: Column, irc: Column) -> Column:
     """The composition on arrays of blue, green, red per pixel."""
     return F.transform(rgb, lambda p, i: F.array(F.get(F.get(irc, i), F.lit(2)), F.get(p, F.lit(1)), F.get(p, F.lit(2))))
+
+
+def band_sums(pixels: Column, bands: int = 3) -> Column:
+    """struct<filled, sums>: pixels of an image that aren't 0 in all bands, and the sum of each band."""
+
+    @F.arrow_udf("struct<filled:bigint,sums:array<bigint>>")
+    def out(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            flat = [np.frombuffer(v.as_buffer(), np.uint8).reshape(-1, bands) if v.is_valid else np.zeros((0, bands), np.uint8) for v in column]
+            yield pa.array([{"filled": int(f.any(axis=1).sum()), "sums": f.sum(axis=0, dtype=np.int64).tolist()} for f in flat], pa.struct([("filled", pa.int64()), ("sums", pa.list_(pa.int64()))]))
+
+    return out(pixels)

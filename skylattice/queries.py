@@ -6,14 +6,16 @@ arithmetic that both engines evaluate alike.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geo, raster
-from .operators import distance, evaluate, greedy, splits, windows
-from .sources import readers, sinks
+from .functions import conic, geo, raster
+from .operators import distance, evaluate, greedy, splits, warp, windows
+from .sources import readers, sinks, tiles
 from .streaming import review
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -611,3 +613,94 @@ def raster_documents(spark, sf_dir):
 def tagged_places(spark, sf_dir):
     tags = F.when(F.col("id") % 4 == 0, F.create_map(F.lit("emergency"), F.lit("water_tank"))).when(F.col("id") % 4 == 1, F.create_map(F.lit("water_tank:type"), F.lit("flexible"))).when(F.col("id") % 4 == 2, F.create_map(F.lit("emergency"), F.lit("phone")))
     return readers.tagged_in_box(dets(spark, sf_dir).withColumn("tags", tags), 0.3, 46.9, 0.8, 47.4).select("id")
+
+
+_SCENE = "ras AS (SELECT CAST(s_suppkey AS BIGINT) AS id, 652000e0 + CAST(s_suppkey % 10 AS DOUBLE) * 10.3e0 AS l, 6862000e0 - CAST(floor(s_suppkey / 10) AS DOUBLE) * 8.1e0 AS t FROM supplier)"
+_SIZE = (48, 36, 0.25)  # columns, rows and metres a pixel of the drawn rasters
+_CONE, _RADIUS, _ORIGIN = conic.LAMBERT_93._cone
+_ECC = math.sqrt(conic.LAMBERT_93.e2)
+_R = geo.MERCATOR_RADIUS_M
+_MPP = geo.metres_per_px()
+
+
+def _degrees_sql(e: str, n: str) -> str:
+    """SQL of longitude and latitude (lon, lat) of an easting and northing, the latitude by iteration rather than by series."""
+    x, y = f"({e} - 700000e0)", f"({_ORIGIN + 6_600_000.0!r}::DOUBLE - {n})"
+    t = f"pow(sqrt({x} * {x} + {y} * {y}) / {_RADIUS!r}::DOUBLE, 1 / {_CONE!r}::DOUBLE)"
+    phi = f"(pi() / 2 - 2 * atan({t}))"
+    for _ in range(6):
+        phi = f"list_transform([{phi}], lambda p: pi() / 2 - 2 * atan({t} * pow((1 - {_ECC!r}::DOUBLE * sin(p)) / (1 + {_ECC!r}::DOUBLE * sin(p)), {_ECC / 2!r}::DOUBLE)))[1]"
+    return f"degrees(atan2({x}, {y}) / {_CONE!r}::DOUBLE) + 3 AS lon, degrees({phi}) AS lat"
+
+
+_MERCATOR = f"radians(lon) * {_R!r}::DOUBLE AS mx, ln(tan(pi() / 4 + radians(lat) / 2)) * {_R!r}::DOUBLE AS my"
+_EDGES_OF = f"""edge AS (SELECT id, l + {_SIZE[0] * _SIZE[2]}e0 * a / 22 AS e, t - {_SIZE[1] * _SIZE[2]}e0 * b / 22 AS n FROM ras, (SELECT i AS a, 0 AS b FROM range(23) x(i) UNION SELECT i, 22 FROM range(23) x(i) UNION SELECT 0, i FROM range(23) x(i) UNION SELECT 22, i FROM range(23) x(i))),
+deg AS (SELECT id, {_degrees_sql('e', 'n')} FROM edge), mer AS (SELECT id, {_MERCATOR} FROM deg),
+bnd AS (SELECT id, min(mx) AS l3, min(my) AS b3, max(mx) AS r3, max(my) AS t3 FROM mer GROUP BY id)"""
+
+
+def _scene(spark, sf_dir):
+    """A raster a supplier, side by side with overlaps, as blocks of 20 x 20 pixels whose numbers follow from their place."""
+    w, h, res = _SIZE
+    ras = table(spark, sf_dir, "supplier").selectExpr("CAST(s_suppkey AS BIGINT) AS ord", "652000D + CAST(s_suppkey % 10 AS DOUBLE) * 10.3D AS left", "6862000D - CAST(floor(s_suppkey / 10) AS DOUBLE) * 8.1D AS top")
+    ras = ras.withColumns({"res": F.lit(res), "width": F.lit(w), "height": F.lit(h)})
+    blocks = ras.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(w - 1), F.lit(20)))).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(h - 1), F.lit(20))))
+    blocks = blocks.withColumns({"w": F.least(F.lit(20), w - F.col("col")), "h": F.least(F.lit(20), h - F.col("row"))})
+    value = "transform(sequence(0, w * h * 3 - 1), i -> lpad(hex((ord * 13 + (row + i div (w * 3)) * 3 + (col + (i div 3) % w) * 5 + (i % 3) * 40) % 251), 2, '0'))"
+    return blocks.withColumn("pixels", F.expr(f"unhex(array_join({value}, ''))"))
+
+
+@query(f"WITH {_SCENE}, {_EDGES_OF} SELECT id, round(l3, 3) AS w, round(b3, 3) AS s, round(r3, 3) AS e, round(t3, 3) AS n FROM bnd")
+def projected_bounds(spark, sf_dir):
+    """Mercator bounds of rasters in the conic projection, with points put on their edges."""
+    w, h, res = _SIZE
+    ras = _scene(spark, sf_dir).where("col = 0 and row = 0")
+    box = F.struct("left", (F.col("top") - h * res).alias("bottom"), (F.col("left") + w * res).alias("right"), "top")
+    return ras.select(F.col("ord").alias("id"), conic.mercator_bounds(box).alias("b")).select("id", *(r(F.col(f"b.{k}")).alias(a) for a, k in zip("wsen", ("left", "bottom", "right", "top"))))
+
+
+def _number(r_: str, c: str, k: int) -> str:
+    return f"CAST((id * 13 + {r_} * 3 + {c} * 5 + {k * 40}) % 251 AS DOUBLE)"
+
+
+def _between(k: int) -> str:
+    return f"floor(({_number('r0', 'c0', k)} * (1 - fu) + {_number('r0', 'c1', k)} * fu) * (1 - fv) + ({_number('r1', 'c0', k)} * (1 - fu) + {_number('r1', 'c1', k)} * fu) * fv + 0.5e0)"
+
+
+_T = f"(ln(tan(pi() / 4 - radians(lat) / 2)) - {_ECC / 2!r}::DOUBLE * ln((1 - {_ECC!r}::DOUBLE * sin(radians(lat))) / (1 + {_ECC!r}::DOUBLE * sin(radians(lat)))))"
+_WARPED = f"""{_SCENE}, {_EDGES_OF},
+box AS (SELECT id, CAST(floor((l3 + {_HALF}) / {_MPP!r}::DOUBLE) AS BIGINT) AS x0, CAST(ceil((r3 + {_HALF}) / {_MPP!r}::DOUBLE) AS BIGINT) AS x1, CAST(floor(({_HALF} - t3) / {_MPP!r}::DOUBLE) AS BIGINT) AS y0, CAST(ceil(({_HALF} - b3) / {_MPP!r}::DOUBLE) AS BIGINT) AS y1 FROM bnd),
+spot AS (SELECT id, gx, unnest(range(y0, y1)) AS gy FROM (SELECT *, unnest(range(x0, x1)) AS gx FROM box)),
+ll AS (SELECT *, degrees(((gx + 0.5e0) * {_MPP!r}::DOUBLE - {_HALF}) / {_R!r}::DOUBLE) AS lon, degrees(2 * atan(exp(({_HALF} - (gy + 0.5e0) * {_MPP!r}::DOUBLE) / {_R!r}::DOUBLE))) - 90 AS lat FROM spot),
+en AS (SELECT id, gx, gy, {_RADIUS!r}::DOUBLE * exp({_CONE!r}::DOUBLE * {_T}) AS ra, {_CONE!r}::DOUBLE * radians(lon - 3) AS th FROM ll),
+src AS (SELECT en.id, gx, gy, (ra * sin(th) + 700000e0 - l) / {_SIZE[2]}e0 AS sx, (t - ({_ORIGIN + 6_600_000.0!r}::DOUBLE - ra * cos(th))) / {_SIZE[2]}e0 AS sy FROM en JOIN ras USING (id)),
+near AS (SELECT id, gx, gy, greatest(0, CAST(floor(sx - 0.5e0) AS BIGINT)) AS c0, least({_SIZE[0] - 1}, CAST(floor(sx - 0.5e0) AS BIGINT) + 1) AS c1, greatest(0, CAST(floor(sy - 0.5e0) AS BIGINT)) AS r0, least({_SIZE[1] - 1}, CAST(floor(sy - 0.5e0) AS BIGINT) + 1) AS r1,
+ sx - 0.5e0 - floor(sx - 0.5e0) AS fu, sy - 0.5e0 - floor(sy - 0.5e0) AS fv FROM src WHERE sx >= 0 AND sx < {_SIZE[0]} AND sy >= 0 AND sy < {_SIZE[1]}),
+val AS (SELECT id, gx, gy, CAST({_between(0)} AS BIGINT) AS b0, CAST({_between(1)} AS BIGINT) AS b1, CAST({_between(2)} AS BIGINT) AS b2 FROM near),
+won AS (SELECT gx, gy, arg_max(b0, id) AS b0, arg_max(b1, id) AS b1, arg_max(b2, id) AS b2 FROM val WHERE b0 + b1 + b2 > 0 GROUP BY gx, gy)"""
+
+
+@query(f"WITH {_WARPED} SELECT gx // 256 AS x, gy // 256 AS y, count(*) AS filled, CAST(sum(b0) AS BIGINT) AS s0, CAST(sum(b1) AS BIGINT) AS s1, CAST(sum(b2) AS BIGINT) AS s2 FROM won GROUP BY 1, 2")
+def warped_tiles(spark, sf_dir):
+    """Overlapping rasters of the conic projection as Mercator tiles: pixels and band sums of each."""
+    sums = warp.warped(_scene(spark, sf_dir)).select("x", "y", raster.band_sums(F.col("pixels")).alias("b"))
+    return sums.select("x", "y", "b.filled", *(F.col("b.sums")[k].alias(f"s{k}") for k in range(3)))
+
+
+_CENTRES = f"mid AS (SELECT id, {_degrees_sql(f'(l + {_SIZE[0] * _SIZE[2] / 2}e0)', f'(t - {_SIZE[1] * _SIZE[2] / 2}e0)')} FROM ras)"
+
+
+@query(
+    f"""WITH {_WARPED}, {_CENTRES}, win AS (SELECT id, CAST(round_even({_gx('lon')} - 32, 0) AS BIGINT) AS x0, CAST(round_even({_gy('lat')} - 32, 0) AS BIGINT) AS y0 FROM mid)
+SELECT win.id, count(gx) AS filled, CAST(coalesce(sum(b2), 0) AS BIGINT) AS blue, CAST(coalesce(sum(b0), 0) AS BIGINT) AS red FROM win LEFT JOIN won ON gx >= x0 AND gx < x0 + 64 AND gy >= y0 AND gy < y0 + 64 GROUP BY win.id"""
+)
+def world_windows(spark, sf_dir):
+    """Windows round the rasters' centres, read from the bucketed table of the warped tiles."""
+    w, h, res = _SIZE
+    scene = _scene(spark, sf_dir)
+    name = f"tiles_{uuid.uuid4().hex}"
+    tiles.write_tiles(warp.warped(scene), name, buckets=8)
+    lon, lat = conic.LAMBERT_93.inverse(F.col("left") + w * res / 2, F.col("top") - h * res / 2)
+    points = scene.where("col = 0 and row = 0").select(F.col("ord").alias("id"), lon.alias("lon"), lat.alias("lat"))
+    found = tiles.read_windows(spark.table(name), points, px=64).select("id", raster.band_sums(F.col("pixels")).alias("b"))
+    return found.select("id", "b.filled", F.col("b.sums")[0].alias("blue"), F.col("b.sums")[2].alias("red"))
