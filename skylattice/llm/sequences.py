@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,50 +33,61 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from ._batch import shared_dir
+from ._batch import pieces, shared_dir
 from .bpe import default_path
 
 #: Tokens of a sequence (a multiple of 8, so that masks begin on bytes) and rows of a record batch.
 LENGTH, BATCH = 1024, 256
 
 #: Chunks kept with their ids in a Python worker before its cache is emptied, and the letters of the longest kept.
-CACHE_CHUNKS, CACHE_LETTERS = 400_000, 64
+CACHE_CHUNKS, CACHE_LETTERS = 600_000, 64
 
 MANIFEST = "manifest.json"
 
 #: The letters of Unicode's White_Space.
 SPACES = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
-#: White space with the run of other letters behind it.  No pretoken of a byte-level vocabulary goes on from a letter to
-#: white space, and what a pretoken is depends on nothing before it, so chunks can be encoded one by one.
-_chunks = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+").findall
+#: Chunks that can be encoded one by one: a byte-level vocabulary's pretokens don't go on from a letter to an ASCII
+#: character that is none, nor from any other character to white space, and what a pretoken is depends on nothing before
+#: it.  Words of Latin letters, then marks before white space, then white space with the run of characters behind it.
+_LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_chunks = re.compile(f" ?[{_LATIN}]+(?=[\\x00-\\x40\\x5b-\\x60\\x7b-\\x7f]|\\Z)|[.,;:!?)\"-]+(?=[{SPACES}]|\\Z)|[{SPACES}]*[^{SPACES}]+|[{SPACES}]+").findall
+
+
+class _Known(dict):
+    """The ids of chunks as little-endian integers, by the library where they aren't known yet."""
+
+    def __init__(self, library, code: str):
+        super().__init__()
+        self._encode, self._code = library.encode, code
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = array(self._code, self._encode(chunk, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        raw = ids.tobytes()
+        if len(chunk) <= CACHE_LETTERS:
+            self[chunk] = raw
+        return raw
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, which sees each distinct chunk of a text once."""
+    """Ids of texts by the tokenizers library, which sees each distinct chunk of the texts once."""
 
     def __init__(self, path: str):
         import tokenizers
 
-        self._library = tokenizers.Tokenizer.from_file(path)
-        self._library.no_truncation()
-        self._library.no_padding()
-        self.width = np.dtype("<u2" if self._library.get_vocab_size() <= 1 << 16 else "<u4")
-        self._known: dict[str, bytes] = {}
+        library = tokenizers.Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        self.width = np.dtype("<u2" if library.get_vocab_size() <= 1 << 16 else "<u4")
+        self._known = _Known(library, "H" if self.width.itemsize == 2 else "I")
 
     def __call__(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of ``width``."""
-        known, chunks = self._known, _chunks(text)
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        found = dict(zip(new, (np.array(e.ids, self.width).tobytes() for e in self._library.encode_batch_fast(new, add_special_tokens=False))))
-        known.update((c, ids) for c, ids in found.items() if len(c) <= CACHE_LETTERS)
-        return b"".join(found[c] if c in found else known[c] for c in chunks)
+        if len(self._known) > CACHE_CHUNKS:
+            self._known.clear()
+        return b"".join(map(self._known.__getitem__, _chunks(text)))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -173,10 +186,12 @@ class _Writer(DataSourceArrowWriter):
         try:
             with fs.open_output_stream(f"{folder}/{name}") as sink, pa.ipc.new_file(sink, schema) as out:
                 for batch in batches:
-                    for doc_id, text in zip(batch.column(0), batch.column(1)):
-                        for full in rows.add(encode(text.as_py() or "") + end, doc_id.as_py()):
-                            out.write_batch(full)
-                            n += full.num_rows
+                    for i, j, _, _ in pieces(batch.column(1)):
+                        some = batch.slice(i, j - i)
+                        for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                            for full in rows.add(encode(text or "") + end, doc_id):
+                                out.write_batch(full)
+                                n += full.num_rows
                 for last in rows.rest():
                     out.write_batch(last)
                     n += last.num_rows
