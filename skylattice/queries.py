@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import conic, geo, raster
-from .operators import distance, evaluate, greedy, splits, warp, windows
+from .operators import distance, evaluate, greedy, metrics, splits, warp, windows
 from .sources import readers, sinks, tiles
 from .streaming import review
 
@@ -704,3 +704,58 @@ def world_windows(spark, sf_dir):
     points = scene.where("col = 0 and row = 0").select(F.col("ord").alias("id"), lon.alias("lon"), lat.alias("lat"))
     found = tiles.read_windows(spark.table(name), points, px=64).select("id", raster.band_sums(F.col("pixels")).alias("b"))
     return found.select("id", "b.filled", F.col("b.sums")[0].alias("blue"), F.col("b.sums")[2].alias("red"))
+
+
+_LABEL_BOX = """CAST(o_orderkey % 300 AS BIGINT) AS image, CAST(o_orderkey % 3 AS INT) AS cls, CAST(o_orderkey AS BIGINT) AS ord,
+  CAST(o_orderkey * 7919 % 6007 AS DOUBLE) / 10 AS x0, CAST(o_orderkey * 10007 % 6011 AS DOUBLE) / 10 AS y0, CAST(8 + o_orderkey % 23 AS DOUBLE) AS w, CAST(8 + o_orderkey % 19 AS DOUBLE) AS h"""
+# Later lines lie farther off, are less certain and of another class now and then.
+_PRED_BOX = """image, CAST((cls + CASE WHEN (l_partkey + l_linenumber) % 13 = 0 THEN 1 ELSE 0 END) % 3 AS INT) AS cls, ((ord * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey AS ord,
+  x0 + w * l_linenumber * CAST(l_partkey * 31 % 21 - 10 AS DOUBLE) / 200 AS x0, y0 + h * l_linenumber * CAST(l_suppkey * 53 % 21 - 10 AS DOUBLE) / 200 AS y0,
+  w * (1 + CAST(l_partkey % 9 - 4 AS DOUBLE) / 40) AS w, h * (1 + CAST(l_suppkey % 9 - 4 AS DOUBLE) / 40) AS h, CAST(l_partkey * 613 % 997 AS DOUBLE) / 997 / l_linenumber AS score"""
+_EDGES_BOX = "x0, y0, x0 + w AS x1, y0 + h AS y1"
+_METRICS = f"""WITH b AS (SELECT {_LABEL_BOX} FROM orders), lab AS (SELECT image, cls, ord, {_EDGES_BOX} FROM b),
+p0 AS (SELECT {_PRED_BOX} FROM lineitem JOIN b ON b.ord = l_orderkey), pred AS (SELECT DISTINCT image, cls, ord, {_EDGES_BOX}, score FROM p0),
+pair AS (SELECT p.image, p.cls, p.ord AS pred, l.ord AS label, p.score, greatest(0, least(p.x1, l.x1) - greatest(p.x0, l.x0)) * greatest(0, least(p.y1, l.y1) - greatest(p.y0, l.y0)) AS inter,
+ (p.x1 - p.x0) * (p.y1 - p.y0) + (l.x1 - l.x0) * (l.y1 - l.y0) AS area FROM pred p JOIN lab l ON p.image = l.image AND p.cls = l.cls AND p.x0 < l.x1 AND l.x0 < p.x1 AND p.y0 < l.y1 AND l.y0 < p.y1),
+best AS (SELECT * FROM (SELECT *, inter / (area - inter) AS iou, row_number() OVER (PARTITION BY image, cls, pred ORDER BY inter / (area - inter) DESC, label) AS k FROM pair) WHERE k = 1),
+thr AS (SELECT i AS level, (50 + 5 * i) / 100e0 AS t FROM range(10) x(i)),
+tp AS (SELECT image, cls, pred, level FROM (SELECT *, row_number() OVER (PARTITION BY image, cls, label, level ORDER BY score DESC, pred) AS q FROM best JOIN thr ON iou >= t) WHERE q = 1),
+cnt AS (SELECT l.cls, n, coalesce(m, 0) AS m FROM (SELECT cls, count(*) AS n FROM lab GROUP BY cls) l LEFT JOIN (SELECT cls, count(*) AS m FROM pred GROUP BY cls) USING (cls)),
+pos AS (SELECT image, cls, ord, score, row_number() OVER (PARTITION BY cls ORDER BY score DESC, image, ord) AS pos FROM pred WHERE cls IN (SELECT cls FROM cnt)),
+hit AS (SELECT p.cls, thr.level, p.pos, p.score, count(tp.pred) OVER (PARTITION BY p.cls, thr.level ORDER BY p.pos) AS k FROM pos p CROSS JOIN thr LEFT JOIN tp ON tp.image = p.image AND tp.cls = p.cls AND tp.pred = p.ord AND tp.level = thr.level),
+env AS (SELECT *, max(k / pos) OVER (PARTITION BY cls, level ORDER BY pos DESC) AS e FROM hit),
+flat AS (SELECT cls, level, k, max_by(e, pos) AS last, min_by(e, pos) AS first FROM (SELECT cls, level, pos, k, e FROM env UNION ALL SELECT cls, level, 0, 0, 1e0 FROM cnt, thr) GROUP BY ALL),
+low AS (SELECT cls, level, k, k / n AS rec, CASE WHEN k = 0 AND m = 0 THEN 0 ELSE last END AS last, lead(k / n) OVER w AS rec2, lead(first) OVER w AS high FROM flat JOIN cnt USING (cls) WINDOW w AS (PARTITION BY cls, level ORDER BY k)),
+g AS (SELECT cls, level, i, i * 0.01e0 AS x FROM cnt, thr, range(101) y(i)),
+val AS (SELECT g.cls, g.level, i, CASE WHEN i = 100 THEN 0 WHEN coalesce(rec2, 1) <= rec THEN last ELSE last + (x - rec) / (coalesce(rec2, 1) - rec) * (coalesce(high, 0) - last) END AS v FROM g ASOF JOIN low ON g.cls = low.cls AND g.level = low.level AND g.x >= low.rec),
+ap AS (SELECT cls, level, sum(v * CASE WHEN i IN (0, 100) THEN 0.5e0 ELSE 1 END) / 100 AS ap FROM val GROUP BY cls, level),
+one AS (SELECT cls, pos, score, k FROM hit WHERE level = 0), lev AS (SELECT cls, score, max(pos) AS pos, max(k) AS k FROM one GROUP BY cls, score),
+cg AS (SELECT cls, n, m, i, i * (1e0 / 999) AS x FROM cnt, range(1000) y(i)),
+cj AS (SELECT cg.*, lev.score AS s, lev.pos, lev.k FROM cg ASOF LEFT JOIN lev ON cg.cls = lev.cls AND cg.x <= lev.score),
+cur AS (SELECT a.cls, i, CASE WHEN m = 0 THEN 0 WHEN a.pos IS NULL THEN 1 WHEN b.pos IS NULL THEN a.k / a.pos ELSE a.k / a.pos + (s - x) / (s - b.score) * (b.k / b.pos - a.k / a.pos) END AS p,
+ CASE WHEN m = 0 OR a.pos IS NULL THEN 0 WHEN b.pos IS NULL THEN a.k / n ELSE a.k / n + (s - x) / (s - b.score) * (b.k / n - a.k / n) END AS r FROM cj a LEFT JOIN one b ON b.cls = a.cls AND b.pos = a.pos + 1),
+f1 AS (SELECT i, avg(2 * p * r / (p + r + 1e-16)) AS f FROM cur GROUP BY i),
+sm AS (SELECT c.i, round(avg(f), 12) AS f FROM (SELECT i, greatest(0, least(999, i + d - 50)) AS j FROM range(1000) y(i), range(101) z(d)) c JOIN f1 ON f1.i = c.j GROUP BY c.i),
+top AS (SELECT i FROM sm ORDER BY f DESC, i LIMIT 1),
+cls AS (SELECT c.cls, n AS n_labels, m AS n_preds, p, r, ap50, ap FROM cnt c JOIN (SELECT cls, p, r FROM cur JOIN top USING (i)) USING (cls) JOIN (SELECT cls, max(ap) FILTER (level = 0) AS ap50, avg(ap) AS ap FROM ap GROUP BY cls) USING (cls))"""
+
+
+def _boxes(spark, sf_dir):
+    b = table(spark, sf_dir, "orders").selectExpr(f"struct({_LABEL_BOX}) AS b").select("b.*")
+    predictions = table(spark, sf_dir, "lineitem").join(b, F.col("ord") == F.col("l_orderkey")).selectExpr(f"struct({_PRED_BOX}) AS b").select("b.*")
+    edges = lambda df, *more: df.selectExpr("image", "cls", "ord", "x0", "y0", "x0 + w AS x1", "y0 + h AS y1", *more)
+    return edges(predictions, "score"), edges(b)
+
+
+@query(f"{_METRICS} SELECT cls, n_labels, n_preds, round(p, 6) AS precision, round(r, 6) AS recall, round(ap50, 6) AS ap50, round(ap, 6) AS ap FROM cls")
+def class_metrics(spark, sf_dir):
+    """Precision, recall and average precision of each class."""
+    found = metrics.by_class(*_boxes(spark, sf_dir))
+    return found.select("cls", "n_labels", "n_preds", *(r(F.col(c), 6).alias(c) for c in ("precision", "recall", "ap50", "ap")))
+
+
+@query(f"{_METRICS} SELECT round(avg(p), 6) AS mp, round(avg(r), 6) AS mr, round(avg(ap50), 6) AS map50, round(avg(ap), 6) AS map, CASE WHEN avg(ap50) >= 0.6e0 THEN 'ATTEINT' ELSE 'NON ATTEINT' END AS verdict FROM cls")
+def detection_metrics(spark, sf_dir):
+    """Means over the classes, and whether the goal is reached."""
+    found = metrics.summary(metrics.by_class(*_boxes(spark, sf_dir)))
+    return found.select(*(r(F.col(c), 6).alias(c) for c in ("mp", "mr", "map50", "map")), "verdict")
