@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions import conic, geo, raster
 from .operators import distance, evaluate, greedy, metrics, splits, warp, windows
-from .sources import readers, sinks, tiles
+from .sources import fetch, readers, sinks, tiles
 from .streaming import review
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -759,3 +759,27 @@ def detection_metrics(spark, sf_dir):
     """Means over the classes, and whether the goal is reached."""
     found = metrics.summary(metrics.by_class(*_boxes(spark, sf_dir)))
     return found.select(*(r(F.col(c), 6).alias(c) for c in ("mp", "mr", "map50", "map")), "verdict")
+
+
+@query(
+    f"""WITH {BASE}, t AS (SELECT DISTINCT {_TILE} FROM assets), k AS (SELECT '19_' || x || '_' || y || '.jpg' AS key, x, y FROM t)
+SELECT key, CASE WHEN (x + y) % 3 = 0 THEN 'hit' WHEN (x + 2 * y) % 5 = 0 THEN 'failed' ELSE 'fetched' END AS status, CASE WHEN (x + y) % 3 = 0 OR (x + 2 * y) % 5 > 0 THEN md5('tile ' || x || ' ' || y) END AS content FROM k"""
+)
+def tile_fetch(spark, sf_dir):
+    """Tiles through a cache table: a third is there, the rest is asked of a session, and a fifth of that always fails."""
+    x, y = geo.tile_of(F.col("lon"), F.col("lat"))
+    sought = assets(spark, sf_dir).select(x.alias("x"), y.alias("y"), geo.tile_key(x, y, F.lit("A"), "A").alias("key"), geo.tile_url(x, y, "{x} {y}", "A").alias("url"))
+    name = f"tile_cache_{uuid.uuid4().hex}"
+
+    def session():
+        def get(url):
+            x, y = map(int, url.split())
+            if (x + 2 * y) % 5 == 0 and (x + y) % 3:
+                raise OSError("lost")
+            return f"tile {url}".encode()
+
+        return get
+
+    fetch.prefetch(sought.where("(x + y) % 3 = 0"), name, session).count()
+    status = fetch.prefetch(sought, name, session, fetch.Retry(2, 0.0))
+    return fetch.contents(status, name).select("key", "status", F.md5("content").alias("content"))
