@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import struct
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -317,6 +319,86 @@ def compose_arrays(rgb: Column, irc: Column) -> Column:
     return F.transform(rgb, lambda p, i: F.array(F.get(F.get(irc, i), F.lit(2)), F.get(p, F.lit(1)), F.get(p, F.lit(2))))
 
 
+def encoded_png(bgr: np.ndarray) -> bytes:
+    """An image (h, w, 3) as a PNG file: each line less the line above it, deflated."""
+    h, w = bgr.shape[:2]
+    rgb = bgr[..., ::-1].reshape(h, w * 3)
+    lines = np.empty((h, 1 + w * 3), np.uint8)
+    lines[:, 0] = 2
+    lines[0, 1:] = rgb[0]
+    np.subtract(rgb[1:], rgb[:-1], out=lines[1:, 1:])
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(lines.tobytes(), 6)) + part(b"IEND", b"")
+
+
+def png(height: str, width: str, pixels: str) -> Column:
+    """The PNG file of an image's columns; null for an unreadable one."""
+
+    @F.arrow_udf("binary")
+    def out(h: pa.Array, w: pa.Array, raw: pa.Array) -> pa.Array:
+        images = (_image(p.as_py(), a, b) if a and b and a > 0 and b > 0 else None for a, b, p in zip(h.to_pylist(), w.to_pylist(), raw))
+        return pa.array([None if i is None else encoded_png(i) for i in images], pa.binary())
+
+    return out(height, width, pixels)
+
+
+def resized(bgr: np.ndarray, side: int) -> np.ndarray:
+    """A square of ``side`` pixels, each between the four nearest pixel centres."""
+
+    def places(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.clip((np.arange(side) + 0.5) * (n / side) - 0.5, 0, n - 1)
+        low = np.floor(at).astype(np.int64)
+        return low, np.minimum(low + 1, n - 1), at - low
+
+    (r0, r1, fr), (c0, c1, fc) = places(bgr.shape[0]), places(bgr.shape[1])
+    lines = bgr.astype(np.float64)
+    lines = lines[r0] * (1 - fr)[:, None, None] + lines[r1] * fr[:, None, None]
+    return np.floor(lines[:, c0] * (1 - fc)[:, None] + lines[:, c1] * fc[:, None] + 0.5).astype(np.uint8)
+
+
+def framed(bgr: np.ndarray, x0: int, y0: int, x1: int, y1: int) -> np.ndarray:
+    """A copy with a red frame, two pixels wide, on a box's edges."""
+    out, (h, w) = bgr.copy(), bgr.shape[:2]
+    a, b, c, d = max(0, x0 - 1), max(0, y0 - 1), min(w, x1 + 1), min(h, y1 + 1)
+    for top, bottom, left, right in ((b, y0 + 1, a, c), (max(0, y1 - 1), d, a, c), (b, d, a, x0 + 1), (b, d, max(0, x1 - 1), c)):
+        out[top : max(top, bottom), left : max(left, right)] = (0, 0, 255)
+    return out
+
+
+def thumbnail(height: str, width: str, pixels: str, x0: str, y0: str, x1: str, y1: str, side: int) -> Column:
+    """``side`` x ``side`` pixels of an image with its box framed; null for an unreadable image."""
+
+    @F.arrow_udf("binary")
+    def out(*columns: pa.Array) -> pa.Array:
+        found = []
+        for h, w, raw, *box in zip(*(c.to_pylist() for c in columns)):
+            image = _image(raw, h, w) if h and w and h > 0 and w > 0 else None
+            if image is not None and None not in box:
+                image = framed(image, *map(int, box))
+            found.append(None if image is None else resized(image, side).tobytes())
+        return pa.array(found, pa.binary())
+
+    return out(height, width, pixels, x0, y0, x1, y1)
+
+
+def sheet(slots: Column, columns: int, side: int, empty: int = 50) -> Column:
+    """struct<height, width, pixels>: thumbnails (r, c, pixels) in their slots, rows up to the last one used."""
+    kind = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("pixels", pa.binary())])
+
+    @F.arrow_udf("struct<height:int,width:int,pixels:binary>")
+    def out(column: pa.Array) -> pa.Array:
+        found = []
+        for some in column.to_pylist():
+            board = np.full(((1 + max(s["r"] for s in some)) * side, columns * side, 3), empty, np.uint8)
+            for s in some:
+                if s["pixels"] is not None:
+                    board[s["r"] * side : (s["r"] + 1) * side, s["c"] * side : (s["c"] + 1) * side] = np.frombuffer(s["pixels"], np.uint8).reshape(side, side, 3)
+            found.append({"height": board.shape[0], "width": board.shape[1], "pixels": board.tobytes()})
+        return pa.array(found, kind)
+
+    return out(slots)
+
+
 def band_sums(pixels: Column, bands: int = 3) -> Column:
     """struct<filled, sums>: pixels of an image that aren't 0 in all bands, and the sum of each band."""
 

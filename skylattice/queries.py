@@ -783,3 +783,14 @@ def tile_fetch(spark, sf_dir):
     fetch.prefetch(sought.where("(x + y) % 3 = 0"), name, session).count()
     status = fetch.prefetch(sought, name, session, fetch.Retry(2, 0.0))
     return fetch.contents(status, name).select("key", "status", F.md5("content").alias("content"))
+
+
+@query(
+    f"""WITH g AS ({_GREY}), f AS (SELECT * FROM g ORDER BY id LIMIT 48), p AS (SELECT i, greatest(0, (i + 0.5e0) * 0.1875e0 - 0.5e0) AS u FROM range(128) x(i)),
+v AS (SELECT CASE WHEN floor(u) < 11 THEN a WHEN floor(u) >= 12 THEN b ELSE floor(a * (1 - (u - 11)) + b * (u - 11) + 0.5e0) END AS v FROM f, p)
+SELECT CAST(ceil((SELECT count(*) FROM f) / 8) * 128 AS INTEGER) AS height, 1024 AS width, CAST(sum(v) * 128 AS BIGINT) + 50 * 16384 * ((8 - (SELECT count(*) FROM f) % 8) % 8) AS total FROM v"""
+)
+def contact_sheet(spark, sf_dir):
+    """A contact sheet of 48 slots: its size and the sum of its pixels."""
+    crops = _grey(spark, sf_dir).withColumnRenamed("id", "ord").withColumns({k: F.lit(None).cast("double") for k in ("x0", "y0", "x1", "y1")})
+    return sinks.contact_sheet(crops).select("height", "width", raster.band_sums(F.col("pixels")).alias("b")).select("height", "width", F.col("b.sums")[0].alias("total"))

@@ -1,7 +1,7 @@
 """Writers of point files, tasks, labels and review pages.
 
-Texts of features are columns, so that they are made on the executors; a single document is put together by the
-driver only for files that other tools read whole, and it fails beyond ``DOCUMENT_FEATURES``.
+Texts of features are columns, so that they are made on the executors; a document that other tools read whole is written
+in parts that a commit joins.  Only ``page``, which returns a text, gathers its features, ``DOCUMENT_FEATURES`` at most.
 """
 
 from __future__ import annotations
@@ -10,9 +10,13 @@ import json
 import re
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import raster
+from . import documents
+
 #: Features that one document holds at most; larger results are written line by line.
 DOCUMENT_FEATURES = 200_000
 
@@ -42,13 +46,33 @@ def write_lines(features: DataFrame, path: str) -> None:
     features.select("feature").write.mode("overwrite").text(path)
 
 
+def _indented(text: Column) -> Column:
+    """JSON text over several lines, as it stands in an array of a document that is indented by two."""
+
+    @F.arrow_udf("string")
+    def out(column: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=2).replace("\n", "\n    ") for t in column.to_pylist()], pa.string())
+
+    return out(text)
+
+
 def write_collection(features: DataFrame, path: str) -> None:
-    """One feature collection in one local file, in order."""
-    rows = features.orderBy("ord").limit(DOCUMENT_FEATURES + 1).collect()
-    if len(rows) > DOCUMENT_FEATURES:
-        raise ValueError(f"over {DOCUMENT_FEATURES} features: use write_lines")
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps({"type": "FeatureCollection", "features": [json.loads(r.feature) for r in rows]}, ensure_ascii=False, indent=2), encoding="utf-8")
+    """One feature collection (ord, feature) in one file, in order, in UTF-8 and indented by two; without features its array is empty."""
+    documents.write_document(
+        features, path, [F.col("ord")], _indented(F.col("feature")), head='{\n  "type": "FeatureCollection",\n  "features": [', group_head="\n    ", between=",\n    ", group_tail="\n  ", tail="]\n}"
+    )
+
+
+#: Where a page's template takes its layers.
+MARKER = "/*LAYERS*/"
+
+
+def write_page(template: str, layers_: DataFrame, path: str) -> None:
+    """A file of ``template`` with its marker replaced by the layers (layer, ord, feature) as JSON, of any number of features."""
+    before, marker, after = template.partition(MARKER)
+    if not marker:
+        raise ValueError("the template has no place for layers")
+    documents.write_document(layers_, path, [F.col("ord")], F.col("feature"), F.col("layer"), head=before + "{", group_head="{group}:[", between=",", group_tail="]", group_between=",", tail="}" + after)
 
 
 def write_labels(records: DataFrame, path: str) -> None:
@@ -59,11 +83,21 @@ def write_labels(records: DataFrame, path: str) -> None:
 def write_chips(chips: DataFrame, path: str) -> None:
     """Chips (part, name, height, width, pixels, label) as one table by part, pixels and label beside each other; a null label is a negative's empty one.
 
-    Pixels stay raw: no image encoder is at hand.
+    Pixels stay raw; ``write_chip_files`` writes images.
     """
     chips.select("part", "name", "height", "width", "pixels", F.coalesce("label", F.lit("")).alias("label")).write.mode("overwrite").partitionBy("part").parquet(path)
 
 
+def write_chip_files(chips: DataFrame, path: str) -> None:
+    """Chips (part, name, height, width, pixels, label) as images/part/name.png and labels/part/name.txt; a null label is a negative's empty file.
+
+    An unreadable chip has no image, but keeps its label.
+    """
+    png = chips.select(F.format_string("images/%s/%s.png", "part", "name").alias("name"), raster.png("height", "width", "pixels").alias("content")).where("content is not null")
+    text = chips.select(F.format_string("labels/%s/%s.txt", "part", "name").alias("name"), F.coalesce("label", F.lit("")).cast("binary").alias("content"))
+    documents.write_files(png.unionByName(text), path)
+
+
 def test_images_folder(yaml: str) -> str:
     """The folder of test images that a training data description names; relative ones stand below its path."""
     fields = dict(re.findall(r"(?m)^(path|test):[ \t]*[\"']?(.*?)[\"']?[ \t]*$", yaml))
@@ -86,6 +120,17 @@ def mosaic_slots(records: DataFrame, most: int = 48, columns: int = 8) -> DataFr
     return numbered.select(F.floor(F.col("i") / columns).cast("int").alias("r"), (F.col("i") % columns).alias("c"), "x.row.*")
 
 
+def contact_sheet(crops: DataFrame, most: int = 48, columns: int = 8, side: int = 128) -> DataFrame:
+    """(height, width, pixels): the first ``most`` crops (ord, height, width, pixels, x0, y0, x1, y1) with their boxes in red, each drawn to ``side`` pixels in its slot.
+
+    Free slots are dark grey, an unreadable crop's slot too; without crops there is no sheet.  A null box isn't drawn.
+    """
+    slots = mosaic_slots(crops, most, columns)
+    drawn = slots.select("r", "c", raster.thumbnail("height", "width", "pixels", "x0", "y0", "x1", "y1", side=side).alias("pixels"))
+    sheet = drawn.agg(F.collect_list(F.struct("r", "c", "pixels")).alias("slots"))  # a sheet's slots
+    return sheet.where(F.size("slots") > 0).select(raster.sheet(F.col("slots"), columns, side).alias("s")).select("s.*")
+
+
 def page(template: str, layers_: DataFrame) -> str:
     """``template`` with its marker replaced by the layers (layer, feature) as JSON; like a collection, of DOCUMENT_FEATURES features in all at most."""
     if layers_.limit(DOCUMENT_FEATURES + 1).count() > DOCUMENT_FEATURES:
