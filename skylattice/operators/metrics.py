@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._rows import running_sums
+from ._rows import checkpointed, running_sums
 
 #: Overlap thresholds, recall places of the average, confidence places of the curves and of their smoothing, and the goal.
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
@@ -167,10 +167,11 @@ def by_class(predictions: DataFrame, labels: DataFrame, thresholds: tuple[float,
     """
     known = _known(labels)
     judged_ = judged(predictions.join(known.select("cls").distinct(), "cls", "left_semi"), known, thresholds)
-    rows = placed(judged_, len(thresholds))
-    counts = known.groupBy("cls").agg(F.count("*").alias("n_labels")).join(rows.groupBy("cls").agg(F.count("*").alias("n_preds")), "cls", "left").fillna(0, ["n_preds"])
+    # Everything below reads these more than once.
+    rows = checkpointed(placed(judged_, len(thresholds)))
+    counts = checkpointed(known.groupBy("cls").agg(F.count("*").alias("n_labels")).join(rows.groupBy("cls").agg(F.count("*").alias("n_preds")), "cls", "left").fillna(0, ["n_preds"]))
     areas = average_precision(rows, counts, len(thresholds)).groupBy("cls").agg(F.max(F.when(F.col("level") == 0, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
-    points = curves(rows, counts)
+    points = checkpointed(curves(rows, counts))
     at = points.join(F.broadcast(best_confidence(points)), "i").select("cls", F.col("p").alias("precision"), F.col("r").alias("recall"))  # one row
     return counts.join(at, "cls").join(areas, "cls").select("cls", "n_labels", "n_preds", "precision", "recall", "ap50", "ap")
 
