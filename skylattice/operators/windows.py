@@ -8,7 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import TILE_PX, WINDOW_PX, ZOOM, global_px, inside_ring, px_to_lonlat, ring_area, ring_bounds, tile_of
+from ..functions.geo import TILE_PX, WINDOW_PX, ZOOM, global_px, ring_area, tile_of
+from ._rows import checkpointed
+from .cover import cover, points_inside, windows_inside
 
 
 def tiles_in_bbox(boxes: DataFrame, zoom: int = ZOOM) -> DataFrame:
@@ -30,27 +32,29 @@ def window_tiles(points: DataFrame, zoom: int = ZOOM, px: int = WINDOW_PX) -> Da
     return with_origin(points, zoom, px).withColumn("x", F.explode(axis("ogx"))).withColumn("y", F.explode(axis("ogy")))
 
 
+def _identified(polygons: DataFrame) -> DataFrame:
+    """``polygons`` with a unique ``id``, which stays the same however often they are read."""
+    return checkpointed(polygons.withColumn("id", F.monotonically_increasing_id()))
+
+
 def windows_over_polygon(polygons: DataFrame, zoom: int = ZOOM, px: int = WINDOW_PX, overlap: float = 0.2) -> DataFrame:
-    """Window centres strictly inside ``polygons`` (ring), on a grid from the north-west corner of the bounds: ordered by iy, ix; lon, lat."""
-    step = max(1, int(px * (1 - overlap)))
-    b = ring_bounds(F.col("ring"))
-    gx0, gy0 = global_px(b["w"], b["n"], zoom)
-    gx1, gy1 = global_px(b["e"], b["s"], zoom)
-    cells = polygons.withColumns({"_gx": gx0, "_gy": gy0, "_nx": F.floor((gx1 - gx0) / step), "_ny": F.floor((gy1 - gy0) / step)})
-    cells = cells.withColumn("iy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_ny")))).withColumn("ix", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_nx"))))
-    lon, lat = px_to_lonlat(F.col("_gx") + F.col("ix") * step, F.col("_gy") + F.col("iy") * step, zoom)
-    placed = cells.withColumns({"lon": lon, "lat": lat}).drop("_gx", "_gy", "_nx", "_ny")
-    return placed.where(inside_ring(F.col("lon"), F.col("lat"), F.col("ring")))
-
-
-def points_in_polygon(points: DataFrame, polygons: DataFrame, cell_deg: float = 0.05) -> DataFrame:
-    """``points`` strictly inside any polygon of ``polygons`` (ring), each once: joined by the cells of the rings' bounds."""
-    cell = lambda v: F.floor(v / cell_deg)
-    rings = polygons.select(F.col("ring").alias("_ring"), ring_bounds(F.col("ring")).alias("_b"))
-    spread = rings.withColumn("_cx", F.explode(F.sequence(cell(F.col("_b.w")), cell(F.col("_b.e"))))).withColumn("_cy", F.explode(F.sequence(cell(F.col("_b.s")), cell(F.col("_b.n")))))
-    placed = points.withColumns({"_px": cell(F.col("lon")), "_py": cell(F.col("lat"))})
-    inside = F.col("lon").between(F.col("_b.w"), F.col("_b.e")) & F.col("lat").between(F.col("_b.s"), F.col("_b.n")) & inside_ring(F.col("lon"), F.col("lat"), F.col("_ring"))
-    return placed.join(spread, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside, "left_semi").drop("_px", "_py")
+    """Window centres strictly inside ``polygons`` (ring, ...), on a grid from the north-west corner of the bounds: by iy, ix; lon, lat.
+
+    A centre has its polygon's other columns, and ``polygon``, a hash of its ring.
+    """
+    known = _identified(polygons.drop("id"))
+    found = windows_inside(known, cover(known), zoom, px, overlap)
+    return found.join(known.withColumn("polygon", F.xxhash64("ring")).drop("ring"), "id").drop("id")
+
+
+def points_in_polygon(points: DataFrame, polygons: DataFrame) -> DataFrame:
+    """``points`` strictly inside any polygon of ``polygons`` (ring), each once."""
+    return points_inside(points, cover(_identified(polygons.select("ring"))))
+
+
+def bounds_of(points: DataFrame, *keys: str) -> DataFrame:
+    """(keys, w, s, e, n) of each group of ``points`` (lon, lat)."""
+    return points.groupBy(*keys).agg(F.min("lon").alias("w"), F.min("lat").alias("s"), F.max("lon").alias("e"), F.max("lat").alias("n"))
 
 
 Point = tuple[float, float]

@@ -21,7 +21,7 @@ def located(boxes: DataFrame, zoom: int = ZOOM) -> DataFrame:
 
 def infer_area(polygons: DataFrame, tiles: DataFrame, refs: DataFrame, load: Callable, conf: float = 0.4, overlap: float = 0.2, dedup_m: float = 10.0, match_m: float = 25.0, zoom: int = ZOOM, px: int = WINDOW_PX):
     """(kept detections, matched, unmatched detections, unmatched reference points) of an area."""
-    centres = windows.windows_over_polygon(polygons, zoom, px, overlap).select(F.xxhash64("ring", "iy", "ix").alias("id"), "iy", "ix", "lon", "lat")
+    centres = windows.windows_over_polygon(polygons, zoom, px, overlap).select(F.xxhash64("polygon", "iy", "ix").alias("id"), "iy", "ix", "lon", "lat")
     cut = assembled(windows.window_tiles(centres, zoom, px), tiles, px)
     found = located(predicted(cut, load, conf, px), zoom)
     kept = greedy.dedup(numbered(found, "ord", F.col("id"), F.col("lon"), F.col("lat"), F.col("score")), dedup_m)

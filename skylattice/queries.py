@@ -261,8 +261,8 @@ def grid_snap(spark, sf_dir):
 
 @query("SELECT l_partkey AS id, min(l_extendedprice) AS w, min(l_quantity) AS s, max(l_extendedprice) AS e, max(l_quantity) AS n FROM lineitem GROUP BY l_partkey")
 def bbox_of_group(spark, sf_dir):
-    points = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(F.collect_set(F.struct(F.col("l_extendedprice").alias("lon"), F.col("l_quantity").alias("lat"))).alias("ring"))
-    return points.select("id", geo.ring_bounds(F.col("ring")).alias("b")).select("id", "b.*")
+    points = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_extendedprice").alias("lon"), F.col("l_quantity").alias("lat"))
+    return windows.bounds_of(points, "id")
 
 
 def _channel(c, k, top, m):
@@ -293,25 +293,30 @@ def assets_in_polygon(spark, sf_dir):
     return windows.points_in_polygon(assets(spark, sf_dir), _ring(spark)).select("id")
 
 
-_N12, _STEP = 256.0 * 2**12, 512
+_N12 = 256.0 * 2**12
 
 
 def _g12(lon, lat):
     return f"({_N12 / 2} * (1 + {lon} / 180))", f"({_N12 / 2} * (1 - ln(tan(pi() / 4 + radians({lat}) / 2)) / pi()))"
 
 
-_GX0, _GY0 = _g12("0.2e0", "47.5e0")
-_GX1, _GY1 = _g12("0.9e0", "46.85e0")
+_GX0, _GY0 = _g12("(0.2e0 + dx)", "(47.5e0 + dy)")
+_GX1, _GY1 = _g12("(0.9e0 + dx)", "(46.85e0 + dy)")
 
 
 @query(
-    f"""WITH {_EDGES}, c AS (SELECT iy, ix, ({_GX0} + ix * 51) / {_N12} * 360 - 180 AS lon, degrees(2 * atan(exp(pi() * (1 - 2 * ({_GY0} + iy * 51) / {_N12}))) - pi() / 2) AS lat
- FROM range(CAST(floor(({_GY1} - {_GY0}) / 51) AS BIGINT) + 1) a(iy), range(CAST(floor(({_GX1} - {_GX0}) / 51) AS BIGINT) + 1) b(ix))
-SELECT iy, ix, round(lon, 7) AS lon, round(lat, 7) AS lat FROM c, ring GROUP BY iy, ix, lon, lat HAVING {_PARITY}"""
+    f"""WITH {_EDGES}, n AS (SELECT n_nationkey AS id, CAST(n_nationkey AS DOUBLE) * 0.013e0 AS dx, CAST(n_nationkey AS DOUBLE) * 0.007e0 AS dy FROM nation), b AS (SELECT *, {_GX0} AS gx0, {_GY0} AS gy0, {_GX1} AS gx1, {_GY1} AS gy1 FROM n),
+l AS (SELECT *, unnest(range(CAST(floor((gy1 - gy0) / 51) AS BIGINT) + 1)) AS iy FROM b), g AS (SELECT *, unnest(range(CAST(floor((gx1 - gx0) / 51) AS BIGINT) + 1)) AS ix FROM l),
+c AS (SELECT id, dx, dy, iy, ix, (gx0 + ix * 51) / {_N12} * 360 - 180 AS lon, degrees(2 * atan(exp(pi() * (1 - 2 * (gy0 + iy * 51) / {_N12}))) - pi() / 2) AS lat FROM g),
+e AS (SELECT id, iy, ix, lon, lat, x0 + dx AS x0, x1 + dx AS x1, y0 + dy AS y0, y1 + dy AS y1 FROM c, ring)
+SELECT id, iy, ix, round(lon, 7) AS lon, round(lat, 7) AS lat FROM e GROUP BY id, iy, ix, lon, lat HAVING {_PARITY}"""
 )
 def grid_windows_in_polygon(spark, sf_dir):
-    w = windows.windows_over_polygon(_ring(spark), 12, 64, 0.2)
-    return w.select("iy", "ix", r(F.col("lon"), 7).alias("lon"), r(F.col("lat"), 7).alias("lat"))
+    """Window grids over a polygon a nation."""
+    k = F.col("n_nationkey").cast("double")
+    ring = F.array(*(F.struct((F.lit(x) + k * F.lit(0.013)).alias("lon"), (F.lit(y) + k * F.lit(0.007)).alias("lat")) for x, y in _RING))
+    w = windows.windows_over_polygon(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), ring.alias("ring")), 12, 64, 0.2)
+    return w.select(F.col("nation").alias("id"), "iy", "ix", r(F.col("lon"), 7).alias("lon"), r(F.col("lat"), 7).alias("lat"))
 
 
 @query("SELECT event_type || '=' || json_extract_string(props, '$.k') AS tag, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1")
@@ -433,9 +438,11 @@ def tile_px_roundtrip(spark, sf_dir):
     return assets(spark, sf_dir).select("id", r(lon, 7).alias("lon2"), r(lat, 7).alias("lat2"))
 
 
-@query("SELECT z, round(2 * pi() * 6378137.0 / (256 * pow(2, z)), 9) AS metres FROM range(20) t(z)")
+@query("SELECT event_id, round(2 * pi() * 6378137.0 / (256 * pow(2, event_id % 20)) * 640, 6) AS metres FROM events")
 def ground_resolution(spark, sf_dir):
-    return spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(z).cast("bigint").alias("z"), F.round(F.lit(geo.metres_per_px(z)), 9).alias("metres")) for z in range(20)))).alias("x")).select("x.*")
+    """Metres that a window spans, at a zoom an event."""
+    metres = F.element_at(F.array(*(F.lit(geo.metres_per_px(z)) for z in range(20))), (F.col("event_id") % 20 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", r(metres * 640, 6).alias("metres"))
 
 
 _TILE = f"CAST(floor({GX} / 256) AS BIGINT) AS x, CAST(floor({GY} / 256) AS BIGINT) AS y"
@@ -533,9 +540,10 @@ def _unit(c):
     return f"CAST(('0x' || substr(md5('3:{c}:' || id), 1, 8)) AS BIGINT) / 4294967296e0"
 
 
-@query(f"SELECT id AS ord, round(0.2e0 + {_unit('lon')} * 0.7e0, 9) AS lon, round(46.8e0 + {_unit('lat')} * 0.5e0, 9) AS lat FROM range(2000) t(id)")
+@query(f"SELECT id AS ord, round(0.2e0 + {_unit('lon')} * 0.7e0, 9) AS lon, round(46.8e0 + {_unit('lat')} * 0.5e0, 9) AS lat FROM range((SELECT count(*) FROM supplier)) t(id)")
 def background_points(spark, sf_dir):
-    return splits.background_points(spark, 2000, 0.2, 46.8, 0.9, 47.3, seed=3).select("ord", r(F.col("lon"), 9).alias("lon"), r(F.col("lat"), 9).alias("lat"))
+    """As many background points as suppliers."""
+    return splits.background_points(spark, table(spark, sf_dir, "supplier").count(), 0.2, 46.8, 0.9, 47.3, seed=3).select("ord", r(F.col("lon"), 9).alias("lon"), r(F.col("lat"), 9).alias("lat"))
 
 
 @query("WITH b AS (SELECT o_custkey AS id, o_orderkey % 11 = 0 AS e, o_orderkey % 11 <> 0 AND o_orderkey % 4 > 0 AS f FROM orders), p AS (SELECT id, bool_or(e) AS e, bool_or(f) AS f FROM b GROUP BY id) SELECT count(*) AS windows, count(*) FILTER (e) AS failed, count(*) FILTER (f) AS fired FROM p")
