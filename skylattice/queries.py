@@ -191,17 +191,34 @@ def _ord(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("id", "ord")
 
 
-@query(None)  # recursive SQL over all detections takes too long; tests compare with the sequential algorithm
+# What is kept, of numbered things of which some exclude later ones: each that no kept one before it excludes.
+_KEPT = """s(k, st) USING KEY (k) AS (SELECT k, CASE WHEN k IN (SELECT q FROM pr) THEN 0 ELSE 1 END FROM o
+ UNION SELECT k, st FROM (SELECT m.k, CASE WHEN max(CASE WHEN e.st = 1 THEN 1 ELSE 0 END) = 1 THEN 2 WHEN min(e.st) = 2 THEN 1 ELSE 0 END AS st
+  FROM recurring.s m JOIN pr ON pr.q = m.k JOIN recurring.s e ON e.k = pr.p WHERE m.st = 0 GROUP BY m.k) WHERE st > 0)"""
+
+
+@query(
+    f"""WITH RECURSIVE {BASE}, o AS MATERIALIZED (SELECT id, lon, lat, row_number() OVER (ORDER BY score DESC, id) AS k FROM dets),
+pr AS MATERIALIZED (SELECT a.k AS p, b.k AS q FROM o a JOIN o b ON a.k < b.k AND abs(a.lat - b.lat) < 0.0002 AND abs(a.lon - b.lon) < 0.0004 AND {hav('a', 'b')} <= 10), {_KEPT}
+SELECT id FROM s JOIN o USING (k) WHERE st = 1"""
+)
 def dedup_greedy(spark, sf_dir):
     return greedy.dedup(_ord(dets(spark, sf_dir)), 10.0).select(F.col("ord").alias("id"))
 
 
-@query(None)
+_MATCHED = f"""{BASE}, d AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS rk FROM dets),
+near AS (SELECT d.id AS det, a.id AS ref, rk, {hav('d', 'a')} AS m FROM d JOIN assets a ON abs(a.lat - d.lat) < 0.001 AND abs(a.lon - d.lon) < 0.002),
+o AS MATERIALIZED (SELECT det, ref, row_number() OVER (ORDER BY rk, m, ref DESC) AS k FROM near WHERE m <= 25),
+pr AS MATERIALIZED (SELECT a.k AS p, b.k AS q FROM o a JOIN o b ON a.det = b.det AND a.k < b.k UNION SELECT a.k, b.k FROM o a JOIN o b ON a.ref = b.ref AND a.k < b.k), {_KEPT},
+pair AS (SELECT det, ref FROM s JOIN o USING (k) WHERE st = 1)"""
+
+
+@query(f"WITH RECURSIVE {_MATCHED} SELECT det, ref FROM pair")
 def match_greedy(spark, sf_dir):
     return greedy.matches(_ord(dets(spark, sf_dir)), _ord(assets(spark, sf_dir)), 25.0).select("det", "ref")
 
 
-@query(None)
+@query(f"WITH RECURSIVE {_MATCHED}, n AS (SELECT count(*) AS n FROM pair) SELECT 'matched' AS status, n FROM n UNION ALL SELECT 'detected_only', (SELECT count(*) FROM dets) - n FROM n UNION ALL SELECT 'reference_only', (SELECT count(*) FROM assets) - n FROM n")
 def match_status_counts(spark, sf_dir):
     parts = zip(("matched", "detected_only", "reference_only"), greedy.match(_ord(dets(spark, sf_dir)), _ord(assets(spark, sf_dir)), 25.0))
     a, b, c = (df.agg(F.count("*").alias("n")).select(F.lit(name).alias("status"), "n") for name, df in parts)
