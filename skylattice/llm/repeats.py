@@ -24,8 +24,9 @@ CUT - k`` bytes before them for the last cut k not beyond ``right``; so the entr
 such k, by these bytes, and each group has a tree of its own.  Groups of over ``ENTRIES`` even then have their
 windows grouped by hash, which needs no list of them; either way gives the same spans.
 
-Ids are whole numbers, or texts of them.  Null text is empty.  Rows of equal id and text are one document, each with the same result; of rows of equal id
-and different texts none is earlier than another; null ids come last.
+Ids of any type stand in its order, null ids last (with the largest bigint).  Null text is empty.  Rows of equal id and
+text are one document, each with the same result; of rows of equal id and different texts, null ids among them, none is
+earlier than another.
 """
 
 from __future__ import annotations
@@ -35,9 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators._rows import numbered
 from ._batch import PIECE_BYTES, PrefixHash, mix64, text_bytes
 from ._store import discard, saved
 
@@ -48,15 +50,40 @@ SPLIT, CUT = 2_000, 25
 ENTRIES = 50_000
 #: Entries that a task works on together, unless one gram has more.
 SOLVED_AT_ONCE = 20_000
-#: A place packs the text's hash above the byte position.
-MASK = (1 << 40) - 1
+#: A place packs the text's number above the byte position; a string has under 2**31 bytes.
+PLACE = 32
+MASK = (1 << PLACE) - 1
 _U = np.uint64
 _PLACE_BITS = 22
 
 
-def _document(id_col: str, text_col: str) -> list[Column]:
-    """(d, t): the document's place in the order; t in 23 bits tells texts of one id apart."""
-    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit((1 << 23) - 1)).alias("t")]
+#: The place of rows without an id.
+_LAST = (1 << 63) - 1
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, d, t, text): all columns of each row in a struct, its document's place in the order of ids, and a number that tells texts of one id apart.
+
+    Ids of whole numbers are their own places; others are numbered in their order.  Where an id has several texts (null
+    ids count as one), these are numbered by their digests of 128 bits; elsewhere t is 0.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), text.alias("text"))
+    if dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint"):
+        rows = rows.withColumn("d", F.col("id").cast("bigint"))
+    else:
+        rows = rows.join(numbered(rows.where("id is not null").select("id").distinct(), "d", F.col("id")), "id", "left")
+    rows = rows.withColumn("d", F.coalesce("d", F.lit(_LAST)))
+    digest = rows.withColumn("m", F.md5(F.col("text").cast("binary")))
+    several = saved(digest.groupBy("d").agg(F.min("m").alias("low"), F.max("m").alias("high")).where("low <> high").select("d"))
+    if several.isEmpty():
+        discard(several)
+        return rows.select("row", "d", F.lit(0).cast("bigint").alias("t"), "text")
+    marks = saved(numbered(digest.join(several, "d", "left_semi").select("d", "m").distinct(), "t", F.col("d"), F.col("m")).withColumn("t", F.col("t") + 1))
+    discard(several)
+    t = F.coalesce("t", F.lit(0))
+    known = F.when(t <= MASK >> 1, t).otherwise(F.raise_error(F.lit("too many texts share their ids")).cast("bigint"))
+    return digest.join(marks, ["d", "m"], "left").select("row", "d", known.alias("t"), "text")
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +150,7 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             own = np.zeros(len(row), dtype=bool)
             own[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (c[order[1:]] == c[order[:-1]]) & (h[order[1:]] == h[order[:-1]])
             d, t = b["d"].to_numpy()[row], b["t"].to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(t << 40 | place), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own)], ["d", "at", "h", "c", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(t << PLACE | place), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own)], ["d", "at", "h", "c", "own"])
 
     return docs.select("d", "t", "text").mapInArrow(scan, "d bigint, at bigint, h bigint, c bigint, own boolean")
 
@@ -221,11 +248,11 @@ def _tree_spans(entries: DataFrame, length: int) -> DataFrame:
                 own: dict[int, int] = {}
                 for i in members:
                     if d[i] == least:
-                        own[at[i] >> 40] = min(at[i], own.get(at[i] >> 40, at[i]))
+                        own[at[i] >> PLACE] = min(at[i], own.get(at[i] >> PLACE, at[i]))
                 for i in members:
-                    if d[i] > least or at[i] > own[at[i] >> 40]:
+                    if d[i] > least or at[i] > own[at[i] >> PLACE]:
                         back[i], ahead[i] = max(back[i], a), max(ahead[i], b)
-            rows = [(d[i], at[i] >> 40, (at[i] & MASK) - back[i], (at[i] & MASK) + ahead[i]) for i in range(len(d)) if ahead[i]]
+            rows = [(d[i], at[i] >> PLACE, (at[i] & MASK) - back[i], (at[i] & MASK) + ahead[i]) for i in range(len(d)) if ahead[i]]
             return _as_spans(rows)
 
         for b in batches:
@@ -252,7 +279,7 @@ def _window_spans(entries: DataFrame, length: int) -> DataFrame:
     windows = entries.select("d", "at", "left", "right", F.explode(F.sequence(F.lit(0), F.length("left"))).alias("o"))
     window = F.concat(F.substring(F.col("left"), F.length("left") - o + 1, o), F.substring(F.col("right"), F.lit(1), length - o))
     windows = windows.where(F.length("right") + o >= length).select("d", "at", "o", F.xxhash64(window).alias("w"), F.xxhash64(F.lit(1), window).alias("w2"))
-    windows = windows.withColumn("t", F.shiftright("at", 40))
+    windows = windows.withColumn("t", F.shiftright("at", PLACE))
     least = windows.groupBy("w", "w2").agg(F.min("d").alias("least"))
     own = windows.groupBy("w", "w2", "d", "t").agg(F.min(F.col("at") - o).alias("own"))
     later = windows.join(least, ["w", "w2"]).join(own, ["w", "w2", "d", "t"]).where((F.col("d") > F.col("least")) | (F.col("at") - o > F.col("own")))
@@ -287,9 +314,9 @@ def spans(docs: DataFrame, length: int = 100, gram: int = GRAM, entries: int = E
     several = saved(first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1"))
     met = repeated.join(first, ["h", "c"])
     place = F.col("at").bitwiseAND(F.lit(MASK))
-    whole = saved(met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", 40).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e")))
+    whole = saved(met.where(F.col("own") | (F.col("d") > F.col("least"))).select("d", F.shiftright("at", PLACE).alias("t"), (place - (length - gram)).alias("s"), (place + length).alias("e")))
     wanted = met.where(~F.col("own") & (F.col("d") == F.col("least"))).select("h", "d", "at").join(several, "h")
-    per_doc = wanted.groupBy("d", F.shiftright("at", 40).alias("t")).agg(F.collect_list(F.struct("h", "contexts", "at")).alias("w"))
+    per_doc = wanted.groupBy("d", F.shiftright("at", PLACE).alias("t")).agg(F.collect_list(F.struct("h", "contexts", "at")).alias("w"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -329,11 +356,10 @@ def _merge(ranges: np.ndarray, size: int) -> np.ndarray:
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     """(row, ranges): all columns of each row in a struct, and the ranges to cut out of its text."""
-    d, t = _document(id_col, text_col)
-    plain = docs.select(d, t, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = spans(plain, length)
+    rows = _keyed(docs, id_col, text_col)
+    found = spans(rows.select("d", "t", "text"), length)
     ranges = found.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    return docs.select(F.struct(*docs.columns).alias("row"), d, t).join(ranges, ["d", "t"], "left").select("row", "ranges")
+    return rows.select("row", "d", "t").join(ranges, ["d", "t"], "left").select("row", "ranges")
 
 
 def _kept(text: pa.Array, ranges: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:

@@ -99,3 +99,41 @@ def test_clashing_columns_and_text_ids(spark):
     docs = spark.createDataFrame([("1", a, "keep", 5, 6, 7), ("2", a, "too", 8, 9, 10)], "doc_id string, text string, row string, d int, t int, ranges int")
     out = sorted(map(tuple, repeats.remove(docs).collect()))
     assert [r[0] for r in out] == ["1", "2"] and [r[2:] for r in out] == [("keep", 5, 6, 7), ("too", 8, 9, 10)] and out[1][1] == ""
+
+
+def passage(seed, n=150):
+    r = random.Random(seed)
+    return "".join(r.choice("abcdefgh") for _ in range(n))
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Many texts without id, and several of one id: only what also stands before them goes."""
+    p = passage(0)
+    rows = [(1, p), (None, passage(1) + p), (2, passage(2)), (2, p + passage(3)), (2, passage(4))]
+    rows += [(None, f"{passage(10 + i, 157)}") for i in range(3000)]
+    got = {}
+    for r in repeats.report(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect():
+        got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed))
+    assert got[1] == [(150, 0)] and sorted(got[2]) == [(150, 0), (150, 0), (300, 150)]
+    assert sorted(got[None]) == [(157, 0)] * 3000 + [(300, 150)]
+
+
+def test_places_of_texts_with_null_ids_stay_apart(spark):
+    """Of null ids none is earlier: a passage twice in one text goes once there and stays in the other."""
+    p = passage(5)
+    rows = [(None, p + "-" + p), (None, "+" * 30 + p), (None, p)]
+    got = sorted((r.n_bytes, r.n_removed) for r in repeats.report(spark.createDataFrame(rows, "doc_id int, text string")).collect())
+    assert got == [(150, 0), (180, 0), (301, 150)]
+
+
+@pytest.mark.parametrize("kind,ids", [("string", ["b", "a", "x1", None, "10", "9"]), ("double", [2.5, -1.0, 7.0, None, 3.0, 2.0]), ("date", None), ("decimal(20,2)", None)])
+def test_ids_of_any_type_stand_in_their_order(spark, kind, ids):
+    import datetime
+    import decimal
+
+    ids = ids or ([datetime.date(2020, 1, i) for i in (5, 3, 9, 7, 8, 1)] if kind == "date" else [decimal.Decimal(i) for i in (5, 3, 9, 7, 8, 1)])
+    p = passage(6)
+    rows = [(i, passage(20 + k) + str(k) + p) for k, i in enumerate(ids)]
+    got = {r.doc_id: r.n_removed for r in repeats.report(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()}
+    first = min(i for i in ids if i is not None)
+    assert got == {i: 0 if i == first else 150 for i in ids}
