@@ -819,3 +819,17 @@ def contact_sheet(spark, sf_dir):
     """A contact sheet of 48 slots: its size and the sum of its pixels."""
     crops = _grey(spark, sf_dir).withColumnRenamed("id", "ord").withColumns({k: F.lit(None).cast("double") for k in ("x0", "y0", "x1", "y1")})
     return sinks.contact_sheet(crops).select("height", "width", raster.band_sums(F.col("pixels")).alias("b")).select("height", "width", F.col("b.sums")[0].alias("total"))
+
+
+_SAID = "SELECT user_id % 500 AS key, event_id % 40 AS event, CASE event_id % 5 WHEN 0 THEN 'undo' WHEN 1 THEN 'faux' WHEN 2 THEN 'skip' ELSE 'vrai' END AS verdict, event_id * 7919 % 1009 AS ts FROM events"
+
+
+@query(
+    f"""WITH e AS (SELECT key, event, min({{'ts': ts, 'verdict': verdict}}) AS e FROM ({_SAID}) GROUP BY key, event), f AS (SELECT key, event, e.ts AS ts, e.verdict AS verdict FROM e),
+w AS (SELECT *, coalesce(sum(CASE WHEN verdict = 'undo' THEN 1 ELSE -1 END) OVER (PARTITION BY key ORDER BY ts DESC, event DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM f)
+SELECT key, s.verdict AS verdict, s.ts AS at, events FROM (SELECT key, max({{'ts': ts, 'event': event, 'verdict': verdict}}) FILTER (verdict <> 'undo' AND open <= 0) AS s, count(*) AS events FROM w GROUP BY key)"""
+)
+def standing_verdicts(spark, sf_dir):
+    """Verdicts that stand after undos, from repeated and unordered events."""
+    e = table(spark, sf_dir, "events").selectExpr("user_id % 500 AS key", "event_id % 40 AS event", "CASE event_id % 5 WHEN 0 THEN 'undo' WHEN 1 THEN 'faux' WHEN 2 THEN 'skip' ELSE 'vrai' END AS verdict", "event_id * 7919 % 1009 AS ts")
+    return review.standing_verdicts(e)
