@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import random
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._rows import numbered, running_sums
@@ -15,24 +18,48 @@ def shuffle_key(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *(p.cast("string") for p in parts)))
 
 
-def spatial_split(points: DataFrame, cell_deg: float = 0.05, seed: int = 0, ratios: tuple[float, float, float] = RATIOS) -> DataFrame:
+#: Things that Python's generator shuffles at most; it has no other way than one by one.
+EXACT = 1_000_000
+
+
+def generator_places(spark: SparkSession, n: int, seed: int) -> DataFrame:
+    """(k, place): where Python's generator with this seed puts each of n things, 0 to n - 1, when it shuffles them."""
+    if n > EXACT:
+        raise ValueError(f"over {EXACT} things to shuffle: use the seeded order")
+    order = list(range(n))
+    random.Random(seed).shuffle(order)
+    return spark.createDataFrame(pa.table({"k": pa.array(order, pa.int64()), "place": pa.array(range(n), pa.int64())}))
+
+
+def spatial_split(points: DataFrame, cell_deg: float = 0.05, seed: int = 0, ratios: tuple[float, float, float] = RATIOS, exact: bool = False) -> DataFrame:
     """``points`` (id, lon, lat) with part: whole cells, so that no two parts share one.
 
-    Cells are taken in seeded order while the points before them are fewer than the part's share.
+    Cells are taken in seeded order while the points before them are fewer than the part's share.  ``exact`` takes them
+    as Python's generator shuffles the sorted cells, of which there are ``EXACT`` at most.
     """
     cells = points.withColumns({"cx": F.floor(F.col("lon") / cell_deg), "cy": F.floor(F.col("lat") / cell_deg)})
     per = cells.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-    placed = running_sums(per, {"before": F.col("n")}, shuffle_key(seed, F.col("cx"), F.col("cy")), F.col("cx"), F.col("cy"))
+    order = [shuffle_key(seed, F.col("cx"), F.col("cy")), F.col("cx"), F.col("cy")]
+    if exact:
+        known = numbered(per, "k", F.col("cx"), F.col("cy"))
+        per, order = known.join(generator_places(points.sparkSession, known.count(), seed), "k").drop("k"), [F.col("place")]
+    placed = running_sums(per, {"before": F.col("n")}, *order)
     total = points.count()
-    part = F.when(F.col("before") < total * ratios[0], "train").when(F.col("before") < total * (ratios[0] + ratios[1]), "val").otherwise("test")
+    part = F.when(F.col("before") < total * ratios[0], "train").when(F.col("before") < total * ratios[0] + total * ratios[1], "val").otherwise("test")
     return cells.join(placed.select("cx", "cy", part.alias("part")), ["cx", "cy"]).drop("cx", "cy")
 
 
-def random_split(rows: DataFrame, id_col: str = "id", seed: int = 0, ratios: tuple[float, float, float] = RATIOS) -> DataFrame:
-    """``rows`` with part by seeded order: the first int(ratio * n) train, then val, the rest test."""
+def random_split(rows: DataFrame, id_col: str = "id", seed: int = 0, ratios: tuple[float, float, float] = RATIOS, exact: bool = False) -> DataFrame:
+    """``rows`` with part by seeded order: the first int(ratio * n) train, then val, the rest test.
+
+    ``exact`` takes the order in which Python's generator shuffles the rows, numbered by their ids; ``EXACT`` at most.
+    """
     n = rows.count()
     a, b = int(n * ratios[0]), int(n * ratios[1])
-    placed = numbered(rows, "_place", shuffle_key(seed, F.col(id_col)), F.col(id_col))
+    if exact:
+        placed = numbered(rows, "_k", F.col(id_col)).join(generator_places(rows.sparkSession, n, seed).select(F.col("k").alias("_k"), F.col("place").alias("_place")), "_k").drop("_k")
+    else:
+        placed = numbered(rows, "_place", shuffle_key(seed, F.col(id_col)), F.col(id_col))
     return placed.withColumn("part", F.when(F.col("_place") < a, "train").when(F.col("_place") < a + b, "val").otherwise("test")).drop("_place")
 
 

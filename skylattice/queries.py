@@ -228,7 +228,7 @@ def match_status_counts(spark, sf_dir):
 @query(
     f"""WITH {BASE}, c AS (SELECT CAST(floor(lon / 0.05::DOUBLE) AS BIGINT) AS cx, CAST(floor(lat / 0.05::DOUBLE) AS BIGINT) AS cy, id FROM assets),
 p AS (SELECT cx, cy, count(*) AS n FROM c GROUP BY cx, cy), o AS (SELECT cx, cy, coalesce(sum(n) OVER (ORDER BY md5('0:' || cx || ':' || cy), cx, cy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM p)
-SELECT id, CASE WHEN before < total * 0.7::DOUBLE THEN 'train' WHEN before < total * 0.85::DOUBLE THEN 'val' ELSE 'test' END AS part FROM c JOIN o USING (cx, cy)"""
+SELECT id, CASE WHEN before < total * 0.7::DOUBLE THEN 'train' WHEN before < total * 0.7::DOUBLE + total * 0.15::DOUBLE THEN 'val' ELSE 'test' END AS part FROM c JOIN o USING (cx, cy)"""
 )
 def spatial_split(spark, sf_dir):
     return splits.spatial_split(assets(spark, sf_dir)).select("id", "part")
@@ -626,11 +626,12 @@ def largest_faces(spark, sf_dir):
 
 _VRT = """WITH ras AS (SELECT s_suppkey AS id, CAST(s_suppkey % 7 AS DOUBLE) * 1000.25 AS l, 9000.5 + CAST(s_suppkey % 11 AS DOUBLE) * 500.75 AS t FROM supplier),
 o AS (SELECT b AS band, id, CAST(round_even((l - (SELECT min(l) FROM ras)) / 0.5, 0) AS BIGINT) AS x, CAST(round_even(((SELECT max(t) FROM ras) - t) / 0.5, 0) AS BIGINT) AS y FROM ras, (VALUES (1), (2), (3)) v(b))
-SELECT band, printf('<VRTRasterBand dataType="Byte" band="%d">', band) || string_agg('<SimpleSource><SourceFilename relativeToVRT="0">' || id || '</SourceFilename>' || printf('<SourceBand>%d</SourceBand><SrcRect xOff="0" yOff="0" xSize="100" ySize="200"/><DstRect xOff="%d" yOff="%d" xSize="100" ySize="200"/></SimpleSource>', band, x, y), '' ORDER BY id) || '</VRTRasterBand>' AS xml FROM o GROUP BY band"""
+SELECT band, id AS path, '<SimpleSource><SourceFilename relativeToVRT="0">' || id || '</SourceFilename>' || printf('<SourceBand>%d</SourceBand><SrcRect xOff="0" yOff="0" xSize="100" ySize="200"/><DstRect xOff="%d" yOff="%d" xSize="100" ySize="200"/></SimpleSource>', band, x, y) AS xml FROM o"""
 
 
 @query(_VRT)
 def raster_documents(spark, sf_dir):
+    """A virtual raster's elements, one a band and source."""
     return sinks.vrt_xml(_rasters(spark, sf_dir), 0.5)
 
 

@@ -146,12 +146,30 @@ def vrt_sources(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFr
     return placed.select(F.explode(F.sequence(F.lit(1), F.lit(bands))).alias("band"), "path", F.bround((F.col("left") - F.col("minx")) / resolution).cast("bigint").alias("xoff"), F.bround((F.col("maxy") - F.col("top")) / resolution).cast("bigint").alias("yoff"), F.col("width").alias("xsize"), F.col("height").alias("ysize"))
 
 
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
 def vrt_xml(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFrame:
-    """(band, xml): each band's element of a virtual raster, its sources in order of their paths."""
+    """(band, path, xml): the element of each band's source in a virtual raster."""
     placed = vrt_sources(rasters, resolution, bands)
     rect = lambda name, x, y: F.format_string(f'<{name} xOff="%d" yOff="%d" xSize="%d" ySize="%d"/>', x, y, "xsize", "ysize")
-    escaped = F.replace(F.replace(F.replace(F.col("path").cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    source = F.concat(F.lit('<SimpleSource><SourceFilename relativeToVRT="0">'), escaped, F.format_string("</SourceFilename><SourceBand>%d</SourceBand>", "band"), rect("SrcRect", F.lit(0), F.lit(0)), rect("DstRect", F.col("xoff"), F.col("yoff")), F.lit("</SimpleSource>"))
-    # A document: as bounded as the number of files in one folder.
-    joined = placed.groupBy("band").agg(F.array_sort(F.collect_list(F.struct("path", source.alias("xml")))).alias("all"))
-    return joined.select("band", F.concat(F.format_string('<VRTRasterBand dataType="Byte" band="%d">', "band"), F.concat_ws("", F.transform("all", lambda s: s["xml"])), F.lit("</VRTRasterBand>")).alias("xml"))
+    source = F.concat(F.lit('<SimpleSource><SourceFilename relativeToVRT="0">'), _escaped(F.col("path").cast("string")), F.format_string("</SourceFilename><SourceBand>%d</SourceBand>", "band"), rect("SrcRect", F.lit(0), F.lit(0)), rect("DstRect", F.col("xoff"), F.col("yoff")), F.lit("</SimpleSource>"))
+    return placed.select("band", "path", source.alias("xml"))
+
+
+def write_vrt(rasters: DataFrame, resolution: float, path: str, srs: str = "", bands: int = 3) -> None:
+    """A virtual raster file of rasters (path, left, top, width, height), each band's sources in order of their paths; at most 9 bands, and at least one raster."""
+    if not 1 <= bands <= 9:
+        raise ValueError("1 to 9 bands")
+    e = rasters.agg(F.min("left").alias("w"), F.max("top").alias("n"), F.max(F.col("left") + F.col("width") * resolution).alias("e"), F.min(F.col("top") - F.col("height") * resolution).alias("s")).first()
+    if e.w is None:
+        raise ValueError("no rasters")
+    size = f'rasterXSize="{round((e.e - e.w) / resolution)}" rasterYSize="{round((e.n - e.s) / resolution)}"'
+    named = srs.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    head = f"<VRTDataset {size}>\n  <SRS>{named}</SRS>\n  <GeoTransform>{e.w}, {resolution}, 0, {e.n}, 0, {-resolution}</GeoTransform>\n"
+    rows = vrt_xml(rasters, resolution, bands)
+    documents.write_document(
+        rows, path, [F.col("path")], F.concat(F.lit("    "), "xml"), F.col("band"), head=head, tail="\n</VRTDataset>",
+        group_head='  <VRTRasterBand dataType="Byte" band={group}>\n', group_tail="\n  </VRTRasterBand>", group_between="\n",
+    )

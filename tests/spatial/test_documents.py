@@ -97,3 +97,21 @@ def test_resizing_and_frames():
     on = {(y, x) for y, x in zip(*np.nonzero(box[..., 2]))}
     assert (6, 5) in on and (5, 4) in on and (14, 12) in on and (10, 8) not in on and (6, 2) not in on and (box[..., :2] == 0).all()
     assert raster.framed(np.zeros((5, 5, 3), np.uint8), -50, -50, 90, 90).sum() == 0
+
+
+def test_virtual_rasters_list_their_sources(spark, tmp_path):
+    import xml.etree.ElementTree as tree
+
+    rows = [(f"/d/{i:03d}<&>.tif", 100.0 + 10 * (i % 7), 900.0 - 10 * (i // 7), 20, 20) for i in range(60)]
+    rasters = spark.createDataFrame(rows, "path string, left double, top double, width int, height int")
+    sinks.write_vrt(rasters.repartition(5), 0.5, str(tmp_path / "v" / "ortho.vrt"), srs='PROJCS["a<b"]', bands=2)
+    doc = tree.parse(tmp_path / "v" / "ortho.vrt").getroot()
+    assert (doc.get("rasterXSize"), doc.get("rasterYSize"), doc.find("SRS").text, doc.find("GeoTransform").text) == ("140", "180", 'PROJCS["a<b"]', "100.0, 0.5, 0, 900.0, 0, -0.5")
+    bands = doc.findall("VRTRasterBand")
+    assert [b.get("band") for b in bands] == ["1", "2"]
+    for k, band in enumerate(bands, 1):
+        found = [(s.find("SourceFilename").text, s.find("SourceBand").text, s.find("DstRect").get("xOff"), s.find("DstRect").get("yOff")) for s in band.findall("SimpleSource")]
+        assert found == [(p, str(k), str(round((left - 100) / 0.5)), str(round((900 - top) / 0.5))) for p, left, top, _, _ in rows]
+    for some, bands in ((rasters, 10), (rasters.limit(0), 1)):
+        with pytest.raises(ValueError):
+            sinks.write_vrt(some, 0.5, str(tmp_path / "x.vrt"), bands=bands)
