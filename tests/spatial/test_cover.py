@@ -66,7 +66,7 @@ def test_a_point_in_several_rings_comes_once(spark):
     assert cover.points_inside(points, none).count() == 0 and none.count() == 0
 
 
-def test_a_hundred_thousand_vertices_and_ten_million_windows(spark):
+def test_a_hundred_thousand_vertices_and_millions_of_windows(spark):
     rng = random.Random(1)
     ring = star(100_000, 3.0, 46.0, 1.0, rng, 0.05)
     polygons = spark.createDataFrame([(1, ring)], RING)
