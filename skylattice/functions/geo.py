@@ -108,15 +108,6 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)) / 2
 
 
-def inside_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Strictly inside: edge parity, points on an edge don't count."""
-    n = F.size(ring)
-    edges = F.transform(ring, lambda p, i: F.struct(p["lon"].alias("x0"), p["lat"].alias("y0"), F.get(ring, (i + 1) % n)["lon"].alias("x1"), F.get(ring, (i + 1) % n)["lat"].alias("y1")))
-    crosses = F.filter(edges, lambda e: ((e["y0"] > lat) != (e["y1"] > lat)) & (lon < (e["x1"] - e["x0"]) * (lat - e["y0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0)) + e["x0"]))
-    on = lambda e: ((lon - e["x0"]) * (e["y1"] - e["y0"]) == (lat - e["y0"]) * (e["x1"] - e["x0"])) & lon.between(F.least(e["x0"], e["x1"]), F.greatest(e["x0"], e["x1"])) & lat.between(F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
-    return (F.size(crosses) % 2 == 1) & ~F.exists(edges, on)
-
-
 def raster_offset(value: Column, origin: Column, resolution: float) -> Column:
     """Whole pixels between two positions, halves to even."""
     return F.bround((value - origin) / resolution).cast("bigint")
