@@ -2,7 +2,6 @@ import math
 import random
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from skylattice.functions import geo
@@ -37,10 +36,9 @@ def spiral(n, x, y):
     return out + [(x + (i / n + 0.01) * math.cos(i / 9), y + (i / n + 0.01) * math.sin(i / 9)) for i in reversed(range(n))]
 
 
-@pytest.mark.parametrize("few", [4, 32])
-def test_cells_agree_with_all_edges(spark, monkeypatch, few):
-    monkeypatch.setattr(cover, "EDGES", few)
-    rng = random.Random(few)
+def test_cells_agree_with_all_edges(spark, monkeypatch):
+    monkeypatch.setattr(cover, "EDGES", 6)
+    rng = random.Random(6)
     square = [(0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5)]
     rings = [square, square + square[:1], star(300, 3.0, 45.0, 1.0, rng), star(40, -3.0, -20.0, 20.0, rng), comb(60, 2.0, 44.5), spiral(250, 3.2, 45.1), [(x / 4, y / 4) for x, y in star(30, 8, 8, 4, rng, 0.9)], [(1.0, 1.0), (2.0, 2.0)], [(rng.uniform(0, 2), rng.uniform(44, 46)) for _ in range(50)]]
     frame = spark.createDataFrame([*enumerate(rings), (100, None), (101, []), (102, [(1.0, None), (2.0, 2.0), (3.0, 1.0)])], RING).repartition(3)
@@ -76,13 +74,13 @@ def test_a_hundred_thousand_vertices_and_millions_of_windows(spark):
     spots = [(rng.uniform(1.9, 4.1), rng.uniform(44.9, 47.1)) for _ in range(300)] + ring[:20]
     got = {r.ord for r in cover.points_inside(spark.createDataFrame([(k, *p) for k, p in enumerate(spots)], "ord int, lon double, lat double"), leaves).collect()}
     assert got == {k for k, p in enumerate(spots) if inside(*p, ring)}
-    zoom, px = 17, 110
+    zoom, px = 17, 160
     found = cover.windows_inside(polygons, leaves, zoom, px, 0.0).withColumn("task", F.spark_partition_id())
     by_task = sorted(r[0] for r in found.groupBy("task").agg(F.count("*")).select("count(1)").collect())
     n = sum(by_task)
     area = 0.5 * abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1])))
     cell = (px / (256 * 2**zoom) * 360) ** 2 * math.cos(math.radians(46))
-    assert abs(n / (area / cell) - 1) < 0.02 and n > 2_000_000 and len(by_task) > 1 and by_task[-1] < 0.6 * n
+    assert abs(n / (area / cell) - 1) < 0.02 and n > 1_000_000 and len(by_task) > 1 and by_task[-1] < 0.6 * n
     leaves.unpersist()
 
 
