@@ -1,14 +1,16 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-case words.  Every word of the labelled sample is a term, with the weight (1 + log tf) * idf * relevance; relevance is ``LEAST`` plus the standard deviations
-by which the term's examples of label 1 exceed what chance gives, so that a few telling words aren't drowned by
-rare ones.  Vectors are normalised, and examples with equal vectors are one entry with counts of both labels.
-
-Entries stand in an inverted index in blocks of ``BLOCK``.  A query adds up its rare terms' postings, bounds each
-block by its best such sum plus the largest weights that the frequent terms reach in it, visits blocks by falling
-bound, and stops at the first that can't reach its k-th best cosine, so the neighbours are exact.  Each neighbour
-votes with its counts weighted by distance; the vote is mapped to a probability by a logistic curve fitted on the
-sample, leaving each example itself out.
+Terms are lower-case words.  Every word of the labelled sample is a term, with the weight (1 + log tf) * idf * relevance.
+Relevance is ``LEAST`` plus the standard deviations by which the term's examples of label 1 exceed what chance gives,
+so that a few telling words aren't drowned by rare ones.  It is learnt from one half of the sample, chosen by hash of
+the id.  Vectors are normalised, and examples with equal vectors are one entry with counts of both labels.
+
+Entries stand in an inverted index in blocks of ``BLOCK``, and each term keeps its largest weight in every block that
+it occurs in.  A query bounds each block by these weights of all of its terms, visits blocks by falling bound, some
+at a time, and stops where none left can reach its k-th best cosine, so the neighbours are exact; postings of blocks
+that it doesn't visit aren't read.  Each neighbour votes with its counts weighted by distance; the vote is mapped to
+a probability by a logistic curve fitted on the other half of the sample, whose labels have no part in the relevance; their votes
+leave the example itself out.
 
 Evidence is the nearest entries: id of their first example, cosine, counts.  Texts without a term of the sample,
 null and empty ones included, get the smoothed share of toxic examples among such examples and no evidence.
@@ -59,6 +61,11 @@ def counted_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return row[new], h[new], np.diff(np.append(new, len(row)))
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges, one range after the other, and the sizes."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum()), size
+
+
 @dataclass
 class Vocabulary:
     hashes: np.ndarray  # ascending
@@ -111,6 +118,13 @@ class Index:
             p = slice(self.start[t], self.start[t + 1])
             self._tiles[self.entry[p] // BLOCK, i, self.entry[p] % BLOCK] = self.weight[p]
         self._tops = self._tiles.max(axis=2).T.copy()
+        # Runs of postings of one term in one block.
+        term, block = np.repeat(np.arange(len(df)), df), self.entry // BLOCK
+        self._first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else term
+        self._size = np.diff(np.append(self._first, len(term)))
+        self._block = block[self._first]
+        self._top = np.maximum.reduceat(self.weight, self._first) if len(term) else self.weight
+        self._runs = np.searchsorted(self._first, self.start)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k entries of highest cosine above 0, ties by position: exact, by block bounds."""
@@ -120,24 +134,33 @@ class Index:
             return []
         slot = self._slot[term]
         rare = slot < 0
-        lo, n = self.start[term[rare]], self.start[term[rare] + 1] - self.start[term[rare]]
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        sums = np.bincount(self.entry[at], weights=np.repeat(weight[rare], n) * self.weight[at], minlength=self._blocks * BLOCK)
+        run, n = _spread(self._runs[term[rare]], self._runs[term[rare] + 1] - self._runs[term[rare]])
+        of, block = np.repeat(weight[rare], n), self._block[run]
         slot, often = slot[~rare], weight[~rare].astype(np.float32)
-        bounds = sums.reshape(-1, BLOCK).max(axis=1) + often @ self._tops[slot]
+        bounds = np.bincount(block, weights=of * self._top[run], minlength=self._blocks) + often @ self._tops[slot]
+        order = np.argsort(-bounds, kind="stable")
         best_cosine, best = np.zeros(0), np.zeros(0, np.int64)
-        least = 0.0
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 1e-9 or bounds[b] < least - 1e-6:
+        least, i, many = 0.0, 0, 1
+        while i < len(order):
+            some = order[i : i + many]
+            some = some[bounds[some] >= max(least - 1e-6, 1e-9)]
+            if len(some) == 0:
                 break
-            cosine = sums[b * BLOCK : (b + 1) * BLOCK] + often @ self._tiles[b].take(slot, axis=0)
+            place = np.full(self._blocks, -1)
+            place[some] = np.arange(len(some))
+            own = np.flatnonzero(place[block] >= 0)
+            at, n = _spread(self._first[run[own]], self._size[run[own]])
+            to = place[self.entry[at] // BLOCK] * BLOCK + self.entry[at] % BLOCK
+            cosine = np.bincount(to, weights=np.repeat(of[own], n) * self.weight[at], minlength=len(some) * BLOCK)
+            if len(slot):
+                cosine = cosine + np.concatenate([often @ self._tiles[b].take(slot, axis=0) for b in some.tolist()])
             found = np.flatnonzero(cosine > max(least - 1e-6, 1e-9))
-            if len(found):
-                best_cosine, best = np.concatenate([best_cosine, cosine[found]]), np.concatenate([best, found + b * BLOCK])
-                order = np.lexsort((best, -np.round(best_cosine, 6)))[:k]
-                best_cosine, best = best_cosine[order], best[order]
-                if len(best) == k:
-                    least = float(best_cosine[-1])
+            best_cosine, best = np.concatenate([best_cosine, cosine[found]]), np.concatenate([best, some[found // BLOCK] * BLOCK + found % BLOCK])
+            top = np.lexsort((best, -np.round(best_cosine, 6)))[:k]
+            best_cosine, best = best_cosine[top], best[top]
+            if len(best) == k:
+                least = float(best_cosine[-1])
+            i, many = i + many, many * 2
         return list(zip(best_cosine.tolist(), best.tolist()))
 
     def vote(self, found: list[tuple[float, int]], less: tuple[int, int] | None = None) -> float:
@@ -173,24 +196,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
     spark = docs.sparkSession
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per term: its examples, those of the half that relevance is learnt from, and those of them with label 1."""
         for b in batches:
-            y_all = b["y"].to_numpy()
+            y_all, told_all = b["y"].to_numpy() > 0, ~np.array(b["other"].to_pylist(), dtype=bool)
             for i, j, data, offsets in pieces(b["text"], PIECE):
                 row, h, _ = counted_terms(data, offsets)
                 h, where, n = np.unique(h, return_inverse=True, return_counts=True)
-                pos = np.bincount(where, weights=y_all[i:j][row] > 0, minlength=len(h)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.array(pos)], ["h", "n", "pos"])
-
-    picked = saved(sample(docs, labels, label, rows, id_col, text_col).repartition(16))  # bounded: ``rows`` texts
-    size = {r.y: r["count"] for r in picked.groupBy("y").count().collect()}
-    total, toxic = sum(size.values()), sum(n for y, n in size.items() if y > 0)
+                told = told_all[i:j][row]
+                sums = [np.bincount(where, weights=v, minlength=len(h)).astype(np.int64) for v in (told, told & y_all[i:j][row])]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), *map(pa.array, sums)], ["h", "n", "told", "pos"])
+
+    other = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(2)) == 1
+    picked = saved(sample(docs, labels, label, rows, id_col, text_col).withColumn("other", other).repartition(16))  # bounded: ``rows`` texts
+    size: dict[tuple[bool, bool], int] = {}
+    for r in picked.groupBy("other", "y").count().collect():
+        size[r.other, r.y > 0] = size.get((r.other, r.y > 0), 0) + r["count"]
+    total, toxic = sum(size.values()), sum(n for (_, y), n in size.items() if y)
     if total == 0:
         return None
-    counted = picked.select("text", "y").mapInArrow(distinct, "h bigint, n bigint, pos bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toArrow()
-    h, n, pos = counted["h"].to_numpy().view(np.uint64), counted["n"].to_numpy(), counted["pos"].to_numpy()
+    counted = picked.select("text", "y", "other").mapInArrow(distinct, "h bigint, n bigint, told bigint, pos bigint").groupBy("h").agg(*(F.sum(c).alias(c) for c in ("n", "told", "pos"))).toArrow()
+    h, n, told, pos = counted["h"].to_numpy().view(np.uint64), *(counted[c].to_numpy() for c in ("n", "told", "pos"))
     order = np.argsort(h)
-    h, n, pos = h[order], n[order], pos[order]
-    chance = n * (toxic / total)
+    h, n, told, pos = h[order], n[order], told[order], pos[order]
+    yes = size.get((False, True), 0)
+    chance = told * (yes / max(1, yes + size.get((False, False), 0)))
     relevance = LEAST + np.maximum(0, (pos - chance) / np.sqrt(chance + 1))
     vocabulary = Vocabulary(h, (np.log((total + 1) / (n + 0.5)) * relevance).astype(np.float32))
     words = spark.sparkContext.broadcast(vocabulary)
@@ -202,9 +231,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
             parts = [found.get(i, none) for i in range(b.num_rows)]
             ends = pa.array(np.concatenate([[0], np.cumsum([len(t) for t, _ in parts])]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([none[k], *(p[k] for p in parts)]).astype(kind))) for k, kind in ((0, np.int32), (1, np.float32))]
-            yield pa.RecordBatch.from_arrays([b["id"], b["y"], *lists], ["id", "y", "t", "w"])
+            yield pa.RecordBatch.from_arrays([b["id"], b["y"], b["other"], *lists], ["id", "y", "other", "t", "w"])
 
-    vectors = saved(picked.select("id", "text", "y").mapInArrow(vectorise, f"id {dict(picked.dtypes)['id']}, y int, t array<int>, w array<float>"))
+    vectors = saved(picked.select("id", "text", "y", "other").mapInArrow(vectorise, f"id {dict(picked.dtypes)['id']}, y int, other boolean, t array<int>, w array<float>"))
     index, entries = _index(vocabulary, vectors.toArrow(), toxic / total)
     shared = spark.sparkContext.broadcast(index)
 
@@ -216,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
             out = [shared.value.vote(found, (entries[_key(ts, ws)], int(v > 0))) for found, v, ts, ws in own]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), pa.array([int(v > 0) for _, v, _, _ in own], pa.int64())], ["vote", "y"])
 
-    told = vectors.select("y", "t", "w").mapInArrow(votes, "vote double, y bigint").toArrow()
+    told = vectors.where("other").select("y", "t", "w").mapInArrow(votes, "vote double, y bigint").toArrow()
     if told.num_rows:
         order = np.lexsort((told["y"].to_numpy(), told["vote"].to_numpy()))
         index.slopes = _curve(told["vote"].to_numpy()[order], told["y"].to_numpy()[order].astype(float))
