@@ -7,14 +7,17 @@ public byte-level vocabulary; an end id closes each text.  The model's probabili
 
 The second factor comes from id pairs counted over the whole training part of the corpus.  The first is a
 softmax over the corpus' log P(class | previous id) plus a learnt term of one masked self-attention layer over
-the last ``WINDOW`` ids.  The layer is trained in numpy on all windows of one in ``SHARE`` training texts, chosen by
-hash: each of ``STEPS`` Adam steps takes a part of these windows, whose gradients Spark sums, so that neither what
-it learns from nor the result depends on how rows are dealt out.  Long texts are scored in overlapping windows,
+the last ``WINDOW`` ids.  The layer is trained in numpy on every window of every training text, equal windows being
+one with a count that weighs its gradient.  Windows are dealt by hash to ``ROUNDS`` rounds and to shares of about
+``DEAL`` windows; each share takes Adam steps of ``BATCH`` windows of its own from the round's parameters, and Spark
+averages the shares by their windows.  So rounds don't grow with the corpus, shares do, and the result doesn't
+depend on how rows are dealt out.  Long texts are scored in overlapping windows,
 each id once, with at least ``WINDOW - STRIDE`` ids of context wherever the text has them.
 
 The base is a smoothed word unigram over all training tokens.  A word's ids multiply to the model's probability of
-the word, and the score mixes it with the base's: log10((1 - MIX) * model + MIX * base), so that no word costs more
-than log10(1 / MIX) over the base.  Words are told apart by 64-bit hashes.  The ``COMMON`` most frequent words'
+the word.  The score mixes it with the word's share c / N of the training tokens: log10((1 - MIX) * model + MIX * c / N).
+Both parts sum to one or less over all words, so the score is the log of a probability; ``model_score`` is the sum
+without the mix.  Words are told apart by 64-bit hashes.  The ``COMMON`` most frequent words'
 counts, less the ties of the last, are broadcast (16 bytes each); all other occurrences meet their counts in a join, so that each is exact.
 
 Null text is empty and holds only its end.  Repeated rows are rows (and training texts) of their own.  A null
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import LOWER, mix64, pieces, text_bytes, word_hashes
+from ._batch import LOWER, pieces, text_bytes, word_hashes
 from ._labels import remainder
 from ._store import discard, saved
 
@@ -43,9 +46,9 @@ CLASSES = 64
 WIDTH = 16
 WINDOW = 32
 STRIDE = 24
-#: One training text in so many trains the layer, in so many steps.
-SHARE, STEPS = 32, 40
-#: Weight of the word base in the score.
+#: Rounds of training, windows of a share about, and windows of one step.
+ROUNDS, DEAL, BATCH = 8, 4_096, 128
+#: Weight of the words' shares in the score.
 MIX = 0.5
 #: Words whose counts are broadcast.
 COMMON = 1_000_000
@@ -267,8 +270,8 @@ def corpus_model(pairs: DataFrame, path: str) -> Model:
 _PARAMETERS = ("embed", "place", "q", "k", "v", "out")
 
 
-def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray, ys: np.ndarray, valid: np.ndarray) -> tuple[dict[str, np.ndarray], int]:
-    """Summed gradients of the classes' cross entropy over windows of previous buckets and classes (n, WINDOW), and the number of valid ids."""
+def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray, ys: np.ndarray, valid: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
+    """Summed gradients of the classes' cross entropy over windows of previous buckets and classes (n, WINDOW), and the sum of ``valid``, the weight of each id."""
     tri, root = np.tri(WINDOW, dtype=bool), np.sqrt(WIDTH)
     e = p["embed"][xs] + p["place"]
     q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
@@ -289,65 +292,97 @@ def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray,
     flat = lambda t: t.reshape(-1, t.shape[-1])
     out = {n: flat(e).T @ flat(d) for n, d in (("q", dq), ("k", dk), ("v", dv))} | {"out": flat(h).T @ flat(dz), "place": de.sum(axis=0)}
     out["embed"] = np.stack([np.bincount(xs.ravel(), weights=flat(de)[:, i], minlength=IDS) for i in range(WIDTH)], axis=1)
-    return out, int(valid.sum())
+    return out, float(valid.sum())
 
 
-def train(model: Model, training: DataFrame, text_col: str, path: str, share: int = SHARE, steps: int = STEPS, rate: float = 0.02) -> Model:
-    """Adam over the windows of one in ``share`` texts: each step's gradients are summed by Spark over all of its windows."""
-    spark = training.sparkSession
-    tables = spark.sparkContext.broadcast((model.bucket, model.group, model.group_pair))
+def windows(training: DataFrame, text_col: str, path: str, bucket: np.ndarray) -> DataFrame:
+    """(ids, n): each distinct window of all texts, as 16-bit buckets led by the one before it, and how often it occurs."""
+    shared = training.sparkSession.sparkContext.broadcast(bucket.astype(np.int16))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, group, _ = tables.value
         for b in batches:
-            ids, at = encode(_raw(b["text"])[2], path)
-            x, y = bucket[previous(ids, at)], group[bucket[ids]]
-            n = -(-np.diff(at) // WINDOW)
-            text = np.repeat(np.arange(len(n)), n)
-            start = at[text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-            size = np.minimum(at[text + 1] - start, WINDOW)
-            ends = np.concatenate([[0], np.cumsum(size)])
-            take = np.repeat(start - ends[:-1], size) + np.arange(ends[-1])
-            step = (mix64(b["h"].to_numpy().view(np.uint64)[text] + start.astype(np.uint64) - at[text].astype(np.uint64)) % _U(steps)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(step), *(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(v[take].astype(np.int32))) for v in (x, y))], ["step", "x", "y"])
-
-    h = F.xxhash64(F.lit(3), F.col(text_col))
-    chosen = training.select(F.col(text_col).alias("text"), h.alias("h")).where(F.pmod(h, F.lit(share)) == 0)
-    # A step's windows are dealt to 64 tasks at most, and lie in files of their own.
-    windows = saved(chosen.mapInArrow(cut, "step int, x array<int>, y array<int>").repartition("step", F.pmod(F.xxhash64("x", "y"), F.lit(64))), "step")
-    sizes = [(n, getattr(model, n).shape) for n in _PARAMETERS]
-    ends = np.cumsum([0, *(int(np.prod(shape)) for _, shape in sizes)])
-    split = lambda flat: {n: flat[a:b].reshape(shape) for (n, shape), a, b in zip(sizes, ends, ends[1:])}
-    flat = np.concatenate([getattr(model, n).astype(np.float64).ravel() for n in _PARAMETERS])
+            for i, j, _, _ in pieces(b["text"]):
+                ids, at = encode(_raw(b["text"].slice(i, j - i))[2], path)
+                n = -(-np.diff(at) // WINDOW)
+                text = np.repeat(np.arange(len(n)), n)
+                start = at[text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
+                size = np.minimum(at[text + 1] - start, WINDOW)
+                ends = np.concatenate([[0], np.cumsum(size + 1)])
+                take = np.repeat(start - ends[:-1], size + 1) + np.arange(ends[-1])
+                led = np.empty(ends[-1], np.int16)
+                led[ends[:-1]] = shared.value[previous(ids, at)[start]]
+                rest = np.ones(len(led), bool)
+                rest[ends[:-1]] = False
+                led[rest] = shared.value[ids[take[rest] - 1]]
+                whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends * 2), pa.py_buffer(led)])
+                yield pa.RecordBatch.from_arrays([whole.cast(pa.binary())], ["ids"])
+
+    return training.select(F.col(text_col).alias("text")).mapInArrow(cut, "ids binary").groupBy("ids").agg(F.count("*").alias("n"))
+
+
+def _steps(flat: np.ndarray, split, tables: tuple, own: pa.Table, rate: float) -> np.ndarray:
+    """The parameters after Adam steps over one share's windows."""
+    group, group_pair = tables
     m1, m2 = np.zeros_like(flat), np.zeros_like(flat)
-    for step in range(steps):
+    for step, i in enumerate(range(0, own.num_rows, BATCH), 1):
+        part = own.slice(i, BATCH)
+        led = [np.frombuffer(v, np.int16) for v in part["ids"].to_pylist()]
+        size = np.array([len(v) - 1 for v in led])
+        here = np.arange(WINDOW) < size[:, None]
+        xs, ys = np.zeros(here.shape, np.int64), np.zeros(here.shape, np.int64)
+        xs[here], ys[here] = np.concatenate([v[:-1] for v in led]), group[np.concatenate([v[1:] for v in led])]
+        g, n = gradients({k: v.astype(np.float32) for k, v in split(flat).items()}, group_pair, xs, ys, (here * part["n"].to_numpy()[:, None]).astype(np.float32))
+        g = np.concatenate([g[name].ravel() for name in _PARAMETERS]) / n
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
+        flat = flat - rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+    return flat
+
+
+def train(model: Model, training: DataFrame, text_col: str, path: str, rounds: int = ROUNDS, deal: int = DEAL, rate: float = 0.01) -> Model:
+    """Rounds of Adam steps over all windows, taken by shares of windows and averaged by Spark."""
+    spark = training.sparkSession
+    tables = spark.sparkContext.broadcast((model.group, model.group_pair.astype(np.float32)))
+    table = saved(windows(training, text_col, path, model.bucket).withColumn("round", F.pmod(F.xxhash64(F.lit(1), "ids"), F.lit(rounds)).cast("int")), "round")
+    sizes = {r["round"]: r["count"] for r in table.groupBy("round").count().collect()}
+    shapes = [(n, getattr(model, n).shape) for n in _PARAMETERS]
+    ends = np.cumsum([0, *(int(np.prod(shape)) for _, shape in shapes)])
+    split = lambda flat: {n: flat[a:b].reshape(shape) for (n, shape), a, b in zip(shapes, ends, ends[1:])}
+    flat = np.concatenate([getattr(model, n).astype(np.float64).ravel() for n in _PARAMETERS])
+    for at in sorted(sizes):
+        # Rates fall from round to round.
+        pace = rate * (1 - at / rounds)
 
-        def summed(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat) -> Iterator[pa.RecordBatch]:
+        def taken(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, pace: float = pace) -> Iterator[pa.RecordBatch]:
             total, count = np.zeros(len(flat)), 0
-            p, group_pair = split(flat), tables.value[2]
+
+            def add(own: list[pa.RecordBatch]) -> None:
+                nonlocal total, count
+                t = pa.Table.from_batches(own)
+                total, count = total + t.num_rows * _steps(flat, split, tables.value, t, pace), count + t.num_rows
+
+            held: list[pa.RecordBatch] = []
             for b in batches:
-                for i in range(0, b.num_rows, 256):
-                    part = b.slice(i, 256)
-                    size = part["x"].value_lengths().to_numpy()
-                    valid = np.arange(WINDOW) < size[:, None]
-                    xs, ys = np.zeros(valid.shape, np.int64), np.zeros(valid.shape, np.int64)
-                    xs[valid], ys[valid] = part["x"].flatten().to_numpy(), part["y"].flatten().to_numpy()
-                    g, n = gradients(p, group_pair, xs, ys, valid)
-                    total += np.concatenate([g[name].ravel() for name in _PARAMETERS])
-                    count += n
+                share = b["share"].to_numpy()
+                for s, e in zip(cut := [0, *(np.flatnonzero(np.diff(share)) + 1).tolist()], [*cut[1:], b.num_rows]):
+                    if held and e > s and held[-1]["share"][0].as_py() != share[s]:
+                        add(held)
+                        held = []
+                    if e > s:
+                        held.append(b.slice(s, e - s))
+            if held:
+                add(held)
             if count:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat) + 1)), pa.array(np.append(total, count))], ["at", "g"])
-
-        own = windows.where(F.col("step") == step).select("x", "y").mapInArrow(summed, "at bigint, g double").groupBy("at").agg(F.sum("g").alias("g")).toArrow()
-        if own.num_rows == 0:
-            continue
-        g = np.zeros(len(flat) + 1)
-        g[own["at"].to_numpy()] = own["g"].to_numpy()
-        g = g[:-1] / g[-1]
-        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
-        fade = min(1, (step + 1) / 5, (steps - step) / steps * 2)
-        flat = flat - rate * fade * (m1 / (1 - 0.9 ** (step + 1))) / (np.sqrt(m2 / (1 - 0.99 ** (step + 1))) + 1e-8)
-    discard(windows)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat) + 1)), pa.array(np.append(total, count))], ["at", "v"])
+
+        shares = -(-sizes[at] // deal)
+        dealt = table.where(F.col("round") == at).select("ids", "n", F.pmod(F.xxhash64(F.lit(2), "ids"), F.lit(shares)).alias("share"))
+        # One task takes several shares, one after another; rows stand in a fixed order.
+        ordered = dealt.repartition(min(shares, 4_000), "share").sortWithinPartitions("share", F.xxhash64(F.lit(3), "ids"), "ids")
+        own = ordered.mapInArrow(taken, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        sums = np.zeros(len(flat) + 1)
+        sums[own["at"].to_numpy()] = own["v"].to_numpy()
+        flat = sums[:-1] / sums[-1]
+    discard(table)
     return Model(model.bucket, model.group, model.pair, model.within, model.group_pair, *split(flat).values())
 
 
@@ -391,7 +426,7 @@ _common: dict[str, _Common] = {}
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1, path: str | None = None, common: int = COMMON) -> DataFrame:
-    """Per document: its id, held_out, n_tokens, n_known, train_tokens, base_score and score, both log10."""
+    """Per document: its id, held_out, n_tokens, n_known, train_tokens, base_score, score and model_score, all three log10."""
     path = path or default_path()
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (remainder(F.col(id_col)) == held_out).alias("out"))
@@ -429,23 +464,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
                 begin = np.flatnonzero(heads(path)[ids])
                 sub = np.add.reduceat(logs, begin) / np.log(10)
                 last = ids[begin] == END
-                word, sub = sub[~last], np.where(last, np.log10((1 - mix) * 10.0**sub + mix * 10.0 ** (np.log10(ends + 0.5) - denominator)), 0.0)[last]
-                mixed = np.log10((1 - mix) * 10.0 ** word[found] + mix * (c[found] + 0.5) / 10.0**denominator)
+                alone = np.add.reduceat(sub, np.concatenate([[0], np.flatnonzero(last)[:-1] + 1]))
+                word, sub = sub[~last], np.log10((1 - mix) * 10.0 ** sub[last] + mix * ends / max(n_all, 1))
+                mixed = np.log10((1 - mix) * 10.0 ** word[found] + mix * c[found] / max(n_all, 1))
                 scores = sub + np.bincount(row[found], weights=mixed, minlength=n)
                 rid = b["rid"].to_numpy()[i:j]
-                yield pa.RecordBatch.from_arrays([pa.array(rid), b["id"].slice(i, n), b["out"].slice(i, n), pa.array(rid * -0x61C8864680B583EB), pa.array(np.ones(n, bool)), pa.array(tokens), pa.array(seen), pa.array(sums), pa.array(scores)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(rid), b["id"].slice(i, n), b["out"].slice(i, n), pa.array(rid * -0x61C8864680B583EB), pa.array(np.ones(n, bool)), pa.array(tokens), pa.array(seen), pa.array(sums), pa.array(scores), pa.array(alone)], names)
                 rare = np.flatnonzero(~found)
                 of = row[rare]
                 zero = np.zeros(len(rare))
-                yield pa.RecordBatch.from_arrays([pa.array(rid[of]), b["id"].slice(i, n).take(pa.array(of)), b["out"].slice(i, n).take(pa.array(of)), pa.array(h[rare]), pa.array(np.zeros(len(rare), bool)), *(pa.array(zero.astype(np.int64)) for _ in range(2)), pa.array(zero), pa.array(word[rare])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(rid[of]), b["id"].slice(i, n).take(pa.array(of)), b["out"].slice(i, n).take(pa.array(of)), pa.array(h[rare]), pa.array(np.zeros(len(rare), bool)), *(pa.array(zero.astype(np.int64)) for _ in range(2)), pa.array(zero), pa.array(word[rare]), pa.array(zero)], names)
 
-    names = ["rid", "id", "out", "h", "whole", "tokens", "known", "base", "score"]
+    names = ["rid", "id", "out", "h", "whole", "tokens", "known", "base", "score", "alone"]
     kind = dict(plain.dtypes)["id"]
-    rows = plain.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(scan, f"rid bigint, id {kind}, out boolean, h bigint, whole boolean, tokens bigint, known bigint, base double, score double")
+    rows = plain.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(scan, f"rid bigint, id {kind}, out boolean, h bigint, whole boolean, tokens bigint, known bigint, base double, score double, alone double")
     rows = rows.join(words, "h", "left") if total.v else rows.withColumn("c", F.lit(0).cast("bigint"))
     c = F.coalesce("c", F.lit(0))
     # A rare word's row brings the model's log10 probability of the word.
-    own = F.log10((1 - mix) * F.pow(F.lit(10.0), F.col("score")) + mix * (c + 0.5) / 10.0**denominator)
+    own = F.when(c > 0, F.log10((1 - mix) * F.pow(F.lit(10.0), F.col("score")) + mix * c / max(n_all, 1))).otherwise(F.col("score") + float(np.log10(1 - mix)))
     parts = rows.withColumns({"known": F.col("known") + F.when(~F.col("whole") & (c > 0), 1).otherwise(0), "base": F.col("base") + F.when(F.col("whole"), 0.0).otherwise(F.log10(c + 0.5)), "score": F.when(F.col("whole") | F.lit(mix == 0), F.col("score")).otherwise(own)})
-    done = parts.groupBy("rid", "id", "out").agg(*(F.sum(x).alias(x) for x in ("tokens", "known", "base", "score")))
-    return done.select(F.col("id").alias(id_col), F.col("out").alias("held_out"), F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n_all).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    done = parts.groupBy("rid", "id", "out").agg(*(F.sum(x).alias(x) for x in ("tokens", "known", "base", "score", "alone")))
+    return done.select(F.col("id").alias(id_col), F.col("out").alias("held_out"), F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n_all).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score", F.col("alone").alias("model_score"))

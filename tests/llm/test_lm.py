@@ -37,11 +37,11 @@ def corpus():
 
 @pytest.mark.parametrize("common", [10**6, 7, 0])
 def test_base_and_counts_match_brute_force(spark, monkeypatch, common):
-    monkeypatch.setattr(lm.train, "__defaults__", (2, 3, 0.01))
+    monkeypatch.setattr(lm.train, "__defaults__", (2, 64, 0.01))
     rows = corpus()
     got = lm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), common=common).collect()
     assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got), key=str) == brute(rows)
-    assert all(r.score < 0 for r in got)
+    assert all(r.score < 0 and r.model_score < 0 for r in got)
 
 
 def small_model(seed=0, scale=0.5):
@@ -141,8 +141,8 @@ def test_training_lowers_the_loss_however_rows_are_dealt(spark):
     m = lm.corpus_model(lm.counts(df, "text", path).where("kind = 1"), path)
     ids, off = lm.encode([text.encode()], path)
     m.group_pair[:] = np.log(1 / lm.CLASSES)
-    a = lm.train(m, df, "text", path, share=1, steps=15, rate=0.05)
-    b = lm.train(m, df.repartition(5), "text", path, share=1, steps=15, rate=0.05)
+    a = lm.train(m, df, "text", path, rounds=4, deal=40, rate=0.05)
+    b = lm.train(m, df.repartition(5), "text", path, rounds=4, deal=40, rate=0.05)
     assert a.log_probabilities(ids, off).mean() > lm.Model(*(getattr(m, f) for f in m.__dataclass_fields__)).log_probabilities(ids, off).mean() + 0.5
     assert np.allclose(a.out, b.out, atol=1e-6)
 
@@ -152,12 +152,12 @@ def test_scores_mix_word_and_base_by_brute_force(spark, monkeypatch, common):
     seen = {}
     monkeypatch.setattr(lm, "train", lambda m, *a, **k: seen.setdefault("m", m))
     rows = corpus() + [(600, "no\u00a0 break \u00a0space\u00a0 \u00a0 here"), (601, "a" * 3000 + " zo")]
-    got = {(r.doc_id, r.n_tokens): r.score for r in lm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), common=common).collect()}
+    got = {(r.doc_id, r.n_tokens): r for r in lm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), common=common).collect()}
     c = Counter()
     for d, t in rows:
         if zlib.crc32(str("" if d is None else d).encode()) % 5 != 1:
             c.update([*words(t), None])
-    n, v = sum(c.values()), len(c)
+    n = sum(c.values())
     for d, t in rows:
         ids, off = lm.encode([(t or "").encode()], lm.default_path())
         logs = seen["m"].log_probabilities(ids, off)
@@ -165,8 +165,9 @@ def test_scores_mix_word_and_base_by_brute_force(spark, monkeypatch, common):
         own = np.add.reduceat(logs, begin)
         tokens = [*words(t), None]
         assert len(own) == len(tokens)
-        want = sum(math.log10((1 - lm.MIX) * math.exp(s) + lm.MIX * (c[w] + 0.5) / (n + 0.5 * (v + 1))) for w, s in zip(tokens, own))
-        assert got[d, len(tokens)] == pytest.approx(want, rel=1e-4, abs=1e-3)
+        want = sum(math.log10((1 - lm.MIX) * math.exp(s) + lm.MIX * c[w] / n) if s > -600 else s / math.log(10) + math.log10(1 - lm.MIX) for w, s in zip(tokens, own))
+        assert got[d, len(tokens)].score == pytest.approx(want, rel=1e-4, abs=1e-3)
+        assert got[d, len(tokens)].model_score == pytest.approx(own.sum() / math.log(10), rel=1e-4, abs=1e-3)
 
 
 def test_long_words_that_sums_of_powers_confuse_are_told_apart(spark):
