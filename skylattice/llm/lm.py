@@ -47,7 +47,7 @@ WIDTH = 16
 WINDOW = 32
 STRIDE = 24
 #: Rounds of training, windows of a share about, and windows of one step.
-ROUNDS, DEAL, BATCH = 8, 4_096, 128
+ROUNDS, DEAL, BATCH = 8, 4_096, 64
 #: Weight of the words' shares in the score.
 MIX = 0.5
 #: Words whose counts are broadcast.
@@ -338,7 +338,7 @@ def _steps(flat: np.ndarray, split, tables: tuple, own: pa.Table, rate: float) -
     return flat
 
 
-def train(model: Model, training: DataFrame, text_col: str, path: str, rounds: int = ROUNDS, deal: int = DEAL, rate: float = 0.01) -> Model:
+def train(model: Model, training: DataFrame, text_col: str, path: str, rounds: int = ROUNDS, deal: int = DEAL, rate: float = 0.02) -> Model:
     """Rounds of Adam steps over all windows, taken by shares of windows and averaged by Spark."""
     spark = training.sparkSession
     tables = spark.sparkContext.broadcast((model.group, model.group_pair.astype(np.float32)))
