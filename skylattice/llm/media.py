@@ -362,7 +362,8 @@ def copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     # One key for byte-equal rasters; a null raster is its own.
     key = F.when(F.col("pixels").isNotNull(), F.xxhash64("pixels", "width", "height")).otherwise(F.xxhash64(F.lit("none"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     keyed = shape.withColumn("key", key)
-    ids = saved(keyed.select("id", "key"))
+    marked = saved(keyed.select("id", "key", F.col("pixels").isNull().alias("none")))
+    ids = marked.where(~F.col("none")).select("id", "key")
     # Pixels aren't shuffled: corners are.  Byte-equal rasters have equal corners, any of which serve.
     described = saved(describe(keyed).groupBy("key").agg(*(F.any_value(c.split()[0]).alias(c.split()[0]) for c in _LISTS.split(", "))))
     near = saved(verified(met_heads(described), described))
@@ -375,7 +376,10 @@ def copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     discard(described, near, links)
     heads = facts.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("n_copies"))
     grouped = facts.join(heads, "root").select("key", "n_corners", "n_copies", "component_id")
-    return ids.join(grouped, "key").select(F.col("id").alias(id_col), "n_corners", "n_copies", "component_id")
+    # Null rasters are groups of their own, whatever their ids.
+    alone = marked.where("none").select("id", F.lit(0).cast("bigint").alias("n_corners"), F.lit(1).cast("bigint").alias("n_copies"), F.col("id").alias("component_id"))
+    every = ids.join(grouped, "key").select("id", "n_corners", "n_copies", "component_id").union(alone)
+    return every.withColumnRenamed("id", id_col)
 
 
 def _textures(numbers: int, side: int) -> np.ndarray:

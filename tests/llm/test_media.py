@@ -148,3 +148,9 @@ def test_groups_equal_all_pairs_by_brute_force_and_recall(spark):
     assert [got[i] for i in range(len(found))] == root
     near = [(i, j) for i in range(len(v)) for j in range(i) if v[i] @ v[j] / np.linalg.norm(v[i]) / np.linalg.norm(v[j]) > 0.9]
     assert sum(got[i] == got[j] for i, j in near) >= 0.9 * len(near) and len(near) > 400
+
+
+def test_null_rasters_of_one_id_are_no_copies(spark):
+    df = spark.createDataFrame([(1, None, 10, 10), (1, None, 10, 10), (None, None, 10, 10), (None, None, 10, 10), (2, b"x" * 100, 10, 10), (2, b"x" * 100, 10, 10)], "image_id bigint, pixels binary, width int, height int")
+    got = sorted(((r.image_id, r.n_corners, r.n_copies, r.component_id) for r in media.copies(df).collect()), key=str)
+    assert got == [(1, 0, 1, 1)] * 2 + [(2, 0, 2, 2)] * 2 + [(None, 0, 1, None)] * 2
