@@ -53,6 +53,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         # Done when the links form stars: no node is both a root and below one, and each points at one root.
         stars = after.groupBy("u").agg(F.count("*").alias("n"))
         open_ = stars.where("n > 1").select("u").union(after.select("v").distinct().join(stars.select(F.col("u").alias("v")), "v", "left_semi"))
+        discard(edges)
         edges = after
         if open_.isEmpty():
             break
