@@ -61,7 +61,8 @@ def overlapping(predictions: DataFrame, labels: DataFrame, least: float = THRESH
     spread = solid(labels).select("image", "cls", F.col("ord").alias("label"), *(F.col(c).alias(f"l_{c}") for c in BOX))
     spread = spread.withColumn("cx", F.explode(_cells(F.col("l_x0"), F.col("l_x1"), least))).withColumn("cy", F.explode(_cells(F.col("l_y0"), F.col("l_y1"), least)))
     iou = overlap([F.col(c) for c in BOX], [F.col(f"l_{c}") for c in BOX])
-    return placed.join(spread, ["image", "cls", "cx", "cy"]).select("image", "cls", "pred", "label", iou.alias("iou")).where(F.col("iou") >= least)
+    # Spark takes the cells for as small as the labels that they come from, and would collect them for a broadcast.
+    return placed.join(spread.hint("merge"), ["image", "cls", "cx", "cy"]).select("image", "cls", "pred", "label", iou.alias("iou")).where(F.col("iou") >= least)
 
 
 def _known(boxes: DataFrame) -> DataFrame:

@@ -100,3 +100,9 @@ def test_perfect_none_and_empty(spark):
     assert tuple(metrics.summary(metrics.by_class(frame(perfect), known.limit(0))).first()) == (None,) * 5
     odd = frame([(None, 0, 1, 0.0, 0.0, 1.0, 1.0, 0.5), (1, 0, 2, 0.0, 0.0, 1.0, 1.0, None), (1, 9, 3, 0.0, 0.0, 1.0, 1.0, 0.7)])
     assert metrics.summary(metrics.by_class(odd, known)).first().mp == 0.0
+
+
+def test_cells_are_never_broadcast(spark):
+    boxes = spark.createDataFrame([(0, 0, 1, 0.0, 0.0, 2.0, 2.0)], SCHEMA)
+    plan = metrics.overlapping(boxes, boxes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
