@@ -89,10 +89,10 @@ def box_to_px(bbox: Column, ogx: Column, ogy: Column, zoom: int = ZOOM, px: int
     return F.struct(clamp(x0 - ogx).alias("x0"), clamp(y0 - ogy).alias("y0"), clamp(x1 - ogx).alias("x1"), clamp(y1 - ogy).alias("y1"))
 
 
-def yolo_label(box: Column, px: int = WINDOW_PX, cls: int = 0) -> Column:
-    """"cls cx cy w h", normalised to six decimals; null for a box without area."""
+def yolo_label(box: Column, px: int = WINDOW_PX, cls: int = 0, digits: int = 6) -> Column:
+    """"cls cx cy w h", normalised to six decimals, or ``digits``; null for a box without area."""
     w, h = box["x1"] - box["x0"], box["y1"] - box["y0"]
-    text = F.format_string("%d %.6f %.6f %.6f %.6f", F.lit(cls), (box["x0"] + box["x1"]) / 2 / px, (box["y0"] + box["y1"]) / 2 / px, w / px, h / px)
+    text = F.format_string("%d" + f" %.{digits}f" * 4, F.lit(cls), (box["x0"] + box["x1"]) / 2 / px, (box["y0"] + box["y1"]) / 2 / px, w / px, h / px)
     return F.when((w > 0) & (h > 0), text)
 
 

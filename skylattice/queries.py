@@ -114,9 +114,8 @@ SELECT id, round(x0, 3) AS x0, round(y0, 3) AS y0, round(x1, 3) AS x1, round(y1,
 )
 def box_labels(spark, sf_dir):
     b = windows.with_origin(assets(spark, sf_dir)).select("id", geo.box_to_px(geo.fixed_box(F.col("lon"), F.col("lat")), F.col("ogx"), F.col("ogy")).alias("b"))
-    # Four decimals of the label's numbers: the sixth may differ by the last bit of a logarithm.
-    part = F.split(geo.yolo_label(F.col("b")), " ")
-    label = F.when(part.isNotNull(), F.format_string("%s %.4f %.4f %.4f %.4f", part[0], *(part[i].cast("double") for i in range(1, 5))))
+    # Rounded once to four decimals: the sixth may differ by the last bit of a logarithm, and rounding its text again would round twice.
+    label = geo.yolo_label(F.col("b"), digits=4)
     return b.select("id", *(r(F.col(f"b.{k}")).alias(k) for k in ("x0", "y0", "x1", "y1")), label.alias("label"))
 
 

@@ -382,3 +382,10 @@ def test_cache_and_parts(spark):
     hits, misses = readers.cached(t, t.where("key = 'a'").union(spark.createDataFrame([("z",)], "key string")))
     assert [x.key for x in hits.collect()] == ["a", "a"] and [x.key for x in misses.collect()] == ["b"]
     assert splits.part_lists(spark.createDataFrame([], "id int, part string")).count() == 0
+
+
+def test_box_labels_round_once(spark, tmp_path):
+    from skylattice import queries
+
+    spark.createDataFrame([(2392,)], "c_custkey bigint").write.parquet(str(tmp_path / "customer.parquet"))
+    assert queries.box_labels(spark, str(tmp_path)).first().label == "0 0.5000 0.5000 0.1004 0.1004"
