@@ -625,13 +625,13 @@ def largest_faces(spark, sf_dir):
 
 _VRT = """WITH ras AS (SELECT s_suppkey AS id, CAST(s_suppkey % 7 AS DOUBLE) * 1000.25 AS l, 9000.5 + CAST(s_suppkey % 11 AS DOUBLE) * 500.75 AS t FROM supplier),
 o AS (SELECT b AS band, id, CAST(round_even((l - (SELECT min(l) FROM ras)) / 0.5, 0) AS BIGINT) AS x, CAST(round_even(((SELECT max(t) FROM ras) - t) / 0.5, 0) AS BIGINT) AS y FROM ras, (VALUES (1), (2), (3)) v(b))
-SELECT band, id AS path, '<SimpleSource><SourceFilename relativeToVRT="0">' || id || '</SourceFilename>' || printf('<SourceBand>%d</SourceBand><SrcRect xOff="0" yOff="0" xSize="100" ySize="200"/><DstRect xOff="%d" yOff="%d" xSize="100" ySize="200"/></SimpleSource>', band, x, y) AS xml FROM o"""
+SELECT band, printf('<VRTRasterBand dataType="Byte" band="%d">', band) || string_agg('<SimpleSource><SourceFilename relativeToVRT="0">' || id || '</SourceFilename>' || printf('<SourceBand>%d</SourceBand><SrcRect xOff="0" yOff="0" xSize="100" ySize="200"/><DstRect xOff="%d" yOff="%d" xSize="100" ySize="200"/></SimpleSource>', band, x, y), '' ORDER BY id) || '</VRTRasterBand>' AS xml FROM o GROUP BY band"""
 
 
 @query(_VRT)
 def raster_documents(spark, sf_dir):
-    """A virtual raster's elements, one a band and source."""
-    return sinks.vrt_xml(_rasters(spark, sf_dir), 0.5)
+    """A virtual raster's bands, whole."""
+    return sinks.vrt_bands(_rasters(spark, sf_dir), 0.5)
 
 
 @query(f"WITH {BASE} SELECT id FROM dets WHERE lon BETWEEN 0.3e0 AND 0.8e0 AND lat BETWEEN 46.9e0 AND 47.4e0 AND id % 4 < 2")

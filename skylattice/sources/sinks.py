@@ -158,6 +158,12 @@ def vrt_xml(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFrame:
     return placed.select("band", "path", source.alias("xml"))
 
 
+def vrt_bands(rasters: DataFrame, resolution: float, bands: int = 3) -> DataFrame:
+    """(band, xml): each band's element of a virtual raster, its sources in order of their paths; a band's text is one value."""
+    joined = vrt_xml(rasters, resolution, bands).groupBy("band").agg(F.array_sort(F.collect_list(F.struct("path", "xml"))).alias("all"))
+    return joined.select("band", F.concat(F.format_string('<VRTRasterBand dataType="Byte" band="%d">', "band"), F.concat_ws("", F.transform("all", lambda s: s["xml"])), F.lit("</VRTRasterBand>")).alias("xml"))
+
+
 def write_vrt(rasters: DataFrame, resolution: float, path: str, srs: str = "", bands: int = 3) -> None:
     """A virtual raster file of rasters (path, left, top, width, height), each band's sources in order of their paths; at most 9 bands, and at least one raster."""
     if not 1 <= bands <= 9:

@@ -115,3 +115,14 @@ def test_virtual_rasters_list_their_sources(spark, tmp_path):
     for some, bands in ((rasters, 10), (rasters.limit(0), 1)):
         with pytest.raises(ValueError):
             sinks.write_vrt(some, 0.5, str(tmp_path / "x.vrt"), bands=bands)
+
+
+def test_virtual_raster_bands_are_whole(spark, tmp_path):
+    from skylattice import queries
+
+    spark.createDataFrame([(12,), (3,), (100,)], "s_suppkey bigint").write.parquet(str(tmp_path / "supplier.parquet"))
+    bands = {r.band: r.xml for r in queries.raster_documents(spark, str(tmp_path)).collect()}
+    for band, xml in bands.items():
+        assert xml.startswith(f'<VRTRasterBand dataType="Byte" band="{band}"><SimpleSource>') and xml.endswith("</SimpleSource></VRTRasterBand>")
+        assert [xml.index(f">{k}<") for k in (3, 12, 100)] == sorted(xml.index(f">{k}<") for k in (3, 12, 100)) and xml.count("<SimpleSource>") == 3
+    assert bands.keys() == {1, 2, 3}
