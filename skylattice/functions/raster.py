@@ -41,20 +41,26 @@ def to_hsv(bgr: np.ndarray) -> np.ndarray:
     return np.stack([np.round(h / 2) % 180, np.round(s), v], axis=-1).astype(np.uint8)
 
 
-def _around(m: np.ndarray, outside: bool) -> Iterator[np.ndarray]:
-    """The 3 x 3 neighbours of all pixels of masks (n, h, w)."""
-    p = np.pad(m, [(0, 0), (1, 1), (1, 1)], constant_values=outside)
-    for dy in range(3):
-        for dx in range(3):
-            yield p[:, dy : dy + m.shape[1], dx : dx + m.shape[2]]
-
-
 def eroded(m: np.ndarray) -> np.ndarray:
-    return np.logical_and.reduce(list(_around(m, True)))
+    p = np.pad(m, [(0, 0), (1, 1), (1, 1)], constant_values=True)
+    p = p[:, :-2] & p[:, 1:-1] & p[:, 2:]
+    return p[..., :-2] & p[..., 1:-1] & p[..., 2:]
 
 
 def dilated(m: np.ndarray) -> np.ndarray:
-    return np.logical_or.reduce(list(_around(m, False)))
+    return ~eroded(~m)
+
+
+def coloured(bgr: np.ndarray, low: tuple[int, int, int], high: tuple[int, int, int]) -> np.ndarray:
+    """Which pixels lie in the bounds of ``to_hsv``; hue is only worked out where value and saturation do."""
+    b, g, r = (bgr[..., i] for i in range(3))
+    v, least = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
+    top, bottom = np.arange(256.0)[:, None], np.arange(256.0)
+    s = np.round(np.where(top == 0, 0, (top - bottom) / np.where(top == 0, 1, top) * 255))
+    m = ((top >= low[2]) & (top <= high[2]) & (s >= low[1]) & (s <= high[1]))[v, least]
+    hue = to_hsv(bgr[m])[..., 0]
+    m[m] = (hue >= low[0]) & (hue <= high[0])
+    return m
 
 
 def _runs(m: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -114,8 +120,7 @@ def blobs(bgr: np.ndarray, limits: BlobLimits = BlobLimits()) -> list[list[tuple
     Only outer outlines count.  Area and centre are those of the outline through pixel centres (a full w x h block has
     (w - 1) * (h - 1)): of the squares between four set pixels and the triangles between three.
     """
-    hsv = to_hsv(bgr)
-    m = np.all((hsv >= limits.low) & (hsv <= limits.high), axis=-1)
+    m = coloured(bgr, limits.low, limits.high)
     m = filled(eroded(dilated(dilated(eroded(m)))))
     n, h, w = m.shape
     row, start, end, of_run = _runs(m, 1)
@@ -159,6 +164,24 @@ def median_hsv(bgr: np.ndarray, px: float, py: float, window: int = 9) -> tuple[
     return tuple(float(c) for c in np.median(to_hsv(patch).reshape(-1, 3), axis=0)) if patch.size else None
 
 
+def medians_hsv(stack: np.ndarray, px: list[float], py: list[float], window: int = 9) -> Iterator[tuple[int, tuple[float, ...]]]:
+    """(place, median_hsv) of images (n, h, w, 3) with a patch, those with patches of one shape at once."""
+    half = window // 2
+
+    def span(p: list[float], size: int) -> tuple[np.ndarray, np.ndarray]:
+        at = np.array([min(max(int(v), -window), size + window) for v in p])
+        low = np.clip(at - half, 0, size)
+        return low, np.clip(at + half + 1, 0, size) - low
+
+    (x, wide), (y, high) = span(px, stack.shape[2]), span(py, stack.shape[1])
+    for h, w in np.unique(np.stack([high, wide], axis=1), axis=0).tolist():
+        if h and w:
+            of = np.nonzero((high == h) & (wide == w))[0]
+            patch = stack[of[:, None, None], (y[of, None] + np.arange(h))[:, :, None], (x[of, None] + np.arange(w))[:, None, :]]
+            for i, m in zip(of.tolist(), np.median(to_hsv(patch).reshape(len(of), h * w, 3), axis=1).tolist()):
+                yield i, tuple(m)
+
+
 def with_marker(bgr: np.ndarray, px: float, py: float, size: int = 20) -> np.ndarray:
     """A copy with a red cross at the rounded point."""
     out, x, y, half = bgr.copy(), round(px), round(py), size // 2
@@ -224,7 +247,7 @@ def medians(images: DataFrame, window: int = 9) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             px, py = b["px"].to_pylist(), b["py"].to_pylist()
-            found = [(r, *m) for rows, stack in _images(b) for r, image in zip(rows, stack) if (m := median_hsv(image, px[r], py[r], window)) is not None]
+            found = [(rows[i], *m) for rows, stack in _images(b) for i, m in medians_hsv(stack, [px[r] for r in rows], [py[r] for r in rows], window)]
             cols = list(zip(*found)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([b["id"].take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.float64()) for c in cols[1:])], ["id", "h", "s", "v"])
 
@@ -409,3 +432,14 @@ def band_sums(pixels: Column, bands: int = 3) -> Column:
             yield pa.array([{"filled": int(f.any(axis=1).sum()), "sums": f.sum(axis=0, dtype=np.int64).tolist()} for f in flat], pa.struct([("filled", pa.int64()), ("sums", pa.list_(pa.int64()))]))
 
     return out(pixels)
+
+
+def coloured_pixels(pixels: Column, bgr: tuple[int, int, int]) -> Column:
+    """How many pixels of an image have a colour; null for none."""
+
+    @F.arrow_udf("bigint")
+    def out(column: pa.Array) -> pa.Array:
+        colour = np.array(bgr, np.uint8)
+        return pa.array([int((np.frombuffer(v.as_buffer(), np.uint8).reshape(-1, 3) == colour).all(axis=1).sum()) if v.is_valid else None for v in column], pa.int64())
+
+    return out(pixels)

@@ -53,6 +53,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df`` in parts of about ``rows`` rows: what is drawn from a row is far larger than it, and files are dealt out by their own bytes."""
+    return df.repartition(max(1, -(-df.count() // rows)), key)
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", 5_000)
+
+
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(*ASSET.split(",\n"))
 
@@ -411,7 +420,7 @@ def detect_blobs(spark, sf_dir):
     """Blobs on a drawn image a part: a green block on grey-green, its place and size from the key."""
     k = "CAST(p_partkey AS INT)"
     pixels = F.expr(_block(f"(10 + {k} % 20)", "21", f"(9 + {k} % 9)", "3CC83C"))
-    images = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit(64).alias("height"), F.lit(64).alias("width"), pixels.alias("pixels"))
+    images = _parts(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.lit(64).alias("height"), F.lit(64).alias("width"), pixels.alias("pixels"))
     found = raster.detect_blobs(images, raster.BlobLimits((40, 120, 80), (80, 255, 255), (100, 20_000), (0.3, 3)))
     return found.select("id", *(r(F.col(c), 6).alias(c) for c in ("px", "py", "area", "score")))
 
@@ -432,7 +441,7 @@ _GREY = "SELECT p_partkey AS id, CAST(p_partkey % 24 AS BIGINT) AS x, CAST(p_par
 def _grey(spark, sf_dir):
     """Images of 24 x 24 pixels, the left half in one grey and the right half in another."""
     pixels = "unhex(repeat(concat(repeat(format_string('%02x', k % 256), 36), repeat(format_string('%02x', k * 5 % 256), 36)), 24))"
-    return table(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_partkey AS k").selectExpr("id", "24 AS height", "24 AS width", f"{pixels} AS pixels", "CAST(k % 24 AS DOUBLE) AS px", "CAST(k * 7 % 24 AS DOUBLE) AS py")
+    return _parts(spark, sf_dir).selectExpr("p_partkey AS id", "p_partkey AS k").selectExpr("id", "24 AS height", "24 AS width", f"{pixels} AS pixels", "CAST(k % 24 AS DOUBLE) AS px", "CAST(k * 7 % 24 AS DOUBLE) AS py")
 
 
 @query(f"WITH g AS ({_GREY}), n AS (SELECT *, greatest(0, least(12, x + 5) - greatest(0, x - 4)) AS l, least(24, x + 5) - greatest(0, x - 4) AS w FROM g) SELECT id, 0.0::DOUBLE AS h, 0.0::DOUBLE AS s, CASE WHEN 2 * l > w THEN a WHEN 2 * l < w THEN b ELSE (a + b) / 2 END AS v FROM n")
@@ -442,9 +451,8 @@ def median_colours(spark, sf_dir):
 
 @query(f"WITH g AS ({_GREY}) SELECT id, CAST(least(24, x + 11) - greatest(0, x - 10) + least(24, y + 11) - greatest(0, y - 10) - 1 AS BIGINT) AS red FROM g")
 def tile_markers(spark, sf_dir):
-    shown = raster.marked(_grey(spark, sf_dir)).withColumn("hex", F.hex("pixels"))
-    pixels = F.transform(F.sequence(F.lit(0), F.lit(24 * 24 - 1)), lambda i: F.substring(F.col("hex"), i * 6 + 1, F.lit(6)))
-    return shown.select("id", F.size(F.filter(pixels, lambda p: p == "0000FF")).cast("bigint").alias("red"))
+    shown = raster.marked(_grey(spark, sf_dir))
+    return shown.select("id", raster.coloured_pixels(F.col("pixels"), (0, 0, 255)).alias("red"))
 
 
 @query(f"WITH {BASE} SELECT id, round(lon, 7) AS lon2, round(lat, 7) AS lat2 FROM assets")

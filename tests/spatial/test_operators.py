@@ -389,3 +389,28 @@ def test_box_labels_round_once(spark, tmp_path):
 
     spark.createDataFrame([(2392,)], "c_custkey bigint").write.parquet(str(tmp_path / "customer.parquet"))
     assert queries.box_labels(spark, str(tmp_path)).first().label == "0 0.5000 0.5000 0.1004 0.1004"
+
+
+def test_pixel_kernels_match_plain_ones():
+    rng = np.random.default_rng(5)
+    bgr = rng.integers(0, 256, (6, 20, 30, 3), dtype=np.uint8)
+    bgr[0, :4] = bgr[0, :4, :, :1]
+    hsv = raster.to_hsv(bgr)
+    for low, high in (((40, 120, 80), (80, 255, 255)), ((0, 0, 0), (179, 255, 255)), ((0, 0, 0), (10, 90, 200))):
+        assert np.array_equal(raster.coloured(bgr, low, high), np.all((hsv >= low) & (hsv <= high), axis=-1))
+    m = rng.random((3, 9, 11)) < 0.7
+    p = np.pad(m, [(0, 0), (1, 1), (1, 1)], constant_values=True)
+    assert np.array_equal(raster.eroded(m), np.logical_and.reduce([p[:, y : y + 9, x : x + 11] for y in range(3) for x in range(3)]))
+    p = np.pad(m, [(0, 0), (1, 1), (1, 1)], constant_values=False)
+    assert np.array_equal(raster.dilated(m), np.logical_or.reduce([p[:, y : y + 9, x : x + 11] for y in range(3) for x in range(3)]))
+    px, py = [0.0, 29.9, -3.0, 50.0, 15.0, 33.0], [0.0, 19.0, 5.0, 5.0, 10.5, 19.0]
+    want = {i: m for i in range(6) if (m := raster.median_hsv(bgr[i], px[i], py[i])) is not None}
+    assert dict(raster.medians_hsv(bgr, px, py)) == want and len(want) == 5
+
+
+def test_drawn_images_are_dealt_out(spark, tmp_path):
+    from skylattice import queries
+
+    spark.range(12_000).selectExpr("id AS p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for name in ("detect_blobs", "median_colours", "tile_markers"):
+        assert queries.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() == 3
