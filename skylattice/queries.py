@@ -675,7 +675,7 @@ bnd AS (SELECT id, min(mx) AS l3, min(my) AS b3, max(mx) AS r3, max(my) AS t3 FR
 def _scene(spark, sf_dir):
     """A raster a supplier, side by side with overlaps, as blocks of 20 x 20 pixels whose numbers follow from their place."""
     w, h, res = _SIZE
-    ras = table(spark, sf_dir, "supplier").selectExpr("CAST(s_suppkey AS BIGINT) AS ord", "652000D + CAST(s_suppkey % 10 AS DOUBLE) * 10.3D AS left", "6862000D - CAST(floor(s_suppkey / 10) AS DOUBLE) * 8.1D AS top")
+    ras = dealt(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", 250).selectExpr("CAST(s_suppkey AS BIGINT) AS ord", "652000D + CAST(s_suppkey % 10 AS DOUBLE) * 10.3D AS left", "6862000D - CAST(floor(s_suppkey / 10) AS DOUBLE) * 8.1D AS top")
     ras = ras.withColumns({"res": F.lit(res), "width": F.lit(w), "height": F.lit(h)})
     blocks = ras.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(w - 1), F.lit(20)))).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(h - 1), F.lit(20))))
     blocks = blocks.withColumns({"w": F.least(F.lit(20), w - F.col("col")), "h": F.least(F.lit(20), h - F.col("row"))})

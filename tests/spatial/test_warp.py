@@ -153,3 +153,10 @@ def test_morton_keys_interleave_bits(spark):
 def test_inverse_mercator():
     lon, lat = from_mercator(*to_mercator(np.array([2.5]), np.array([47.25]), ARRAYS), ARRAYS)
     assert math.isclose(lon[0], 2.5) and math.isclose(lat[0], 47.25)
+
+
+def test_drawn_rasters_are_dealt_out(spark, tmp_path):
+    from skylattice import queries
+
+    spark.range(600).selectExpr("id AS s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    assert queries._scene(spark, str(tmp_path)).rdd.getNumPartitions() == 3
