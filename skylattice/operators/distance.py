@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import MEAN_RADIUS_M, haversine_m
 
+#: Rows that one task of the join takes of both sides together, a row of the right side once for each of its cells.
+ROWS = 200_000
+
 
 def _height(radius_m: float) -> float:
     """Degrees of latitude of a row; at least a millimetre, so that a radius of 0 joins equal points."""
@@ -44,6 +47,9 @@ def pairs_within(left: DataFrame, right: DataFrame, radius_m: float) -> DataFram
     n, x = _columns(F.col("cy"), radius_m), _column(F.col("r.lon"), F.col("cy"), radius_m)
     b = rows.select("r", "cy", F.explode(F.array_distinct(F.array(*(F.pmod(x + i, n) for i in (-1, 0, 1))))).alias("cx"))
     dist = haversine_m(F.col("l.lon"), F.col("l.lat"), F.col("r.lon"), F.col("r.lat"))
+    # Dealt out by rows, as partitions of so many packed bytes are far larger once a task sorts them.
+    parts = max(1, -(-(left.where(place).count() + 9 * right.where(place).count()) // ROWS))
+    a, b = (df.repartition(parts, "cx", "cy") for df in (a, b))
     return a.join(b, ["cx", "cy"]).select("l", "r", dist.alias("dist")).where(F.col("dist") <= radius_m)
 
 

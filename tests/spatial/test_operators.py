@@ -336,6 +336,16 @@ def test_crowded_spots_make_no_pairs(spark):
     assert sorted(r.ord for r in kept.collect()) == [99, 20_001, 30_000, 30_001] and kept.columns == rows.columns
 
 
+def test_distance_joins_are_dealt_out_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(distance, "ROWS", 200, raising=False)
+    rows = [(6 + i % 20 * 1e-3, 43 + i // 20 * 1e-3, 0.5) for i in range(300)]
+    pairs = distance.pairs_within(points(spark, rows), points(spark, rows), 100.0)
+    per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert len(per_task) > 10 and max(per_task) < 150
+    # Neighbours are 81 m apart from west to east and 111 m from south to north.
+    assert sorted((x.l.ord, x.r.ord) for x in pairs.collect()) == sorted((i, j) for i in range(300) for j in range(300) if i // 20 == j // 20 and abs(i - j) <= 1)
+
+
 def test_null_properties_stay(spark):
     p = points(spark, [(6.1, 43.4, None)])
     assert json.loads(sinks.geojson_features(p, {"note": None}).first().feature)["properties"] == {"score": None, "note": None}
