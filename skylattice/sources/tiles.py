@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.geo import TILE_PX, WINDOW_PX, ZOOM
 from ..operators.windows import with_origin
 
+#: Bytes of windows that a task pastes before it hands them on.
+WINDOW_BYTES = 1 << 22
+
 
 def morton(x: Column, y: Column) -> Column:
     """The bits of two numbers of at most 31 bits in turn, so that near tiles have near keys."""
@@ -55,16 +58,19 @@ def _shown(side: int, px: int, bands: int):
 
 
 def _pasted(px: int, bands: int, swap: bool):
-    @F.arrow_udf("binary")
-    def pasted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            out = []
-            for parts in column:
-                window = np.zeros((px, px, bands), np.uint8)
-                for p in parts.as_py() or []:
-                    window[p["dy"] : p["dy"] + p["h"], p["dx"] : p["dx"] + p["w"]] = np.frombuffer(p["part"], np.uint8).reshape(p["h"], p["w"], bands)
-                out.append((window[..., ::-1] if swap else window).tobytes())
-            yield pa.array(out, pa.binary())
+    """Windows from their parts, handed on a few at a time: a batch of parts can stand for windows far larger than itself."""
+    together = max(1, WINDOW_BYTES // (px * px * bands))
+
+    def pasted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, together):
+                some, out = b.slice(i, together), []
+                for parts in some["parts"]:
+                    window = np.zeros((px, px, bands), np.uint8)
+                    for p in parts.as_py() or []:
+                        window[p["dy"] : p["dy"] + p["h"], p["dx"] : p["dx"] + p["w"]] = np.frombuffer(p["part"], np.uint8).reshape(p["h"], p["w"], bands)
+                    out.append((window[..., ::-1] if swap else window).tobytes())
+                yield pa.RecordBatch.from_arrays([*(some[k] for k in ("id", "ogx", "ogy")), pa.array(out, pa.binary())], ["id", "ogx", "ogy", "pixels"])
 
     return pasted
 
@@ -84,4 +90,4 @@ def read_windows(tiles: DataFrame, points: DataFrame, zoom: int = ZOOM, px: int
     found = sought.join(tiles.select("morton", "pixels"), "morton", "left")
     part = _shown(side, px, bands)((F.col("x") * side - F.col("x0")).cast("int"), (F.col("y") * side - F.col("y0")).cast("int"), F.col("pixels"))
     parts = found.select("id", "ogx", "ogy", part.alias("p")).groupBy("id", "ogx", "ogy").agg(F.collect_list("p").alias("parts"))  # a window's tiles are few
-    return parts.select("id", "ogx", "ogy", _pasted(px, bands, swap)("parts").alias("pixels"))
+    return parts.mapInArrow(_pasted(px, bands, swap), f"id {dict(parts.dtypes)['id']}, ogx double, ogy double, pixels binary")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +144,19 @@ def test_windows_swap_bands_and_cut_across_tiles(spark):
     assert (np.frombuffer(r.pixels, np.uint8).reshape(100, 100, 3) == scene[y0 : y0 + 100, x0 : x0 + 100, ::-1]).all()
 
 
+def test_windows_are_pasted_a_few_at_a_time():
+    n = 2_000
+    kind = pa.list_(pa.struct([*((k, pa.int32()) for k in ("dx", "dy", "w", "h")), ("part", pa.binary())]))
+    parts = pa.array([None, [{"dx": 1, "dy": 2, "w": 1, "h": 1, "part": b"abc"}]] * (n // 2), kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), *(pa.array(np.zeros(n)) for _ in range(2)), parts], ["id", "ogx", "ogy", "parts"])
+    got = list(tiles._pasted(64, 3, True)(iter([batch])))
+    assert max(b.nbytes for b in got) < n * 64 * 64 * 3 / 4
+    rows = [r for b in got for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == list(range(n)) and not any(rows[-2]["pixels"])
+    window = np.frombuffer(rows[-1]["pixels"], np.uint8).reshape(64, 64, 3)
+    assert bytes(window[2, 1]) == b"cba" and np.count_nonzero(window) == 3
+
+
 def test_morton_keys_interleave_bits(spark):
     pairs = [(0, 0), (1, 0), (0, 1), (5, 3), (2**31 - 1, 2**31 - 1), (524_287, 262_144)]
     want = [sum(((x >> i & 1) << 2 * i) | ((y >> i & 1) << 2 * i + 1) for i in range(31)) for x, y in pairs]
