@@ -48,6 +48,8 @@ WINDOW = 32
 STRIDE = 24
 #: Rounds of training, windows of a share about, and windows of one step.
 ROUNDS, DEAL, BATCH = 8, 4_096, 64
+#: Windows that are scored together, few enough for a core's cache.
+TOGETHER = 128
 #: Weight of the words' shares in the score.
 MIX = 0.5
 #: Words whose counts are broadcast.
@@ -200,29 +202,31 @@ class Model:
         nth = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
         start, end = offsets[text] + nth * STRIDE, offsets[text + 1]
         steps = np.arange(WINDOW)
+        ones, classes = np.ones(WINDOW, np.float32), np.ones(CLASSES, np.float32)
         # A text's first window scores all of its ids, later ones only those beyond the overlap.
         for own, low in ((np.flatnonzero(nth == 0), 0), (np.flatnonzero(nth), WINDOW - STRIDE)):
-            for i in range(0, len(own), 512):
-                w = own[i : i + 512]
+            for i in range(0, len(own), TOGETHER):
+                w = own[i : i + TOGETHER]
                 at = start[w, None] + steps
                 scored = at[:, low:] < end[w, None]
                 xs = x[np.minimum(at, len(ids) - 1)]
-                qkv = self._tokens[xs] + self._places
+                qkv = self._tokens.take(xs, 0)
+                qkv += self._places
                 q, k, v = qkv[:, low:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
                 a = np.matmul(q, k.transpose(0, 2, 1))
                 a += self._mask[low:]
                 np.exp(np.minimum(a, 60, out=a), out=a)
                 h = np.matmul(a, v)
-                h /= a.sum(axis=2, keepdims=True)
+                h /= (a.reshape(-1, WINDOW) @ ones).reshape(*a.shape[:2], 1)
                 now = at[:, low:][scored]
-                base = self._group_pair[x[now]]
+                base = self._group_pair.take(x[now], 0)
                 z = h[scored] @ self._out
                 z += base
                 g = self.group[b[now]]
                 rows = np.arange(len(now))
                 gain = z[rows, g] - base[rows, g]
                 np.exp(z, out=z)
-                result[now] += gain - np.log(z.sum(axis=1))
+                result[now] += gain - np.log(z @ classes)
         return result
 
 
@@ -272,29 +276,55 @@ _PARAMETERS = ("embed", "place", "q", "k", "v", "out")
 
 def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray, ys: np.ndarray, valid: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Summed gradients of the classes' cross entropy over windows of previous buckets and classes (n, WINDOW), and the sum of ``valid``, the weight of each id."""
-    tri, root = np.tri(WINDOW, dtype=bool), np.sqrt(WIDTH)
-    e = p["embed"][xs] + p["place"]
-    q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-    a = np.where(tri, q @ k.transpose(0, 2, 1) / root, -1e9)
-    a = np.exp(a - a.max(axis=2, keepdims=True))
-    a /= a.sum(axis=2, keepdims=True)
-    h = a @ v
-    z = group_pair[xs] + h @ p["out"]
-    dz = np.exp(z - z.max(axis=2, keepdims=True))
-    dz /= dz.sum(axis=2, keepdims=True)
-    np.put_along_axis(dz, ys[..., None], np.take_along_axis(dz, ys[..., None], 2) - 1, 2)
-    dz *= valid[..., None]
+    count, kind = len(xs), p["out"].dtype
+    x, flat = xs.ravel(), lambda t: t.reshape(-1, t.shape[-1])
+    w = np.concatenate([p["q"], p["k"], p["v"]], axis=1)
+    e = flat(p["embed"].take(xs, 0) + p["place"])
+    qkv = (e @ w).reshape(count, WINDOW, 3 * WIDTH)
+    q, k, v = (qkv[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3))
+    a = q @ k.transpose(0, 2, 1)
+    a *= kind.type(1 / np.sqrt(WIDTH))
+    shift = _wide(a)
+    a += np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(kind)
+    a = _softmax(a, shift)
+    h = flat(a @ v)
+    z = h @ p["out"]
+    z += group_pair.take(x, 0)
+    dz = _softmax(z, _wide(z))
+    dz[np.arange(len(x)), ys.ravel()] -= 1
+    dz *= valid.reshape(-1, 1)
     dh = dz @ p["out"].T
-    da = dh @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) / root
-    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-    de = dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    out = {n: flat(e).T @ flat(d) for n, d in (("q", dq), ("k", dk), ("v", dv))} | {"out": flat(h).T @ flat(dz), "place": de.sum(axis=0)}
-    out["embed"] = np.stack([np.bincount(xs.ravel(), weights=flat(de)[:, i], minlength=IDS) for i in range(WIDTH)], axis=1)
+    # The sum of a * da over a row is that of h * dh.
+    own = (h * dh) @ np.ones(WIDTH, kind)
+    dh3 = dh.reshape(count, WINDOW, WIDTH)
+    ds = dh3 @ v.transpose(0, 2, 1)
+    ds -= own.reshape(count, WINDOW, 1)
+    ds *= a
+    ds *= kind.type(1 / np.sqrt(WIDTH))
+    dqkv = np.empty_like(qkv)
+    np.matmul(ds, k, out=dqkv[..., :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., WIDTH : 2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dh3, out=dqkv[..., 2 * WIDTH :])
+    de, dw = flat(dqkv) @ w.T, e.T @ flat(dqkv)
+    out = {n: dw[:, i * WIDTH : (i + 1) * WIDTH] for i, n in enumerate("qkv")} | {"out": h.T @ dz, "place": de.reshape(count, WINDOW * WIDTH).sum(axis=0).reshape(WINDOW, WIDTH)}
+    out["embed"] = np.bincount((x[:, None] * WIDTH + np.arange(WIDTH)).ravel(), weights=de.ravel(), minlength=IDS * WIDTH).reshape(IDS, WIDTH)
     return out, float(valid.sum())
 
 
+def _wide(t: np.ndarray) -> bool:
+    """Whether powers of e of these numbers may leave the range of floats."""
+    return bool(t.size) and not (t.max() < 60 and t.min() > -60)
+
+
+def _softmax(t: np.ndarray, shift: bool) -> np.ndarray:
+    """Shares along the last axis, in place; rows are only led to 0 where that is needed, and added up by a product, which is quicker than sums of short rows."""
+    if shift:
+        t -= t.max(axis=-1, keepdims=True)
+    np.exp(t, out=t)
+    t /= (t.reshape(-1, t.shape[-1]) @ np.ones(t.shape[-1], t.dtype)).reshape(*t.shape[:-1], 1)
+    return t
+
+
 def windows(training: DataFrame, text_col: str, path: str, bucket: np.ndarray) -> DataFrame:
     """(ids, n): each distinct window of all texts, as 16-bit buckets led by the one before it, and how often it occurs."""
     shared = training.sparkSession.sparkContext.broadcast(bucket.astype(np.int16))
@@ -324,17 +354,19 @@ def _steps(flat: np.ndarray, split, tables: tuple, own: pa.Table, rate: float) -
     """The parameters after Adam steps over one share's windows."""
     group, group_pair = tables
     m1, m2 = np.zeros_like(flat), np.zeros_like(flat)
-    for step, i in enumerate(range(0, own.num_rows, BATCH), 1):
-        part = own.slice(i, BATCH)
-        led = [np.frombuffer(v, np.int16) for v in part["ids"].to_pylist()]
-        size = np.array([len(v) - 1 for v in led])
-        here = np.arange(WINDOW) < size[:, None]
-        xs, ys = np.zeros(here.shape, np.int64), np.zeros(here.shape, np.int64)
-        xs[here], ys[here] = np.concatenate([v[:-1] for v in led]), group[np.concatenate([v[1:] for v in led])]
-        g, n = gradients({k: v.astype(np.float32) for k, v in split(flat).items()}, group_pair, xs, ys, (here * part["n"].to_numpy()[:, None]).astype(np.float32))
+    own = own.combine_chunks()
+    raw = own["ids"].to_pylist()
+    size = np.array([len(v) // 2 - 1 for v in raw])
+    led = np.zeros((len(raw), WINDOW + 1), np.int64)
+    led[np.arange(WINDOW + 1) <= size[:, None]] = np.frombuffer(b"".join(raw), np.int16)
+    weight = (np.arange(WINDOW) < size[:, None]) * own["n"].to_numpy().astype(np.float32)[:, None]
+    for step, i in enumerate(range(0, len(raw), BATCH), 1):
+        part = led[i : i + BATCH]
+        g, n = gradients(split(flat.astype(np.float32)), group_pair, part[:, :-1], group[part[:, 1:]], weight[i : i + BATCH])
         g = np.concatenate([g[name].ravel() for name in _PARAMETERS]) / n
-        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
-        flat = flat - rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+        m1 += 0.1 * (g - m1)
+        m2 += 0.01 * (g * g - m2)
+        flat = flat - rate / (1 - 0.9**step) * m1 / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
     return flat
 
 

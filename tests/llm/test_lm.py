@@ -134,6 +134,18 @@ def test_gradients_are_those_of_the_loss():
         assert g[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3, abs=1e-6)
 
 
+@pytest.mark.parametrize("scale", [0.3, 3.0])
+def test_gradients_in_floats_equal_those_in_doubles(scale):
+    m = small_model(8, scale)
+    rng = np.random.default_rng(9)
+    xs, ys = rng.integers(0, lm.IDS, (5, lm.WINDOW)), rng.integers(0, lm.CLASSES, (5, lm.WINDOW))
+    valid = np.ones(xs.shape, np.float32)
+    # Far-off numbers are led to 0 before powers of e are taken, near ones aren't.
+    assert lm._wide(m.embed @ m.q @ m.k.T @ m.embed.T) == (scale > 1)
+    (f, _), (d, _) = (lm.gradients({n: getattr(m, n).astype(kind) for n in lm._PARAMETERS}, m.group_pair.astype(kind), xs, ys, valid.astype(kind)) for kind in (np.float32, np.float64))
+    assert all(np.isfinite(f[n]).all() and np.abs(f[n] - d[n]).max() <= 0.02 * np.abs(d[n]).max() for n in lm._PARAMETERS)
+
+
 def test_training_lowers_the_loss_however_rows_are_dealt(spark):
     text = "alpha beta gamma delta " * 60
     df = spark.createDataFrame([(text + str(i),) for i in range(12)], "text string")
