@@ -13,13 +13,13 @@ from ._batch import shared_dir
 SCRATCH = "llm_scratch"
 
 
-def saved(df: DataFrame, *partition_by: str) -> DataFrame:
+def saved(df: DataFrame, *partition_by: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
     spark: SparkSession = df.sparkSession
     name = f"{SCRATCH}.t{uuid.uuid4().hex}"
     where = f"{shared_dir(spark).rstrip('/')}/{SCRATCH}".replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{where}'")
-    df.write.saveAsTable(name, format="parquet", partitionBy=list(partition_by) or None)
+    df.write.saveAsTable(name, format="parquet", partitionBy=list(partition_by) or None, compression=compression)
     table = spark.table(name)
     table._saved_as = name
     return table

@@ -8,10 +8,11 @@ public byte-level vocabulary; an end id closes each text.  The model's probabili
 The second factor comes from id pairs counted over the whole training part of the corpus.  The first is a
 softmax over the corpus' log P(class | previous id) plus a learnt term of one masked self-attention layer over
 the last ``WINDOW`` ids.  The layer is trained in numpy on every window of every training text, equal windows being
-one with a count that weighs its gradient.  Windows are dealt by hash to ``ROUNDS`` rounds and to shares of about
-``DEAL`` windows; each share takes Adam steps of ``BATCH`` windows of its own from the round's parameters, and Spark
-averages the shares by their windows.  So rounds don't grow with the corpus, shares do, and the result doesn't
-depend on how rows are dealt out.  Long texts are scored in overlapping windows,
+one with a count that weighs its gradient.  Windows are dealt by hash to ``ROUNDS`` rounds and to parts of these, and
+a part is cut into shares of about ``DEAL`` windows in the order of their hashes; each share takes Adam steps of
+``BATCH`` windows of its own from the round's parameters, and Spark averages the shares by their windows.  So rounds
+don't grow with the corpus, shares do, and the result doesn't depend on how rows are dealt out.  Texts are encoded
+once, and their ids stand beside them in the shared folder.  Long texts are scored in overlapping windows,
 each id once, with at least ``WINDOW - STRIDE`` ids of context wherever the text has them.
 
 The base is a smoothed word unigram over all training tokens.  A word's ids multiply to the model's probability of
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import LOWER, pieces, text_bytes, word_hashes
+from ._batch import LOWER, mix64, pieces, text_bytes, word_hashes
 from ._labels import remainder
 from ._store import discard, saved
 
@@ -54,6 +55,8 @@ TOGETHER = 128
 MIX = 0.5
 #: Words whose counts are broadcast.
 COMMON = 1_000_000
+#: Windows of a part about, and parts of a round at most.
+GATHER, PARTS = 8_192, 4_000
 #: Ids counted in a task before it hands on their sums.
 FLUSH = 1 << 22
 #: Words of the vocabulary's file and the end of a text.
@@ -141,6 +144,38 @@ def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return data, offsets, [whole[a:b] for a, b in zip(o, o[1:])]
 
 
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of consecutive runs of rows."""
+    width = values.itemsize * int(np.prod(values.shape[1:], dtype=np.int64))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(np.ascontiguousarray(cuts, np.int64) * width), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def encoded(docs: DataFrame, text_col: str, path: str) -> DataFrame:
+    """``docs`` with the ids of each text in 16 bits, and how many they are; as it is, if it has them."""
+    if "ids" in docs.columns:
+        return docs
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, _, _ in pieces(b[text_col]):
+                part = b.slice(i, j - i)
+                ids, at = encode(_raw(part[text_col])[2], path)
+                yield pa.RecordBatch.from_arrays([*part.columns, _packed(ids.astype(np.uint16), at), pa.array(np.diff(at))], [*part.schema.names, "ids", "size"])
+
+    kinds = ", ".join(f"`{n}` {kind}" for n, kind in docs.dtypes)
+    return docs.mapInArrow(add, f"{kinds}, ids binary, size bigint")
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and the offset of each."""
+    column = column.cast(pa.large_binary())
+    if len(column) == 0:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint16, (at[-1] - at[0]) // 2, int(at[0])).astype(np.int64), (at - at[0]) // 2
+
+
 def counts(training: DataFrame, text_col: str, path: str) -> DataFrame:
     """(kind, key, n) over all training texts: kind 0 words by hash, 1 id pairs as previous << 32 | id."""
 
@@ -160,7 +195,7 @@ def counts(training: DataFrame, text_col: str, path: str) -> DataFrame:
         for b in batches:
             for i, j, data, offsets in pieces(b[0]):
                 held[0].append(word_hashes(LOWER[data], offsets)[3].view(np.int64))
-                ids, at = encode(_raw(b[0].slice(i, j - i))[2], path)
+                ids, at = _ids(b[1].slice(i, j - i))
                 held[1].append(previous(ids, at) << 32 | ids)
                 size += len(ids)
                 if size > FLUSH:
@@ -168,7 +203,19 @@ def counts(training: DataFrame, text_col: str, path: str) -> DataFrame:
                     size = 0
         yield from flush()
 
-    return training.select(text_col).mapInArrow(count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return encoded(training, text_col, path).select(text_col, "ids").mapInArrow(count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+
+_rooms: dict[tuple, np.ndarray] = {}
+
+
+def _room(name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+    """An array to write into, the same for each call in a process: fresh memory for every step costs as much as the sums."""
+    key = name, kind, len(shape), shape[1:]
+    have = _rooms.get(key)
+    if have is None or len(have) < shape[0]:
+        have = _rooms[key] = np.empty(shape, kind)
+    return have[: shape[0]]
 
 
 @dataclass
@@ -186,9 +233,11 @@ class Model:
     out: np.ndarray  # (WIDTH, CLASSES)
 
     def __post_init__(self):
-        self._mask = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
+        self._mask = np.tri(WINDOW, dtype=np.float32)
         w = np.concatenate([self.q / np.sqrt(WIDTH), self.k, self.v], axis=1)
         self._tokens, self._places = (self.embed @ w).astype(np.float32), (self.place @ w).astype(np.float32)
+        far = [np.linalg.norm(self._tokens[:, i : i + WIDTH], axis=1).max() + np.linalg.norm(self._places[:, i : i + WIDTH], axis=1).max() for i in (0, WIDTH)]
+        self._near = bool(far[0] * far[1] < 60)
         self._group_pair, self._out = self.group_pair.astype(np.float32), self.out.astype(np.float32)
 
     def log_probabilities(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -201,7 +250,7 @@ class Model:
         text = np.repeat(np.arange(len(size)), windows)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
         start, end = offsets[text] + nth * STRIDE, offsets[text + 1]
-        steps = np.arange(WINDOW)
+        steps, room = np.arange(WINDOW), lambda name, *shape: _room(name, np.float32, *shape)
         ones, classes = np.ones(WINDOW, np.float32), np.ones(CLASSES, np.float32)
         # A text's first window scores all of its ids, later ones only those beyond the overlap.
         for own, low in ((np.flatnonzero(nth == 0), 0), (np.flatnonzero(nth), WINDOW - STRIDE)):
@@ -209,22 +258,23 @@ class Model:
                 w = own[i : i + TOGETHER]
                 at = start[w, None] + steps
                 scored = at[:, low:] < end[w, None]
-                xs = x[np.minimum(at, len(ids) - 1)]
-                qkv = self._tokens.take(xs, 0)
+                xs = x.take(at, mode="clip")
+                qkv = self._tokens.take(xs, 0, out=room("qkv", len(w), WINDOW, 3 * WIDTH), mode="clip")
                 qkv += self._places
                 q, k, v = qkv[:, low:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-                a = np.matmul(q, k.transpose(0, 2, 1))
-                a += self._mask[low:]
-                np.exp(np.minimum(a, 60, out=a), out=a)
-                h = np.matmul(a, v)
+                a = np.matmul(q, k.transpose(0, 2, 1), out=room(f"a{low}", len(w), WINDOW - low, WINDOW))
+                if not self._near:
+                    np.clip(a, -60, 60, out=a)
+                np.exp(a, out=a)
+                a *= self._mask[low:]
+                h = np.matmul(a, v, out=room(f"h{low}", len(w), WINDOW - low, WIDTH))
                 h /= (a.reshape(-1, WINDOW) @ ones).reshape(*a.shape[:2], 1)
                 now = at[:, low:][scored]
-                base = self._group_pair.take(x[now], 0)
-                z = h[scored] @ self._out
+                base = self._group_pair.take(x[now], 0, out=room("base", len(now), CLASSES), mode="clip")
+                z = np.matmul(h[scored], self._out, out=room("z", len(now), CLASSES))
                 z += base
-                g = self.group[b[now]]
-                rows = np.arange(len(now))
-                gain = z[rows, g] - base[rows, g]
+                g = self.group[b[now]] + np.arange(0, len(now) * CLASSES, CLASSES)
+                gain = z.reshape(-1)[g] - base.reshape(-1)[g]
                 np.exp(z, out=z)
                 result[now] += gain - np.log(z @ classes)
         return result
@@ -274,99 +324,165 @@ def corpus_model(pairs: DataFrame, path: str) -> Model:
 _PARAMETERS = ("embed", "place", "q", "k", "v", "out")
 
 
+_TRIANGLE = np.tri(WINDOW)
+
+
 def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray, ys: np.ndarray, valid: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-    """Summed gradients of the classes' cross entropy over windows of previous buckets and classes (n, WINDOW), and the sum of ``valid``, the weight of each id."""
+    """Summed gradients of the classes' cross entropy over windows of previous buckets and classes (n, WINDOW), and the sum of ``valid``, the weight of each id.
+
+    Powers of e stay without division: what divides a row is applied to the narrow factors that meet it.
+    """
     count, kind = len(xs), p["out"].dtype
     x, flat = xs.ravel(), lambda t: t.reshape(-1, t.shape[-1])
-    w = np.concatenate([p["q"], p["k"], p["v"]], axis=1)
-    e = flat(p["embed"].take(xs, 0) + p["place"])
-    qkv = (e @ w).reshape(count, WINDOW, 3 * WIDTH)
+    size, room = len(x), lambda name, *shape: _room(name, kind, *shape)
+    narrow = kind.type(1 / np.sqrt(WIDTH))
+    w = np.concatenate([p["q"] * narrow, p["k"], p["v"]], axis=1)
+    e = p["embed"].take(x, 0, out=room("e", size, WIDTH), mode="clip")
+    np.add(e.reshape(count, WINDOW, WIDTH), p["place"], out=e.reshape(count, WINDOW, WIDTH))
+    qkv = np.matmul(e, w, out=room("qkv", size, 3 * WIDTH)).reshape(count, WINDOW, 3 * WIDTH)
     q, k, v = (qkv[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3))
-    a = q @ k.transpose(0, 2, 1)
-    a *= kind.type(1 / np.sqrt(WIDTH))
-    shift = _wide(a)
-    a += np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(kind)
-    a = _softmax(a, shift)
-    h = flat(a @ v)
-    z = h @ p["out"]
-    z += group_pair.take(x, 0)
-    dz = _softmax(z, _wide(z))
-    dz[np.arange(len(x)), ys.ravel()] -= 1
-    dz *= valid.reshape(-1, 1)
-    dh = dz @ p["out"].T
+    a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", count, WINDOW, WINDOW))
+    own = _powers(a, _TRIANGLE.astype(kind))
+    h = flat(np.matmul(a, v, out=room("h", count, WINDOW, WIDTH)))
+    h /= own
+    z = np.matmul(h, p["out"], out=room("z", size, CLASSES))
+    z += group_pair.take(x, 0, out=room("base", size, CLASSES), mode="clip")
+    total = _powers(z)
+    z.reshape(-1)[np.arange(0, size * CLASSES, CLASSES) + ys.ravel()] -= total[:, 0]
+    share = valid.reshape(-1, 1) / total
+    dh = np.matmul(z, p["out"].T, out=room("dh", size, WIDTH))
+    dh *= share / own
     # The sum of a * da over a row is that of h * dh.
-    own = (h * dh) @ np.ones(WIDTH, kind)
+    mean = np.einsum("ij,ij->i", h, dh)
     dh3 = dh.reshape(count, WINDOW, WIDTH)
-    ds = dh3 @ v.transpose(0, 2, 1)
-    ds -= own.reshape(count, WINDOW, 1)
+    dqkv = room("dqkv", count, WINDOW, 3 * WIDTH)
+    np.matmul(a.transpose(0, 2, 1), dh3, out=dqkv[..., 2 * WIDTH :])
+    ds = np.matmul(dh3, v.transpose(0, 2, 1), out=room("ds", count, WINDOW, WINDOW))
+    ds -= mean.reshape(count, WINDOW, 1)
     ds *= a
-    ds *= kind.type(1 / np.sqrt(WIDTH))
-    dqkv = np.empty_like(qkv)
     np.matmul(ds, k, out=dqkv[..., :WIDTH])
     np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., WIDTH : 2 * WIDTH])
-    np.matmul(a.transpose(0, 2, 1), dh3, out=dqkv[..., 2 * WIDTH :])
-    de, dw = flat(dqkv) @ w.T, e.T @ flat(dqkv)
-    out = {n: dw[:, i * WIDTH : (i + 1) * WIDTH] for i, n in enumerate("qkv")} | {"out": h.T @ dz, "place": de.reshape(count, WINDOW * WIDTH).sum(axis=0).reshape(WINDOW, WIDTH)}
-    out["embed"] = np.bincount((x[:, None] * WIDTH + np.arange(WIDTH)).ravel(), weights=de.ravel(), minlength=IDS * WIDTH).reshape(IDS, WIDTH)
+    de = np.matmul(flat(dqkv), w.T, out=room("de", size, WIDTH))
+    dw = e.T @ flat(dqkv)
+    dw[:, :WIDTH] *= narrow
+    h *= share
+    out = {n: dw[:, i * WIDTH : (i + 1) * WIDTH] for i, n in enumerate("qkv")} | {"out": h.T @ z, "place": (np.ones(count, kind) @ de.reshape(count, WINDOW * WIDTH)).reshape(WINDOW, WIDTH)}
+    # Rows of one bucket are brought together and added up.
+    order = np.argsort(x.astype(np.int16), kind="stable")
+    together = x[order]
+    first = np.flatnonzero(np.diff(together, prepend=-1))
+    out["embed"] = np.zeros((IDS, WIDTH), kind)
+    out["embed"][together[first]] = np.add.reduceat(de.take(order, 0, out=room("sorted", size, WIDTH), mode="clip"), first, axis=0)
     return out, float(valid.sum())
 
 
+def _powers(t: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """Powers of e in place, 0 outside the mask, and the sum of each row (n, 1), by a product, which is quicker than sums of short rows; rows are only led to 0 where that is needed."""
+    if _wide(t):
+        if mask is not None:
+            t += np.where(mask > 0, 0, -1e9).astype(t.dtype)
+        t -= t.max(axis=-1, keepdims=True)
+    np.exp(t, out=t)
+    if mask is not None:
+        t *= mask
+    return t.reshape(-1, t.shape[-1]) @ np.ones((t.shape[-1], 1), t.dtype)
+
+
 def _wide(t: np.ndarray) -> bool:
     """Whether powers of e of these numbers may leave the range of floats."""
     return bool(t.size) and not (t.max() < 60 and t.min() > -60)
 
 
-def _softmax(t: np.ndarray, shift: bool) -> np.ndarray:
-    """Shares along the last axis, in place; rows are only led to 0 where that is needed, and added up by a product, which is quicker than sums of short rows."""
-    if shift:
-        t -= t.max(axis=-1, keepdims=True)
-    np.exp(t, out=t)
-    t /= (t.reshape(-1, t.shape[-1]) @ np.ones(t.shape[-1], t.dtype)).reshape(*t.shape[:-1], 1)
-    return t
+_PLACES = mix64(np.arange(1, WINDOW + 2, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)) | _U(1)
+
 
+def _distinct(led: np.ndarray, n: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, counts, list) of distinct windows by list and then by hash; windows of one hash that don't stand side by side may stay apart."""
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(led), np.uint64)
+        for i, by in enumerate(_PLACES):
+            h += (led[:, i].astype(np.int64).view(np.uint64) + _U(2)) * by
+    h = mix64(h)
+    of = (h % _U(lists)).astype(np.int64)
+    order = np.lexsort((h, of))
+    led, h, of = led[order], h[order], of[order]
+    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (led[1:] != led[:-1]).any(axis=1))) if len(led) else np.zeros(0, np.int64)
+    return led[first], np.add.reduceat(n[order], first) if len(led) else n, of[first]
 
-def windows(training: DataFrame, text_col: str, path: str, bucket: np.ndarray) -> DataFrame:
-    """(ids, n): each distinct window of all texts, as 16-bit buckets led by the one before it, and how often it occurs."""
+
+def windows(training: DataFrame, text_col: str, path: str, bucket: np.ndarray, rounds: int, deal: int) -> DataFrame:
+    """(round, n, led, times): shares of the distinct windows of all texts: their number, their 16-bit buckets led by the one before each (-1 beyond a text's end), and how often each occurs."""
+    training = encoded(training, text_col, path)
+    size = training.agg(F.sum("size").alias("n")).first().n or 0
+    parts = min(PARTS, max(1, -(-size // (WINDOW * rounds * GATHER))))
     shared = training.sparkSession.sparkContext.broadcast(bucket.astype(np.int16))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, _, _ in pieces(b["text"]):
-                ids, at = encode(_raw(b["text"].slice(i, j - i))[2], path)
+            sizes = np.cumsum(b["size"].to_numpy())
+            # As many texts at once as have about a million ids.
+            for low, high in zip(c := np.unique([0, *(np.searchsorted(sizes, np.arange(1 << 20, sizes[-1], 1 << 20)) + 1).tolist(), len(sizes)]) if len(sizes) else [], c[1:]):
+                ids, at = _ids(b["ids"].slice(low, high - low))
                 n = -(-np.diff(at) // WINDOW)
                 text = np.repeat(np.arange(len(n)), n)
                 start = at[text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-                size = np.minimum(at[text + 1] - start, WINDOW)
-                ends = np.concatenate([[0], np.cumsum(size + 1)])
-                take = np.repeat(start - ends[:-1], size + 1) + np.arange(ends[-1])
-                led = np.empty(ends[-1], np.int16)
-                led[ends[:-1]] = shared.value[previous(ids, at)[start]]
-                rest = np.ones(len(led), bool)
-                rest[ends[:-1]] = False
-                led[rest] = shared.value[ids[take[rest] - 1]]
-                whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends * 2), pa.py_buffer(led)])
-                yield pa.RecordBatch.from_arrays([whole.cast(pa.binary())], ["ids"])
+                place = start[:, None] + np.arange(WINDOW)
+                led = np.empty((len(start), WINDOW + 1), np.int16)
+                led[:, 0] = shared.value[previous(ids, at)[start]]
+                led[:, 1:] = np.where(place < at[text + 1, None], shared.value[ids].take(place, mode="clip"), -1)
+                led, times, of = _distinct(led, np.ones(len(led), np.int64), parts * rounds)
+                edge = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+                yield pa.RecordBatch.from_arrays([pa.array(of[edge[:-1]].astype(np.int32)), _packed(led, edge), _packed(times, edge)], ["of", "led", "times"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def shares() -> Iterator[pa.RecordBatch]:
+            own = pa.Table.from_batches(held)
+            led, times = np.frombuffer(b"".join(own["led"].to_pylist()), np.int16).reshape(-1, WINDOW + 1), np.frombuffer(b"".join(own["times"].to_pylist()), np.int64)
+            led, times, _ = _distinct(led, times, 1)
+            edge = len(led) * np.arange((n := -(-len(led) // deal)) + 1) // n
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, own["of"][0].as_py() % rounds, np.int32)), pa.array(np.diff(edge)), _packed(led, edge), _packed(times, edge)], ["round", "n", "led", "times"])
 
-    return training.select(F.col(text_col).alias("text")).mapInArrow(cut, "ids binary").groupBy("ids").agg(F.count("*").alias("n"))
+        for b in batches:
+            of = b["of"].to_numpy()
+            for s, e in zip(edge := [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), b.num_rows], edge[1:]):
+                if held and held[-1]["of"][0].as_py() != of[s]:
+                    yield from shares()
+                    held.clear()
+                held.append(b.slice(s, e - s))
+        if held:
+            yield from shares()
 
+    pieced = training.select("ids", "size").mapInArrow(cut, "of int, led binary, times binary")
+    # A task takes the parts of one number in all rounds.
+    return pieced.repartition(parts, F.floor(F.col("of") / rounds)).sortWithinPartitions("of").mapInArrow(gather, "round int, n bigint, led binary, times binary")
 
-def _steps(flat: np.ndarray, split, tables: tuple, own: pa.Table, rate: float) -> np.ndarray:
+
+def _steps(flat: np.ndarray, split, tables: tuple, led: np.ndarray, times: np.ndarray, rate: float) -> np.ndarray:
     """The parameters after Adam steps over one share's windows."""
     group, group_pair = tables
-    m1, m2 = np.zeros_like(flat), np.zeros_like(flat)
-    own = own.combine_chunks()
-    raw = own["ids"].to_pylist()
-    size = np.array([len(v) // 2 - 1 for v in raw])
-    led = np.zeros((len(raw), WINDOW + 1), np.int64)
-    led[np.arange(WINDOW + 1) <= size[:, None]] = np.frombuffer(b"".join(raw), np.int16)
-    weight = (np.arange(WINDOW) < size[:, None]) * own["n"].to_numpy().astype(np.float32)[:, None]
-    for step, i in enumerate(range(0, len(raw), BATCH), 1):
+    m1, m2, part_of = (np.zeros(len(flat), np.float32) for _ in range(3))
+    flat = flat.copy()
+    weight = (led[:, 1:] >= 0) * times.astype(np.float32)[:, None]
+    led = np.maximum(led, 0).astype(np.int64)
+    for step, i in enumerate(range(0, len(led), BATCH), 1):
         part = led[i : i + BATCH]
         g, n = gradients(split(flat.astype(np.float32)), group_pair, part[:, :-1], group[part[:, 1:]], weight[i : i + BATCH])
-        g = np.concatenate([g[name].ravel() for name in _PARAMETERS]) / n
-        m1 += 0.1 * (g - m1)
-        m2 += 0.01 * (g * g - m2)
-        flat = flat - rate / (1 - 0.9**step) * m1 / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+        g = np.concatenate([g[name].ravel() for name in _PARAMETERS])
+        g *= np.float32(1 / n)
+        m1 *= np.float32(0.9)
+        m1 += np.multiply(g, np.float32(0.1), out=part_of)
+        m2 *= np.float32(0.99)
+        g *= g
+        g *= np.float32(0.01)
+        m2 += g
+        np.multiply(m2, np.float32(1 / (1 - 0.99**step)), out=g)
+        np.sqrt(g, out=g)
+        g += np.float32(1e-8)
+        np.divide(m1, g, out=g)
+        g *= np.float32(rate / (1 - 0.9**step))
+        flat -= g
     return flat
 
 
@@ -374,8 +490,8 @@ def train(model: Model, training: DataFrame, text_col: str, path: str, rounds: i
     """Rounds of Adam steps over all windows, taken by shares of windows and averaged by Spark."""
     spark = training.sparkSession
     tables = spark.sparkContext.broadcast((model.group, model.group_pair.astype(np.float32)))
-    table = saved(windows(training, text_col, path, model.bucket).withColumn("round", F.pmod(F.xxhash64(F.lit(1), "ids"), F.lit(rounds)).cast("int")), "round")
-    sizes = {r["round"]: r["count"] for r in table.groupBy("round").count().collect()}
+    table = saved(windows(training, text_col, path, model.bucket, rounds, deal), "round", compression="zstd")
+    sizes = [r["round"] for r in table.select("round").distinct().collect()]
     shapes = [(n, getattr(model, n).shape) for n in _PARAMETERS]
     ends = np.cumsum([0, *(int(np.prod(shape)) for _, shape in shapes)])
     split = lambda flat: {n: flat[a:b].reshape(shape) for (n, shape), a, b in zip(shapes, ends, ends[1:])}
@@ -386,31 +502,16 @@ def train(model: Model, training: DataFrame, text_col: str, path: str, rounds: i
 
         def taken(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, pace: float = pace) -> Iterator[pa.RecordBatch]:
             total, count = np.zeros(len(flat)), 0
-
-            def add(own: list[pa.RecordBatch]) -> None:
-                nonlocal total, count
-                t = pa.Table.from_batches(own)
-                total, count = total + t.num_rows * _steps(flat, split, tables.value, t, pace), count + t.num_rows
-
-            held: list[pa.RecordBatch] = []
             for b in batches:
-                share = b["share"].to_numpy()
-                for s, e in zip(cut := [0, *(np.flatnonzero(np.diff(share)) + 1).tolist()], [*cut[1:], b.num_rows]):
-                    if held and e > s and held[-1]["share"][0].as_py() != share[s]:
-                        add(held)
-                        held = []
-                    if e > s:
-                        held.append(b.slice(s, e - s))
-            if held:
-                add(held)
+                # One task takes several shares, one after another.
+                for n, led, times in zip(b["n"].to_pylist(), b["led"], b["times"]):
+                    own = np.frombuffer(led.as_buffer(), np.int16).reshape(n, WINDOW + 1), np.frombuffer(times.as_buffer(), np.int64)
+                    total += n * _steps(flat, split, tables.value, *own, pace)
+                    count += n
             if count:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat) + 1)), pa.array(np.append(total, count))], ["at", "v"])
 
-        shares = -(-sizes[at] // deal)
-        dealt = table.where(F.col("round") == at).select("ids", "n", F.pmod(F.xxhash64(F.lit(2), "ids"), F.lit(shares)).alias("share"))
-        # One task takes several shares, one after another; rows stand in a fixed order.
-        ordered = dealt.repartition(min(shares, 4_000), "share").sortWithinPartitions("share", F.xxhash64(F.lit(3), "ids"), "ids")
-        own = ordered.mapInArrow(taken, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        own = table.where(F.col("round") == at).select("n", "led", "times").mapInArrow(taken, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
         sums = np.zeros(len(flat) + 1)
         sums[own["at"].to_numpy()] = own["v"].to_numpy()
         flat = sums[:-1] / sums[-1]
@@ -462,6 +563,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     path = path or default_path()
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (remainder(F.col(id_col)) == held_out).alias("out"))
+    plain = saved(encoded(plain, "text", path), compression="zstd")  # stays, as the result reads it
     training = plain.where(~F.col("out"))
     table = saved(counts(training, "text", path))
     words = table.where("kind = 0").select(F.col("key").alias("h"), F.col("n").alias("c"))
@@ -491,7 +593,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
                 tokens = np.bincount(row, minlength=n) + 1
                 sums = np.bincount(row[found], weights=np.log10(c[found] + 0.5), minlength=n) + np.log10(ends + 0.5) - tokens * denominator
                 seen = np.bincount(row[found], minlength=n) + (ends > 0)
-                ids, at = encode(_raw(b["text"].slice(i, n))[2], path)
+                ids, at = _ids(b["ids"].slice(i, n))
                 logs = m.log_probabilities(ids, at)
                 begin = np.flatnonzero(heads(path)[ids])
                 sub = np.add.reduceat(logs, begin) / np.log(10)

@@ -159,6 +159,45 @@ def test_training_lowers_the_loss_however_rows_are_dealt(spark):
     assert np.allclose(a.out, b.out, atol=1e-6)
 
 
+@pytest.mark.parametrize("gather", [8_192, 2])
+def test_shares_hold_every_window_once_with_its_count(spark, monkeypatch, gather):
+    monkeypatch.setattr(lm, "GATHER", gather)
+    path = lm.default_path()
+    texts = [t for _, t in corpus()] * 2 + ["one " * 31, "one " * 32, "one " * 33]
+    bucket = np.arange(lm.VOCABULARY) % 300
+    want = Counter()
+    for text in texts:
+        ids = [lm.END, *lm.encode([(text or "").encode()], path)[0].tolist()]
+        for i in range(0, len(ids) - 1, lm.WINDOW):
+            own = [int(bucket[x]) for x in ids[i : i + lm.WINDOW + 1]]
+            want[tuple(own + [-1] * (lm.WINDOW + 1 - len(own)))] += 1
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    deals = []
+    for docs in (df, df.repartition(7)):
+        got = lm.windows(docs, "text", path, bucket, 3, 5).collect()
+        assert {r["round"] for r in got} == {0, 1, 2} and all(0 < r.n <= 5 for r in got)
+        led = [np.frombuffer(r.led, np.int16).reshape(r.n, -1).tolist() for r in got]
+        found = [(tuple(w), n) for r, l in zip(got, led) for w, n in zip(l, np.frombuffer(r.times, np.int64).tolist())]
+        assert len(found) == len(want) and dict(found) == want
+        deals.append(sorted((r["round"], l) for r, l in zip(got, led)))
+    assert deals[0] == deals[1]
+
+
+def test_texts_with_ids_are_not_encoded_again(spark):
+    path = lm.default_path()
+    with_ids = lm.encoded(spark.createDataFrame([("zo ki",), (None,)], "text string"), "text", path)
+    assert sorted((r.size, len(r.ids)) for r in with_ids.collect()) == [(1, 2), (len(lm.encode([b"zo ki"], path)[0]), 2 * len(lm.encode([b"zo ki"], path)[0]))]
+    other = spark.createDataFrame([("zo ki", np.array([7, 9, lm.END], np.uint16).tobytes(), 3)], "text string, ids binary, size bigint")
+    assert sorted((r.key >> 32, r.key & 0xFFFFFFFF) for r in lm.counts(other, "text", path).where("kind = 1").collect()) == [(7, 9), (9, lm.END), (lm.END, 7)]
+
+
+def test_far_off_numbers_leave_scores_finite():
+    m = small_model(4, 3.0)
+    ids = np.random.default_rng(5).integers(0, 3000, 100)
+    m._out = m._out * 0  # the classes' sums of powers of e are another matter
+    assert np.isfinite(m.log_probabilities(ids, np.array([0, 100]))).all()
+
+
 @pytest.mark.parametrize("common", [10**6, 3])
 def test_scores_mix_word_and_base_by_brute_force(spark, monkeypatch, common):
     seen = {}
