@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._rows import checkpointed
+from . import distance
 from .distance import pairs_within
 
 
@@ -55,4 +56,10 @@ def matches(dets: DataFrame, refs: DataFrame, radius_m: float) -> DataFrame:
 def match(dets: DataFrame, refs: DataFrame, radius_m: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(matched with det, ref, dist; unmatched dets; unmatched refs)."""
     found = matches(dets, refs, radius_m)
-    return found, dets.join(found.select(F.col("det").alias("ord")), "ord", "left_anti"), refs.join(found.select(F.col("ref").alias("ord")), "ord", "left_anti")
+    return found, _free(dets, found.select(F.col("det").alias("ord"))), _free(refs, found.select(F.col("ref").alias("ord")))
+
+
+def _free(points: DataFrame, taken: DataFrame) -> DataFrame:
+    """``points`` whose ord isn't taken; dealt out by rows, as bare ords pack so well that partitions of so many bytes hold millions."""
+    parts = max(1, -(-points.count() // distance.ROWS))
+    return points.repartition(parts, "ord").join(taken.repartition(parts, "ord"), "ord", "left_anti").select(*points.columns)

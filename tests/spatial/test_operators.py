@@ -346,6 +346,22 @@ def test_distance_joins_are_dealt_out_by_rows(spark, monkeypatch):
     assert sorted((x.l.ord, x.r.ord) for x in pairs.collect()) == sorted((i, j) for i in range(300) for j in range(300) if i // 20 == j // 20 and abs(i - j) <= 1)
 
 
+def test_unmatched_rows_are_dealt_out_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(distance, "ROWS", 50)
+    dets, refs = points(spark, [(6 + i * 1e-3, 43.0, 0.5) for i in range(300)]), points(spark, [(6 + i * 1e-3, 43.0, 0) for i in range(100, 500)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # what is taken is large
+    try:
+        found, *free = greedy.match(dets, refs, 25.0)
+        for own, want in zip(free, (range(100), range(200, 400))):
+            per_task = [r["count"] for r in own.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+            assert len(per_task) > 4 and max(per_task) < 60
+            assert sorted(r.ord for r in own.collect()) == list(want)
+        assert sorted((r.det, r.ref) for r in found.collect()) == [(i, i - 100) for i in range(100, 300)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_null_properties_stay(spark):
     p = points(spark, [(6.1, 43.4, None)])
     assert json.loads(sinks.geojson_features(p, {"note": None}).first().feature)["properties"] == {"score": None, "note": None}
