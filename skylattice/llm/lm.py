@@ -29,7 +29,8 @@ from __future__ import annotations
 
 import base64
 import uuid
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import LOWER, mix64, pieces, text_bytes, word_hashes
+from ._batch import LOWER, mix64, pieces, word_hashes
 from ._labels import remainder
 from ._store import discard, saved
 
@@ -61,7 +62,6 @@ GATHER, PARTS = 8_192, 4_000
 FLUSH = 1 << 22
 #: Words of the vocabulary's file and the end of a text.
 VOCABULARY, END = 50_257, 50_256
-_LOWER = bytes(LOWER)
 _U = np.uint64
 
 
@@ -99,27 +99,89 @@ def heads(path: str) -> np.ndarray:
     return _heads[path]
 
 
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all runs, one run after another."""
+    after = np.cumsum(size)
+    return np.repeat(start - after + size, size) + np.arange(size.sum())
+
+
+class _Words:
+    """Ids of the words that a process has met, found by their hashes; place 0 is a text's end."""
+
+    BITS = 21
+
+    def __init__(self):
+        self.hashes, self.start, self.ids, self.again = np.zeros(1, np.uint64), np.array([0, 1]), np.array([END], np.uint16), np.zeros(1, bool)
+        self._deal()
+
+    def _deal(self) -> None:
+        self.slot = np.zeros(1 << self.BITS, np.int32)
+        self.slot[self._at(self.hashes[1:])] = np.arange(1, len(self.hashes))
+
+    def _at(self, h: np.ndarray) -> np.ndarray:
+        return (h & _U((1 << self.BITS) - 1)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each word, 0 if it has none."""
+        place = self.slot.take(self._at(h))
+        place *= self.hashes.take(place) == h
+        self.again[place] = True
+        return place
+
+    def add(self, h: np.ndarray, words: list[bytes], path: str) -> None:
+        """Words that differ and have no place; exactly one id of each begins with its space."""
+        ids = encoder(path).encode_to_numpy((b" " + b" ".join(words)).decode("utf-8", "replace"))
+        begin = np.flatnonzero(heads(path)[ids])
+        if len(begin) != len(words):  # white space beyond ASCII has joined a word's space
+            parts = [_word_ids(w, path) for w in words]
+            ids, begin = np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+        self.slot[self._at(h)] = np.arange(len(self.hashes), len(self.hashes) + len(h))
+        self.start = np.concatenate([self.start[:-1], begin + len(self.ids), [len(self.ids) + len(ids)]])
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint16)])
+        self.hashes = np.concatenate([self.hashes, h])
+        self.again = np.concatenate([self.again, np.zeros(len(h), bool)])
+
+    def thin(self, most: int) -> None:
+        """Forgets words that weren't met again; all, if those that were are more than half of ``most``."""
+        keep = np.flatnonzero(self.again)
+        keep = np.append(0, keep[keep > 0] if len(keep) <= most // 2 else keep[:0])
+        size = np.diff(self.start)[keep]
+        self.ids = self.ids[_runs(self.start[keep], size)]
+        self.start, self.hashes, self.again = np.append(0, np.cumsum(size)), self.hashes[keep], np.zeros(len(keep), bool)
+        self._deal()
+
+
+#: Words that a process keeps before it forgets those that it met once.
+MET = 1 << 19
+_words: dict[str, _Words] = defaultdict(_Words)
+
+
 def encode(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in a row, each closed by END, and the offset of each; each distinct word is encoded once, and exactly one of its ids begins with its space."""
-    place: dict[bytes | None, int] = {None: 0}  # None ends a text
-    codes: list[int] = []
-    cuts = [0]
-    for t in texts:
-        codes += [place.setdefault(w, len(place)) for w in t.translate(_LOWER).split()]
-        codes.append(0)
-        cuts.append(len(codes))
-    words = list(place)[1:]
-    ids = encoder(path).encode_to_numpy((b" " + b" ".join(words)).decode("utf-8", "replace")) if words else np.zeros(0, np.uint32)
-    begin = np.flatnonzero(heads(path)[ids])
-    if len(begin) != len(words):  # white space beyond ASCII has joined a word's space
-        parts = [_word_ids(w, path) for w in words]
-        ids, begin = np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
-    ids = np.concatenate([[END], ids]).astype(np.int64)
-    start = np.concatenate([[0], begin + 1])
-    code = np.array(codes, dtype=np.int64)
-    size = np.diff(np.append(start, len(ids)))[code]
-    ends = np.concatenate([[0], np.cumsum(size)])
-    return ids[np.repeat(start[code] - ends[:-1], size) + np.arange(ends[-1])], ends[cuts]
+    """The ids of all texts in a row, each closed by END, and the offset of each."""
+    return _encode(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), path)
+
+
+def _encode(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As ``encode``; a word is encoded once as long as the process keeps it."""
+    met, data = _words[path], LOWER[data]
+    if len(met.hashes) > MET:
+        met.thin(MET)
+    row, start, end, h = word_hashes(data, offsets)
+    place = met.find(h)
+    new = np.flatnonzero(place == 0)
+    if len(new):
+        own, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+        low = data.tobytes()
+        place[new] = len(met.hashes) + back
+        met.add(own, [low[s:e] for s, e in zip(start[new[first]].tolist(), end[new[first]].tolist())], path)
+    # A text's words stand before its end, which has place 0.
+    ends = np.cumsum(np.bincount(row, minlength=len(offsets) - 1) + 1)
+    code = np.zeros(len(row) + len(ends), np.int64)
+    code[np.arange(len(row)) + row] = place
+    begin = met.start.take(code)
+    size = met.start.take(code + 1) - begin
+    at = np.append(0, np.cumsum(size))
+    return met.ids.take(_runs(begin, size)).astype(np.int64), at[np.append(0, ends)]
 
 
 def _word_ids(word: bytes, path: str) -> np.ndarray:
@@ -137,13 +199,6 @@ def previous(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    data, offsets = text_bytes(column)
-    whole = data.tobytes()
-    o = offsets.tolist()
-    return data, offsets, [whole[a:b] for a, b in zip(o, o[1:])]
-
-
 def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """The bytes of consecutive runs of rows."""
     width = values.itemsize * int(np.prod(values.shape[1:], dtype=np.int64))
@@ -157,9 +212,9 @@ def encoded(docs: DataFrame, text_col: str, path: str) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, _, _ in pieces(b[text_col]):
+            for i, j, data, offsets in pieces(b[text_col]):
                 part = b.slice(i, j - i)
-                ids, at = encode(_raw(part[text_col])[2], path)
+                ids, at = _encode(data, offsets, path)
                 yield pa.RecordBatch.from_arrays([*part.columns, _packed(ids.astype(np.uint16), at), pa.array(np.diff(at))], [*part.schema.names, "ids", "size"])
 
     kinds = ", ".join(f"`{n}` {kind}" for n, kind in docs.dtypes)
@@ -234,47 +289,51 @@ class Model:
 
     def __post_init__(self):
         self._mask = np.tri(WINDOW, dtype=np.float32)
-        w = np.concatenate([self.q / np.sqrt(WIDTH), self.k, self.v], axis=1)
+        # Queries meet keys, and values meet the classes, in one product of their weights each.
+        w = np.concatenate([self.q @ self.k.T / np.sqrt(WIDTH), np.eye(WIDTH)], axis=1)
         self._tokens, self._places = (self.embed @ w).astype(np.float32), (self.place @ w).astype(np.float32)
-        far = [np.linalg.norm(self._tokens[:, i : i + WIDTH], axis=1).max() + np.linalg.norm(self._places[:, i : i + WIDTH], axis=1).max() for i in (0, WIDTH)]
-        self._near = bool(far[0] * far[1] < 60)
-        self._group_pair, self._out = self.group_pair.astype(np.float32), self.out.astype(np.float32)
+        far = [np.abs(q[:, :WIDTH] @ k[:, WIDTH:].T).max() for q in (self._tokens, self._places) for k in (self._tokens, self._places)]
+        self._near = bool(sum(far) < 60)
+        self._group_pair, self._out = self.group_pair.astype(np.float32), (self.v @ self.out).astype(np.float32)
 
     def log_probabilities(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Natural logs of each id's probability given the ids before it in its text."""
-        b = self.bucket[ids]
-        x = self.bucket[previous(ids, offsets)]
-        result = self.pair[x, b] + self.within[ids]
-        size = np.diff(offsets)
+        b = self.bucket.take(ids)
+        x = self.bucket.take(previous(ids, offsets))
+        result = self.pair.reshape(-1).take(x * IDS + b) + self.within.take(ids)
+        size, group = np.diff(offsets), self.group.take(b)
         windows = 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE))
         text = np.repeat(np.arange(len(size)), windows)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
         start, end = offsets[text] + nth * STRIDE, offsets[text + 1]
         steps, room = np.arange(WINDOW), lambda name, *shape: _room(name, np.float32, *shape)
         ones, classes = np.ones(WINDOW, np.float32), np.ones(CLASSES, np.float32)
+        full = start + WINDOW <= end
         # A text's first window scores all of its ids, later ones only those beyond the overlap.
-        for own, low in ((np.flatnonzero(nth == 0), 0), (np.flatnonzero(nth), WINDOW - STRIDE)):
+        for own, low, whole in ((np.flatnonzero(((nth > 0) == later) & (full == whole)), low, whole) for later, low in ((False, 0), (True, WINDOW - STRIDE)) for whole in (True, False)):
             for i in range(0, len(own), TOGETHER):
                 w = own[i : i + TOGETHER]
                 at = start[w, None] + steps
-                scored = at[:, low:] < end[w, None]
                 xs = x.take(at, mode="clip")
-                qkv = self._tokens.take(xs, 0, out=room("qkv", len(w), WINDOW, 3 * WIDTH), mode="clip")
-                qkv += self._places
-                q, k, v = qkv[:, low:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-                a = np.matmul(q, k.transpose(0, 2, 1), out=room(f"a{low}", len(w), WINDOW - low, WINDOW))
+                both = self._tokens.take(xs, 0, out=room("both", len(w), WINDOW, 2 * WIDTH), mode="clip")
+                both += self._places
+                q, v = both[:, low:, :WIDTH], both[..., WIDTH:]
+                a = np.matmul(q, v.transpose(0, 2, 1), out=room(f"a{low}", len(w), WINDOW - low, WINDOW))
                 if not self._near:
                     np.clip(a, -60, 60, out=a)
                 np.exp(a, out=a)
                 a *= self._mask[low:]
-                h = np.matmul(a, v, out=room(f"h{low}", len(w), WINDOW - low, WIDTH))
-                h /= (a.reshape(-1, WINDOW) @ ones).reshape(*a.shape[:2], 1)
-                now = at[:, low:][scored]
-                base = self._group_pair.take(x[now], 0, out=room("base", len(now), CLASSES), mode="clip")
-                z = np.matmul(h[scored], self._out, out=room("z", len(now), CLASSES))
+                h = np.matmul(a, v, out=room(f"h{low}", len(w), WINDOW - low, WIDTH)).reshape(-1, WIDTH)
+                h /= (a.reshape(-1, WINDOW) @ ones).reshape(-1, 1)
+                now, before = at[:, low:].reshape(-1), xs[:, low:].reshape(-1)
+                if not whole:
+                    scored = np.flatnonzero(at[:, low:] < end[w, None])
+                    now, before, h = now[scored], before[scored], h[scored]
+                base = self._group_pair.take(before, 0, out=room("base", len(now), CLASSES), mode="clip")
+                z = np.matmul(h, self._out, out=room("z", len(now), CLASSES))
+                g = group.take(now) + np.arange(0, len(now) * CLASSES, CLASSES)
+                gain = z.reshape(-1).take(g)
                 z += base
-                g = self.group[b[now]] + np.arange(0, len(now) * CLASSES, CLASSES)
-                gain = z.reshape(-1)[g] - base.reshape(-1)[g]
                 np.exp(z, out=z)
                 result[now] += gain - np.log(z @ classes)
         return result
@@ -324,7 +383,8 @@ def corpus_model(pairs: DataFrame, path: str) -> Model:
 _PARAMETERS = ("embed", "place", "q", "k", "v", "out")
 
 
-_TRIANGLE = np.tri(WINDOW)
+_TRIANGLE = np.tri(WINDOW, dtype=np.float32)
+_COLUMNS = np.tile(np.arange(WIDTH), WINDOW)
 
 
 def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray, ys: np.ndarray, valid: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
@@ -336,56 +396,63 @@ def gradients(p: dict[str, np.ndarray], group_pair: np.ndarray, xs: np.ndarray,
     x, flat = xs.ravel(), lambda t: t.reshape(-1, t.shape[-1])
     size, room = len(x), lambda name, *shape: _room(name, kind, *shape)
     narrow = kind.type(1 / np.sqrt(WIDTH))
-    w = np.concatenate([p["q"] * narrow, p["k"], p["v"]], axis=1)
+    # Queries meet keys, and values meet the classes, in one product of their weights each.
+    meet, read = (p["q"] * narrow) @ p["k"].T, p["v"] @ p["out"]
     e = p["embed"].take(x, 0, out=room("e", size, WIDTH), mode="clip")
-    np.add(e.reshape(count, WINDOW, WIDTH), p["place"], out=e.reshape(count, WINDOW, WIDTH))
-    qkv = np.matmul(e, w, out=room("qkv", size, 3 * WIDTH)).reshape(count, WINDOW, 3 * WIDTH)
-    q, k, v = (qkv[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3))
-    a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", count, WINDOW, WINDOW))
-    own = _powers(a, _TRIANGLE.astype(kind))
-    h = flat(np.matmul(a, v, out=room("h", count, WINDOW, WIDTH)))
+    e3 = e.reshape(count, WINDOW, WIDTH)
+    e3 += p["place"]
+    q = np.matmul(e, meet, out=room("q", size, WIDTH))
+    q3, mask = q.reshape(count, WINDOW, WIDTH), _TRIANGLE.astype(kind, copy=False)
+    a, own = _powers(lambda: np.matmul(q3, e3.transpose(0, 2, 1), out=room("a", count, WINDOW, WINDOW)), mask)
+    h = flat(np.matmul(a, e3, out=room("h", count, WINDOW, WIDTH)))
     h /= own
-    z = np.matmul(h, p["out"], out=room("z", size, CLASSES))
-    z += group_pair.take(x, 0, out=room("base", size, CLASSES), mode="clip")
-    total = _powers(z)
+    base = group_pair.take(x, 0, out=room("base", size, CLASSES), mode="clip")
+    z, total = _powers(lambda: np.add(np.matmul(h, read, out=room("z", size, CLASSES)), base, out=room("z", size, CLASSES)))
     z.reshape(-1)[np.arange(0, size * CLASSES, CLASSES) + ys.ravel()] -= total[:, 0]
     share = valid.reshape(-1, 1) / total
-    dh = np.matmul(z, p["out"].T, out=room("dh", size, WIDTH))
+    dh = np.matmul(z, read.T, out=room("dh", size, WIDTH))
     dh *= share / own
     # The sum of a * da over a row is that of h * dh.
-    mean = np.einsum("ij,ij->i", h, dh)
+    mean = np.multiply(h, dh, out=room("hdh", size, WIDTH)) @ np.ones(WIDTH, kind)
     dh3 = dh.reshape(count, WINDOW, WIDTH)
-    dqkv = room("dqkv", count, WINDOW, 3 * WIDTH)
-    np.matmul(a.transpose(0, 2, 1), dh3, out=dqkv[..., 2 * WIDTH :])
-    ds = np.matmul(dh3, v.transpose(0, 2, 1), out=room("ds", count, WINDOW, WINDOW))
+    ds = np.matmul(dh3, e3.transpose(0, 2, 1), out=room("ds", count, WINDOW, WINDOW))
     ds -= mean.reshape(count, WINDOW, 1)
     ds *= a
-    np.matmul(ds, k, out=dqkv[..., :WIDTH])
-    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., WIDTH : 2 * WIDTH])
-    de = np.matmul(flat(dqkv), w.T, out=room("de", size, WIDTH))
-    dw = e.T @ flat(dqkv)
-    dw[:, :WIDTH] *= narrow
+    dq = flat(np.matmul(ds, e3, out=room("dq", count, WINDOW, WIDTH)))
+    de = np.matmul(dq, meet.T, out=room("de", size, WIDTH))
+    for weights, met in ((a, dh3), (ds, q3)):
+        de += flat(np.matmul(weights.transpose(0, 2, 1), met, out=room("dk", count, WINDOW, WIDTH)))
+    dmeet = (dq.T @ e).T * narrow
     h *= share
-    out = {n: dw[:, i * WIDTH : (i + 1) * WIDTH] for i, n in enumerate("qkv")} | {"out": h.T @ z, "place": (np.ones(count, kind) @ de.reshape(count, WINDOW * WIDTH)).reshape(WINDOW, WIDTH)}
-    # Rows of one bucket are brought together and added up.
-    order = np.argsort(x.astype(np.int16), kind="stable")
-    together = x[order]
-    first = np.flatnonzero(np.diff(together, prepend=-1))
-    out["embed"] = np.zeros((IDS, WIDTH), kind)
-    out["embed"][together[first]] = np.add.reduceat(de.take(order, 0, out=room("sorted", size, WIDTH), mode="clip"), first, axis=0)
+    dread = (z.T @ h).T
+    out = {"q": dmeet @ p["k"], "k": dmeet.T @ p["q"], "v": dread @ p["out"].T, "out": p["v"].T @ dread, "place": (np.ones(count, kind) @ de.reshape(count, WINDOW * WIDTH)).reshape(WINDOW, WIDTH)}
+    at = np.repeat(x * WIDTH, WIDTH).reshape(count, -1)
+    at += _COLUMNS
+    out["embed"] = np.bincount(at.reshape(-1), de.reshape(-1), IDS * WIDTH).astype(kind).reshape(IDS, WIDTH)
     return out, float(valid.sum())
 
 
-def _powers(t: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
-    """Powers of e in place, 0 outside the mask, and the sum of each row (n, 1), by a product, which is quicker than sums of short rows; rows are only led to 0 where that is needed."""
-    if _wide(t):
+def _powers(made: Callable[[], np.ndarray], mask: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of e of the numbers made, in their place, 0 outside the mask, and the sum of each row (n, 1), by a product, which is quicker than sums of short rows; where a sum is far off, rows are made again and led to 0."""
+    t = made()
+    ones = np.ones((t.shape[-1], 1), t.dtype)
+
+    def raised() -> np.ndarray:
+        np.exp(t, out=t)
         if mask is not None:
-            t += np.where(mask > 0, 0, -1e9).astype(t.dtype)
-        t -= t.max(axis=-1, keepdims=True)
-    np.exp(t, out=t)
-    if mask is not None:
-        t *= mask
-    return t.reshape(-1, t.shape[-1]) @ np.ones((t.shape[-1], 1), t.dtype)
+            np.multiply(t, mask, out=t)
+        return t.reshape(-1, t.shape[-1]) @ ones
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = raised()
+    if t.size and not (total.min() > 1e-12 and total.max() < 1e12):
+        t = made()
+        if _wide(t):
+            if mask is not None:
+                t += np.where(mask > 0, 0, -1e9).astype(t.dtype)
+            t -= t.max(axis=-1, keepdims=True)
+        total = raised()
+    return t, total
 
 
 def _wide(t: np.ndarray) -> bool:
@@ -462,7 +529,8 @@ def windows(training: DataFrame, text_col: str, path: str, bucket: np.ndarray, r
 def _steps(flat: np.ndarray, split, tables: tuple, led: np.ndarray, times: np.ndarray, rate: float) -> np.ndarray:
     """The parameters after Adam steps over one share's windows."""
     group, group_pair = tables
-    m1, m2, part_of = (np.zeros(len(flat), np.float32) for _ in range(3))
+    # Ten and a hundred times the usual means of gradients and of their squares.
+    m1, m2 = (np.zeros(len(flat), np.float32) for _ in range(2))
     flat = flat.copy()
     weight = (led[:, 1:] >= 0) * times.astype(np.float32)[:, None]
     led = np.maximum(led, 0).astype(np.int64)
@@ -472,16 +540,15 @@ def _steps(flat: np.ndarray, split, tables: tuple, led: np.ndarray, times: np.nd
         g = np.concatenate([g[name].ravel() for name in _PARAMETERS])
         g *= np.float32(1 / n)
         m1 *= np.float32(0.9)
-        m1 += np.multiply(g, np.float32(0.1), out=part_of)
+        m1 += g
         m2 *= np.float32(0.99)
         g *= g
-        g *= np.float32(0.01)
         m2 += g
-        np.multiply(m2, np.float32(1 / (1 - 0.99**step)), out=g)
-        np.sqrt(g, out=g)
-        g += np.float32(1e-8)
+        np.sqrt(m2, out=g)
+        part_of = np.sqrt(0.01 / (1 - 0.99**step))
+        g += np.float32(1e-8 / part_of)
         np.divide(m1, g, out=g)
-        g *= np.float32(rate / (1 - 0.9**step))
+        g *= np.float32(0.1 * rate / (1 - 0.9**step) / part_of)
         flat -= g
     return flat
 
@@ -548,11 +615,13 @@ class _Common:
         """(found, count)."""
         if len(self.hashes) == 0:
             return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-        slot = self.slot[self._at(h)]
+        slot = self.slot.take(self._at(h))
         i = np.maximum(slot, 0)
-        lost = np.flatnonzero((slot >= 0) & (self.hashes[i] != h))
+        same = self.hashes.take(i) == h
+        lost = np.flatnonzero((slot >= 0) & ~same)
         i[lost] = np.minimum(np.searchsorted(self.hashes, h[lost]), len(self.hashes) - 1)
-        return self.hashes[i] == h, self.counts[i]
+        same[lost] = self.hashes[i[lost]] == h[lost]
+        return same, self.counts.take(i)
 
 
 _common: dict[str, _Common] = {}
@@ -595,19 +664,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
                 seen = np.bincount(row[found], minlength=n) + (ends > 0)
                 ids, at = _ids(b["ids"].slice(i, n))
                 logs = m.log_probabilities(ids, at)
-                begin = np.flatnonzero(heads(path)[ids])
-                sub = np.add.reduceat(logs, begin) / np.log(10)
+                begin = np.flatnonzero(heads(path).take(ids))
+                sub = np.add.reduceat(logs, begin)
                 last = ids[begin] == END
-                alone = np.add.reduceat(sub, np.concatenate([[0], np.flatnonzero(last)[:-1] + 1]))
-                word, sub = sub[~last], np.log10((1 - mix) * 10.0 ** sub[last] + mix * ends / max(n_all, 1))
-                mixed = np.log10((1 - mix) * 10.0 ** word[found] + mix * c[found] / max(n_all, 1))
+                alone = np.add.reduceat(sub, np.concatenate([[0], np.flatnonzero(last)[:-1] + 1])) / np.log(10)
+                word, sub = sub[~last], np.log10((1 - mix) * np.exp(sub[last]) + mix * ends / max(n_all, 1))
+                mixed = np.log10((1 - mix) * np.exp(word[found]) + mix * c[found] / max(n_all, 1))
                 scores = sub + np.bincount(row[found], weights=mixed, minlength=n)
                 rid = b["rid"].to_numpy()[i:j]
                 yield pa.RecordBatch.from_arrays([pa.array(rid), b["id"].slice(i, n), b["out"].slice(i, n), pa.array(rid * -0x61C8864680B583EB), pa.array(np.ones(n, bool)), pa.array(tokens), pa.array(seen), pa.array(sums), pa.array(scores), pa.array(alone)], names)
                 rare = np.flatnonzero(~found)
                 of = row[rare]
                 zero = np.zeros(len(rare))
-                yield pa.RecordBatch.from_arrays([pa.array(rid[of]), b["id"].slice(i, n).take(pa.array(of)), b["out"].slice(i, n).take(pa.array(of)), pa.array(h[rare]), pa.array(np.zeros(len(rare), bool)), *(pa.array(zero.astype(np.int64)) for _ in range(2)), pa.array(zero), pa.array(word[rare]), pa.array(zero)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(rid[of]), b["id"].slice(i, n).take(pa.array(of)), b["out"].slice(i, n).take(pa.array(of)), pa.array(h[rare]), pa.array(np.zeros(len(rare), bool)), *(pa.array(zero.astype(np.int64)) for _ in range(2)), pa.array(zero), pa.array(word[rare] / np.log(10)), pa.array(zero)], names)
 
     names = ["rid", "id", "out", "h", "whole", "tokens", "known", "base", "score", "alone"]
     kind = dict(plain.dtypes)["id"]

@@ -237,3 +237,43 @@ def test_long_words_that_sums_of_powers_confuse_are_told_apart(spark):
 
 def test_empty(spark):
     assert lm.score(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_words_are_encoded_once_while_the_process_keeps_them(monkeypatch):
+    path = lm.default_path()
+    real, seen = lm.encoder(path), []
+
+    class Encoder:
+        def encode_to_numpy(self, text):
+            seen.append(text)
+            return real.encode_to_numpy(text)
+
+    monkeypatch.setattr(lm, "_words", lm.defaultdict(lm._Words))
+    lm.heads(path)
+    monkeypatch.setattr(lm, "encoder", lambda path: Encoder())
+    first = lm.encode([b"Zo ki zo", b"", b"ki rn"], path)
+    again = lm.encode([b"Zo ki zo", b"", b"ki rn"], path)
+    assert sorted(seen[0].split()) == ["ki", "rn", "zo"] and len(seen) == 1
+    assert all(np.array_equal(a, b) for a, b in zip(first, again))
+    lm.encode([b"rn new"], path)
+    assert seen[1:] == [" new"]
+
+
+@pytest.mark.parametrize("most", [1, 6, 40, 1 << 19])
+def test_ids_are_those_of_each_word_however_many_are_kept(monkeypatch, most):
+    path = lm.default_path()
+    monkeypatch.setattr(lm, "_words", lm.defaultdict(lm._Words))
+    monkeypatch.setattr(lm._Words, "BITS", 5)  # words take each other's slots
+    monkeypatch.setattr(lm, "MET", most)
+    texts = [t.encode() for _, t in corpus() if t] + ["no\u00a0 break \u00a0space\u00a0 \u00a0 here".encode(), b"", b" \t\n"]
+    for low in range(0, len(texts), 10):
+        own = texts[low : low + 10]
+        ids, at = lm.encode(own, path)
+        want = [[*(int(x) for w in t.lower().split() for x in lm._word_ids(w, path)), lm.END] for t in own]
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+
+
+def test_weights_of_queries_and_keys_are_one_product():
+    m = small_model(3)
+    assert m._tokens.shape[1] == 2 * lm.WIDTH
+    assert np.allclose(m._tokens[:, : lm.WIDTH] @ m._tokens[:, lm.WIDTH :].T, (m.embed @ m.q) @ (m.embed @ m.k).T / np.sqrt(lm.WIDTH), atol=1e-3)
