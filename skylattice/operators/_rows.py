@@ -4,22 +4,36 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` in the folder that spark.checkpoint.dir names; in a temporary one only where that is unset on a local master (tests)."""
+def _folder(df: DataFrame) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one only where that is unset on a local master (tests)."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not where and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` in the checkpoints' folder."""
+    _folder(df)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as packed files in the checkpoints' folder: a fraction of a checkpoint, but read in other parts than written."""
+    where = f"{_folder(df)}/{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
 def running_sums(df: DataFrame, sums: dict[str, Column], *order: Column) -> DataFrame:
     """``df`` with, for each name, the bigint sum of its values over the rows before in a total order, without a single-task window.
 

@@ -10,7 +10,7 @@ import math
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import conic, geo, raster
@@ -774,10 +774,25 @@ cls AS (SELECT c.cls, n AS n_labels, m AS n_preds, p, r, ap50, ap FROM cnt c JOI
 
 
 def _boxes(spark, sf_dir):
-    b = table(spark, sf_dir, "orders").selectExpr(f"struct({_LABEL_BOX}) AS b").select("b.*")
-    predictions = table(spark, sf_dir, "lineitem").join(b, F.col("ord") == F.col("l_orderkey")).selectExpr(f"struct({_PRED_BOX}) AS b").select("b.*")
-    edges = lambda df, *more: df.selectExpr("image", "cls", "ord", "x0", "y0", "x0 + w AS x1", "y0 + h AS y1", *more)
-    return edges(predictions, "score"), edges(b)
+    """Predictions, of lines with an order, and labels.
+
+    Both are dealt out by image, which a line's order names, so that lines meet their orders and then all boxes of an
+    image without being moved again.
+    """
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "1 AS known")
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS o_orderkey", "0 AS known", "l_partkey", "l_suppkey", "l_linenumber")
+    image, keys = F.expr("o_orderkey % 300"), ("l_partkey", "l_suppkey", "l_linenumber")
+    parts = min(300, max(1, -(-lines.count() // 50_000)))  # what is drawn from a line is far larger than it; there are 300 images
+    ends = (F.expr("x0 + w").alias("x1"), F.expr("y0 + h").alias("y1"))
+
+    def drawn(rows, *more):
+        return rows.selectExpr("image", f"struct({_LABEL_BOX}) AS b", *more).select("image", *(f"b.{c}" for c in ("cls", "ord", "x0", "y0", "w", "h")), *more)
+
+    met = lines.unionByName(orders, allowMissingColumns=True).repartition(parts, image).select(image.alias("image"), "*")
+    met = met.withColumn("met", F.max("known").over(Window.partitionBy("image", "o_orderkey"))).where("known = 0 and met = 1")
+    predictions = drawn(met, *keys).selectExpr("image", f"struct({_PRED_BOX}) AS p").select("image", *(f"p.{c}" for c in ("cls", "ord", "x0", "y0", "w", "h", "score")))
+    labels = drawn(orders.repartition(parts, image).select(image.alias("image"), "o_orderkey"))
+    return predictions.select("image", "cls", "ord", "x0", "y0", *ends, "score"), labels.select("image", "cls", "ord", "x0", "y0", *ends)
 
 
 @query(f"{_METRICS} SELECT cls, n_labels, n_preds, round(p, 6) AS precision, round(r, 6) AS recall, round(ap50, 6) AS ap50, round(ap, 6) AS ap FROM cls")

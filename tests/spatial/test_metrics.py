@@ -106,3 +106,26 @@ def test_cells_are_never_broadcast(spark):
     boxes = spark.createDataFrame([(0, 0, 1, 0.0, 0.0, 2.0, 2.0)], SCHEMA)
     plan = metrics.overlapping(boxes, boxes)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_boxes_are_moved_once(spark):
+    from skylattice import queries
+
+    plan = metrics.judged(*queries._boxes(spark, "/root/testdata/sf0.01"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # lines with orders, and labels
+
+
+@pytest.mark.parametrize("least", [0.5, 0.3])
+def test_crowded_image_finds_each_best_label(monkeypatch, least):
+    monkeypatch.setattr(metrics, "PAIRS", 1000)
+    rng = np.random.default_rng(6)
+    box = lambda n, top: np.column_stack([at := rng.uniform(-8, 8, (n, 2)), at + 2 ** rng.uniform(-1, top, (n, 2))])
+    labels = np.concatenate([box(900, 4), some := box(300, 1), some])
+    boxes = np.concatenate([box(500, 5), labels[::5] + rng.normal(0, 0.05, (300, 4)), some[:50], box(1, 9)])
+    boxes = boxes[(boxes[:, 2] > boxes[:, 0]) & (boxes[:, 3] > boxes[:, 1])]
+    look = metrics._Labels(labels, least)
+    assert len(look.steps) > 1 and len(boxes) * len(labels) > metrics.FEW
+    at, over = look.best(boxes)
+    all_ = np.array([[iou(b, l) for l in labels.tolist()] for b in boxes.tolist()])
+    most = all_.max(axis=1)
+    assert np.array_equal(at, np.where(most >= least, all_.argmax(axis=1), -1)) and np.allclose(over, np.where(most >= least, most, 0), rtol=0, atol=1e-12) and (at < 0).any() and (at >= 900).sum() > 50
