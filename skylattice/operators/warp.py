@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.conic import ARRAYS, LAMBERT_93, Conic, from_mercator, to_mercator
 from ..functions.geo import MERCATOR_RADIUS_M, TILE_PX, ZOOM, metres_per_px
 
-#: Source pixels round a tile's outline that its interpolation may touch, rasters that one task lays over each other, and cuts in one batch.
-MARGIN, TOGETHER, CUTS = 2, 64, 64
+#: Source pixels round a tile's outline that its interpolation may touch, rasters that one task lays over each other, cuts in one batch, and bytes of source a task.
+MARGIN, TOGETHER, CUTS, TASK_BYTES = 2, 64, 64, 1 << 22
 
 BLOCK = ("ord", "left", "top", "res", "width", "height", "col", "row", "w", "h", "pixels")
 _CUT = "x bigint, y bigint, ord bigint, left double, top double, res double, width bigint, height bigint, col bigint, row bigint, w bigint, h bigint, pixels binary"
@@ -160,6 +160,9 @@ def warped(blocks: DataFrame, zoom: int = ZOOM, side: int = TILE_PX, bands: int
 
     numbers = [F.col(k).cast("double" if k in ("left", "top", "res") else "bigint").alias(k) for k in BLOCK[:-1]]
     cuts = blocks.select(*numbers, "pixels").mapInArrow(cut, _CUT).withColumn("step", F.floor(F.col("ord") / TOGETHER))
-    steps = cuts.repartition("x", "y", "step").sortWithinPartitions("x", "y", "step", "ord").mapInArrow(gathered, "x bigint, y bigint, step bigint, pixels binary")
-    tiles = steps.repartition("x", "y").sortWithinPartitions("x", "y", "step").mapInArrow(merged, "x bigint, y bigint, step bigint, pixels binary")
+    # Packed pixels say little of their size: Spark would put any number of tiles into one task.
+    source = blocks.agg(F.sum(F.col("w").cast("bigint") * F.col("h") * bands)).first()[0] or 0
+    tasks = max(8, -(-source // TASK_BYTES))
+    steps = cuts.repartition(tasks, "x", "y", "step").sortWithinPartitions("x", "y", "step", "ord").mapInArrow(gathered, "x bigint, y bigint, step bigint, pixels binary")
+    tiles = steps.repartition(tasks, "x", "y").sortWithinPartitions("x", "y", "step").mapInArrow(merged, "x bigint, y bigint, step bigint, pixels binary")
     return tiles.select("x", "y", "pixels")

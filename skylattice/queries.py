@@ -732,7 +732,8 @@ def world_windows(spark, sf_dir):
     w, h, res = _SIZE
     scene = _scene(spark, sf_dir)
     name = f"tiles_{uuid.uuid4().hex}"
-    tiles.write_tiles(warp.warped(scene), name, buckets=8)
+    buckets = max(8, -(-table(spark, sf_dir, "supplier").count() // 500))  # a few dozen tiles each
+    tiles.write_tiles(warp.warped(scene), name, buckets=buckets)
     lon, lat = conic.LAMBERT_93.inverse(F.col("left") + w * res / 2, F.col("top") - h * res / 2)
     points = scene.where("col = 0 and row = 0").select(F.col("ord").alias("id"), lon.alias("lon"), lat.alias("lat"))
     found = tiles.read_windows(spark.table(name), points, px=64).select("id", raster.band_sums(F.col("pixels")).alias("b"))

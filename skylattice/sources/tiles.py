@@ -1,7 +1,7 @@
 """A table of raster tiles keyed in Morton order, and window reads from it.
 
 The table is bucketed by its key, so a join with it brings the keys that are sought to the tiles and never moves a tile;
-what leaves a bucket is only the part of a tile that a window shows.
+each tile meets all windows that show it at once, and what leaves a bucket is only the part of it that a window shows.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.geo import TILE_PX, WINDOW_PX, ZOOM
 from ..operators.windows import with_origin
 
-#: Bytes of windows that a task pastes before it hands them on.
-WINDOW_BYTES = 1 << 22
+#: Bytes of windows that a task pastes before it hands them on, bytes of windows a task, and bytes of tiles that a reader takes at once, about.
+WINDOW_BYTES, TASK_BYTES, READ_BYTES = 1 << 22, 1 << 24, 1 << 24
 
 
 def morton(x: Column, y: Column) -> Column:
@@ -35,24 +36,31 @@ def morton(x: Column, y: Column) -> Column:
 def write_tiles(tiles: DataFrame, table: str, buckets: int = 64) -> None:
     """``tiles`` (x, y, pixels) as a table, each bucket one sorted file; one tile a place."""
     keyed = tiles.select(morton(F.col("x"), F.col("y")).alias("morton"), "x", "y", "pixels")
-    keyed.repartition(buckets, "morton").write.mode("overwrite").format("parquet").bucketBy(buckets, "morton").sortBy("morton").saveAsTable(table)
-
-
-def _shown(side: int, px: int, bands: int):
-    """The part of each tile that its window shows, with its place in the window."""
-    kind = pa.struct([("dx", pa.int32()), ("dy", pa.int32()), ("w", pa.int32()), ("h", pa.int32()), ("part", pa.binary())])
-
-    @F.arrow_udf("struct<dx:int,dy:int,w:int,h:int,part:binary>")
-    def shown(left: pa.Array, top: pa.Array, pixels: pa.Array) -> pa.Array:
-        out = []
-        for dx, dy, raw in zip(left.to_pylist(), top.to_pylist(), pixels):
-            a, b, c, d = max(0, dx), max(0, dy), min(px, dx + side), min(px, dy + side)
-            if not raw.is_valid or len(raw.as_buffer()) != side * side * bands or a >= c or b >= d:
-                out.append(None)
-                continue
-            tile = np.frombuffer(raw.as_buffer(), np.uint8).reshape(side, side, bands)
-            out.append({"dx": a, "dy": b, "w": c - a, "h": d - b, "part": tile[b - dy : d - dy, a - dx : c - dx].tobytes()})
-        return pa.array(out, kind)
+    keyed.repartition(buckets, "morton").write.mode("overwrite").format("parquet").bucketBy(buckets, "morton").sortBy("morton").option("parquet.block.size", READ_BYTES).saveAsTable(table)
+
+
+def _shown(side: int, px: int, bands: int, fields: pa.Schema):
+    """The part of each tile that each of its windows shows, with its place in the window; a null part where there is none."""
+
+    def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                raw = batch["pixels"][i]
+                good = raw.is_valid and len(raw.as_buffer()) == side * side * bands
+                tile = np.frombuffer(raw.as_buffer(), np.uint8).reshape(side, side, bands) if good else None
+                for w in batch["windows"][i].as_py():
+                    dx, dy = batch["x"][i].as_py() * side - w["x0"], batch["y"][i].as_py() * side - w["y0"]
+                    a, b, c, d = max(0, dx), max(0, dy), min(px, dx + side), min(px, dy + side)
+                    some = good and a < c and b < d
+                    part = {"dx": a, "dy": b, "w": c - a, "h": d - b, "part": tile[b - dy : d - dy, a - dx : c - dx].tobytes()} if some else None
+                    out.append({"id": w["id"], "ogx": w["ogx"], "ogy": w["ogy"], "p": part})
+                    size += 64 + (len(part["part"]) if part else 0)
+                    if size >= WINDOW_BYTES:
+                        yield pa.RecordBatch.from_pylist(out, fields)
+                        out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, fields)
 
     return shown
 
@@ -86,8 +94,12 @@ def read_windows(tiles: DataFrame, points: DataFrame, zoom: int = ZOOM, px: int
     x0, y0 = F.bround("ogx").cast("bigint"), F.bround("ogy").cast("bigint")
     axis = lambda o: F.explode(F.sequence(F.floor(F.col(o) / side), F.floor((F.col(o) + (px - 1)) / side)))
     sought = placed.withColumns({"x0": x0, "y0": y0}).withColumn("x", axis("x0")).withColumn("y", axis("y0"))
-    sought = sought.where("x >= 0 and y >= 0").withColumn("morton", morton(F.col("x"), F.col("y")))
-    found = sought.join(tiles.select("morton", "pixels"), "morton", "left")
-    part = _shown(side, px, bands)((F.col("x") * side - F.col("x0")).cast("int"), (F.col("y") * side - F.col("y0")).cast("int"), F.col("pixels"))
-    parts = found.select("id", "ogx", "ogy", part.alias("p")).groupBy("id", "ogx", "ogy").agg(F.collect_list("p").alias("parts"))  # a window's tiles are few
+    sought = sought.where("x >= 0 and y >= 0").groupBy("x", "y").agg(F.collect_list(F.struct("id", "ogx", "ogy", "x0", "y0")).alias("windows"))  # 40 bytes each
+    sought = sought.withColumn("morton", morton(F.col("x"), F.col("y")))
+    found = sought.join(tiles.select("morton", "pixels"), "morton", "left").select("x", "y", "windows", "pixels")
+    out = placed.withColumn("p", F.lit(None).cast("struct<dx:int,dy:int,w:int,h:int,part:binary>")).schema
+    shown = found.mapInArrow(_shown(side, px, bands, to_arrow_schema(out)), out)
+    # Packed parts say little of their size: Spark would put any number of windows into one task.
+    tasks = -(-points.count() * px * px * bands // TASK_BYTES)
+    parts = shown.repartition(max(1, tasks), "id", "ogx", "ogy").groupBy("id", "ogx", "ogy").agg(F.collect_list("p").alias("parts"))  # a window's tiles are few
     return parts.mapInArrow(_pasted(px, bands, swap), f"id {dict(parts.dtypes)['id']}, ogx double, ogy double, pixels binary")

@@ -174,3 +174,28 @@ def test_drawn_rasters_are_dealt_out(spark, tmp_path):
 
     spark.range(600).selectExpr("id AS s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
     assert queries._scene(spark, str(tmp_path)).rdd.getNumPartitions() == 3
+
+
+def test_tiles_and_windows_are_dealt_out_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warp, "TASK_BYTES", 2_000, raising=False)
+    monkeypatch.setattr(tiles, "TASK_BYTES", 20 * 64 * 64 * 3, raising=False)
+    rows = blocks_of(0, np.full((90, 90, 3), 7, np.uint8), 652_000.0, 6_862_000.0, 0.25, 30)
+    warped = warp.warped(spark.createDataFrame(rows, BLOCK))
+    assert warped.rdd.getNumPartitions() == -(-90 * 90 * 3 // 2_000)  # Spark would join all into one
+    tiles.write_tiles(warped, "dealt", buckets=2)
+    lon, lat = (float(v) for v in LAMBERT_93.inverse(np.float64(652_010.0), np.float64(6_861_990.0), ARRAYS))
+    points = spark.createDataFrame([(i, lon + i * 1e-8, lat) for i in range(101)], "id bigint, lon double, lat double")
+    windows = tiles.read_windows(spark.table("dealt"), points, px=64)
+    assert windows.rdd.getNumPartitions() == 6 and {(r.id, any(r.pixels)) for r in windows.collect()} == {(i, True) for i in range(101)}
+
+
+def test_a_tile_meets_its_windows_at_once(monkeypatch):
+    """One row a tile comes in, however many windows show it, and parts leave a few at a time."""
+    monkeypatch.setattr(tiles, "WINDOW_BYTES", 1 << 16)
+    window = [{"id": i, "ogx": 0.0, "ogy": 0.0, "x0": 250 - i, "y0": 300} for i in range(300)]
+    rows = pa.RecordBatch.from_pylist([{"x": 0, "y": 1, "windows": window, "pixels": bytes([9]) * 256 * 256 * 3}, {"x": 5, "y": 1, "windows": window[:1], "pixels": None}])
+    part = pa.struct([*((k, pa.int32()) for k in ("dx", "dy", "w", "h")), ("part", pa.binary())])
+    got = list(tiles._shown(256, 64, 3, pa.schema([("id", pa.int64()), ("ogx", pa.float64()), ("ogy", pa.float64()), ("p", part)]))(iter([rows])))
+    out = [r for b in got for r in b.to_pylist()]
+    assert max(b.nbytes for b in got) < 1 << 17 and [r["id"] for r in out] == [*range(300), 0] and out[-1]["p"] is None
+    assert all(r["p"]["w"] == (min(64, 6 + i) if i <= 250 else 64 + 250 - i) and r["p"]["h"] == 64 and len(r["p"]["part"]) == r["p"]["w"] * 64 * 3 for i, r in enumerate(out[:300]))
